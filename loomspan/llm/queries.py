@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from loomspan.llm import decontam, huffman, packing, sharding, toxicity
+from loomspan.llm import decontam, huffman, packing, pii, sharding, toxicity
 
 QUERIES = {
     "op2_decontamination": decontam.op2_decontamination,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_personal_data": pii.op8_personal_data,
     "op9_huffman": huffman.op9_huffman,
     "op10_rendezvous": sharding.op10_rendezvous,
 }

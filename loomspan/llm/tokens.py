@@ -8,10 +8,12 @@ import re
 import numpy as np
 
 #: Words kept per worker process; beyond it the memory starts anew. About 200 bytes each.
-REMEMBERED = 800_000
-#: Words of these letters are one piece each for the pre-tokenizer, so many can go in as one text.
-_LETTERS = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-_TAIL = re.compile(rb"[a-z0-9][.,]\Z")
+REMEMBERED = 1_500_000
+#: Words of these letters are one piece each for the pre-tokenizer, so many can go in as one text. Words of
+#: them and of ASCII digits and marks, but no apostrophe, fall into such pieces, single digits and runs of marks.
+_SIMPLE = re.compile(rb"(?:[\x21-\x26\x28-\x7e]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_PIECES = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+|[0-9]|[^a-z0-9\xc3]+")
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 class Encoder:
@@ -49,33 +51,40 @@ class Encoder:
             if len(known) > REMEMBERED:
                 known.clear()
                 fresh = set().union(*split)
-            self._learn(list(fresh))
+            self._learn(fresh)
         out = [b"".join(map(known.__getitem__, words)) for words in split]
         for i in odd:
             out[i] = self.whole([texts[i]])[0]
         return out
 
-    def _learn(self, words: list[bytes]) -> None:
-        cut = [w[:-1] if _TAIL.search(w) else w for w in words]
-        new = list(set(cut) - self.known.keys() | {b".", b","} - self.known.keys())
-        plain, other = [], []
-        for w in map(bytes.decode, new):
-            (plain if _LETTERS.fullmatch(w) else other).append(w)
-        for i in range(0, len(plain), 256):
-            self._together(plain[i : i + 256])
-        self.known.update(zip([w.encode() for w in other], self.whole(other), strict=True))
-        self.known.update((w, self.known[c] + self.known[w[-1:]]) for w, c in zip(words, cut, strict=True) if c is not w)
-
-    def _together(self, words: list[str]) -> None:
+    def _learn(self, words: set[bytes]) -> None:
+        known, letters, other, made = self.known, set(), set(), []
+        for w in words:
+            if _LETTERS.fullmatch(w):
+                letters.add(w)
+            elif _SIMPLE.fullmatch(w) and len(pieces := _PIECES.findall(w)) > 1:
+                made.append((w, pieces))
+                for x in pieces:
+                    (letters if _LETTERS.fullmatch(x) else other).add(x)
+            else:
+                other.add(w)
+        new = list(letters - known.keys())
+        for i in range(0, len(new), 256):
+            self._together(new[i : i + 256])
+        new = list(other - known.keys())
+        known.update(zip(new, self.whole([w.decode() for w in new]), strict=True))
+        for w, pieces in made:
+            known[w] = b"".join([known[x] for x in pieces])
+
+    def _together(self, words: list[bytes]) -> None:
         """Ids of many words from one call: each word's last piece ends in the end-of-word mark."""
-        ids = np.frombuffer(self.whole([" ".join(words)])[0], "<u4")
-        cut = (np.flatnonzero(self.last[ids]) + 1) * 4
+        raw, at = self.whole([b" ".join(words).decode()])[0], 0
+        cut = (np.flatnonzero(self.last[np.frombuffer(raw, "<u4")]) + 1) * 4
         if len(cut) != len(words):
-            self.known.update(zip([w.encode() for w in words], self.whole(words), strict=True))
+            self.known.update(zip(words, self.whole([w.decode() for w in words]), strict=True))
             return
-        raw, at = ids.tobytes(), 0
         for w, end in zip(words, cut.tolist(), strict=True):
-            self.known[w.encode()] = raw[at:end]
+            self.known[w] = raw[at:end]
             at = end
 
 
