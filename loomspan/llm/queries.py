@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from loomspan.llm import decontam, huffman, packing, pii, sharding, toxicity
+from loomspan.llm import decontam, huffman, packing, pii, sharding, toxicity, warc
 
 QUERIES = {
     "op2_decontamination": decontam.op2_decontamination,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op6_warc": warc.op6_warc,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_personal_data": pii.op8_personal_data,
     "op9_huffman": huffman.op9_huffman,
