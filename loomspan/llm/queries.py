@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from loomspan.llm import decontam, huffman, neardup, packing, pii, sharding, substrings, toxicity, warc
+from loomspan.llm import decontam, huffman, neardup, ngram_join, packing, pii, sharding, substrings, toxicity, warc
 
 QUERIES = {
     "op1_near_duplicates": neardup.op1_near_duplicates,
     "op2_decontamination": decontam.op2_decontamination,
     "op3_substring_dedup": substrings.op3_substring_dedup,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op5_ngram_join": ngram_join.op5_ngram_join,
     "op6_warc": warc.op6_warc,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_personal_data": pii.op8_personal_data,
