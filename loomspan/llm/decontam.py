@@ -193,8 +193,8 @@ def blocks(benchmark: DataFrame, most: int = BLOCK) -> Iterator[Block]:
         yield Block(items)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, share: int = 20, most: int = BLOCK) -> DataFrame:
-    """docs without text, with n_words, n_hit, n_items, items, items_sha256 and contaminated.
+def contaminated(docs: DataFrame, benchmark: DataFrame, share: int = 20, most: int = BLOCK, keep_text: bool = False) -> DataFrame:
+    """docs (without text unless keep_text), with n_words, n_hit, n_items, items, items_sha256 and contaminated.
 
     A window is 13 consecutive words of an item, or all words of a shorter one; words inside any occurrence are
     hit; a document is contaminated when hit words are at least 1 in `share` of its words. docs keeps its other
@@ -213,7 +213,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: int = 20, most: i
         if waiting is not None:
             out = written(occurrences(out, waiting, False).drop("n_words"), "hits")
         waiting = block
-    out = occurrences(out, waiting, True)
+    out = occurrences(out, waiting, not keep_text)
     hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + x["b"] - x["a"])
     return (
         out.withColumn("n_hit", hit)

@@ -46,7 +46,7 @@ class Encoder:
         for i in odd:
             split[i] = []
         known = self.known
-        fresh = set().union(*split) - known.keys()
+        fresh = {w for w in set().union(*split) if w not in known}
         if fresh:
             if len(known) > REMEMBERED:
                 known.clear()
@@ -68,10 +68,10 @@ class Encoder:
                     (letters if _LETTERS.fullmatch(x) else other).add(x)
             else:
                 other.add(w)
-        new = list(letters - known.keys())
+        new = [w for w in letters if w not in known]
         for i in range(0, len(new), 256):
             self._together(new[i : i + 256])
-        new = list(other - known.keys())
+        new = [w for w in other if w not in known]
         known.update(zip(new, self.whole([w.decode() for w in new]), strict=True))
         for w, pieces in made:
             known[w] = b"".join([known[x] for x in pieces])
