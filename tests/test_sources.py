@@ -80,10 +80,11 @@ def test_streaming_coverage(spark, tmp_path):
     df = spark.createDataFrame(data, "chr string, start long, end long")
     df.repartition(3).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    q = live.changes(stream).writeStream.format("memory").queryName("changes").outputMode("complete").start()
+    keep = lambda batch, _: batch.write.mode("overwrite").parquet(str(tmp_path / "changes"))
+    q = live.changes(stream).writeStream.foreachBatch(keep).outputMode("complete").start()
     try:
         q.processAllAvailable()
     finally:
         q.stop()
-    got = sorted(map(tuple, live.settled(spark.table("changes")).select("chr", "start", "end", "cov").collect()))
+    got = sorted(map(tuple, live.settled(spark.read.parquet(str(tmp_path / "changes"))).select("chr", "start", "end", "cov").collect()))
     assert got == sorted(map(tuple, coverage.sweep(df, ["chr"]).select("chr", "start", "end", "cov").collect()))
