@@ -121,7 +121,10 @@ def _fields(head: bytes) -> dict[str, str]:
         name, mark, value = line.partition(":")
         if not mark:
             raise Damaged("header line")
-        out[name.strip().lower()] = value.strip()
+        name = name.strip().lower()
+        if name in out and name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
+            raise Damaged("two headers in one")
+        out[name] = value.strip()
     return out
 
 
