@@ -20,11 +20,13 @@ def with_genome(rows: DataFrame, genome: DataFrame, key: list[str], spans: str =
     A span is cut at the chunks' borders, each part is one equi-join on (chr, chunk), and the parts meet by `key`."""
     first = genome.select("size").first()
     size = first[0] if first else 1
-    parts = rows.select(*key, "chr", F.explode(spans).alias("s")).select(*key, "chr", "s.start", "s.end")
-    low, high = F.floor((F.col("start") - 1) / size), F.floor((F.col("end") - 1) / size)
+    parts = rows.select(*dict.fromkeys([*key, "chr"]), F.explode(spans).alias("s")).select(
+        *key, F.col("chr").alias("_chr"), F.col("s.start").alias("_s"), F.col("s.end").alias("_e")
+    )
+    low, high = F.floor((F.col("_s") - 1) / size), F.floor((F.col("_e") - 1) / size)
     parts = parts.withColumn("chunk", F.explode(F.sequence(low, high)))
-    parts = parts.withColumn("_a", F.greatest(F.col("start") - 1, F.col("chunk") * size)).withColumn("_b", F.least(F.col("end"), (F.col("chunk") + 1) * size))
-    found = parts.join(genome.select("chr", "chunk", "seq"), ["chr", "chunk"])
+    parts = parts.withColumn("_a", F.greatest(F.col("_s") - 1, F.col("chunk") * size)).withColumn("_b", F.least(F.col("_e"), (F.col("chunk") + 1) * size))
+    found = parts.join(genome.select(F.col("chr").alias("_chr"), "chunk", "seq"), ["_chr", "chunk"])
     text = F.substring("seq", (F.col("_a") - F.col("chunk") * size + 1).cast("int"), (F.col("_b") - F.col("_a")).cast("int"))
     whole = found.select(*key, "_a", text.alias("_t")).groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_a", "_t"))).alias("_p"))
     return rows.join(whole.select(*key, F.array_join(F.transform("_p", lambda x: x["_t"]), "").alias("genome")), key, "left")
