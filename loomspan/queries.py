@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspan.functions import flags, sequence, spans
-from loomspan.operators import coverage, genes, intervals, junctions, quantify, reads, text
+from loomspan.operators import coverage, genes, intervals, junctions, quantify, reads, reconcile, regions, text
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -444,3 +444,95 @@ def step_times(spark, sf):
     return text.step_times(_table(spark, sf, "events"), ["user_id", "event_type"], "ts", "event_id").groupBy(F.col("event_type").alias("step")).agg(
         F.count(F.lit(1)).alias("runs"), F.sum("seconds").alias("total")
     )
+
+
+def _blocks(spark, sf, where: str = "true") -> DataFrame:
+    """Alignments with closed one-block spans and is_unique."""
+    rows = _alignments(spark, sf, where).withColumn("end", F.col("end") - 1)
+    return rows.withColumns({"spans": F.array(spans.span(F.col("start"), F.col("end"))), "is_unique": F.col("flag") == "N"})
+
+
+_PLACES = "(SELECT DISTINCT l_suppkey AS chr, p_partkey AS fs, p_partkey + p_size AS fe FROM part JOIN lineitem ON l_partkey = p_partkey)"
+
+
+def _places(spark, sf) -> DataFrame:
+    met = _table(spark, sf, "part").join(_table(spark, sf, "lineitem"), F.col("l_partkey") == F.col("p_partkey"))
+    return met.select(F.col("l_suppkey").alias("chr"), F.col("p_partkey").alias("start"), (F.col("p_partkey") + F.col("p_size")).alias("end")).distinct()
+
+
+def _count_sql(where: str) -> str:
+    return f"""SELECT f.chr, fs AS start, fe AS "end", COUNT(DISTINCT CASE WHEN flag = 'N' THEN seqnum END) AS ucount, COUNT(DISTINCT CASE WHEN flag <> 'N' THEN seqnum END) AS nucount
+ FROM {_PLACES} f LEFT JOIN {_SPANS} a ON a.chr = f.chr AND {where} GROUP BY 1, 2, 3"""
+
+
+@query(_count_sql("s <= fe AND fs <= e - 1"))
+def feature_counts(spark, sf):
+    features = _places(spark, sf).withColumn("strand", F.lit("+"))
+    return quantify.feature_counts(_blocks(spark, sf), features).select("chr", "start", "end", "ucount", "nucount")
+
+
+@query(_count_sql("s >= fs AND e - 1 <= fe"))
+def exon_counts(spark, sf):
+    return quantify.exon_counts(_blocks(spark, sf), _places(spark, sf)).select("chr", "start", "end", "ucount", "nucount")
+
+
+@query(f"SELECT (SELECT COUNT(*) FROM {_SPANS} WHERE flag = 'N') + (SELECT COUNT(DISTINCT seqnum) FROM {_SPANS} WHERE flag <> 'N') AS num_reads")
+def read_total(spark, sf):
+    return quantify.read_total(_blocks(spark, sf))
+
+
+@query(f"SELECT seqnum, line FROM {_SPANS} WHERE chr = 7 AND e - 1 >= 50 AND s <= 90")
+def region_reads(spark, sf):
+    return regions.in_region(_blocks(spark, sf), 7, 50, 90).select("seqnum", "line")
+
+
+@query(
+    f"""WITH o AS (SELECT seqnum, s, e - 1 AS e, MAX(e - 1) OVER (PARTITION BY seqnum ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM {_SPANS}),
+ g AS (SELECT *, SUM(CASE WHEN r IS NULL OR s > r + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY seqnum ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k FROM o),
+ b AS (SELECT seqnum, MIN(s) AS s, MAX(e) AS e FROM g GROUP BY seqnum, k), i AS (SELECT seqnum % 10 AS chr, e + 1 AS start, LEAD(s) OVER (PARTITION BY seqnum ORDER BY s) - 1 AS "end" FROM b)
+ SELECT chr, start, "end", COUNT(*) AS n FROM i WHERE "end" - start + 1 >= 15 GROUP BY 1, 2, 3"""
+)
+def spliced_junctions(spark, sf):
+    rows = _blocks(spark, sf).groupBy("seqnum").agg(F.collect_list(F.element_at("spans", 1)).alias("spans"))
+    rows = rows.select((F.col("seqnum") % 10).alias("chr"), spans.fused(F.col("spans")).alias("spans"))
+    return regions.sam_junctions(rows, 15, only_unique=False)
+
+
+@query(
+    """WITH q AS (SELECT l_partkey AS id, MIN(l_returnflag) AS r, COUNT(*) FILTER (l_linestatus = 'F') AS p, COUNT(*) FILTER (l_linestatus = 'O') AS m FROM lineitem GROUP BY 1),
+ t AS (SELECT *, CASE WHEN id % 2 = 1 THEN '-' ELSE '+' END AS strand FROM q)
+ SELECT id, strand, CASE WHEN strand = '-' THEN m ELSE p END AS sense, CASE WHEN strand = '-' THEN p ELSE m END AS antisense FROM t"""
+)
+def strand_specific(spark, sf):
+    counts = _table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("id")).agg(
+        F.count_if(F.col("l_linestatus") == "F").alias("plus"), F.count_if(F.col("l_linestatus") == "O").alias("minus")
+    )
+    counts = counts.withColumn("strand", F.when(F.col("id") % 2 == 1, "-").otherwise("+"))
+    return quantify.strand_specific(counts, counts, ["id"])
+
+
+@query(
+    f"""SELECT a.chr, a.s AS start, a.e AS "end", COUNT(*) AS n FROM {_SPANS} a WHERE NOT EXISTS (SELECT 1 FROM
+ (SELECT chr, s, e, MIN(be) AS low, MAX(bs) AS high FROM (SELECT x.chr, x.s, x.e, y.s AS bs, y.e AS be FROM (SELECT DISTINCT chr, s, e FROM {_SPANS}) x JOIN (SELECT DISTINCT chr, s, e FROM {_SPANS}) y ON x.chr = y.chr AND y.s >= x.s AND y.e <= x.e AND (y.s <> x.s OR y.e <> x.e)) GROUP BY 1, 2, 3) h
+ WHERE h.chr = a.chr AND h.s = a.s AND h.e = a.e AND high - low >= 10) GROUP BY 1, 2, 3"""
+)
+def contained_removed(spark, sf):
+    rows = intervals.contained_removed(_alignments(spark, sf), ["chr"], apart=10, width=64)
+    return rows.groupBy("chr", "start", "end").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    """SELECT l_orderkey + k * 1000000 AS seqnum, l_linenumber AS line FROM lineitem, RANGE(0, 3) r(k)"""
+)
+def replicated(spark, sf):
+    return regions.replicated(_alignments(spark, sf), 3, shift=1_000_000).select("seqnum", "line")
+
+
+@query()
+def reconciled_sources(spark, sf):
+    """Two sources of unique hits by read; its rules have no SQL and are held to cases in the tests."""
+    rows = _blocks(spark, sf).withColumn("mate", F.when(F.col("line") % 2 == 1, "a").otherwise("b"))
+    hit = rows.select("seqnum", "mate", F.col("chr").cast("string").alias("chr"), "spans", F.lit("+").alias("strand"), F.repeat(F.lit("A"), spans.total_length(F.col("spans")).cast("int")).alias("seq"), "flag")
+    part = lambda f: hit.where(F.col("flag") == f).drop("flag")
+    out = reconcile.genome_and_transcriptome(part("A"), part("R"), part("N"), least=5)
+    return out.select("seqnum", "mate", "chr", spans.render(F.col("spans")).alias("spans"), "verdict")
