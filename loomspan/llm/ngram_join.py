@@ -18,7 +18,9 @@ from loomspan.llm.words import SOLID, Words, mix, slices
 #: Words in a shingle and the least Jaccard similarity as a fraction.
 SHINGLE, SHARE = 5, (80, 100)
 #: Texts in a tree; counters of the sketch that orders shingles, as a power of two, and per row of it.
-TREE, SKETCH_BITS, SKETCH_ROW = 512, 22, 1 << 16
+TREE, SKETCH_BITS, SKETCH_ROW = 512, 24, 1 << 16
+#: A prefix has one token more for each so many of the set's shingles, and so more tokens in common.
+SPARE = 20
 
 
 def shingle_sets(column: pa.Array, n: int = SHINGLE) -> list[np.ndarray]:
@@ -44,9 +46,14 @@ def set_id(shingles: np.ndarray) -> int:
 
 
 def ordered(shingles: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    """The set in the global order: by the sketch's count of documents, rare ones first, then by hash."""
-    count = np.minimum(sketch[shingles & np.uint64(len(sketch) - 1)], (1 << 24) - 1).astype(np.uint64)
-    return shingles[np.argsort(count << np.uint64(40) | shingles >> np.uint64(24), kind="stable")]
+    """The set in the global order: by the sketch's level, rare ones first, then by hash."""
+    level = sketch[shingles & np.uint64(len(sketch) - 1)].astype(np.uint64)
+    return shingles[np.argsort(level << np.uint64(56) | shingles >> np.uint64(8), kind="stable")]
+
+
+def spare(size):
+    """Tokens that two similar sets of at least this size have in common in their prefixes (an int, or a column)."""
+    return 1 + size // SPARE if isinstance(size, int) else 1 + F.floor(size / SPARE)
 
 
 def described(docs: DataFrame, n: int, bits: int) -> DataFrame:
@@ -55,21 +62,15 @@ def described(docs: DataFrame, n: int, bits: int) -> DataFrame:
     A shingle's counter adds up how many documents have it, or another one of the same low bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, waiting, held = np.zeros(1 << bits, np.int64), [], 0
+        counts = np.zeros(1 << bits, np.uint32)
         for rows in slices(batches, "text"):
             sets = shingle_sets(rows.column("text"), n)
             size = np.array([len(s) for s in sets])
             names = [set_id(s) if len(s) else None for s in sets]
             none = pa.nulls(len(sets), pa.int32())
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(size), pa.array(names, pa.int64()), none, pa.nulls(len(sets), pa.binary())], names_)
-            waiting += [(s & np.uint64((1 << bits) - 1)).astype(np.int32) for s in sets]
-            held += int(size.sum())
-            if held > 1 << bits:
-                counts += np.bincount(np.concatenate(waiting), minlength=1 << bits)
-                waiting, held = [], 0
-        if waiting:
-            counts += np.bincount(np.concatenate(waiting), minlength=1 << bits)
-        blocks = counts.reshape(-1, min(SKETCH_ROW, 1 << bits)).astype("<u4")
+            np.add.at(counts, np.concatenate(sets) & np.uint64((1 << bits) - 1), np.uint32(1))
+        blocks = counts.reshape(-1, min(SKETCH_ROW, 1 << bits))
         packed = [zlib.compress(b.tobytes(), 1) for b in blocks]
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(len(packed), pa.int64())] * 3 + [pa.array(np.arange(len(packed), dtype=np.int32)), pa.array(packed, pa.binary())], names_
@@ -80,24 +81,25 @@ def described(docs: DataFrame, n: int, bits: int) -> DataFrame:
 
 
 def sketch_of(table: DataFrame, bits: int) -> np.ndarray:
-    """The tasks' counters summed, 2 ** bits numbers."""
+    """The tasks' counters summed, as levels of eight to a doubling: 2 ** bits bytes, however large the table."""
 
     def add(group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(zlib.decompress(x.as_py()), "<u4").astype(np.int64) for x in group["counts"])
-        return pa.table({"block": group["block"][:1], "counts": pa.array([np.minimum(total, 2**32 - 1).astype("<u4").tobytes()], pa.binary())})
+        total = sum(np.frombuffer(zlib.decompress(x.as_py()), np.uint32).astype(np.int64) for x in group["counts"])
+        level = np.minimum(8 * np.log2(1 + total), 255).astype(np.uint8)
+        return pa.table({"block": group["block"][:1], "counts": pa.array([level.tobytes()], pa.binary())})
 
     rows = table.where("block is not null").select("block", "counts").groupBy("block").applyInArrow(add, "block int, counts binary").toArrow()
-    out = np.zeros(1 << bits, np.uint32)
+    out = np.zeros(1 << bits, np.uint8)
     for block, counts in zip(rows["block"].to_pylist(), rows["counts"].to_pylist(), strict=True):
-        part = np.frombuffer(counts, "<u4")
-        out[block * len(part) : (block + 1) * len(part)] = part
+        out[block * len(counts) : (block + 1) * len(counts)] = np.frombuffer(counts, np.uint8)
     return out
 
 
 def prefixes(docs: DataFrame, n: int, share: tuple[int, int], sketch) -> DataFrame:
-    """(token, id): sets that are similar enough have a token in common here.
+    """(token, id): sets x and y that are similar enough have spare(min(|x|, |y|)) tokens in common here.
 
-    Of a set of s shingles these are the first s - ceil(share * s) + 1 in the global order."""
+    Of a set of s shingles these are the first s - ceil(share * s) + spare(s) in the global order. For were one of that many
+    first common shingles behind x's prefix, so would be all later common ones, of which there are more than places there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = sketch.value
@@ -105,7 +107,7 @@ def prefixes(docs: DataFrame, n: int, share: tuple[int, int], sketch) -> DataFra
             tokens, names, many = [np.zeros(0, np.uint64)], [], []
             for s in shingle_sets(rows.column("text"), n):
                 if len(s):
-                    tokens.append(ordered(s, order)[: len(s) + (-share[0] * len(s) // share[1]) + 1])
+                    tokens.append(ordered(s, order)[: len(s) + (-share[0] * len(s) // share[1]) + spare(len(s))])
                     names.append(set_id(s))
                     many.append(len(tokens[-1]))
             ids = np.repeat(np.array(names, np.int64), np.array(many, np.int64))
@@ -252,9 +254,9 @@ def linked(docs: DataFrame, n: int = SHINGLE, share: tuple[int, int] = SHARE, tr
     |intersection| * share[1] >= share[0] * |union| of their shingle sets.
 
     1. Documents with equal sets are one node. 2. A fixed-size sketch counts shingles over all documents and so orders
-    them. 3. Similar sets share a token of their prefixes (a theorem, whatever the order), so each token's smallest node
-    gathers the token's nodes: its star. All similar pairs lie within a star. 4. Each node goes into its
-    smallest star first, dealt into prefix trees of about `tree` texts that all hold the star's leader. 5. Stars that
+    them. 3. Similar sets share tokens of their prefixes (a theorem, whatever the order), so each token's smallest node
+    gathers the token's nodes: its star. All similar pairs lie within a star, and nodes with too few shared tokens for
+    any link go. 4. Each node goes into the star of most common tokens first, dealt into prefix trees of about `tree` texts that all hold the star's leader. 5. Stars that
     still span components are joined whole: nodes outside the star's largest component, in blocks, against all its
     nodes, in blocks. Only links that unite two components leave a tree, so groups of copies make no pairs.
 
@@ -267,18 +269,24 @@ def linked(docs: DataFrame, n: int = SHINGLE, share: tuple[int, int] = SHARE, tr
 
     tokens = written(prefixes(docs, n, share, sketch), "prefixes")
     shared = tokens.groupBy("token").agg(F.min("id").alias("g"), F.max("id").alias("top")).where("g < top").select("token", "g")
-    stars = written(tokens.join(shared, "token").select("g", "id").distinct(), "stars")
+    hits = written(tokens.join(shared, "token").groupBy("g", "id").agg(F.count(F.lit(1)).alias("n")), "hits")
     dropped(tokens)
-
-    reps = sets.where("id is not null and doc_id is not null").groupBy("id").agg(F.min("doc_id").alias("doc_id"))
-    home = stars.groupBy("id").agg(F.min("g").alias("g"))
-    home = home.unionByName(stars.where("g = id").select("id", "g")).distinct()
+    reps = sets.where("id is not null and doc_id is not null").groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"))
+    # the smallest set that can be similar is share * size, so fewer tokens in common with all others mean no link
+    enough = hits.groupBy("id").agg(F.sum("n").alias("n")).join(reps, "id").where(F.col("n") >= spare(F.ceil(F.col("size") * share[0] / share[1])))
+    stars = hits.join(enough.select("id"), "id", "left_semi")
+    stars = written(stars.join(stars.groupBy("g").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("g"), "g", "left_semi"), "stars")
+    # the star with which a node has most tokens in common is its home; a leader is at home in its own one, too
+    home = stars.groupBy("id").agg(F.max_by("g", F.struct("n", "g")).alias("g")).withColumn("main", F.lit(True))
+    own = stars.where("g = id").select("id", "g").join(home.select("id", "g"), ["id", "g"], "left_anti")
+    home = home.unionByName(own.withColumn("main", F.lit(False)))
     sizes = home.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / tree).alias("many"))
-    home = home.join(sizes, "g").join(reps, "id")
+    home = home.join(sizes, "g").join(reps.select("id", "doc_id"), "id")
     # a star's leader is in all of its trees
     deal = F.when(F.col("id") == F.col("g"), F.sequence(F.lit(0).cast("long"), F.col("many") - 1)).otherwise(F.array(_dealt("id", F.col("many"))))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(home.withColumn("u", F.explode(deal)), "doc_id").select("g", "u", "id", "text")
-    texts = written(texts, "texts")
+    home = home.select("doc_id", "id", "g", "main", F.posexplode(deal).alias("k", "u"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(home, "doc_id")
+    texts = written(texts.select("g", "u", "id", (F.col("main") & (F.col("k") == 0)).alias("main"), "text"), "texts")
     first = texts.select("g", "u", F.lit(0).cast("long").alias("v"), "id", F.col("id").alias("part"), F.lit(True).alias("ask"), "text")
     links = written(tree_join(first, n, share, sketch), "links")
     parts = written(components(links), "parts")
@@ -287,7 +295,7 @@ def linked(docs: DataFrame, n: int = SHINGLE, share: tuple[int, int] = SHARE, tr
     split = found.groupBy("g").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("g")
     found = written(found.join(split, "g"), "open")
     if not found.isEmpty():
-        links = links.unionByName(_rest(found, texts.select("id", "text").dropDuplicates(["id"]), n, share, sketch, tree))
+        links = links.unionByName(_rest(found, texts.where("main").select("id", "text"), n, share, sketch, tree))
         parts = components(links)
 
     nodes = sets.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("component", "id"))
