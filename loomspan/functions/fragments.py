@@ -4,6 +4,8 @@ All are small helpers of Arrow functions; spans are closed, ascending and withou
 
 from __future__ import annotations
 
+import re
+
 Spans = list[tuple[int, int]]
 
 
@@ -16,6 +18,34 @@ def plain(seq: str) -> str:
     return seq.replace(":", "")
 
 
+def bases(seq: str) -> str:
+    """The bases that lie on the genome: no junction marks and no insertions."""
+    return re.sub(r"\+[^+]*\+", "", plain(seq))
+
+
+def insertions(seq: str, spans: Spans) -> dict[int, str]:
+    """What is inserted before each place of the genome."""
+    out, at, places = {}, 0, [p for s, e in spans for p in range(s, e + 1)]
+    for k, part in enumerate(plain(seq).split("+")):
+        if k % 2 and at < len(places):
+            out[places[at]] = part
+        elif not k % 2:
+            at += len(part)
+    return out
+
+
+def with_insertions(seq: str, spans: Spans, inserted: dict[int, str]) -> str:
+    """A marked sequence with insertions put before their places."""
+    if not inserted:
+        return seq
+    out, places = [], iter(p for s, e in spans for p in range(s, e + 1))
+    for base in seq:
+        if base != ":" and (more := inserted.get(next(places))):
+            out.append(f"+{more}+")
+        out.append(base)
+    return "".join(out)
+
+
 def marked(seq: str, spans: Spans) -> str:
     """The sequence with a colon where the spans leave a gap."""
     out, at = [], 0

@@ -79,12 +79,12 @@ def psl_hits(rows: DataFrame, sequences: DataFrame, within: int = 10) -> DataFra
     ).distinct()
 
 
-def split_by_uniqueness(hits: DataFrame, least: int, distance: int = 500_000, rescue: bool = True, one_strand: bool = False) -> tuple[DataFrame, DataFrame]:
+def split_by_uniqueness(hits: DataFrame, least: int, distance: int = 500_000, rescue: bool = True, one_strand: bool = False, paired: bool = False) -> tuple[DataFrame, DataFrame]:
     """(unique, ambiguous) alignments of hits by read and mate.
 
     Reads with one fragment are unique. With rescue, a single mate whose alternatives share a region of `least` bases is
     unique there."""
-    found = reads.classified(hits, distance=distance)
+    found = reads.classified(hits, distance=distance, paired=paired)
     rows = []
     for mate, side in (("a", "fwd"), ("b", "rev")):
         part = found.where(F.col(side).isNotNull())

@@ -47,11 +47,11 @@ def paired(forward: DataFrame, reverse: DataFrame, on: Sequence[str], a: tuple[s
     return joined.where((F.col(a[0]) <= F.col(b[0])) & (gap < distance)).withColumn("gap", gap)
 
 
-def classified(hits: DataFrame, read: str = "seqnum", distance: int = 500_000) -> DataFrame:
+def classified(hits: DataFrame, read: str = "seqnum", distance: int = 500_000, paired: bool = True) -> DataFrame:
     """Hits (seqnum, mate a|b, chr, spans, strand, seq) as fragments with is_unique.
 
     Hits are distinct first. Mates that pair make fragments {fwd, rev}; a read with pairs keeps only those, another keeps
-    its single hits if all are of one mate or one each. A read with one fragment is unique; the strand given is the
+    its only hit; without mates (paired false) all its hits. A read with one fragment is unique; the strand given is the
     forward one. Reads of a million possible pairs or more are left out before pairing."""
     hits = hits.select(read, "mate", "chr", "spans", "strand", "seq").distinct()
     sides = {}
@@ -65,7 +65,7 @@ def classified(hits: DataFrame, read: str = "seqnum", distance: int = 500_000) -
     up, down = F.when(F.col("strand") == "+", F.col("fwd")).otherwise(F.col("rev")), F.when(F.col("strand") == "+", F.col("rev")).otherwise(F.col("fwd"))
     ahead = (S.first_start(up["spans"]) <= S.first_start(down["spans"])) & (S.first_start(down["spans"]) - S.last_end(up["spans"]) < distance)
     pairs = pairs.where(ahead).select(read, "chr", "strand", "fwd", "rev")
-    single = fit.where((F.col("_a") == 0) | (F.col("_b") == 0)).select(read)
+    single = fit.where(F.col("_a") + F.col("_b") == 1 if paired else (F.col("_a") == 0) | (F.col("_b") == 0)).select(read)
     empty = F.lit(None)
     alone = [
         sides[m].join(single, read, "left_semi").withColumn(other, empty.cast(pairs.schema[other].dataType)).select(read, "chr", "strand", "fwd", "rev")

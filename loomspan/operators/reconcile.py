@@ -49,7 +49,7 @@ class _Side:
     def __init__(self, row: dict, tag: str):
         hits = {m: row[f"{tag}_{m}"] for m in "jab"}
         self.hits = {
-            m: h | {"spans": [(s["start"], s["end"]) for s in h["spans"]], "seq": R.plain(h["seq"] or "")} for m, h in hits.items() if h is not None
+            m: h | {"spans": [(s["start"], s["end"]) for s in h["spans"]], "raw": h["seq"] or "", "seq": R.bases(h["seq"] or "")} for m, h in hits.items() if h is not None
         }
         if "j" in self.hits:
             self.hits, self.state = {"j": self.hits["j"]}, -1
@@ -77,7 +77,10 @@ def _mates(a: dict, b: dict, distance: int) -> list[tuple]:
     if up["spans"][0][0] > down["spans"][-1][1]:
         return []
     found = R.fused_mates((a["spans"], a["seq"]), (b["spans"], b["seq"]), a_first)
-    return [("j", a | {"spans": found[0], "seq": found[1]}, "unique")] if found else []
+    if not found:
+        return []
+    seq = R.with_insertions(R.marked(found[1], found[0]), found[0], R.insertions(a["raw"], a["spans"]) | R.insertions(b["raw"], b["spans"]))
+    return [("j", a | {"spans": found[0], "raw": seq}, "unique")]
 
 
 def genome_rule(g: _Side, t: _Side, least: int, paired: bool, distance: int) -> list[tuple]:
@@ -132,8 +135,7 @@ def _resolved(left: DataFrame, right: DataFrame, rule: Callable, least: int | st
                     longest = max((R.length(h["spans"]) for s in (x, y) for h in s.hits.values()), default=0)
                     for mate, hit, verdict in rule(x, y, least_overlap(longest) if least == "v" else least, paired, distance):
                         spans = [{"start": s, "end": e} for s, e in hit["spans"]]
-                        seq = R.marked(hit["seq"], hit["spans"])
-                        out.append((row["seqnum"], "" if mate == "j" else mate, hit["chr"], spans, hit["strand"], seq, verdict))
+                        out.append((row["seqnum"], "" if mate == "j" else mate, hit["chr"], spans, hit["strand"], hit["raw"], verdict))
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(_ARROW)], schema=_ARROW)
 
     return by_read(left, "x").join(by_read(right, "y"), "seqnum", "full_outer").mapInArrow(run, _OUT)
@@ -159,17 +161,17 @@ def two_aligners(
 ) -> DataFrame:
     """Unique hits of both with verdict unique or ambiguous; the second's ambiguous hits stay, unless rescued.
 
-    Reads that the first calls ambiguous go from its unique ones. A single mate of the first whose other mate the second
-    has several hits for is rescued if exactly one of those pairs with it; without a rescue it stays unique only if the second's ambiguous hits
-    are not of the same mate."""
+    Reads that the first calls ambiguous go from its unique ones. Where the second has no unique hit, a single mate of the first
+    is unique only if none of the second's ambiguous hits is joined or of the same mate; and if they are of the other mate alone and exactly one
+    of them pairs with it, both are unique and the read's ambiguous hits go."""
     first, second = excluded(first, first_nu), excluded(second, first_nu)
-    pairs = rescued(first, second_nu, distance)
-    done = pairs.select("seqnum").distinct()
-    own = second_nu.select("seqnum", "mate").distinct()
+    own = second_nu.select("seqnum", F.col("mate").alias("_o")).distinct()
     mates = first.groupBy("seqnum").agg(F.count(F.lit(1)).alias("_n"), F.min("mate").alias("_m")).where("_n = 1 and _m <> ''")
-    doubt = mates.join(own.withColumnRenamed("mate", "_o"), "seqnum").where("_m = _o").select("seqnum").distinct()
-    clean = excluded(excluded(first, done), doubt)
-    out = _resolved(clean, excluded(second, done), aligner_rule, least, paired, distance)
+    doubt = mates.join(own, "seqnum").where("_o in (_m, '')").select("seqnum").distinct()
+    doubt = excluded(doubt, second)
+    pairs = rescued(excluded(excluded(first, doubt), second), second_nu, distance)
+    done = pairs.select("seqnum").distinct()
+    out = _resolved(excluded(excluded(first, done), doubt), excluded(second, done), aligner_rule, least, paired, distance)
     columns = ["seqnum", "mate", "chr", "spans", "strand", "seq"]
     kept = excluded(second_nu, done).unionByName(first_nu).select(*columns, F.lit("ambiguous").alias("verdict"))
     return out.unionByName(pairs.select(*columns, F.lit("unique").alias("verdict"))).unionByName(kept)

@@ -91,8 +91,9 @@ def test_classified(spark):
         (2, "a", "1", "1-9", "+", "A"), (2, "a", "2", "1-9", "+", "A"),
         (3, "b", "1", "5-9", "-", "G"),
     ]
-    out = reads.classified(hits(spark, data))
+    out = reads.classified(hits(spark, data), paired=False)
     assert rows(out, "seqnum", "is_unique") == [(1, True), (2, False), (2, False), (3, True)]
+    assert rows(reads.classified(hits(spark, data)), "seqnum", "is_unique") == [(1, True), (3, True)]
 
 
 def test_mapping_statistics(spark):
@@ -138,6 +139,13 @@ def test_two_aligners(spark):
     }
 
 
+def test_insertions_survive_fusing(spark):
+    g = hits(spark, [(1, "a", "1", "1-10", "+", "AAAAA+GG+AAAAA")])
+    t = hits(spark, [(1, "b", "1", "8-17", "+", "AAACC+T+CCCCC")])
+    out = reconcile.genome_and_transcriptome(g, t, hits(spark, []), least=5)
+    assert [(r.mate, r.seq) for r in out.collect()] == [("", "AAAAA+GG+AAAAACC+T+CCCCC")]
+
+
 def test_demoted(spark):
     df = hits(spark, [(1, "a", "1", "1-50", "+", "A" * 50), (1, "a", "1", "5-60", "+", "A" * 56), (2, "a", "1", "1-5", "+", "AAAAA"), (2, "a", "2", "1-5", "+", "AAAAA")])
     assert rows(reconcile.demoted(df, 20).withColumn("s", S.render(F.col("spans"))), "seqnum", "s") == [(1, "5-50")]
