@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomspan.llm.memory import release
 from loomspan.llm.neardup import hook
 from loomspan.llm.ranks import components
 from loomspan.llm.store import dropped, written
@@ -62,6 +63,7 @@ def described(docs: DataFrame, n: int, bits: int) -> DataFrame:
     A shingle's counter adds up how many documents have it, or another one of the same low bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         counts = np.zeros(1 << bits, np.uint32)
         for rows in slices(batches, "text"):
             sets = shingle_sets(rows.column("text"), n)
@@ -102,6 +104,7 @@ def prefixes(docs: DataFrame, n: int, share: tuple[int, int], sketch) -> DataFra
     first common shingles behind x's prefix, so would be all later common ones, of which there are more than places there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         order = sketch.value
         for rows in slices(batches, "text"):
             tokens, names, many = [np.zeros(0, np.uint64)], [], []
@@ -225,6 +228,7 @@ def tree_join(members: DataFrame, n: int, share: tuple[int, int], sketch) -> Dat
             found = _tree_links(pa.concat_tables(group), n, share, order)
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
+        release()
         order, group, now = sketch.value, [], None
         for batch in batches:
             keys = np.stack([batch.column(c).to_numpy() for c in ("g", "u", "v")])

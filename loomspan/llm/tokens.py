@@ -7,8 +7,10 @@ import re
 
 import numpy as np
 
+from loomspan.llm.memory import on_release
+
 #: Words kept per worker process; beyond it the memory starts anew. About 200 bytes each.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 #: Words of these letters are one piece each for the pre-tokenizer, so many can go in as one text. Words of
 #: them and of ASCII digits and marks, but no apostrophe, fall into such pieces, single digits and runs of marks.
 _SIMPLE = re.compile(rb"(?:[\x21-\x26\x28-\x7e]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
@@ -89,6 +91,7 @@ class Encoder:
 
 
 _made: dict[tuple[str, bool], Encoder] = {}
+on_release(_made.clear)
 
 
 def encoder(path: str, by_word: bool = True) -> Encoder:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomspan.llm.memory import release
 from loomspan.llm.store import written
 from loomspan.llm.words import mix, slices
 
@@ -55,6 +56,7 @@ def log_count_ratios(train: DataFrame) -> np.ndarray:
     """log of (1 + count in toxic texts) over (1 + count in others), each by its class's total."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         counts = np.zeros((2, 1 << BITS), np.int64)
         for rows in slices(batches, "text"):
             features, row = grams(rows.column("text").to_pylist())
@@ -117,6 +119,7 @@ def train(docs: DataFrame, labels: DataFrame, counted: int = COUNTED, fit_on: in
     some = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 20)) < int(part * (1 << 20)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         table = pa.Table.from_batches(list(batches)).sort_by("doc_id")
         labels = table["toxic"].to_numpy().astype(float)
         if not 0 < labels.sum() < len(labels):
@@ -140,6 +143,7 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((model[0].astype(np.float32), model[1]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         weight, bias = shared.value
         for rows in slices(batches, "text", 1 << 20):
             features, row = grams(rows.column("text").to_pylist())

@@ -42,7 +42,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of at most `most` bytes of text, or of one row: bounds numpy's memory."""
     for batch in batches:
         if not batch.num_rows:
