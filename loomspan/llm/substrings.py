@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,8 +17,14 @@ from loomspan.llm.words import SOLID, slices, utf8
 #: A cut falls where the top BITS bits of the gear hash of WINDOW bytes are 0, if no such place lies in the NEAR bytes
 #: before it; a chunk of over FAR bytes is cut every FAR bytes.
 BITS, WINDOW, NEAR, FAR = 5, 32, 16, 128
-#: A run of repeated chunks counts from so many words on.
+#: A repeated passage counts from so many words on.
 LEAST = 20
+#: Code points that are compared before a run. 48 bytes into a passage the cuts agree, and a stretch of 464 more without a cut has a
+#: chance of 4e-7.
+REACH = 512
+#: Code points that are compared behind a run: its tiny last chunks, and one chunk more.
+BEHIND = 2 * FAR
+_WORD = re.compile(r"[^ \t-\r]+")
 _GEAR = np.random.default_rng(64206).integers(0, 2**32, 256, dtype=np.uint64).astype(np.uint32)
 
 
@@ -86,56 +94,182 @@ def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     return slim.mapInArrow(run, f"key {kind}, a long, b long, words long, d0 long, d1 long")
 
 
-def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
-    """(key, spans: array of (a, b, words, extra)) of the documents with repeated passages.
+def _lists(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, parts: sorted array of (a, b, words, extra, other)) of the documents with repeated chunks.
 
-    A chunk repeats if its digest occurs again anywhere in the table. Runs of neighbouring repeated chunks
-    with at least `least` words are spans; extra says that the run's chunks are not the table's first of their digest (the
-    smallest key, then place), and a run is cut where that changes. A digest that a third of all chunks
-    share is counted map-side; in the join back it has one row on the one side, so the other can be split."""
+    A chunk repeats if its digest occurs again anywhere in the table; extra says that it is not the table's first of its digest (the
+    smallest key, then place), other is that first one's (key, a), and the last one's for the first. A digest that a third of all
+    chunks share is counted map-side; in the join back it has one row on the one side, so the other can be split."""
     parts = chunks(docs, key, text).where("key is not null")
-    known = parts.groupBy("d0", "d1").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "a")).alias("first")).where("n > 1")
-    hit = parts.join(known, ["d0", "d1"]).select("key", "a", "b", "words", (F.struct("key", "a") != F.col("first")).alias("extra"))
-    lists = hit.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("a", "b", "words", "extra"))).alias("parts"))
+    place = F.struct("key", "a")
+    known = parts.groupBy("d0", "d1").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"), F.max(place).alias("last")).where("n > 1")
+    extra = place != F.col("first")
+    other = F.when(extra, F.col("first")).otherwise(F.col("last"))
+    hit = parts.join(known, ["d0", "d1"]).select("key", "a", "b", "words", extra.alias("extra"), other.alias("other"))
+    return hit.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("a", "b", "words", "extra", "other"))).alias("parts"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _runs(parts: list[dict]) -> list[dict]:
+    """Runs of neighbouring chunks: their spans, cut where extra changes, and the outermost chunks that are not tiny.
+
+    A tiny chunk, of under NEAR code points, can occur elsewhere by chance: beside a first occurrence it stays too."""
+    groups: list[list[dict]] = []
+    end = -1
+    for part in parts:
+        if part["a"] > end:
+            groups.append([])
+        groups[-1].append(part)
+        end = max(part["b"], end)
+    out: list[dict] = []
+    for group in groups:
+        solid = [part for part in group if part["b"] - part["a"] >= NEAR] or group
+        spans: list[dict] = []
+        for k, part in enumerate(group):
+            extra = part["extra"]
+            if extra and part["b"] - part["a"] < NEAR:
+                extra = all(x["extra"] for x in group[max(k - 1, 0) : k + 2])
+            if spans and (extra == spans[-1]["extra"] or part["b"] <= spans[-1]["b"]):
+                spans[-1]["words"] += part["words"] * (part["b"] > spans[-1]["b"])
+                spans[-1]["b"] = max(part["b"], spans[-1]["b"])
+            else:
+                spans.append({"a": part["a"], "b": part["b"], "words": part["words"], "extra": extra})
+        out.append({"spans": spans, "ends": (solid[0], solid[-1])})
+    return out
+
+
+def _beside(docs: DataFrame, lists: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, beside: array of (a, side, near, sum)): the text beside the other occurrence of the chunks at runs' ends.
+
+    near is what lies before it (side 0, up to REACH code points) or behind it (side 1), sum a checksum of the chunk itself. The
+    next cut depends on the text before it alone, so behind a run no more than one chunk can be alike."""
+    kind = docs.schema[key].dataType.simpleString()
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 rows = batch.slice(at, 200)
-                spans = [_spans(parts, least) for parts in rows.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(spans, kind)], ["key", "spans"])
+                out: list[tuple] = []
+                own = rows.column(0).to_pylist()
+                for name, parts in zip(own, rows.column(1).to_pylist(), strict=True):
+                    runs = _runs(parts)
+                    for k, run in enumerate(runs):
+                        low, high = run["ends"]
+                        before = low["a"] - (runs[k - 1]["spans"][-1]["b"] if k else 0)
+                        if run["spans"][0]["a"] > (runs[k - 1]["spans"][-1]["b"] if k else 0):
+                            out.append((name, low["a"], 0, low["b"] - low["a"], min(before, REACH), low["other"]["key"], low["other"]["a"]))
+                        behind = runs[k + 1]["spans"][0]["a"] - high["b"] if k + 1 < len(runs) else BEHIND
+                        out.append((name, high["a"], 1, high["b"] - high["a"], min(behind, BEHIND), high["other"]["key"], high["other"]["a"]))
+                types = [batch.column(0).type, *[pa.int64()] * 4, batch.column(0).type, pa.int64()]
+                columns = list(zip(*out, strict=True)) or [()] * len(types)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["key", "a", "side", "size", "n", "at_key", "at"])
 
-    kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("words", pa.int64()), ("extra", pa.bool_())]))
-    spec = f"key {lists.schema['key'].dataType.simpleString()}, spans array<struct<a: bigint, b: bigint, words: bigint, extra: boolean>>"
-    return lists.mapInArrow(run, spec).where(F.size("spans") > 0).withColumnRenamed("key", key)
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches, "text"):
+            out: list[tuple] = []
+            want = rows.column("want")
+            for k in np.flatnonzero(want.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                name, line = rows.column("key")[k].as_py(), rows.column("text")[k].as_py() or ""
+                for w in want[k].as_py():
+                    a, b = w["at"], w["at"] + w["size"]
+                    if b > len(line):
+                        continue
+                    near = line[b : b + BEHIND] if w["side"] else line[max(0, a - REACH) : a]
+                    out.append((name, a, w["side"], w["size"], near, zlib.crc32(line[a:b].encode())))
+            types = [rows.column("key").type, *[pa.int64()] * 3, pa.string(), pa.int64()]
+            columns = list(zip(*out, strict=True)) or [()] * len(types)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["at_key", "at", "side", "size", "near", "sum"])
 
+    wanted = lists.mapInArrow(ends, f"key {kind}, a long, side long, size long, n long, at_key {kind}, at long")
+    asked = wanted.groupBy(F.col("at_key").alias(key)).agg(F.collect_set(F.struct("at", "side", "size")).alias("want"))
+    held = docs.select(key, text).join(asked, key, "left").select(F.col(key).alias("key"), F.col(text).alias("text"), "want")
+    near = held.mapInArrow(texts, f"at_key {kind}, at long, side long, size long, near string, sum long")
+    met = wanted.join(near, ["at_key", "at", "side", "size"])
+    cut = F.when(F.col("side") == 1, F.expr("left(near, int(n))")).otherwise(F.expr("right(near, int(n))"))
+    return met.groupBy("key").agg(F.collect_set(F.struct("a", "side", cut.alias("near"), "sum")).alias("beside"))
 
-def _spans(parts: list[dict], least: int) -> list[dict]:
-    out: list[dict] = []
-    run: list[dict] = []
-    for part in [*parts, None]:
-        if part and run and part["a"] <= run[-1]["b"]:
-            if part["extra"] == run[-1]["extra"] or part["b"] <= run[-1]["b"]:
-                run[-1]["words"] += part["words"] * (part["b"] > run[-1]["b"])
-                run[-1]["b"] = max(part["b"], run[-1]["b"])
+
+def _alike(text: str, at: int, near: str, side: int) -> int:
+    """How many code points of text from `at` on (side 1), or before it, are those of near."""
+    most, n = min(len(near), len(text) - at if side else at), 0
+    if side:
+        while n < most and text[at + n] == near[n]:
+            n += 1
+    else:
+        while n < most and text[at - 1 - n] == near[-1 - n]:
+            n += 1
+    return n
+
+
+def _begun(text: str, a: int, b: int) -> int:
+    return len(_WORD.findall(text[max(a - 1, 0) : b])) - (a > 0 and bool(_WORD.match(text[a - 1 : a])))
+
+
+def _grown(text: str, parts: list[dict], beside: list[dict], least: int) -> list[dict]:
+    """Spans (a, b, extra) of the runs of at least `least` words, each grown as far as the text is that of the other occurrence."""
+    runs = _runs(parts)
+    near: dict[tuple, list[dict]] = {}
+    for row in beside:
+        near.setdefault((row["a"], row["side"]), []).append(row)
+    bounds = []
+    for k, run in enumerate(runs):
+        a, b = run["spans"][0]["a"], run["spans"][-1]["b"]
+        grown = [0, 0]
+        for side, part in enumerate(run["ends"]):
+            for row in near.get((part["a"], side), ()):
+                # under a repeated key the place can be another text's
+                if part["b"] <= len(text) and zlib.crc32(text[part["a"] : part["b"]].encode()) == row["sum"]:
+                    inside = b - part["b"] if side else part["a"] - a
+                    grown[side] = max(grown[side], _alike(text, part["b"] if side else part["a"], row["near"], side) - inside)
+        before = runs[k - 1]["spans"][-1]["b"] if k else 0
+        behind = runs[k + 1]["spans"][0]["a"] if k + 1 < len(runs) else b + grown[1]
+        bounds.append([max(a - grown[0], before), min(b + grown[1], behind)])
+    for k in range(1, len(runs)):  # what both reach for is removed if either would
+        if bounds[k][0] < bounds[k - 1][1]:
+            if runs[k]["spans"][0]["extra"] and not runs[k - 1]["spans"][-1]["extra"]:
+                bounds[k - 1][1] = bounds[k][0]
             else:
-                run.append(dict(part))
-            continue
-        if sum(x["words"] for x in run) >= least:
-            out += run
-        run = [dict(part)] if part else []
-    return out
+                bounds[k][0] = bounds[k - 1][1]
+    out: list[dict] = []
+    passage: list[dict] = []
+    for (a, b), run in zip([*bounds, (None, None)], [*runs, None], strict=True):
+        if run is None or (passage and a > passage[-1]["b"]):
+            if sum(s["words"] for s in passage) >= least:
+                out += passage
+            passage = []
+        if run is None:
+            break
+        first, last = run["spans"][0], run["spans"][-1]
+        first["words"] += _begun(text, a, first["a"])
+        last["words"] += _begun(text, last["b"], b)
+        first["a"], last["b"] = a, b
+        if passage and passage[-1]["extra"] == first["extra"]:
+            passage[-1]["b"], passage[-1]["words"] = first["b"], passage[-1]["words"] + first["words"]
+            passage += run["spans"][1:]
+        else:
+            passage += run["spans"]
+    return [{"a": s["a"], "b": s["b"], "extra": s["extra"]} for s in out]
 
 
 def deduplicated(docs: DataFrame, least: int = LEAST, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with n_repeated, repeated_spans, n_removed and removed_spans, and with removed spans cut from the text.
 
     Spans are start:end in code points, end exclusive, comma-joined; n_ counts their code points. The first
-    occurrence of each chunk stays. Null and empty texts have no chunks and stay as they are; rows that
+    occurrence of each chunk stays, and of what a run grows by to both sides. Null and empty texts have no chunks and stay as they are; rows that
     repeat a key share what either repeats; a null key is never changed; such added columns are replaced."""
-    added = ["n_repeated", "repeated_spans", "n_removed", "removed_spans", "_spans"]
-    found = repeats(docs, key, text, least).withColumnRenamed("spans", "_spans")
-    rows = docs.drop(*added).join(found, key, "left")
+    added = ["n_repeated", "repeated_spans", "n_removed", "removed_spans", "_parts", "_beside", "_spans"]
+    docs = docs.drop(*added)
+    lists = _lists(docs, key, text)
+    beside = _beside(docs, lists, key, text).select(F.col("key").alias(key), F.col("beside").alias("_beside"))
+    rows = docs.join(lists.select(F.col("key").alias(key), F.col("parts").alias("_parts")), key, "left").join(beside, key, "left")
+
+    @F.arrow_udf("array<struct<a: bigint, b: bigint, extra: boolean>>")
+    def grown(texts: pa.Array, parts: pa.Array, beside: pa.Array) -> pa.Array:
+        out: list = [None] * len(texts)
+        for k in np.flatnonzero(parts.is_valid().to_numpy(zero_copy_only=False)).tolist():
+            out[k] = _grown(texts[k].as_py() or "", parts[k].as_py(), beside[k].as_py() or [], least)
+        return pa.array(out, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("extra", pa.bool_())])))
+
+    rows = rows.withColumn("_spans", grown(text, "_parts", "_beside")).drop("_parts", "_beside")
     extra = F.filter("_spans", lambda s: s["extra"])
     width = lambda spans: F.coalesce(F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"]), F.lit(0))
     line = lambda spans: F.coalesce(F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["a"], s["b"])), ","), F.lit(""))

@@ -240,6 +240,41 @@ def test_repeated_passages_are_found(spark):
     assert out[100].text is None and out[101].text == "" and out[None].n_repeated == 0
 
 
+def test_repeated_passages_are_whole(spark):
+    rng = random.Random(12)
+    rows, passages = [], []
+    for k in range(400):
+        low, high = ((1, 7), (2, 9), (3, 6), (4, 10))[k % 4]
+        word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(rng.randint(low, high)))  # noqa: B023, E731
+        passage = " ".join(word() for _ in range(rng.randint(51, 60)))
+        own = [[word() for _ in range(rng.randint(30, 90))] for _ in range(4)]
+        passages.append(passage)
+        rows += [(2 * k + j, " ".join([*own[2 * j], passage, *own[2 * j + 1]])) for j in (0, 1)]
+    out = {r.doc_id: r for r in substrings.deduplicated(docs(spark, rows)).collect()}
+    found = 0
+    for doc, text in rows:
+        passage, r = passages[doc // 2], out[doc]
+        low = text.index(passage)
+        if r.n_repeated:
+            # the whole passage in one span, and no more than what goes on alike by chance
+            ((a, b),) = (map(int, s.split(":")) for s in r.repeated_spans.split(","))
+            assert low - 6 <= a <= low and low + len(passage) <= b <= low + len(passage) + 6
+            assert r.text == (text[:a] + text[b:] if doc % 2 else text)
+            found += 1
+    assert found >= 0.985 * len(rows)
+
+
+def test_growth_of_a_repeated_key_stays_in_its_text(spark):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9)))
+    passage = " ".join(word() for _ in range(60))
+    text = lambda: " ".join([*[word() for _ in range(40)], passage, *[word() for _ in range(40)]])
+    rows = [(1, text()), (1, "short"), (2, text()), (3, ""), (3, text())]
+    out = substrings.deduplicated(docs(spark, rows)).collect()
+    assert len(out) == 5 and sum(passage in r.text for r in out) == 1
+    assert {r.n_removed > 0 for r in out if r.doc_id == 2} == {True}
+
+
 def test_substrings_of_odd_rows(spark):
     assert substrings.deduplicated(odd_columns(spark)).count() == len(ODD)
     assert substrings.deduplicated(docs(spark, [])).count() == 0
