@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomspan.functions import sequence as Q
+from loomspan.functions import spans as S
 from loomspan.operators.intervals import overlap_join
 
 
@@ -65,8 +66,9 @@ def feature_counts(
 
 
 def read_total(fragments: DataFrame, read: str = "seqnum") -> DataFrame:
-    """One row, num_reads: unique fragments and distinct ambiguous reads."""
-    unique = F.count_if(F.col("is_unique")) + F.count_distinct(F.when(~F.col("is_unique"), F.col(read)))
+    """One row, num_reads: unique fragments and distinct ambiguous reads. With a column mate, both mates of a unique read are one."""
+    sure = F.count_distinct(F.when(F.col("is_unique"), F.col(read))) if "mate" in fragments.columns else F.count_if(F.col("is_unique"))
+    unique = sure + F.count_distinct(F.when(~F.col("is_unique"), F.col(read)))
     return fragments.agg(unique.alias("num_reads"))
 
 
@@ -110,18 +112,47 @@ def strand_specific(sense: DataFrame, anti: DataFrame, key: Sequence[str], stran
     return own(sense, "sense").join(other(anti, "antisense"), list(key))
 
 
+def _units(fragments: DataFrame, read: str) -> DataFrame:
+    """(_read, chr, is_unique, spans, _side, _limit): fragments with the mates of a read told apart.
+
+    _side 1 and 2: the upstream and downstream of two mates that don't overlap, _limit where the other begins or ends. Mates that
+    overlap are one row of fused spans. Where a read has more rows on a chromosome, which belong together isn't known; each is alone."""
+    rows = fragments.select(F.col(read).alias("_read"), "chr", "is_unique", "spans", *(["mate"] if "mate" in fragments.columns else []))
+    alone = (F.lit(0).alias("_side"), F.lit(None).cast("long").alias("_limit"))
+    if "mate" not in fragments.columns:
+        return rows.select("*", *alone)
+    key = ["_read", "chr", "is_unique"]
+    of = lambda m: F.first(F.when(F.col("mate") == m, F.col("spans")), ignorenulls=True).alias(m)
+    pairs = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), of("a"), of("b")).where("n = 2 and a is not null and b is not null")
+    forward = F.col("a")[0]["start"] <= F.col("b")[0]["start"]
+    up, down = F.when(forward, F.col("a")).otherwise(F.col("b")), F.when(forward, F.col("b")).otherwise(F.col("a"))
+    pairs = pairs.select(*key, up.alias("up"), down.alias("down"))
+    ends, begins = F.element_at("up", -1)["end"].cast("long"), F.col("down")[0]["start"].cast("long")
+    unit = lambda s, side, limit: F.struct(s.alias("spans"), F.lit(side).alias("_side"), limit.alias("_limit"))
+    apart = F.array(unit(F.col("up"), 1, begins), unit(F.col("down"), 2, ends))
+    over = F.array(unit(S.fused(F.array_sort(F.concat("up", "down"))), 0, F.lit(None).cast("long")))
+    paired = pairs.select(*key, F.explode(F.when(ends < begins, apart).otherwise(over)).alias("u")).select(*key, "u.*")
+    return rows.join(pairs.select(*key), key, "left_anti").select(*key, "spans", *alone).unionByName(paired)
+
+
 def exon_counts(fragments: DataFrame, exons: DataFrame, read: str = "seqnum", width: int = 1000) -> DataFrame:
     """exons (chr, start, end) with ucount, nucount of reads compatible with them.
 
-    A read's inner block boundaries must be the exon's own; its outer ends must lie within the exon. Each read counts once."""
+    A read's inner block boundaries must be the exon's own; its outer ends must lie within the exon. With a column mate, two mates
+    that don't overlap count by the blocks that face each other only if both fit, or if one fits and the other mate
+    doesn't reach the exon. Each read counts once."""
     n = F.size("spans")
-    blocks = fragments.select(F.col(read).alias("_read"), "chr", "is_unique", n.alias("_n"), F.posexplode("spans").alias("_k", "_s"))
-    blocks = blocks.select("_read", "chr", "is_unique", "_n", "_k", F.col("_s.start").alias("_a"), F.col("_s.end").alias("_b"))
+    blocks = _units(fragments, read).select("_read", "chr", "is_unique", "_side", "_limit", n.alias("_n"), F.posexplode("spans").alias("_k", "_s"))
+    blocks = blocks.select("_read", "chr", "is_unique", "_side", "_limit", "_n", "_k", F.col("_s.start").alias("_a"), F.col("_s.end").alias("_b"))
     places = exons.select("chr", F.col("start").alias("f_start"), F.col("end").alias("f_end")).distinct()
     met = overlap_join(blocks, places, ["chr"], ("_a", "_b"), ("f_start", "f_end"), width)
     left = F.when(F.col("_k") > 0, F.col("_a") == F.col("f_start")).otherwise(F.col("_a") >= F.col("f_start"))
     right = F.when(F.col("_k") < F.col("_n") - 1, F.col("_b") == F.col("f_end")).otherwise(F.col("_b") <= F.col("f_end"))
-    once = met.where(left & right).groupBy("chr", "f_start", "f_end", "_read", "is_unique").agg(F.lit(1).alias("_1"))
+    up = (F.col("_side") == 1) & (F.col("_k") == F.col("_n") - 1)
+    down = (F.col("_side") == 2) & (F.col("_k") == 0)
+    sure = F.when(up, F.col("f_end") < F.col("_limit")).when(down, F.col("f_start") > F.col("_limit")).otherwise(True)
+    once = met.where(left & right).groupBy("chr", "f_start", "f_end", "_read", "is_unique")
+    once = once.agg(F.bool_or(sure).alias("_sure"), F.bool_or(up).alias("_up"), F.bool_or(down).alias("_down")).where("_sure or (_up and _down)")
     sums = once.groupBy("chr", F.col("f_start").alias("start"), F.col("f_end").alias("end")).agg(
         F.sum(F.col("is_unique").cast("long")).alias("ucount"), F.sum((~F.col("is_unique")).cast("long")).alias("nucount")
     )

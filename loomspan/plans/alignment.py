@@ -35,8 +35,8 @@ def reconciled(gu: DataFrame, tu: DataFrame, gnu: DataFrame, tnu: DataFrame, set
 
 
 def fragments(unique: DataFrame, ambiguous: DataFrame) -> DataFrame:
-    """(seqnum, chr, spans, strand, is_unique): each row's blocks, for junctions and counts."""
-    columns = ["seqnum", "chr", "spans", "strand"]
+    """(seqnum, mate, chr, spans, strand, is_unique): each row's blocks, for junctions and counts."""
+    columns = ["seqnum", "mate", "chr", "spans", "strand"]
     return unique.select(*columns, F.lit(True).alias("is_unique")).unionByName(ambiguous.select(*columns, F.lit(False).alias("is_unique")))
 
 

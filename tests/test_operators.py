@@ -168,6 +168,26 @@ def test_features_and_counts(spark):
     assert rows(quantify.exon_counts(frag, ex), "start", "ucount") == [(10, 1), (31, 1)]
 
 
+def test_exon_counts_of_mates(spark):
+    frag = spark.createDataFrame(
+        [
+            (1, "a", "10-30", True), (1, "b", "50-70", True),  # both fit 1-100 and nothing else
+            (2, "b", "10-30", True), (2, "a", "80-120", True),  # the second contradicts 1-100
+            (3, "a", "60-100, 201-220", True), (3, "b", "250-300, 401-410", True),  # facing blocks fit 201-300, the outer ones their own
+            (4, "a", "10-30", False), (4, "b", "402-410", False),  # neither reaches the other's exon
+            (5, "", "10-30", True), (6, "a", "5-9", True),
+            (7, "a", "10-40", True), (7, "b", "30-60", True),  # overlapping: one read of 10-60
+        ],
+        "seqnum long, mate string, t string, is_unique boolean",
+    )
+    frag = frag.select("seqnum", "mate", F.lit("1").alias("chr"), S.parse(F.col("t")).alias("spans"), "is_unique")
+    exons = spark.createDataFrame([("1", 1, 100), ("1", 201, 300), ("1", 401, 450), ("1", 1, 45)], "chr string, start long, end long")
+    got = rows(quantify.exon_counts(frag, exons), "start", "end", "ucount", "nucount")
+    # 1-45: read 1's and 2's other mates lie beyond it, 7's 10-60 does not fit
+    assert got == [(1, 100, 5, 1), (1, 45, 4, 1), (201, 300, 1, 0), (401, 450, 1, 1)]
+    assert quantify.read_total(frag).first()[0] == 7
+
+
 def test_genes(spark):
     models = spark.createDataFrame([("1", "x", "r"), ("1", "y", "e"), ("2", "x", "r")], "chr string, name string, type string")
     assert rows(genes.merged(models, ["chr"]), "chr", "id") == [("1", "x(r)::::y(e)"), ("2", "x(r)")]
