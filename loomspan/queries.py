@@ -403,6 +403,12 @@ def pos_mean(spark, sf):
     return text.position_quality(_table(spark, sf, "documents"), "text", 33, 100).select("pos", "n", F.round("mean", 9).alias("mean"))
 
 
+@query()
+def pos_mean_whole(spark, sf):
+    """pos_mean over whole texts, all positions."""
+    return text.position_quality(_table(spark, sf, "documents"), "text", 33).select("pos", "n", F.round("mean", 9).alias("mean"))
+
+
 @query(
     """SELECT p_brand AS brand, p_size AS size, STRING_AGG(p_name || '(' || p_type || ')', '::::' ORDER BY p_name || '(' || p_type || ')') AS id FROM part GROUP BY 1, 2"""
 )
