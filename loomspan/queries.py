@@ -69,6 +69,12 @@ def coverage_merge(spark, sf):
     return coverage.merged(parts)
 
 
+@query()
+def coverage_merge_whole(spark, sf):
+    """coverage_merge of the parts of all flags."""
+    return coverage.merged([coverage.sweep(_alignments(spark, sf, f"l_returnflag = '{f}'"), ["chr"]) for f in "ANR"])
+
+
 @query(
     f"""WITH c AS ({_sweep_sql(_SPANS)}) SELECT chr, start, "end",
  FLOOR(cov / ((SELECT CAST(SUM(("end" - start) * cov) AS DOUBLE) FROM c) / 1e9) * 10000) / 10000 AS cov FROM c"""
@@ -182,7 +188,16 @@ def full_outer_cases(spark, sf):
  WHERE a.flag = 'N' AND b.flag = 'N' AND a.line % 2 = 0 AND b.line % 2 = 1 AND a.s <= b.s AND b.s - a.e < 500"""
 )
 def pair_mates(spark, sf):
-    rows = _alignments(spark, sf, "l_returnflag = 'N'")
+    return _mates(_alignments(spark, sf, "l_returnflag = 'N'"))
+
+
+@query()
+def pair_mates_whole(spark, sf):
+    """pair_mates of the rows of all flags."""
+    return _mates(_alignments(spark, sf))
+
+
+def _mates(rows: DataFrame) -> DataFrame:
     a = rows.where("line % 2 = 0").select("seqnum", F.col("line").alias("a_line"), F.col("start").alias("as"), F.col("end").alias("ae"))
     b = rows.where("line % 2 = 1").select("seqnum", F.col("line").alias("b_line"), F.col("start").alias("bs"), F.col("end").alias("be"))
     return reads.paired(a, b, ["seqnum"], ("as", "ae"), ("bs", "be"), 500).select("seqnum", "a_line", "b_line", "gap")
@@ -366,7 +381,16 @@ def junctions_to_bed(spark, sf):
  AND EXISTS (SELECT 1 FROM h WHERE h.chr = k.chr AND h.s <= k.e AND k.s <= h.e))"""
 )
 def trusted_junctions(spark, sf):
-    rows = _alignments(spark, sf, "l_returnflag = 'R'")
+    return _trusted(_alignments(spark, sf, "l_returnflag = 'R'"))
+
+
+@query()
+def trusted_junctions_whole(spark, sf):
+    """trusted_junctions of the rows of all flags."""
+    return _trusted(_alignments(spark, sf))
+
+
+def _trusted(rows: DataFrame) -> DataFrame:
     rows = rows.select("chr", "start", "end", (F.col("line") * F.col("score")).alias("score"), (F.col("line") % 2).alias("known")).distinct()
     return junctions.trusted(rows, 30, 200).select("chr", "start", "end", "score", "known")
 
