@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 
 from loomspan.llm.store import dropped, file_system, put_once, shared_dir, written
 from loomspan.llm.tokens import default_path, encoder
+from loomspan.llm.words import slices
 
 #: Longest code in bits, and so the width of the decoding table.
 LONGEST = 16
 #: Ids between two checkpoints, and about how many ids an independent block holds.
 STEP, BLOCK = 128, 1 << 20
+#: Bytes of text that are tokenized at a time.
+SLICE = 2 << 20
+_FILE, _TOP = b"LSHFILE1", "<8sBII"  # a file's mark, longest code, bytes of the packed code lengths, their CRC-32
 _MAGIC = b"LSHF"
 _HEAD = "<4sIQQI"  # mark, keys, ids, bits, CRC-32 of what follows
 
@@ -111,52 +115,55 @@ class Code:
 
 
 def tokenized(docs: DataFrame, path: str, end: int | None, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, ids: 32-bit little-endian, crc) of whole texts; null and empty texts have only the end id."""
+    """(key, ids: little-endian, crc, wide, id, n) of whole texts; null and empty texts have only the end id.
+
+    wide is the bytes of each id. The rows with an id are the task's counts, n of each id, so that no second pass counts."""
     tail = b"" if end is None else struct.pack("<I", end)
+    size = max(len(encoder(path).last), (end or 0) + 1)
+    wide = 2 if size <= 1 << 16 else 4
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = batch.slice(at, 500)
-                ids = [x + tail for x in encoder(path).encode(rows.column(1).to_pylist())]
-                crc = pa.array([zlib.crc32(x) for x in ids], pa.int64())
-                small = [np.frombuffer(x, "<u4").astype("<u2").tobytes() if wide == 2 else x for x in ids]
-                yield pa.RecordBatch.from_arrays([rows.column(0).cast(pa.int64()), pa.array(small, pa.binary()), crc], ["key", "ids", "crc"])
-
-    wide = 2 if len(encoder(path).last) <= 1 << 16 and (end or 0) < 1 << 16 else 4
+        counts = np.zeros(size, np.int64)
+        for rows in slices(batches, "text", SLICE):
+            ids = [x + tail for x in encoder(path).encode(rows.column(1).to_pylist())]
+            crc = pa.array([zlib.crc32(x) for x in ids], pa.int64())
+            every = np.frombuffer(b"".join(ids), "<u4")
+            counts += np.bincount(every, minlength=size)
+            ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) // 4 * wide
+            small = every.astype(f"<u{wide}").tobytes()
+            small = [small[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+            none = [pa.nulls(len(ids), pa.int64())] * 2
+            yield pa.RecordBatch.from_arrays([rows.column(0).cast(pa.int64()), pa.array(small, pa.binary()), crc, *none], names)
+        seen = np.flatnonzero(counts)
+        none = [pa.nulls(len(seen), kind) for kind in (pa.int64(), pa.binary(), pa.int64())]
+        yield pa.RecordBatch.from_arrays([*none, pa.array(seen), pa.array(counts[seen])], names)
+
+    names = ["key", "ids", "crc", "id", "n"]
     slim = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    return slim.mapInArrow(run, "key long, ids binary, crc long").withColumn("wide", F.lit(wide))
+    return slim.mapInArrow(run, "key long, ids binary, crc long, id long, n long").withColumn("wide", F.lit(wide))
 
 
 def _ids(raw: bytes, wide: int) -> np.ndarray:
     return np.frombuffer(raw, f"<u{wide}")
 
 
-def id_counts(ids: DataFrame, size: int) -> np.ndarray:
-    """How often each id occurs in the whole table; no more numbers than the vocabulary has."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                raws, wide = batch.column(0).slice(at, 500).to_pylist(), batch.column(1)[at].as_py()
-                total += np.bincount(_ids(b"".join(raws), wide), minlength=size)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
-
-    rows = ids.select("ids", "wide").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+def id_counts(table: DataFrame, size: int) -> np.ndarray:
+    """How often each id occurs in all of tokenized()'s table; no more numbers than the vocabulary has."""
     out = np.zeros(size, np.int64)
-    for row in rows.toLocalIterator():
+    for row in table.where("id is not null").groupBy("id").agg(F.sum("n").alias("n")).toLocalIterator():
         out[row.id] = row.n
     return out
 
 
-def write_files(ids: DataFrame, lengths: np.ndarray, folder: str) -> DataFrame:
-    """Write (key, ids, crc, wide) in ascending key order; the manifest, one row per file.
+def write_files(ids: DataFrame, lengths: np.ndarray, folder: str, most: int = BLOCK) -> DataFrame:
+    """Write (key, ids, crc, wide) in ascending key order below the folder; the manifest, one row per file, which lies there too.
 
-    Equal keys (a third of all rows, say) are spread over files by their ids' CRC, nulls come first.
-    A file is a row of independent blocks: keys, counts, checkpoints, bits, CRC-32."""
+    Equal keys (a third of all rows, say) are spread over files by their ids' CRC, nulls come first. A file has the code
+    lengths, which alone give the code back, then independent blocks of `most` ids or one document: keys, counts, checkpoints,
+    bits, CRC-32."""
     code = Code(lengths)
+    small = zlib.compress(code.lengths.tobytes(), 9)
+    top = struct.pack(_TOP, _FILE, code.longest, len(small), zlib.crc32(small)) + small
 
     def block(keys: list[int | None], raws: list[np.ndarray]) -> bytes:
         data, marks, bits = code.pack(np.concatenate(raws))
@@ -177,6 +184,7 @@ def write_files(ids: DataFrame, lengths: np.ndarray, folder: str) -> DataFrame:
 
         def blocks() -> Iterator[bytes]:
             keys, raws, n = [], [], 0
+            yield top
             for batch in batches:
                 for key, raw, crc, wide in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     if not low:
@@ -186,7 +194,7 @@ def write_files(ids: DataFrame, lengths: np.ndarray, folder: str) -> DataFrame:
                     n += len(raws[-1])
                     seen["docs"] += 1
                     seen["ids"] += len(raws[-1])
-                    if n >= BLOCK or len(keys) >= BLOCK:
+                    if n >= most or len(keys) >= most:
                         yield block(keys, raws)
                         keys, raws, n = [], [], 0
             if keys:
@@ -202,18 +210,37 @@ def write_files(ids: DataFrame, lengths: np.ndarray, folder: str) -> DataFrame:
     order = ["key", "crc"]
     spread = ids.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "ids", "crc", "wide")
     kinds = "path string, bytes long, docs long, ids long, set boolean, low long, crc long"
-    return written(spread.mapInArrow(run, kinds), "manifest")
+    spread.mapInArrow(run, kinds).write.parquet(f"{folder}/manifest")
+    return ids.sparkSession.read.schema(kinds).parquet(f"{folder}/manifest")
 
 
-def read_blocks(path: str, code: Code) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
-    """(keys, ids of each key, all ids) of each block; a block that fails its checks is an error."""
+def _code(f, path: str) -> Code:
+    """The code of an open file, which is left at its first block."""
+    magic, longest, n, crc = struct.unpack(_TOP, f.read(struct.calcsize(_TOP)))
+    small = f.read(n)
+    if magic != _FILE or zlib.crc32(small) != crc:
+        raise OSError(f"{path}: damaged code")
+    return Code(np.frombuffer(zlib.decompress(small), np.uint8), longest)
+
+
+def _sizes(head: bytes, path: str) -> tuple[int, int, int, int, int]:
+    """(keys, ids, checkpoints, bytes of the body, CRC-32) of a block's head."""
+    magic, docs, n, bits, crc = struct.unpack(_HEAD, head)
+    if magic != _MAGIC:
+        raise OSError(f"{path}: damaged block")
+    steps = -(-n // STEP)
+    return docs, n, steps, docs * 17 + steps * 8 + (bits + 7 >> 3), crc
+
+
+def read_blocks(path: str) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
+    """(keys, ids of each key, all ids) of each block of a file; a block that fails its checks is an error."""
     store, name = file_system(path)
-    with store.open_input_stream(name) as f:
+    with store.open_input_stream(name, compression=None) as f:
+        code = _code(f, path)
         while head := f.read(struct.calcsize(_HEAD)):
-            magic, docs, n, bits, crc = struct.unpack(_HEAD, head)
-            steps = -(-n // STEP)
-            body = f.read(docs * 17 + steps * 8 + (bits + 7 >> 3))
-            if magic != _MAGIC or zlib.crc32(body) != crc:
+            docs, n, steps, size, crc = _sizes(head, path)
+            body = f.read(size)
+            if zlib.crc32(body) != crc:
                 raise OSError(f"{path}: damaged block")
             keys = np.frombuffer(body, "<i8", docs).tolist()
             none = np.frombuffer(body, np.uint8, docs, docs * 8)
@@ -223,10 +250,38 @@ def read_blocks(path: str, code: Code) -> Iterator[tuple[list[int | None], np.nd
             yield [None if x else k for k, x in zip(keys, none, strict=True)], each.astype(np.int64), ids
 
 
-def read_files(manifest: DataFrame, lengths: np.ndarray) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document in the manifest's files.
-
-    The manifest has a row per file: its running totals, made on the driver, are the files' starts."""
+def ids_at(path: str, start: int, n: int) -> np.ndarray:
+    """Up to n ids of a file from its start-th id on: blocks before are skipped, and of a block only the bits from the
+    last checkpoint before on are read, so their CRC isn't checked."""
+    store, name = file_system(path)
+    out, first = [np.zeros(0, np.uint32)], 0
+    with store.open_input_file(name) as f:
+        code = _code(f, path)
+        at = f.tell()
+        while n > 0 and (head := f.read_at(struct.calcsize(_HEAD), at)):
+            docs, many, steps, size, _ = _sizes(head, path)
+            body = at + len(head)
+            at = body + size
+            if start < first + many:
+                a = (start - first) // STEP
+                b = min(-(-(start + n - first) // STEP), steps)
+                marks = np.frombuffer(f.read_at((min(b + 1, steps) - a) * 8, body + docs * 17 + a * 8), "<u8")
+                bits = body + docs * 17 + steps * 8
+                low = int(marks[0]) >> 3
+                high = bits + (int(marks[b - a]) + 7 >> 3) if b < steps else at
+                data = f.read_at(high - bits - low, bits + low)
+                ids = code.unpack(data, marks[: b - a] - np.uint64(low * 8), min(many, b * STEP) - a * STEP)
+                out.append(ids[start - first - a * STEP :][:n])
+                start, n = start + len(out[-1]), n - len(out[-1])
+            first += many
+    return np.concatenate(out)
+
+
+def read_files(manifest: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document in the manifest's files, decoded by the code that each file holds.
+
+    The manifest (spark.read.parquet of a folder's `manifest`) has a row per file: its running totals, made on the driver, are
+    the files' starts."""
     spark = manifest.sparkSession
     files, start = [], 0
     for row in manifest.orderBy("set", "low", "crc").toLocalIterator():
@@ -234,10 +289,9 @@ def read_files(manifest: DataFrame, lengths: np.ndarray) -> DataFrame:
         start += row.ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = Code(lengths)
         for batch in batches:
             for path, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for keys, each, ids in read_blocks(path, code):
+                for keys, each, ids in read_blocks(path):
                     ends = np.cumsum(each)
                     crc = [zlib.crc32(ids[e - n : e].astype("<u4").tobytes()) for e, n in zip(ends.tolist(), each.tolist(), strict=True)]
                     yield pa.RecordBatch.from_arrays(
@@ -250,20 +304,19 @@ def read_files(manifest: DataFrame, lengths: np.ndarray) -> DataFrame:
     return todo.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def encoded_ids(docs: DataFrame, path: str | None = None, end: int = 2, folder: str | None = None) -> tuple[DataFrame, np.ndarray]:
-    """Tokenize, count, code and write `docs` (doc_id, text); (manifest, code lengths).
+def encoded_ids(docs: DataFrame, path: str | None = None, end: int = 2, folder: str | None = None, most: int = BLOCK) -> DataFrame:
+    """Tokenize, count, code and write `docs` (doc_id, text) below the folder; the manifest of the files.
 
     Null and empty texts are one end id; repeated rows are all kept; other columns are ignored; an
     empty table gives an empty manifest."""
     path = path or default_path()
-    ids = written(tokenized(docs, path, end), "ids")
-    lengths = code_lengths(id_counts(ids, max(len(encoder(path).last), end + 1)))
-    manifest = write_files(ids, lengths, folder or f"{shared_dir(docs.sparkSession)}/files")
-    dropped(ids)
-    return manifest, lengths
+    table = written(tokenized(docs, path, end), "ids")
+    lengths = code_lengths(id_counts(table, max(len(encoder(path).last), end + 1)))
+    manifest = write_files(table.where("ids is not null"), lengths, folder or f"{shared_dir(docs.sparkSession)}/files", most)
+    dropped(table)
+    return manifest
 
 
 def op9_huffman(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    manifest, lengths = encoded_ids(docs)
-    return read_files(manifest, lengths)
+    return read_files(encoded_ids(docs))

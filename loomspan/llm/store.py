@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; where that is unset (tests), below a temporary one."""
+    """A new folder below spark.checkpoint.dir; where that is unset and all runs in one process (tests), below a temporary one."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         top = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.sparkContext.setCheckpointDir(top)
     return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
@@ -44,14 +46,14 @@ def file_system(uri: str):
 
 
 def put_once(uri: str, chunks) -> int:
-    """Write an iterable of bytes to a file that nobody else names; returns the bytes written.
+    """Write an iterable of bytes, as they are, to a file that nobody else names; returns the bytes written.
 
     Each task attempt writes under its own name and only the manifest row of the attempt that
     succeeded is read, so retried or speculative attempts leave nothing but unread files."""
     store, path = file_system(uri)
     store.create_dir(path.rsplit("/", 1)[0], recursive=True)
     total = 0
-    with store.open_output_stream(path) as out:
+    with store.open_output_stream(path, compression=None) as out:
         for chunk in chunks:
             out.write(chunk)
             total += len(chunk)

@@ -537,27 +537,42 @@ def test_code_lengths_are_optimal():
     assert huffman.code_lengths(np.array([1, 1, 2, 4, 8, 16]), 3).max() == 3
 
 
-def test_encoded_ids(spark, real, texts):
-    manifest, lengths = huffman.encoded_ids(real.repartition(5))
-    rows = sorted(huffman.read_files(manifest, lengths).collect(), key=lambda r: r.doc_id)
+@pytest.mark.parametrize("most", [huffman.BLOCK, 700])
+def test_encoded_ids(spark, real, texts, most, tmp_path):
+    manifest = huffman.encoded_ids(real.repartition(5), folder=f"file://{tmp_path}/f", most=most)
+    # the folder alone is enough
+    rows = sorted(huffman.read_files(spark.read.parquet(f"file://{tmp_path}/f/manifest")).collect(), key=lambda r: r.doc_id)
     ids = [x + b"\2\0\0\0" for x in Encoder(default_path()).whole([texts[k] for k in sorted(texts)])]
     starts = np.cumsum([0, *(len(x) // 4 for x in ids)]).tolist()
     assert [tuple(r) for r in rows] == [(k, s, len(x) // 4, zlib.crc32(x)) for k, s, x in zip(sorted(texts), starts, ids, strict=False)]
-    assert manifest.agg(F.sum("bytes")).first()[0] < 2 * starts[-1]
-    path = manifest.first().path
-    name = path.removeprefix("file://")
+    assert manifest.agg(F.sum("bytes")).first()[0] < 2 * starts[-1] + manifest.count() * 50_000
+    paths = [r.path for r in manifest.orderBy("set", "low", "crc").collect()]
+    whole = np.frombuffer(b"".join(ids), "<u4")
+    at, n = 0, manifest.where(F.col("path") == paths[0]).first().ids
+    for at, many in ((0, 5), (127, 2), (128, 128), (699, 900), (n - 3, 9), (n, 4), (13, n)):
+        assert huffman.ids_at(paths[0], at, many).tolist() == whole[at : min(at + many, n)].tolist()
+    name = paths[0].removeprefix("file://")
     raw = bytearray(open(name, "rb").read())
-    raw[-1] ^= 1
-    open(name, "wb").write(raw)
-    with pytest.raises(OSError):
-        list(huffman.read_blocks(path, huffman.Code(lengths)))
+    for place in (-1, 30):
+        raw[place] ^= 1
+        open(name, "wb").write(raw)
+        with pytest.raises(OSError):
+            list(huffman.read_blocks(paths[0]))
+        raw[place] ^= 1
 
 
 def test_encoded_odd_rows(spark):
-    rows = huffman.read_files(*huffman.encoded_ids(odd_columns(spark))).collect()
+    rows = huffman.read_files(huffman.encoded_ids(odd_columns(spark))).collect()
     assert len(rows) == len(ODD) and sorted(r.start for r in rows)[0] == 0
     assert {r.n_tokens for r in rows if r.doc_id in (1, 2)} == {1} and min(rows, key=lambda r: r.start).doc_id is None
-    assert huffman.read_files(*huffman.encoded_ids(docs(spark, []))).count() == 0
+    assert huffman.read_files(huffman.encoded_ids(docs(spark, []))).count() == 0
+
+
+def test_encoded_long_text(spark):
+    text = "Größe 12, ok. " * 400_000  # over a block of ids and several slices of text
+    (row,) = huffman.read_files(huffman.encoded_ids(docs(spark, [(7, text)]))).collect()
+    ids = Encoder(default_path()).whole(["Größe 12, ok. "])[0] * 400_000 + b"\2\0\0\0"
+    assert tuple(row) == (7, 0, len(ids) // 4, zlib.crc32(ids)) and row.n_tokens > huffman.BLOCK
 
 
 # 10 sharding
