@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,7 +19,10 @@ from loomspan.llm.store import file_system, put_once, shared_dir, written
 
 #: Payloads of fewer bytes are never revisits; about how many bytes an archive file and a read hold.
 LEAST, FILE_BYTES, READ = 1000, 64 << 20, 1 << 20
+#: Bytes of a header at most, of a compressed piece, and of a record's block that are held.
+HEAD, PIECE, HOLD = 1 << 18, 1 << 16, 1 << 28
 _GZIP, _VERSION = b"\x1f\x8b\x08", b"WARC/1."
+_MARKS = (_GZIP, _VERSION)
 _STAMP = "2020-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -56,7 +61,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST, packed: bo
     revisit it; so do rows that repeat that page_id. Payloads are compared by SHA-1 and length, whose largest
     page_id is found with map-side combining; the join that gives it to each page has one row per digest on one
     side, so a payload that a third of all pages share is split as a skewed join. Null page_ids are
-    responses or revisits like others, but never referred to."""
+    responses or revisits like others, but never referred to: where all pages of a payload have none, all are responses."""
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload")).withColumn("size", F.octet_length("payload"))
@@ -86,32 +91,122 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST, packed: bo
     return written(rows.mapInArrow(run, "path string, bytes long, records long"), "manifest")
 
 
-class _Source:
-    """A file read forward in pieces, of which only what is not yet used is held."""
-
-    def __init__(self, path: str):
-        store, name = file_system(path)
-        self.file, self.data, self.at, self.over = store.open_input_stream(name), b"", 0, False
-
-    def more(self, n: int = READ) -> bool:
-        new = self.file.read(n)
-        self.over = not new
-        self.data += new
-        return bool(new)
-
-    def have(self, n: int) -> bool:
-        while len(self.data) < n and self.more(max(READ, n - len(self.data))):
-            pass
-        return len(self.data) >= n
-
-    def drop(self, n: int) -> None:
-        self.data, self.at = self.data[n:], self.at + n
-
-
 class Damaged(ValueError):
     """A record or member that fails a check."""
 
 
+class _Source:
+    """A file by place, of which one stretch of READ bytes is held."""
+
+    def __init__(self, file):
+        self.file, self.size, self.low, self.data = file, file.size(), 0, b""
+
+    def get(self, at: int, n: int) -> bytes:
+        """Up to n bytes from `at` on: fewer only at the end."""
+        out = b""
+        while n > len(out) and at < self.size:
+            if not self.low <= at < self.low + len(self.data):
+                self.low, self.data = at, self.file.read_at(READ, at)
+                if not self.data:
+                    break
+            part = self.data[at - self.low : at - self.low + n - len(out)]
+            out, at = out + part if out else part, at + len(part)
+        return out
+
+    def hold(self, at: int) -> None:
+        pass
+
+
+class _Inflated:
+    """The content of the gzip member at a place of the source, by place. Members of up to READ bytes are held whole; of others
+    one stretch is, with the inflater's state before a held place, from which it is inflated again."""
+
+    def __init__(self, source: _Source, at: int):
+        self.source, self.start, self.why, self.whole = source, at, "", None
+        self.origin = self.kept = self.before = (0, None, at, b"")
+        self._rewind(self.origin)
+        n, data = 0, b""
+        while self._more():
+            n += len(self.data)
+            data = self.data if n == len(self.data) else data + self.data if n <= READ else b""
+        self.used = self.next - len(self.gz.unused_data) - at
+        if n <= READ:
+            self.whole = data
+        else:
+            self._rewind(self.origin)
+
+    def _rewind(self, state: tuple) -> None:
+        self.low, gz, self.next, self.rest = state
+        self.gz, self.data, self.over = zlib.decompressobj(31) if gz is None else gz.copy(), b"", False
+
+    def _more(self) -> bool:
+        """Inflate the next stretch; why says what ended a member that isn't whole."""
+        self.low, self.data = self.low + len(self.data), b""
+        while not self.data and not self.gz.eof and not self.over:
+            self.before = (self.low, self.gz.copy(), self.next, self.rest) if self.next > self.start else self.origin
+            piece = self.rest or self.source.get(self.next, PIECE)
+            if not piece:
+                self.why = "member's end"
+                return False
+            self.next += 0 if self.rest else len(piece)
+            try:
+                self.data = self.gz.decompress(piece, READ)
+                self.rest = self.gz.unconsumed_tail
+            except zlib.error:
+                self._tear(piece)
+        return bool(self.data)
+
+    def _tear(self, piece: bytes) -> None:
+        """Take what the piece gives up to the byte at which inflating fails."""
+        gz = zlib.decompressobj(31) if self.before[1] is None else self.before[1].copy()
+        out, step, at = [], 256, 0
+        while at < len(piece):
+            trial = gz.copy()
+            try:
+                out.append(trial.decompress(piece[at : at + step]))
+                gz, at = trial, at + step
+            except zlib.error:
+                if step == 1:
+                    break
+                step = 1
+        self.why, self.over, self.gz, self.data, self.rest = "member", True, gz, b"".join(out), b""
+        self.next -= len(piece) - at
+
+    def get(self, at: int, n: int) -> bytes:
+        if self.whole is not None:
+            return self.whole[at : at + n]
+        if at < self.low:
+            self._rewind(self.kept if self.kept[0] <= at else self.origin)
+        out = b""
+        while n > len(out):
+            if at < self.low + len(self.data):
+                part = self.data[at - self.low : at - self.low + n - len(out)]
+                out, at = out + part if out else part, at + len(part)
+            elif not self._more():
+                break
+        return out
+
+    def hold(self, at: int) -> None:
+        """Places from `at`, in the present stretch, on will be asked for again."""
+        if self.before[0] <= at:
+            self.kept = self.before
+
+
+@dataclass
+class Part:
+    """A sound record, or a gap: bytes of the file, or (inner: place and bytes of a member's content) of a member, that hold none."""
+
+    kind: str
+    at: int
+    bytes: int
+    fields: dict[str, str] = field(default_factory=dict)
+    block: bytes | None = None
+    why: str = ""
+    inner: tuple[int, int] | None = None
+    payload: tuple[int, str] | None = None  # size and SHA-1 of a payload that is too large to hold
+    torn: bool = False  # from a member that fails its own check: the block's digest holds, nothing vouches for the header
+
+
 def _fields(head: bytes) -> dict[str, str]:
     lines = head.decode("utf-8", "replace").split("\r\n")
     if not re.fullmatch(r"WARC/1\.[01]", lines[0]):
@@ -128,153 +223,206 @@ def _fields(head: bytes) -> dict[str, str]:
     return out
 
 
-def _checked(fields: dict[str, str], block: bytes) -> None:
-    digest = fields.get("warc-block-digest", "")
-    if digest.startswith("sha1:") and base64.b32encode(hashlib.sha1(block).digest()).decode() != digest[5:]:
-        raise Damaged("block digest")
-
-
-def _one(source: _Source) -> tuple[int, dict[str, str], bytes]:
-    """(bytes, fields, block) of the plain record at the source's place."""
-    end = source.data.find(b"\r\n\r\n")
-    while end < 0:
-        if len(source.data) > READ or not source.more():
+def _one(source: _Source | _Inflated, at: int, sure: bool, most: int) -> tuple[int, Part]:
+    """(end, record) of the plain record at a place. A block of over READ bytes is hashed before it is held, so a false length
+    costs no memory; where the place is not sure (in a torn member) the record needs a digest of its own."""
+    head = source.get(at, 4096)
+    if not head.startswith(_VERSION):
+        raise Damaged("version line")
+    end = head.find(b"\r\n\r\n")
+    if end < 0:
+        head = source.get(at, HEAD)
+        end = head.find(b"\r\n\r\n")
+        if end < 0:
             raise Damaged("header's end")
-        end = source.data.find(b"\r\n\r\n")
-    fields = _fields(source.data[:end])
+    fields = _fields(head[:end])
     size = fields.get("content-length", "")
     if not size.isdigit() or len(size) > 15:
         raise Damaged("length")
-    whole = end + 4 + int(size) + 4
-    if not source.have(whole) or source.data[whole - 4 : whole] != b"\r\n\r\n":
-        raise Damaged("record's end")
-    block = source.data[end + 4 : whole - 4]
-    _checked(fields, block)
-    return whole, fields, block
-
-
-def _inflated(source: _Source) -> tuple[int, bytes]:
-    """(bytes, content) of the gzip member at the source's place; its CRC and length are checked."""
-    gz, out, used = zlib.decompressobj(31), [], 0
-    while not gz.eof:
-        if used >= len(source.data) and not source.more():
-            raise Damaged("member's end")
-        piece = source.data[used : used + READ]
-        used += len(piece)
+    size, start = int(size), at + end + 4
+    digest = fields.get("warc-block-digest", "")
+    if not digest.startswith("sha1:") and not sure:
+        raise Damaged("no digest in a torn member")
+    part = Part("record", at, start + size + 4 - at, fields)
+    if size <= READ:
+        block = source.get(start, size + 4)
+        if len(block) < size + 4 or block[size:] != b"\r\n\r\n":
+            raise Damaged("record's end")
+        part.block = block[:size]
+        found = hashlib.sha1(part.block)
+    else:
+        source.hold(at)
+        if isinstance(source, _Source) and source.get(start + size, 4) != b"\r\n\r\n":
+            raise Damaged("record's end")
+        found, body, done = hashlib.sha1(), None, 0
+        while done < size:
+            piece = source.get(start + done, min(READ, size - done))
+            if not piece:
+                raise Damaged("record's end")
+            found.update(piece)
+            if body is None:  # the payload begins in the first piece
+                http = piece.find(b"\r\n\r\n") + 4
+                body, skipped = hashlib.sha1(piece[http:]), http
+            else:
+                body.update(piece)
+            done += len(piece)
+        if source.get(start + size, 4) != b"\r\n\r\n":
+            raise Damaged("record's end")
+        part.payload = (size - skipped, body.hexdigest())
+    if digest.startswith("sha1:") and base64.b32encode(found.digest()).decode() != digest[5:]:
+        raise Damaged("block digest")
+    if size > READ:
+        part.block = source.get(start, size) if size <= most else source.get(start, skipped)
+    return start + size + 4, part
+
+
+def _member(source: _Source, at: int, most: int) -> tuple[int, bool, Iterator[Part]]:
+    """(bytes, whole, parts) of the gzip member at a place: its sound records, also those before its torn end and those behind a
+    damaged one, and the inner gaps between. Without any sound record there are no parts."""
+    inside = _Inflated(source, at)
+
+    def parts() -> Iterator[Part]:
+        place, gap, why, met = 0, -1, "", False
+        while inside.get(place, 1):
+            try:
+                end, part = _one(inside, place, not inside.why, most)
+            except Damaged as e:
+                if gap < 0:
+                    gap, why = place, str(e)
+                place = _seek(inside, place + 1, (_VERSION,))
+                continue
+            if gap >= 0:
+                yield Part("gap", at, inside.used, why=why, inner=(gap, place - gap))
+                gap = -1
+            part.at, part.bytes, part.inner, part.torn, met = at, inside.used, (place, end - place), bool(inside.why), True
+            yield part
+            place = end
+        if gap >= 0 and met:
+            yield Part("gap", at, inside.used, why=inside.why or why, inner=(gap, place - gap))
+
+    return inside.used, not inside.why, parts()
+
+
+def _begin(source: _Source, at: int, most: int) -> tuple[int, bool, str, list[Part], Iterator[Part]]:
+    """(end, whole, why, first parts, other parts) of what starts at a place; no first parts if that is no sound record."""
+    if source.get(at, 3) != _GZIP:
         try:
-            out.append(gz.decompress(piece))
-        except zlib.error as e:
-            raise Damaged("member") from e
-        if len(out) == 1 and not out[0].startswith(_VERSION[: len(out[0])]):
-            raise Damaged("version line")
-    return used - len(gz.unused_data), b"".join(out)
-
-
-class _Text(_Source):
-    """A member's content as a source."""
-
-    def __init__(self, data: bytes):
-        self.data, self.at, self.over = data, 0, True
+            end, part = _one(source, at, True, most)
+        except Damaged as e:
+            return at, False, str(e), [], iter(())
+        return end, True, "", [part], iter(())
+    used, whole, parts = _member(source, at, most)
+    first = list(itertools.islice(parts, 1))
+    if first and first[0].kind == "gap":  # a gap at a member's head: a record follows, or there are no parts
+        first += itertools.islice(parts, 1)
+        first = first if len(first) > 1 else []
+    return at + used, whole, "no sound record in a member" if whole else "member", first, parts
+
+
+def salvage(path: str, most: int = HOLD) -> Iterator[Part]:
+    """The sound records of an archive, and gaps for what lies between them.
+
+    A record is sound when its version line, header, lengths and block digest hold; without a digest the member it lies in must
+    inflate with the right CRC. After a failed check the reader looks for the next place where a sound one starts, by
+    gzip's magic or a version line, in the file and in what a member inflates to, and logs the bytes in between as
+    quarantined: each byte of the file lies in a member or record that has been read, or in a gap. No more than `most` bytes
+    of a record are held: of larger ones the payload's size and SHA-1 are told, and the block is its HTTP header."""
+    store, name = file_system(path)
+    with store.open_input_file(name) as file:
+        source, at, gap, why = _Source(file), 0, -1, ""
+        while at < source.size:
+            end, whole, reason, first, parts = _begin(source, at, most)
+            if not first:
+                if gap < 0:
+                    gap, why = at, reason
+                at = end if whole else _seek(source, at + 1, _MARKS)
+                continue
+            if gap >= 0:
+                yield Part("gap", gap, at - gap, why=why)
+                gap = -1
+            if not whole:  # a cut member may run into the next one
+                end = next((k for k in _marks(source, at + 1, end) if _begin(source, k, most)[3]), end)
+            for part in itertools.chain(first, parts):
+                part.bytes = end - at
+                yield part
+            at = end
+        if gap >= 0:
+            yield Part("gap", gap, at - gap, why=why)
 
-    def more(self, n: int = READ) -> bool:
-        return False
 
+def _marks(source: _Source, at: int, end: int) -> Iterator[int]:
+    """Places in [at, end) at which a member or a record may start."""
+    while (at := _seek(source, at, _MARKS)) < end:
+        yield at
+        at += 1
 
-def salvage(path: str) -> Iterator[tuple[str, int, int, dict[str, str], bytes]]:
-    """("record", at, bytes, fields, block) of every sound record, and ("gap", at, bytes, {"why": ...}, b"") of what lies between.
 
-    A member or record is sound when it inflates, its CRC, header, lengths and block digest hold. After a
-    failed check the reader looks for the next place where a sound one starts, by gzip's magic or a version
-    line, and logs the bytes in between as quarantined."""
-    source = _Source(path)
-    gap, why = -1, ""
-    while source.have(1):
-        try:
-            if source.have(3) and source.data.startswith(_GZIP):
-                used, text = _inflated(source)
-                inner, found = _Text(text), []
-                while inner.data:
-                    size, fields, block = _one(inner)
-                    found.append((fields, block))
-                    inner.drop(size)
-            elif source.have(len(_VERSION)) and source.data.startswith(_VERSION):
-                used, fields, block = _one(source)
-                found = [(fields, block)]
-            else:
-                raise Damaged("no record starts here")
-        except Damaged as e:
-            if gap < 0:
-                gap, why = source.at, str(e)
-            _seek(source)
-            continue
-        if gap >= 0:
-            yield "gap", gap, source.at - gap, {"why": why}, b""
-            gap = -1
-        for fields, block in found:
-            yield "record", source.at, used, fields, block
-        source.drop(used)
-    if gap >= 0:
-        yield "gap", gap, source.at - gap, {"why": why}, b""
-
-
-def _seek(source: _Source) -> None:
-    """To the next byte that may start a member or a record, one on at least."""
-    source.drop(1)
-    while source.have(len(_VERSION)):
-        found = [k for k in (source.data.find(_GZIP), source.data.find(_VERSION)) if k >= 0]
+def _seek(source: _Source | _Inflated, at: int, marks: tuple[bytes, ...]) -> int:
+    """The next place from `at` on where a mark stands, or the end."""
+    while True:
+        data = source.get(at, READ)
+        found = [k for k in map(data.find, marks) if k >= 0]
         if found:
-            source.drop(min(found))
-            return
-        source.drop(len(source.data) - len(_VERSION) + 1)
-        if not source.more():
-            break
-    rest = [k for k in (source.data.find(_GZIP), source.data.find(_VERSION)) if k >= 0]
-    source.drop(min(rest) if rest else len(source.data))
+            return at + min(found)
+        if len(data) < READ:
+            return at + len(data)
+        at += len(data) - len(_VERSION) + 1
 
 
-_KINDS = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary, path string, at long, bytes long, gap string"
+_KINDS = (
+    "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary, "
+    "path string, at long, bytes long, inner_at long, inner_bytes long, torn boolean, gap string"
+)
 
 
 def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     """Every record and every quarantined gap of the archives that the manifest (path) names.
 
-    Gaps have record_type `gap`, their place, size and reason. Size and digest of a revisit's payload are those
-    of the full payload, from its headers. One file at a time is read by a task, record by record."""
+    Gaps have record_type `gap`, their place, size and reason. at and bytes are the member's or the plain record's in the file,
+    inner_at and inner_bytes the record's or the gap's in what the member inflates to; torn records are whole, but lie in a
+    member that is not. Size and digest of a revisit's
+    payload are those of the full payload, from its headers. One file at a time is read by a task, record by record."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 rows, held = [], 0
-                for kind, at, size, fields, block in salvage(path):
-                    rows.append(_row(path, kind, at, size, fields, block, payloads))
-                    held += len(block)
+                for part in salvage(path):
+                    rows.append(_row(path, part, payloads))
+                    held += len(part.block or b"")
                     if held > 4 * READ or len(rows) >= 5000:
                         yield pa.RecordBatch.from_pylist(rows, schema)
                         rows, held = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    arrow = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    arrow = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
     schema = pa.schema([(n, arrow[k]) for n, k in (c.split() for c in _KINDS.split(", "))])
     files = manifest.select("path")
     return files.repartition(max(1, files.count())).mapInArrow(run, _KINDS)
 
 
-def _row(path: str, kind: str, at: int, size: int, fields: dict[str, str], block: bytes, payloads: bool) -> dict:
-    row = {"path": path, "at": at, "bytes": size, "record_type": kind if kind == "gap" else fields.get("warc-type")}
-    if kind == "gap":
-        return row | {"gap": fields["why"]}
+def _row(path: str, part: Part, payloads: bool) -> dict:
+    row = {"path": path, "at": part.at, "bytes": part.bytes, "record_type": "gap"}
+    if part.inner:
+        row |= dict(zip(("inner_at", "inner_bytes"), part.inner, strict=True))
+    if part.kind == "gap":
+        return row | {"gap": part.why}
+    fields = part.fields
     number = lambda name: int(m[1]) if (m := re.fullmatch(r"<urn:page:(-?\d+)>", fields.get(name, ""))) else None
-    http, _, payload = block.partition(b"\r\n\r\n")
+    http, _, payload = part.block.partition(b"\r\n\r\n")
+    size, found = part.payload or (len(payload), hashlib.sha1(payload).hexdigest())
     full = re.search(rb"(?i)\r\ncontent-length: *(\d+)", http)
-    revisit = row["record_type"] == "revisit"
+    revisit = fields.get("warc-type") == "revisit"
     digest = fields.get("warc-payload-digest", "")[5:]
     return row | {
+        "record_type": fields.get("warc-type"),
+        "torn": part.torn,
         "page_id": number("warc-record-id"),
         "url": fields.get("warc-target-uri"),
         "refers_to": number("warc-refers-to"),
-        "payload_bytes": int(full[1]) if revisit and full else len(payload),
-        "payload_digest": base64.b32decode(digest).hex() if revisit and digest else hashlib.sha1(payload).hexdigest(),
-        "payload": payload if payloads and not revisit else None,
+        "payload_bytes": int(full[1]) if revisit and full else size,
+        "payload_digest": base64.b32decode(digest).hex() if revisit and digest else found,
+        "payload": payload if payloads and not revisit and len(payload) == size else None,
     }
 
 
