@@ -144,6 +144,29 @@ def test_near_duplicates_of_odd_vectors(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_rows_that_repeat_a_key(spark):
+    rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (7, [1.0, 0.0]), (9, [0.05, 1.0]), (11, [-1.0, 0.0])]
+    out = neardup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in out)
+    assert got == [(5, 1, 5, True), (5, 1, 5, True), (7, 1, 5, False), (9, 1, 5, False), (11, 0, 11, True)]
+
+
+@pytest.mark.parametrize("few", [0, 16])
+def test_doubtful_pairs_are_read_again(few, monkeypatch, tmp_path):
+    monkeypatch.setattr(neardup, "FEW", few)
+    monkeypatch.setattr(neardup, "TERMS", 40)
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=16)
+    vectors = base / np.linalg.norm(base) + rng.normal(size=(60, 16)) * 0.083  # cosines of about 0.9 with each other
+    one = np.ones(30)
+    a, b = (neardup.Side(neardup.packed(k, one, v, f"file://{tmp_path}")) for k, v in ((np.arange(30), vectors[:30]), (np.arange(30, 60), vectors[30:])))
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.9) & ~np.eye(60, dtype=bool)
+    for found, want in ((neardup.tile(a, None, 0.9), near[:30, :30].sum(1)), (neardup.tile(a, b, 0.9), np.concatenate([near[:30, 30:].sum(1), near[:30, 30:].sum(0)]))):
+        links = dict(zip(found[0].tolist(), found[1].tolist(), strict=True))
+        assert [links.get(k, 0) for k in range(len(want))] == want.tolist() and 50 < want.sum() < 1600
+
+
 # 2 decontamination
 
 
@@ -397,6 +420,20 @@ def test_archives_round_trip(spark, packed, tmp_path):
     assert warc.archived(pages(spark, [])).count() == 0
 
 
+def number(part):
+    return int(part.fields["warc-record-id"][10:-1])
+
+
+def told(parts, size):
+    """(records, gaps, inner gaps); every byte of the file lies in a member or record that was read, or in a gap."""
+    parts = list(parts)
+    gaps = [(x.at, x.bytes) for x in parts if x.kind == "gap" and not x.inner]
+    read = {(x.at, x.bytes) for x in parts if x.kind == "record"}
+    ends = sorted(gaps + list(read))
+    assert [0, *(a + n for a, n in ends)] == [*(a for a, _ in ends), size]
+    return [number(x) for x in parts if x.kind == "record"], gaps, [x.inner for x in parts if x.kind == "gap" and x.inner]
+
+
 @pytest.mark.parametrize("packed", [True, False])
 def test_salvage_recovers_later_records(packed, tmp_path):
     rng = random.Random(13)
@@ -406,14 +443,72 @@ def test_salvage_recovers_later_records(packed, tmp_path):
     data = bytearray(b"".join(parts))
     data[at[5] + len(parts[5]) // 2] ^= 0xFF  # a flipped bit
     data = bytes(data[: at[12]]) + b"\x1f\x8b\x08 JUNK WARC/1.1 \r\n" * 9 + bytes(data[at[12] : at[20] + 90]) + bytes(data[at[21] : at[39] + 40])
-    (tmp_path / "x").write_bytes(data)
-    out = list(warc.salvage(str(tmp_path / "x")))
-    found = [int(x[3]["warc-record-id"][10:-1]) for x in out if x[0] == "record"]
-    assert found == [k for k in range(39) if k not in (5, 20)]
-    gaps = [(x[1], x[2]) for x in out if x[0] == "gap"]
+    name = f"{tmp_path}/x.warc" + ".gz" * packed
+    open(name, "wb").write(data)
+    found, gaps, inner = told(warc.salvage(name), len(data))
+    assert found == [k for k in range(39) if k not in (5, 20)] and not inner
     assert gaps[0] == (at[5], len(parts[5])) and gaps[1] == (at[12], 9 * len(b"\x1f\x8b\x08 JUNK WARC/1.1 \r\n")) and gaps[-1][1] == 40 and len(gaps) == 4
-    whole = sum(n for _, n in gaps) + sum(len(parts[k]) for k in found)
-    assert whole == len(data)
+
+
+def test_salvage_within_members(tmp_path, monkeypatch):
+    rng = random.Random(14)
+    raw = [warc.record(k, "u", rng.randbytes(rng.randint(0, 3000)), None, "00" * 20) for k in range(60)]
+    at = np.cumsum([0, *map(len, raw)])
+    bad = bytearray(b"".join(raw[:20]))
+    bad[at[7] + 600] ^= 1  # a damaged record in a sound member
+    bad[at[13]] ^= 1  # and a damaged version line
+    second, third = warc.member(b"".join(raw[20:40])), bytearray(warc.member(b"".join(raw[40:])))
+    third[len(third) // 2] ^= 4  # a flipped bit: the member's CRC fails
+    data = warc.member(bytes(bad)) + second[: len(second) // 2] + bytes(third) + b"tail"
+    for held in (1 << 20, 5000):  # members held whole, and read by stretches
+        monkeypatch.setattr(warc, "READ", held)
+        monkeypatch.setattr(warc, "PIECE", min(held, 1 << 16))
+        open(f"{tmp_path}/x.warc.gz", "wb").write(data)
+        found, gaps, inner = told(warc.salvage(f"{tmp_path}/x.warc.gz"), len(data))
+        assert [k for k in found if k < 20] == [k for k in range(20) if k not in (7, 13)]
+        assert inner[:2] == [(at[7], len(raw[7])), (at[13], len(raw[13]))]
+        cut = [k for k in found if 20 <= k < 40]  # what inflates before the cut
+        assert cut == list(range(20, 20 + len(cut))) and len(cut) >= 8
+        late = [k for k in found if k >= 40]
+        assert len(late) >= 9 and gaps[-1][0] + gaps[-1][1] == len(data)
+        parts = [x for x in warc.salvage(f"{tmp_path}/x.warc.gz") if x.kind == "record"]
+        assert all(x.torn == (number(x) >= 20) for x in parts)
+        assert all(warc.record(number(x), "u", x.block.partition(b"\r\n\r\n")[2], None, "00" * 20) == raw[number(x)] for x in parts)
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_salvage_does_not_believe_a_length(packed, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "READ", 4096)
+    monkeypatch.setattr(warc, "PIECE", 1024)
+    rng = random.Random(15)
+    raw = [warc.record(k, "u", rng.randbytes(20_000 if k % 7 == 3 else 700), None, "00" * 20) for k in range(30)]
+    raw[4] = re.sub(rb"Content-Length: \d+\r\n\r\nHTTP", b"Content-Length: 150000\r\n\r\nHTTP", raw[4], count=1)
+    data = warc.member(b"".join(raw)) if packed else b"".join(raw)
+    name = f"{tmp_path}/x.warc" + ".gz" * packed
+    open(name, "wb").write(data)
+    assert told(warc.salvage(name), len(data))[0] == [k for k in range(30) if k != 4]
+    large = [x for x in warc.salvage(name, most=10_000) if x.kind == "record"]
+    assert [number(x) for x in large] == [k for k in range(30) if k != 4]
+    whole = {number(x): x.block.partition(b"\r\n\r\n")[2] for x in warc.salvage(name) if x.kind == "record"}
+    for x in large:
+        assert (x.payload is not None) == (number(x) % 7 == 3)
+        if x.payload:
+            assert x.payload == (20_000, hashlib.sha1(whole[number(x)]).hexdigest()) and len(x.block) < 200
+
+
+def test_damaged_archives_of_the_writer(spark, tmp_path):
+    rng = random.Random(16)
+    rows = [(k, "u", "".join(rng.choice("abcdefgh <>") for _ in range(rng.randint(1, 4000)))) for k in range(300)]
+    manifest = warc.write_archives(pages(spark, rows).repartition(3), f"file://{tmp_path}/w")
+    for (path,) in manifest.select("path").collect():
+        name = path.removeprefix("file://")
+        data = bytearray(open(name, "rb").read())
+        assert data[:3] == b"\x1f\x8b\x08" and zlib.decompressobj(31).decompress(bytes(data)).startswith(b"WARC/1.1")  # gzip once
+        data[len(data) // 3] ^= 16
+        open(name, "wb").write(bytes(data[: len(data) // 2]) + b"junk" * 99 + bytes(data[len(data) // 2 : -30]))
+    out = warc.read_archives(manifest).collect()
+    good = {r.page_id: bytes(r.payload).decode() for r in out if r.record_type == "response"}
+    assert 300 - 3 * manifest.count() <= len(good) < 300 and good.items() <= {k: t for k, _, t in rows}.items() and any(r.gap for r in out)
 
 
 # 7 toxicity
