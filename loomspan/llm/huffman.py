@@ -13,15 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspan.llm.store import dropped, file_system, put_once, shared_dir, written
-from loomspan.llm.tokens import default_path, encoder
+from loomspan.llm.tokens import SLICE, default_path, encoder
 from loomspan.llm.words import slices
 
 #: Longest code in bits, and so the width of the decoding table.
 LONGEST = 16
 #: Ids between two checkpoints, and about how many ids an independent block holds.
 STEP, BLOCK = 128, 1 << 20
-#: Bytes of text that are tokenized at a time.
-SLICE = 2 << 20
 _FILE, _TOP = b"LSHFILE1", "<8sBII"  # a file's mark, longest code, bytes of the packed code lengths, their CRC-32
 _MAGIC = b"LSHF"
 _HEAD = "<4sIQQI"  # mark, keys, ids, bits, CRC-32 of what follows

@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from loomspan.llm.ranks import gapless
 from loomspan.llm.store import written
-from loomspan.llm.tokens import default_path, encoder
+from loomspan.llm.tokens import SLICE, default_path, encoder
+from loomspan.llm.words import slices
 
-#: Pieces over this share of the capacity are large; large ones are rounded within this many groups.
-LARGE, GROUPS = 1 / 4, 2048
+#: Pieces over this share of the capacity are large; large ones are rounded within this many groups, whose configurations are
+#: optimised in at most so many steps.
+LARGE, GROUPS, STEPS = 1 / 4, 64, 2000
 
 
 def pieces(docs: DataFrame, path: str, end: int, capacity: int, with_ids: bool = False) -> DataFrame:
@@ -27,128 +29,153 @@ def pieces(docs: DataFrame, path: str, end: int, capacity: int, with_ids: bool =
     tail = struct.pack("<I", end)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = batch.slice(at, 500)
-                out: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []} | ({"ids": []} if with_ids else {})
-                for doc, ids in zip(rows.column(0).to_pylist(), encoder(path).encode(rows.column(1).to_pylist()), strict=True):
-                    ids += tail
-                    for k, first in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[first : first + 4 * capacity]
-                        for name, value in zip(out, (doc, k, first // 4, len(part) // 4, zlib.crc32(part), part), strict=False):
-                            out[name].append(value)
-                yield pa.RecordBatch.from_pydict(out, pa.schema([(n, kinds[n]) for n in out]))
+        for rows in slices(batches, "text", SLICE):
+            out: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []} | ({"ids": []} if with_ids else {})
+            for doc, ids in zip(rows.column(0).to_pylist(), encoder(path).encode(rows.column(1).to_pylist()), strict=True):
+                ids += tail
+                for k, first in enumerate(range(0, len(ids), 4 * capacity)):
+                    part = ids[first : first + 4 * capacity]
+                    for name, value in zip(out, (doc, k, first // 4, len(part) // 4, zlib.crc32(part), part), strict=False):
+                        out[name].append(value)
+            yield pa.RecordBatch.from_pydict(out, pa.schema([(n, kinds[n]) for n in out]))
 
     kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "ids": pa.binary()}
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
+def configurations(sizes: np.ndarray, counts: np.ndarray, capacity: int, steps: int = STEPS) -> list[tuple[np.ndarray, int]]:
+    """(how many of each size, how often) of combinations that fill sequences: the linear program of the fewest sequences
+    that hold all counts, by column generation (Gilmore and Gomory, 1961), rounded down.
+
+    Sizes are few, so the basis is small. Each step finds the combination that is worth the most at the present prices
+    by a knapsack over the capacity, all sizes at once, and pivots it in. Stopped early, the result is no worse than where it began:
+    sequences of one size each."""
+    k = len(sizes)
+    most = capacity // int(sizes.min())
+    columns = np.diag(capacity // sizes).astype(float)
+    inverse, cost, x = np.diag(1 / columns.diagonal()), np.ones(k), counts / columns.diagonal()
+    for _ in range(steps):
+        price = cost @ inverse
+        column = _worth_most(sizes, price, capacity, most)
+        enter = 1.0
+        if column @ price <= 1 + 1e-9:
+            low = int(price.argmin())
+            if price[low] >= -1e-9:
+                break
+            column, enter = -np.eye(k)[low], 0.0  # more of a size than needed
+        move = inverse @ column
+        ratio = np.divide(x, move, out=np.full(k, np.inf), where=move > 1e-9)
+        out = int(ratio.argmin())
+        if not np.isfinite(ratio[out]):
+            break
+        x = np.maximum(x - ratio[out] * move, 0)
+        x[out] = ratio[out]
+        row = inverse[out] / move[out]
+        inverse -= np.outer(move, row)
+        inverse[out] = row
+        columns[:, out], cost[out] = column, enter
+    found = [(columns[:, j].astype(int), int(x[j] + 1e-6)) for j in range(k) if cost[j]]
+    return [(c, n) for c, n in found if n]
+
+
+def _worth_most(sizes: np.ndarray, price: np.ndarray, capacity: int, most: int) -> np.ndarray:
+    """The combination of at most `most` pieces of these sizes that is worth the most at these prices within the capacity."""
+    value, choice = np.zeros(capacity + 1), []
+    room = np.arange(capacity + 1)[None, :] - sizes[:, None]
+    for _ in range(most):
+        more = np.where(room >= 0, np.maximum(price, 0)[:, None] + value[np.maximum(room, 0)], -1.0)
+        best = more.argmax(0)
+        new = more[best, np.arange(capacity + 1)]
+        choice.append(np.where(new > value + 1e-12, best, -1))
+        value = np.maximum(new, value)
+    out, left = np.zeros(len(sizes)), capacity
+    for taken in reversed(choice):
+        if taken[left] >= 0:
+            out[taken[left]] += 1
+            left -= int(sizes[taken[left]])
+    return out
+
+
 class Plan:
     """Where the i-th piece of each length goes, made from the counts of lengths alone.
 
     1. Linear grouping: large pieces, longest first, fall into groups of equal cardinality, and each
-       counts as long as its group's longest. 2. Configurations: with so few sizes, the fullest
-       combination that holds the largest size left is found exactly (subset sums as bits of one
-       integer) and used as often as the counts allow. 3. Substitution: actual lengths take the
-       places of their groups' size, which leaves each sequence its true room. 4. Small pieces,
-       longest first, go where the least room is left that holds them, else into new sequences.
+       counts as long as its group's longest. 2. Configurations: with so few sizes, a linear program over the combinations
+       that fit into a sequence finds the fewest sequences; it is rounded down. 3. Substitution: actual pieces take the
+       places of their groups' size, the last of a sequence the one that fills its true room the most. 4. Best fit: the few large pieces that rounding
+       left, then small ones, longest first, go where the least room is left that holds them, else into new sequences.
 
-    runs: (length, from, to, first sequence, pieces per sequence): piece i of that length, from <= i < to,
-    goes to first + (i - from) // per. Their number is bounded by capacity, groups and configurations, not by
-    the number of pieces."""
+    Pieces of equal length are told apart by nothing: the i-th ones are placed. runs: (length, from, to, first sequence, pieces
+    per sequence): piece i of that length, from <= i < to, goes to first + (i - from) // per. Their number is bounded by
+    capacity, groups and configurations, not by the number of pieces."""
 
     def __init__(self, counts: dict[int, int], capacity: int, large: float = LARGE, groups: int = GROUPS):
         self.capacity, self.runs, self.sequences = capacity, [], 0
         self.used = dict.fromkeys(counts, 0)
         self.rooms: dict[int, list[tuple[int, int]]] = {}  # room -> (first sequence, how many)
         big = sorted((s for s in counts if s > capacity * large), reverse=True)
-        self._configure([[s, counts[s]] for s in big], groups)
+        left = self._configure([[s, counts[s]] for s in big], groups)
         self.order = sorted(self.rooms)
-        for s in sorted((s for s in counts if s not in set(big)), reverse=True):
-            self._fit(s, counts[s])
+        for s, n in left + [(s, counts[s]) for s in sorted((s for s in counts if s not in set(big)), reverse=True)]:
+            self._fit(s, n)
 
-    def _groups(self, big: list[list[int]], groups: int) -> list[tuple[int, list[list[int]]]]:
-        """(size, [[length, count], ...]) of each group; groups of one size become one."""
+    @staticmethod
+    def _groups(big: list[list[int]], groups: int) -> list[tuple[int, int]]:
+        """(size, count) of each group; groups of one size become one."""
         each = -(-sum(n for _, n in big) // groups) if big else 0
-        out: list[tuple[int, list[list[int]]]] = []
+        out: list[tuple[int, int]] = []
         room = 0
         for length, n in big:
             while n:
                 if not room:
                     room = each
                     if not out or out[-1][0] != length:
-                        out.append((length, []))
+                        out.append((length, 0))
                 take = min(n, room)
-                out[-1][1].append([length, take])
+                out[-1] = (out[-1][0], out[-1][1] + take)
                 n, room = n - take, room - take
         return out
 
-    def _configure(self, big: list[list[int]], groups: int) -> None:
+    def _configure(self, big: list[list[int]], groups: int) -> list[tuple[int, int]]:
+        """Fill the program's configurations; (length, count) of what is left, longest first."""
         sizes = self._groups(big, groups)
-        left = [sum(n for _, n in members) for _, members in sizes]
-        top = 0
-        while True:
-            while top < len(sizes) and not left[top]:
-                top += 1
-            if top == len(sizes):
-                return
-            config = self._fullest([s for s, _ in sizes], left, top)
-            times = min(left[g] // a for g, a in config.items())
-            slots = []
-            for g, a in config.items():
-                left[g] -= a * times
-                slots += [self._take(sizes[g][1], times) for _ in range(a)]
-            self._substitute(slots, times)
-
-    def _fullest(self, sizes: list[int], left: list[int], top: int) -> dict[int, int]:
-        """How many of each size, with one of `top` at least, fill a sequence the most."""
-        room = self.capacity - sizes[top]
-        full = (1 << room + 1) - 1
-        reach, trail = 1, []
-        for g in range(top, len(sizes)):
-            before, have = reach, left[g] - (g == top)
-            for _ in range(min(have, room // sizes[g])):
-                reach |= reach << sizes[g] & full
-            trail.append((g, before))
-            if reach >> room & 1:
-                break
-        total, config = reach.bit_length() - 1, {top: 1}
-        for g, before in reversed(trail):
-            while not before >> total & 1:
-                total -= sizes[g]
-                config[g] = config.get(g, 0) + 1
-        return config
-
-    @staticmethod
-    def _take(members: list[list[int]], n: int) -> list[list[int]]:
-        """The next n pieces of a group as [[length, count], ...]."""
-        out = []
-        while n:
-            take = min(n, members[0][1])
-            out.append([members[0][0], take])
-            members[0][1] -= take
-            n -= take
-            if not members[0][1]:
-                members.pop(0)
-        return out
-
-    def _substitute(self, slots: list[list[list[int]]], times: int) -> None:
-        first = self.sequences
+        if not sizes:
+            return []
+        self.here = dict(big)
+        self.lengths = sorted(self.here)
+        rounded = np.array([s for s, _ in sizes])
+        for config, often in configurations(rounded, np.array([float(n) for _, n in sizes]), self.capacity):
+            slots = np.repeat(rounded, config).tolist()  # the longest first
+            while often and self.lengths:
+                often -= self._substitute(slots, often)
+        return [(length, self.here[length]) for length in reversed(self.lengths)]
+
+    def _substitute(self, slots: list[int], times: int) -> int:
+        """Open up to `times` equal sequences for a configuration; how many.
+
+        Each slot but the last takes the longest piece there is of its size or less, and the room left the longest that it holds,
+        again and again. A piece taken in place of a planned, shorter one leaves that one for its own place, so the
+        remaining pieces never outgrow the remaining slots."""
+        taken: dict[int, int] = {}
+        room = self.capacity
+        for limit in [*slots[:-1], *[room] * (self.capacity // self.lengths[0])]:
+            k = bisect.bisect_right(self.lengths, min(limit, room)) - 1
+            while k >= 0 and self.here[self.lengths[k]] <= taken.get(self.lengths[k], 0):
+                k -= 1
+            if k >= 0:
+                taken[self.lengths[k]] = taken.get(self.lengths[k], 0) + 1
+                room -= self.lengths[k]
+        times = min([times, *(self.here[length] // n for length, n in taken.items())])
+        for length, n in taken.items():
+            self._run(length, n * times, self.sequences, n)
+            self.here[length] -= n * times
+            if not self.here[length]:
+                self.lengths.remove(length)
+        if room:
+            self.rooms.setdefault(room, []).append((self.sequences, times))
         self.sequences += times
-        cuts = {0, times}
-        for slot in slots:
-            at = 0
-            for length, n in slot:
-                self._run(length, n, first + at, 1)
-                at += n
-                cuts.add(at)
-        edges = sorted(cuts)
-        ends = [np.cumsum([n for _, n in slot]) for slot in slots]
-        for a, b in zip(edges, edges[1:], strict=False):
-            room = self.capacity - sum(slot[int(np.searchsorted(e, a, "right"))][0] for slot, e in zip(slots, ends, strict=True))
-            if room:
-                self.rooms.setdefault(room, []).append((first + a, b - a))
+        return times
 
     def _run(self, length: int, n: int, first: int, per: int) -> None:
         self.runs.append((length, self.used[length], self.used[length] + n, first, per))

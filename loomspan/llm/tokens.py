@@ -18,8 +18,8 @@ _SIMPLE = re.compile(rb"(?:[\x21-\x26\x28-\x7e]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf
 _PIECES = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+|[0-9]|[^a-z0-9\xc3]+")
 _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 _ENDED = re.compile(_LETTERS.pattern.join((rb"(", rb")([\x21-\x26\x28-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]*)")))
-#: Words of letters that one call of the library gets.
-TOGETHER = 2048
+#: Words of letters that one call of the library gets; bytes of text that a stage encodes at a time.
+TOGETHER, SLICE = 2048, 2 << 20
 
 
 class Encoder:
