@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loomspan.llm.memory import release
 from loomspan.llm.neardup import hook
-from loomspan.llm.ranks import components
+from loomspan.llm.ranks import components, hot_keys, spread
 from loomspan.llm.store import dropped, written
 from loomspan.llm.words import SOLID, Words, mix, slices
 
@@ -73,7 +73,7 @@ def described(docs: DataFrame, n: int, bits: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(size), pa.array(names, pa.int64()), none, pa.nulls(len(sets), pa.binary())], names_)
             np.add.at(counts, np.concatenate(sets) & np.uint64((1 << bits) - 1), np.uint32(1))
         blocks = counts.reshape(-1, min(SKETCH_ROW, 1 << bits))
-        packed = [zlib.compress(b.tobytes(), 1) for b in blocks]
+        packed = [zlib.compress(b.astype(np.int64).tobytes(), 1) for b in blocks]
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(len(packed), pa.int64())] * 3 + [pa.array(np.arange(len(packed), dtype=np.int32)), pa.array(packed, pa.binary())], names_
         )
@@ -82,18 +82,39 @@ def described(docs: DataFrame, n: int, bits: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, size long, id long, block int, counts binary")
 
 
-def sketch_of(table: DataFrame, bits: int) -> np.ndarray:
-    """The tasks' counters summed, as levels of eight to a doubling: 2 ** bits bytes, however large the table."""
+def _added(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums of the counters of equal keys, compressed: rows stream by in the keys' order, so that one sum is held at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done() -> pa.RecordBatch:
+            values = [*([x] for x in now), [zlib.compress(total.tobytes(), 1)]]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], names)
+
+        now, total = None, None
+        for batch in batches:
+            for *key, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now is not None and key != now:
+                    yield done()
+                if key != now:
+                    now, total = key, 0
+                total = total + np.frombuffer(zlib.decompress(counts), np.int64)
+        if now is not None:
+            yield done()
+
+    names, types = [*keys, "counts"], [pa.int32()] * len(keys) + [pa.binary()]
+    by_key = rows.select(*keys, "counts").repartition(*keys).sortWithinPartitions(*keys)
+    return by_key.mapInArrow(run, ", ".join(f"{k} int" for k in keys) + ", counts binary")
 
-    def add(group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(zlib.decompress(x.as_py()), np.uint32).astype(np.int64) for x in group["counts"])
-        level = np.minimum(8 * np.log2(1 + total), 255).astype(np.uint8)
-        return pa.table({"block": group["block"][:1], "counts": pa.array([level.tobytes()], pa.binary())})
 
-    rows = table.where("block is not null").select("block", "counts").groupBy("block").applyInArrow(add, "block int, counts binary").toArrow()
+def sketch_of(table: DataFrame, bits: int) -> np.ndarray:
+    """The tasks' counters summed, as levels of eight to a doubling: 2 ** bits bytes, however large the table.
+
+    Two steps, the first in 64 parts to each block of counters, so that no task meets all tasks' pieces of a block."""
+    pieces = table.where("block is not null").withColumn("part", F.pmod(F.xxhash64("counts"), F.lit(64)).cast("int"))
     out = np.zeros(1 << bits, np.uint8)
-    for block, counts in zip(rows["block"].to_pylist(), rows["counts"].to_pylist(), strict=True):
-        out[block * len(counts) : (block + 1) * len(counts)] = np.frombuffer(counts, np.uint8)
+    for row in _added(_added(pieces, ["block", "part"]), ["block"]).toLocalIterator():
+        total = np.frombuffer(zlib.decompress(row.counts), np.int64)
+        out[row.block * len(total) : (row.block + 1) * len(total)] = np.minimum(8 * np.log2(1 + total), 255).astype(np.uint8)
     return out
 
 
@@ -278,14 +299,16 @@ def linked(docs: DataFrame, n: int = SHINGLE, share: tuple[int, int] = SHARE, tr
     reps = sets.where("id is not null and doc_id is not null").groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"))
     # the smallest set that can be similar is share * size, so fewer tokens in common with all others mean no link
     enough = hits.groupBy("id").agg(F.sum("n").alias("n")).join(reps, "id").where(F.col("n") >= spare(F.ceil(F.col("size") * share[0] / share[1])))
-    stars = hits.join(enough.select("id"), "id", "left_semi")
-    stars = written(stars.join(stars.groupBy("g").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("g"), "g", "left_semi"), "stars")
+    stars = written(hits.join(enough.select("id"), "id", "left_semi"), "stars")
+    many = written(stars.groupBy("g").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "many")
+    hot = hot_keys(many, "g", "many")  # a group of near copies is one star, so joins on g deal its nodes
+    stars = spread(stars, many.select("g"), "g", "id", hot)
     # the star with which a node has most tokens in common is its home; a leader is at home in its own one, too
     home = stars.groupBy("id").agg(F.max_by("g", F.struct("n", "g")).alias("g")).withColumn("main", F.lit(True))
     own = stars.where("g = id").select("id", "g").join(home.select("id", "g"), ["id", "g"], "left_anti")
     home = home.unionByName(own.withColumn("main", F.lit(False)))
     sizes = home.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / tree).alias("many"))
-    home = home.join(sizes, "g").join(reps.select("id", "doc_id"), "id")
+    home = spread(home, sizes, "g", "id", hot).join(reps.select("id", "doc_id"), "id")
     # a star's leader is in all of its trees
     deal = F.when(F.col("id") == F.col("g"), F.sequence(F.lit(0).cast("long"), F.col("many") - 1)).otherwise(F.array(_dealt("id", F.col("many"))))
     home = home.select("doc_id", "id", "g", "main", F.posexplode(deal).alias("k", "u"))
@@ -297,9 +320,9 @@ def linked(docs: DataFrame, n: int = SHINGLE, share: tuple[int, int] = SHARE, tr
 
     found = stars.join(parts.withColumnRenamed("node", "id"), "id", "left").select("g", "id", F.coalesce("component", "id").alias("part"))
     split = found.groupBy("g").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("g")
-    found = written(found.join(split, "g"), "open")
+    found = written(spread(found, split, "g", "id", hot), "open")
     if not found.isEmpty():
-        links = links.unionByName(_rest(found, texts.where("main").select("id", "text"), n, share, sketch, tree))
+        links = links.unionByName(_rest(found, hot, texts.where("main").select("id", "text"), n, share, sketch, tree))
         parts = components(links)
 
     nodes = sets.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("component", "id"))
@@ -309,14 +332,14 @@ def linked(docs: DataFrame, n: int = SHINGLE, share: tuple[int, int] = SHARE, tr
     return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), alone).alias("component_id"))
 
 
-def _rest(found: DataFrame, texts: DataFrame, n: int, share: tuple[int, int], sketch, tree: int) -> DataFrame:
+def _rest(found: DataFrame, hot: DataFrame, texts: DataFrame, n: int, share: tuple[int, int], sketch, tree: int) -> DataFrame:
     """Links between the components that still meet in a star (g, id, part).
 
     A missing link joins two components, so one end lies outside the star's largest one: those nodes ask."""
     by_part = found.groupBy("g", "part").agg(F.count(F.lit(1)).alias("n"))
     most = by_part.groupBy("g").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("in_main"))
     many = {"us": F.ceil((F.col("all") - F.col("in_main")) / tree), "vs": F.ceil(F.col("all") / tree)}
-    rows = found.join(most, "g").withColumns(many).withColumn("ask", F.col("part") != F.col("main"))
+    rows = spread(found, most, "g", "id", hot).withColumns(many).withColumn("ask", F.col("part") != F.col("main"))
     zero = F.lit(0).cast("long")
     keys = ["g", "id", "part", "us", "vs"]
     asking = rows.where("ask").select(*keys, _dealt("id", F.col("us")).alias("u")).withColumn("v", F.explode(F.sequence(zero, F.col("vs") - 1)))

@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loomspan.llm import decontam, huffman, neardup, ngram_join, packing, pii, sharding, store, substrings, toxicity, warc, words
-from loomspan.llm.ranks import components, gapless
+from loomspan.llm.ranks import components, gapless, hot_keys, spread
 from loomspan.llm.tokens import Encoder, default_path
 
 SF = "/root/testdata/sf0.001"
@@ -83,6 +83,22 @@ def test_gapless_numbers(spark):
         assert sorted(rows.n) == list(range(len(rows)))
 
 
+def test_gapless_keeps_columns_of_any_name(spark):
+    df = spark.range(40).selectExpr("id % 3 as g", "id as k", "id + 1 as _first", "id + 2 as _ROW", "id + 3 as _slice", "id + 4 as _n", "id + 5 as n")
+    out = gapless(df, ["g"], ["k"], "n")
+    assert sorted(out.columns) == sorted(df.columns)
+    assert all(r._first == r.k + 1 and r._ROW == r.k + 2 and r._slice == r.k + 3 and r._n == r.k + 4 for r in out.collect())
+
+
+def test_hot_keys_are_dealt(spark):
+    rows = spark.range(3000).selectExpr("if(id < 2000, -1, id % 50) as g", "id")
+    sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    hot = hot_keys(sizes, "g", "n", 100)
+    assert [tuple(r) for r in hot.collect()] == [(-1, 20)]
+    out = spread(rows, sizes.where("g < 40"), "g", "id", hot).collect()
+    assert sorted(r.id for r in out) == [k for k in range(3000) if k < 2000 or k % 50 < 40] and {r.n for r in out if r.g == -1} == {2000}
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randint(0, 150), rng.randint(0, 150)) for _ in range(90)] + [(k, k + 1) for k in range(200, 230)] + [(300, k) for k in range(301, 400)]
@@ -717,6 +733,21 @@ def test_sharded(spark, real, texts):
     assert all(sorted(s) == list(range(len(s))) for s in by.values()) and len(by) == 8
 
 
+def drawn(spark, keys, shard):
+    """Each key's uniform number for a shard, from Spark's own hash alone."""
+    rows = spark.createDataFrame([(k,) for k in keys], "k long").selectExpr("k", f"xxhash64(k, {shard}, 'shard') as h").collect()
+    return {r.k: (((r.h % 2**64) >> 11) + 0.5) / 2**53 for r in rows}
+
+
+def test_the_least_draw_wins(spark, real, texts):
+    weights = [1.0, 2.5, 0.0, 0.5]
+    rows = sharding.sharded(real, weights, [*weights, 4.0]).collect()
+    cost = {s: {k: -np.log(u) / w for k, u in drawn(spark, texts, s).items()} for s, w in enumerate([*weights, 4.0]) if w}
+    for r in rows:
+        assert r.shard == min((s for s in cost if s < 4), key=lambda s: cost[s][r.doc_id])
+        assert r.grown_shard == (4 if cost[4][r.doc_id] < cost[r.shard][r.doc_id] else r.shard)
+
+
 def test_weights_share_rows(spark):
     df = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     counts = collections.Counter(r.shard for r in sharding.sharded(df, [1.0, 2.0, 0.0, 3.0]).select("shard").collect())
@@ -724,7 +755,8 @@ def test_weights_share_rows(spark):
 
 
 def test_sharded_odd_rows(spark):
-    out = sharding.sharded(odd_columns(spark), [1.0, 1.0])
+    out = sharding.sharded(odd_columns(spark).withColumns({c: F.lit(c) for c in ("_first", "_slice", "_n")}), [1.0, 1.0])
+    assert {tuple(r) for r in out.select("_first", "_slice", "_n").collect()} == {("_first", "_slice", "_n")} and "_row" in out.columns
     assert out.count() == len(ODD) and {r.size for r in out.where("doc_id in (1, 2)").collect()} == {1}
     assert sharding.sharded(docs(spark, []), [1.0]).count() == 0
     with pytest.raises(ValueError):
