@@ -617,6 +617,89 @@ def test_field_finds_more_and_leaves_the_rest():
     assert len(field.labels([pii.features(long, r) for r in pii.runs(long)])[0]) == 5000
 
 
+#: Sentences and values that the field has never seen; [kind text] marks a span.
+HELD_OUT = """
+my address is [email p.novak@firma.example.cz], write soon
+cc [email hello.world@mail-3.example.org] and wait
+mail [email backup@nas] if it fails
+forward to [email t.okafor@lists.example.edu]!
+follow @example on 2 sites
+bought 7 @ 2 dollars
+gateway [ip 192.0.2.44] replied
+ssh to [ip 198.51.100.23] or leave
+proxy [ip 192.0.2.9]:3128 is slow
+route [ip 10.0.0.0]/8 added
+resolver [ip 2001:db8:85a3::99] listens
+update 2.4.1 fixes 3 bugs
+chapter 10.2.3 begins
+printed at 18:45:10 today
+the bank blocked [card 4242 4242 4242 4242] yesterday
+charge [card 5555555555554444] again
+his card [card 6011-0009-9013-9424] was stolen
+paid by [card 4222.2222.2222.2220] once
+invoice 4242424242424241 is open
+order 9876543210987654 came
+isbn 978-0-306-40615-7 is sold out
+phone [phone +61 2 5550 1234] after 6
+call [phone +1 202 555 0147] tonight
+office [phone (0161) 496 0753] closed
+her cell is [phone 303-555-0111] now
+fax [phone 718.555.0126] is broken
+ring [phone 0113 496 0247] before noon
+tel. [phone 040/6696-9123] bitte
+mobile [phone 07700 900 456] only
+call [phone (312) 555-0165] or wait
+dial [phone 555-0119] for help
+hotline [phone 0808 157 0456] is free
+tel [phone 02 61 91 34 56] matin
+contact [phone 020 7946 0712] first
+born 03.11.1975 and died 2010
+on 2023-12-01 at 09:15
+between 1914 and 1918 they
+nearly 37 400 fans came
+worth 4,500.50 dollars
+seats 14-17 in row 3
+won 3-1, then 2-2
+the 3rd of 12 parts
+commit 9a0b364 and 77 more
+md5 0cc175b9c0f1b6a831c399e269772661 differs
+uuid 9f1b2c3d-4e5f-4a6b-8c7d-0e1f2a3b4c5d lost
+zip 75011 Paris
+aged 34 to 56 years
+add 3+4 and 5
+rows 100 to 2000 were read
+at 48.8566 2.3522 exactly
+about 20-25 % of 300
+model X200-15 sold 90 units
+"""
+
+
+def test_field_on_held_out_lines():
+    field, counts = pii.Field(), collections.Counter()
+    for line in HELD_OUT.strip().split("\n"):
+        assert line not in pii.LABELLED
+        text, gold = "", set()
+        for part in re.split(r"(\[\w+ [^\]]*\])", line):
+            kind, _, inner = part[1:-1].partition(" ")
+            if kind in pii.KINDS and part[0] == "[":
+                gold.add((pii.KINDS.index(kind), len(text), len(text) + len(inner)))
+                part = inner
+            text += part
+        base = set(pii.base_spans(text))
+        added = set(field.spans([text], [sorted(base)])[0])
+        assert base <= gold
+        counts += collections.Counter(right=len(added & gold), wrong=len(added - gold), missed=len(gold - base - added))
+    # what the field adds, beside 12 spans of the patterns: precision and recall
+    assert counts["right"] + counts["missed"] >= 12
+    assert counts["right"] >= 0.9 * (counts["right"] + counts["wrong"]) and counts["right"] >= 0.9 * (counts["right"] + counts["missed"]), counts
+
+
+def test_words_are_looked_at_whole():
+    tail = "b" * 5000 + "1" * 3
+    (seen,) = pii.features(tail, [(0, len(tail))])
+    assert "digits 3" in seen and "letters True" in seen
+
+
 def test_viterbi_is_the_best_path():
     field, rng = pii.Field(), np.random.default_rng(2)
     for run in (["+1", "(988)", "555-2485"], ["4111", "1111", "1111", "1111"], ["a@b"]):
