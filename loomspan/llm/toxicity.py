@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspan.llm.memory import release
-from loomspan.llm.store import written
+from loomspan.llm.store import dropped, written
 from loomspan.llm.words import mix, slices
 
 #: n of the n-grams, and bits of their hash: 2 ** BITS features.
@@ -40,15 +41,30 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(features), np.concatenate(rows)
 
 
+def shares(counts: dict[int, int], most: int) -> dict[int, float]:
+    """The share of each class to take so that about `most` rows come together: half of them from each, or more where the other
+    has fewer. So a class of up to half the bound is taken whole, however rare it is."""
+    return {k: min(1.0, max(most / 2, most - counts[1 - k]) / max(counts[k], 1)) for k in (0, 1)}
+
+
+def _taken(shares: dict[int, float], word: str) -> Column:
+    """Whether a row (doc_id, toxic) is in the sample: by a hash, so that it needs no sort and no single task."""
+    bound = F.when(F.col("toxic") == 1, int(shares[1] * (1 << 30))).otherwise(int(shares[0] * (1 << 30)))
+    return F.pmod(F.xxhash64("doc_id", F.lit(word)), F.lit(1 << 30)) < bound
+
+
+def _classes(rows: DataFrame) -> dict[int, int]:
+    n, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    return {0: n - toxic, 1: toxic}
+
+
 def labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """(doc_id, text, toxic) of the documents with a label, of about `most` labels at most.
+    """(doc_id, text, toxic, weight) of the documents with a label, of about `most` labels at most; weight is one over the class's share.
 
-    The sample is the labels whose hash lies below a bound, so it needs no sort and no single task; being
-    bounded, it is broadcast. A document with several labels is toxic if one says so; null labels say nothing."""
+    The sample is bounded and so broadcast. A document with several labels is toxic if one says so; null labels say nothing."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    share = most / max(known.count(), 1)
-    if share < 1:
-        known = known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)))
+    share = shares(_classes(known), most)
+    known = known.where(_taken(share, "sample")).withColumn("weight", F.when(F.col("toxic") == 1, 1 / share[1]).otherwise(1 / share[0]))
     return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
 
 
@@ -75,62 +91,72 @@ def log_count_ratios(train: DataFrame) -> np.ndarray:
     return ratio
 
 
-def fitted(texts: list[str], toxic: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression on each text's n-gram frequencies times the ratios; (weight per n-gram, bias)."""
-    feature, value, row = [], [], []
-    for at in range(0, len(texts), 50):
-        f, r = grams(texts[at : at + 50])
-        pair, n = np.unique(r.astype(np.int64) << BITS | f, return_counts=True)
-        own = (pair >> BITS).astype(np.int32)
-        size = np.bincount(own, weights=n, minlength=50)
-        f = (pair & (1 << BITS) - 1).astype(np.int32)
-        feature.append(f)
-        row.append(own + np.int32(at))
-        value.append((n * ratio[f] * SCALE / size[own]).astype(np.float32))
-    feature, value, row = map(np.concatenate, (feature, value, row))
-    keep = value != 0
-    feature, value, row = feature[keep], value[keep], row[keep]
-    weight, share = np.zeros(1 << BITS), toxic.mean()
+def inputs(texts: list[str | None], ratio: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """(n-grams, frequency times ratio times SCALE) of each text, of the n-grams whose ratio isn't 0."""
+    f, r = grams(texts)
+    pair, n = np.unique(r.astype(np.int64) << BITS | f, return_counts=True)
+    row, f = pair >> BITS, (pair & (1 << BITS) - 1).astype(np.int32)
+    value = (n * ratio[f] * SCALE / np.bincount(row, weights=n, minlength=len(texts))[row]).astype(np.float32)
+    row, f, value = row[value != 0], f[value != 0], value[value != 0]
+    at = np.searchsorted(row, np.arange(1, len(texts)))
+    return np.split(f, at), np.split(value, at)
+
+
+def fitted(feature: np.ndarray, value: np.ndarray, row: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """Logistic regression of weighted rows on their inputs; (coefficient of each n-gram, bias)."""
+    part = weight / weight.sum()
+    slopes, share = np.zeros(1 << BITS), float(part @ toxic)
     bias, state = float(np.log(share / (1 - share))), [np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0, 0.0]
     for step in range(1, STEPS + 1):  # Adam on the full sample
-        z = np.bincount(row, weights=value * weight[feature], minlength=len(toxic)) + bias
-        error = (1 / (1 + np.exp(-z)) - toxic) / len(toxic)
-        slope = np.bincount(feature, weights=value * error[row], minlength=1 << BITS) + DECAY * weight
+        z = np.bincount(row, weights=value * slopes[feature], minlength=len(toxic)) + bias
+        error = (1 / (1 + np.exp(-z)) - toxic) * part
+        slope = np.bincount(feature, weights=value * error[row], minlength=1 << BITS) + DECAY * slopes
         state[0], state[1] = 0.9 * state[0] + 0.1 * slope, 0.99 * state[1] + 0.01 * slope**2
         state[2], state[3] = 0.9 * state[2] + 0.1 * error.sum(), 0.99 * state[3] + 0.01 * error.sum() ** 2
         c, d = 1 - 0.9**step, 1 - 0.99**step
-        weight -= RATE * (state[0] / c) / (np.sqrt(state[1] / d) + 1e-8)
+        slopes -= RATE * (state[0] / c) / (np.sqrt(state[1] / d) + 1e-8)
         bias -= RATE * (state[2] / c) / (np.sqrt(state[3] / d) + 1e-8)
-    return weight * ratio * SCALE, bias
+    return slopes, bias
 
 
 def train(docs: DataFrame, labels: DataFrame, counted: int = COUNTED, fit_on: int = FITTED) -> tuple[np.ndarray, float]:
     """(weight of each n-gram's frequency, bias) from labelled rows outside the held-out fold.
 
-    Without any toxic, or any other, training row the weights are 0 and the bias is the smoothed share."""
+    Ratios are counted on about `counted` rows, the linear model is fitted on about `fit_on` of these; both samples take each class by
+    its own share, and rows weigh one over it in the fit. Without any toxic, or any other, training row there is nothing to tell
+    apart: the weights are 0 and the bias is the smoothed share."""
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
     rows = written(labelled(docs, labels.where(fold != 0), counted), "train")
-    n, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    if not 0 < toxic < n:
-        return np.zeros(1 << BITS), float(np.log((toxic + 1) / (n - toxic + 1)))
-    spark = docs.sparkSession
-    ratio = spark.sparkContext.broadcast(log_count_ratios(rows))
-    part = min(1.0, fit_on / n)
-    some = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 20)) < int(part * (1 << 20)))
+    counts = _classes(rows)
+    if not all(counts.values()):
+        return np.zeros(1 << BITS), float(np.log((counts[1] + 1) / (counts[0] + 1)))
+    ratio = docs.sparkSession.sparkContext.broadcast(log_count_ratios(rows))
+    share = shares(counts, fit_on)
+    some = rows.where(_taken(share, "fit")).withColumn("weight", F.col("weight") / F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for part in slices(batches, "text"):
+            feature, value = inputs(part.column("text").to_pylist(), ratio.value)
+            lists = [pa.array(feature, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))]
+            yield pa.RecordBatch.from_arrays([*part.select(["doc_id", "toxic", "weight"]).columns, *lists], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        table = pa.Table.from_batches(list(batches)).sort_by("doc_id")
-        labels = table["toxic"].to_numpy().astype(float)
-        if not 0 < labels.sum() < len(labels):
-            return
-        weight, bias = fitted(table["text"].to_pylist(), labels, ratio.value)
-        yield pa.RecordBatch.from_arrays([pa.array([*weight.tolist(), bias])], ["w"])
-
-    # a bounded sample, so one task: about fit_on rows
-    model = some.coalesce(1).mapInArrow(run, "w double").toArrow()["w"].to_numpy()
-    if not len(model):  # the sample has one class only
-        return ratio.value * SCALE / 100, float(np.log(toxic / (n - toxic)))
+        table = pa.Table.from_batches(list(batches))
+        long = pc.list_value_length(table["feature"]).to_numpy()
+        row = np.repeat(np.arange(len(long), dtype=np.int32), long)
+        flat = [np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table[n].chunks]) for n in ("feature", "value")]
+        slopes, bias = fitted(*flat, row, table["toxic"].to_numpy().astype(float), table["weight"].to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array([*(slopes * ratio.value * SCALE).tolist(), bias])], ["w"])
+
+    names = ["doc_id", "toxic", "weight", "feature", "value"]
+    key = rows.schema["doc_id"].dataType.simpleString()
+    ready = written(some.mapInArrow(extract, f"doc_id {key}, toxic int, weight double, feature array<int>, value array<float>"), "inputs")
+    # a bounded sample's inputs, so one task
+    model = ready.repartition(1).sortWithinPartitions("doc_id").mapInArrow(run, "w double").toArrow()["w"].to_numpy()
+    dropped(ready)
+    dropped(rows)
     return model[:-1], float(model[-1])
 
 

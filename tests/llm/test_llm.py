@@ -569,7 +569,56 @@ def test_toxicity_on_held_out_rows(spark):
     table = toxicity.op7_toxicity(spark, folder).toPandas().merge(spark.read.parquet(f"{folder}/labels.parquet").toPandas(), on="doc_id")
     held = table[table.held_out]
     assert (held.held_out == (held.doc_id.map(lambda d: zlib.crc32(str(d).encode()) % 5 == 0))).all()
-    assert (held.predicted == held.toxic).mean() > 0.93
+    right, alarms, toxic = (int(x.sum()) for x in (held.predicted & held.toxic, held.predicted, held.toxic))
+    assert toxic >= 5 and right >= 0.9 * alarms and right >= 0.8 * toxic, (right, alarms, toxic)
+
+
+def plain_grams(text):
+    text = f" {(text or '').lower()} "
+    return collections.Counter(text[k : k + n] for n in toxicity.SIZES for k in range(len(text) - n + 1))
+
+
+def test_ratios_and_inputs_are_the_plain_ones(spark):
+    rows = [("you fool, you fool", 1), ("a fine day", 0), ("fool", 1), ("", 0), (None, 1), ("fine fine fine fine fine", 0)]
+    ratio = toxicity.log_count_ratios(spark.createDataFrame(rows, "text string, toxic int"))
+    counts = [collections.Counter(), collections.Counter()]
+    place = lambda g: int(toxicity.grams([g])[0][len(toxicity.grams([g])[0]) and [n for n, _ in _own(g)].index(g)])
+    for text, toxic in rows:
+        counts[toxic] += plain_grams(text)
+    totals = [sum(c.values()) for c in counts]
+    for gram in ("fool", "fine", "you"):
+        n, p = counts[0][gram], counts[1][gram]
+        want = np.log((p + 1) / (totals[1] + 1)) - np.log((n + 1) / (totals[0] + 1)) if n + p >= toxicity.LEAST else 0
+        assert ratio[place(gram)] == pytest.approx(want)
+    feature, value = toxicity.inputs([t for t, _ in rows], ratio)
+    for (text, _), f, v in zip(rows, feature, value, strict=True):
+        own = plain_grams(text)
+        want = {place(g): n * ratio[place(g)] * toxicity.SCALE / sum(own.values()) for g, n in own.items() if ratio[place(g)]}
+        assert dict(zip(f.tolist(), v.tolist(), strict=True)) == pytest.approx(want, rel=1e-5)
+
+
+def _own(gram):
+    """The n-grams that grams() makes of a text, in its order."""
+    text = f" {gram.lower()} "
+    return [(text[k : k + n], k) for n in toxicity.SIZES for k in range(len(text) - n + 1)]
+
+
+def test_fit_has_no_slope_left():
+    rng = np.random.default_rng(4)
+    row, feature = np.repeat(np.arange(300), 6), rng.integers(0, 40, 1800)
+    value, toxic, weight = rng.normal(size=1800), rng.integers(0, 2, 300).astype(float), rng.choice([1.0, 9.0], 300)
+    loss = lambda w, b: weight @ np.logaddexp(0, -(2 * toxic - 1) * (np.bincount(row, weights=value * w[feature]) + b)) / weight.sum()
+    slopes, bias = toxicity.fitted(feature, value, row, toxic, weight)
+    best = loss(slopes, bias)
+    for _ in range(200):
+        assert loss(slopes + rng.normal(size=len(slopes)) * 0.1, bias + rng.normal() * 0.1) > best - 1e-3
+
+
+def test_a_rare_class_is_in_the_sample(spark):
+    labels = spark.range(50_000).selectExpr("id as doc_id", "cast(id % 10000 = 77 as int) as toxic")
+    some = toxicity.labelled(labels.selectExpr("doc_id", "'x' as text"), labels, 2_000).groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w"))
+    got = {r.toxic: (r.n, r.w) for r in some.collect()}
+    assert got[1] == (5, 5.0) and abs(got[0][0] - 1995) < 200 and got[0][1] == pytest.approx(49_995, rel=0.1)
 
 
 def test_toxicity_odd_rows(spark):
