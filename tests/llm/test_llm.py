@@ -303,6 +303,40 @@ def test_repeated_passages_are_whole(spark):
     assert found >= 0.985 * len(rows)
 
 
+def test_repeats_against_all_windows(spark, real, texts):
+    """What is reported occurs again, piece by piece, and of what occurs again across texts nearly all is reported."""
+    out = {r.doc_id: r for r in substrings.deduplicated(real).collect()}
+    spans = {d: [tuple(map(int, s.split(":"))) for s in filter(None, r.repeated_spans.split(","))] for d, r in out.items()}
+    width, seen = 16, collections.Counter()
+    for text in texts.values():
+        seen.update(text[k : k + width] for k in range(len(text) - width + 1))
+    inside = again = 0
+    for d, own in spans.items():
+        for a, b in own:
+            # neighbouring chunks may repeat in different texts, so a window over their border may be new
+            places = {j for k in range(a, b - width + 1) if seen[texts[d][k : k + width]] > 1 for j in range(k, k + width)}
+            inside, again = inside + b - a, again + len(places)
+    assert again >= 0.998 * inside > 1000, (again, inside)
+    word = re.compile(r"[^ \t-\r]+")
+    words = {d: [m.span() for m in word.finditer(t)] for d, t in texts.items()}
+    text_of = lambda d, k: texts[d][words[d][k][0] : words[d][k + 50][1]]  # noqa: E731  51 words and what lies between
+    runs = collections.defaultdict(set)
+    for d, own in words.items():
+        for k in range(len(own) - 50):
+            runs[text_of(d, k)].add(d)
+    runs = {t: at for t, at in runs.items() if len(at) > 1}
+    wanted = caught = 0
+    for d, own in words.items():
+        repeated = {j for k in range(len(own) - 50) if text_of(d, k) in runs for j in range(k, k + 51)}
+        places = {k for a, b in spans[d] for k in range(a, b)}
+        wanted, caught = wanted + len(repeated), caught + sum(places.issuperset(range(*own[j])) for j in repeated)
+    assert wanted > 500 and caught >= 0.98 * wanted, (caught, wanted)
+    # one occurrence of each such run stays: in a text that keeps it, or cut where a longer repeat was
+    kept = " ".join(r.text for r in out.values())
+    gone = [t for t in runs if t not in kept]
+    assert len(gone) <= 0.02 * len(runs), (len(gone), len(runs))
+
+
 def test_growth_of_a_repeated_key_stays_in_its_text(spark):
     rng = random.Random(13)
     word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9)))
