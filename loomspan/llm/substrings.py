@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspan.llm.words import SOLID, slices, utf8
+from loomspan.llm.words import slices, utf8
 
 #: A cut falls where the top BITS bits of the gear hash of WINDOW bytes are 0, if no such place lies in the NEAR bytes
 #: before it; a chunk of over FAR bytes is cut every FAR bytes.
@@ -65,7 +65,7 @@ def cuts(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, a, b, words, d0, d1) of every chunk of whole texts: code points [a, b), words begun, 128-bit digest."""
+    """(key, a, size, d0, d1) of every chunk of whole texts: its first code point, how many it has, 128-bit digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches, "text"):
@@ -73,10 +73,6 @@ def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
             start, end = cuts(data, at)
             row = np.searchsorted(at, start, "right") - 1
             points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-            solid = SOLID[data]
-            begun = solid.copy()
-            begun[1:] &= ~solid[:-1]
-            begun = np.concatenate([[0], np.cumsum(begun)])
             raw = data.tobytes()
             digests = b"".join([hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(start.tolist(), end.tolist(), strict=True)])
             digests = np.frombuffer(digests, "<i8").reshape(-1, 2)
@@ -84,29 +80,30 @@ def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column("key").take(pa.array(row)),
-                    *map(pa.array, (points[start] - first, points[end] - first, begun[end] - begun[start], digests[:, 0], digests[:, 1])),
+                    *map(pa.array, ((points[start] - first).astype(np.int32), (points[end] - points[start]).astype(np.int16), digests[:, 0], digests[:, 1])),
                 ],
-                ["key", "a", "b", "words", "d0", "d1"],
+                ["key", "a", "size", "d0", "d1"],
             )
 
     slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = slim.schema["key"].dataType.simpleString()
-    return slim.mapInArrow(run, f"key {kind}, a long, b long, words long, d0 long, d1 long")
+    return slim.mapInArrow(run, f"key {kind}, a int, size short, d0 long, d1 long")
 
 
 def _lists(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, parts: sorted array of (a, b, words, extra, other)) of the documents with repeated chunks.
+    """(key, parts: sorted array of (a, b, extra, other)) of the documents with repeated chunks.
 
     A chunk repeats if its digest occurs again anywhere in the table; extra says that it is not the table's first of its digest (the
     smallest key, then place), other is that first one's (key, a), and the last one's for the first. A digest that a third of all
     chunks share is counted map-side; in the join back it has one row on the one side, so the other can be split."""
     parts = chunks(docs, key, text).where("key is not null")
     place = F.struct("key", "a")
-    known = parts.groupBy("d0", "d1").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"), F.max(place).alias("last")).where("n > 1")
+    known = parts.groupBy("d0", "d1").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     extra = place != F.col("first")
     other = F.when(extra, F.col("first")).otherwise(F.col("last"))
-    hit = parts.join(known, ["d0", "d1"]).select("key", "a", "b", "words", extra.alias("extra"), other.alias("other"))
-    return hit.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("a", "b", "words", "extra", "other"))).alias("parts"))
+    end = (F.col("a") + F.col("size")).alias("b")
+    hit = parts.join(known, ["d0", "d1"]).select("key", "a", end, extra.alias("extra"), other.alias("other"))
+    return hit.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("a", "b", "extra", "other"))).alias("parts"))
 
 
 def _runs(parts: list[dict]) -> list[dict]:
@@ -129,10 +126,9 @@ def _runs(parts: list[dict]) -> list[dict]:
             if extra and part["b"] - part["a"] < NEAR:
                 extra = all(x["extra"] for x in group[max(k - 1, 0) : k + 2])
             if spans and (extra == spans[-1]["extra"] or part["b"] <= spans[-1]["b"]):
-                spans[-1]["words"] += part["words"] * (part["b"] > spans[-1]["b"])
                 spans[-1]["b"] = max(part["b"], spans[-1]["b"])
             else:
-                spans.append({"a": part["a"], "b": part["b"], "words": part["words"], "extra": extra})
+                spans.append({"a": part["a"], "b": part["b"], "extra": extra})
         out.append({"spans": spans, "ends": (solid[0], solid[-1])})
     return out
 
@@ -181,7 +177,7 @@ def _beside(docs: DataFrame, lists: DataFrame, key: str, text: str) -> DataFrame
 
     wanted = lists.mapInArrow(ends, f"key {kind}, a long, side long, size long, n long, at_key {kind}, at long")
     asked = wanted.groupBy(F.col("at_key").alias(key)).agg(F.collect_set(F.struct("at", "side", "size")).alias("want"))
-    held = docs.select(key, text).join(asked, key, "left").select(F.col(key).alias("key"), F.col(text).alias("text"), "want")
+    held = docs.select(key, text).join(asked, key).select(F.col(key).alias("key"), F.col(text).alias("text"), "want")
     near = held.mapInArrow(texts, f"at_key {kind}, at long, side long, size long, near string, sum long")
     met = wanted.join(near, ["at_key", "at", "side", "size"])
     cut = F.when(F.col("side") == 1, F.expr("left(near, int(n))")).otherwise(F.expr("right(near, int(n))"))
@@ -233,21 +229,18 @@ def _grown(text: str, parts: list[dict], beside: list[dict], least: int) -> list
     passage: list[dict] = []
     for (a, b), run in zip([*bounds, (None, None)], [*runs, None], strict=True):
         if run is None or (passage and a > passage[-1]["b"]):
-            if sum(s["words"] for s in passage) >= least:
+            if sum(_begun(text, s["a"], s["b"]) for s in passage) >= least:
                 out += passage
             passage = []
         if run is None:
             break
-        first, last = run["spans"][0], run["spans"][-1]
-        first["words"] += _begun(text, a, first["a"])
-        last["words"] += _begun(text, last["b"], b)
-        first["a"], last["b"] = a, b
-        if passage and passage[-1]["extra"] == first["extra"]:
-            passage[-1]["b"], passage[-1]["words"] = first["b"], passage[-1]["words"] + first["words"]
+        run["spans"][0]["a"], run["spans"][-1]["b"] = a, b
+        if passage and passage[-1]["extra"] == run["spans"][0]["extra"]:
+            passage[-1]["b"] = run["spans"][0]["b"]
             passage += run["spans"][1:]
         else:
             passage += run["spans"]
-    return [{"a": s["a"], "b": s["b"], "extra": s["extra"]} for s in out]
+    return out
 
 
 def deduplicated(docs: DataFrame, least: int = LEAST, key: str = "doc_id", text: str = "text") -> DataFrame:
