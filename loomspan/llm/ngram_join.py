@@ -73,7 +73,7 @@ def described(docs: DataFrame, n: int, bits: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(size), pa.array(names, pa.int64()), none, pa.nulls(len(sets), pa.binary())], names_)
             np.add.at(counts, np.concatenate(sets) & np.uint64((1 << bits) - 1), np.uint32(1))
         blocks = counts.reshape(-1, min(SKETCH_ROW, 1 << bits))
-        packed = [zlib.compress(b.astype(np.int64).tobytes(), 1) for b in blocks]
+        packed = [zlib.compress(b.tobytes(), 1) for b in blocks]
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(len(packed), pa.int64())] * 3 + [pa.array(np.arange(len(packed), dtype=np.int32)), pa.array(packed, pa.binary())], names_
         )
@@ -82,8 +82,8 @@ def described(docs: DataFrame, n: int, bits: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, size long, id long, block int, counts binary")
 
 
-def _added(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Sums of the counters of equal keys, compressed: rows stream by in the keys' order, so that one sum is held at a time."""
+def _added(rows: DataFrame, keys: list[str], kind: type) -> DataFrame:
+    """Sums of the counters (of a kind) of equal keys, compressed: rows stream by in the keys' order, so that one sum is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done() -> pa.RecordBatch:
@@ -97,7 +97,7 @@ def _added(rows: DataFrame, keys: list[str]) -> DataFrame:
                     yield done()
                 if key != now:
                     now, total = key, 0
-                total = total + np.frombuffer(zlib.decompress(counts), np.int64)
+                total = total + np.frombuffer(zlib.decompress(counts), kind).astype(np.int64)
         if now is not None:
             yield done()
 
@@ -109,10 +109,15 @@ def _added(rows: DataFrame, keys: list[str]) -> DataFrame:
 def sketch_of(table: DataFrame, bits: int) -> np.ndarray:
     """The tasks' counters summed, as levels of eight to a doubling: 2 ** bits bytes, however large the table.
 
-    Two steps, the first in 64 parts to each block of counters, so that no task meets all tasks' pieces of a block."""
-    pieces = table.where("block is not null").withColumn("part", F.pmod(F.xxhash64("counts"), F.lit(64)).cast("int"))
+    Sums are made of 64 pieces of a block at most, and again of these, so that no task meets all tasks' pieces of a block."""
+    pieces, kind = table.where("block is not null"), np.uint32
+    many = pieces.count() // max(1, (1 << bits) // SKETCH_ROW)
+    while many > 64:
+        many = -(-many // 64)
+        pieces = _added(pieces.withColumn("part", F.pmod(F.xxhash64("counts"), F.lit(many)).cast("int")), ["block", "part"], kind)
+        kind = np.int64
     out = np.zeros(1 << bits, np.uint8)
-    for row in _added(_added(pieces, ["block", "part"]), ["block"]).toLocalIterator():
+    for row in _added(pieces, ["block"], kind).toLocalIterator():
         total = np.frombuffer(zlib.decompress(row.counts), np.int64)
         out[row.block * len(total) : (row.block + 1) * len(total)] = np.minimum(8 * np.log2(1 + total), 255).astype(np.uint8)
     return out
@@ -325,9 +330,13 @@ def linked(docs: DataFrame, n: int = SHINGLE, share: tuple[int, int] = SHARE, tr
         links = links.unionByName(_rest(found, hot, texts.where("main").select("id", "text"), n, share, sketch, tree))
         parts = components(links)
 
-    nodes = sets.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("component", "id"))
-    least = nodes.where("class is not null and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    out = nodes.select("doc_id", "size", "class").join(least, "class", "left")
+    named = reps.join(parts.withColumnRenamed("node", "id"), "id", "left").select("id", "doc_id", F.coalesce("component", "id").alias("class"))
+    least = named.groupBy("class").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    classes = spread(named, least.drop("n"), "class", "id", hot_keys(least, "class", "n")).select("id", "component_id")
+    full = sets.where("id is not null")  # a class of near copies, and a set of exact ones, may have a third of all rows
+    copies = hot_keys(full.groupBy("id").agg(F.count(F.lit(1)).alias("n")), "id", "n")
+    out = spread(full, classes, "id", "doc_id", copies, "left").select("doc_id", "size", "component_id")
+    out = out.unionByName(sets.where("id is null").select("doc_id", "size", F.lit(None).cast("long").alias("component_id")))
     alone = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), alone).alias("component_id"))
 
