@@ -6,6 +6,8 @@ from __future__ import annotations
 
 import re
 
+from loomspan.functions.splice import STRANDS
+
 Spans = list[tuple[int, int]]
 
 
@@ -34,6 +36,15 @@ def insertions(seq: str, spans: Spans) -> dict[int, str]:
     return out
 
 
+def grouped(flags: list[bool], chars: list[str]):
+    """(flag, characters) of each run of equal flags."""
+    at = 0
+    for k in range(1, len(flags) + 1):
+        if k == len(flags) or flags[k] != flags[at]:
+            yield flags[at], chars[at:k]
+            at = k
+
+
 def with_insertions(seq: str, spans: Spans, inserted: dict[int, str]) -> str:
     """A marked sequence with insertions put before their places."""
     if not inserted:
@@ -82,10 +93,15 @@ def common(lists: list[Spans], seq: str) -> tuple[Spans, str]:
     """The longest region that all lists cover, as the first list has it, and its part of the first list's sequence.
 
     A region goes on over places that no list covers, and ends at one that only some do; the first of equals wins."""
-    edges = sorted({x for spans in lists for s, e in spans for x in (s, e + 1)})
+    change: dict[int, int] = {}
+    for spans in lists:
+        for s, e in spans:
+            change[s] = change.get(s, 0) + 1
+            change[e + 1] = change.get(e + 1, 0) - 1
+    edges, covering = sorted(change), 0
     best, run = (0, 0, 0), None
     for low, high in zip(edges, edges[1:], strict=False):
-        covering = sum(any(s <= low <= e for s, e in spans) for spans in lists)
+        covering += change[low]
         if covering == len(lists):
             run = (run[0], high - 1, run[2] + high - low) if run else (low, high - 1, high - low)
             best = run if run[2] > best[2] else best
@@ -99,6 +115,25 @@ def common(lists: list[Spans], seq: str) -> tuple[Spans, str]:
     return inside, seq[skipped : skipped + size]
 
 
+def one_of_mates(up: tuple[Spans, str], down: tuple[Spans, str], contained: bool = False, repair: bool = False) -> tuple[Spans, str] | None:
+    """Touching or overlapping mates (spans, marked sequence) as one alignment, or None if their blocks contradict each other.
+
+    contained: a mate within a block of the upstream one adds nothing. repair: else try without the downstream mate's first base, then
+    without the upstream one's last."""
+    (u, us), (d, ds) = (up[0], bases(up[1])), (down[0], bases(down[1]))
+    if contained and len(d) == 1 and any(s <= d[0][0] and d[0][1] <= e for s, e in u):
+        found = (u, us)
+    else:
+        found = fuse(u, d, us, ds, dangling=0) if d[-1][1] >= u[-1][1] else None
+    if repair and not found and d[-1][1] > u[-1][1]:
+        tries = ((u, us, *cut_front(d, ds, 1)), (*cut_back(u, us, 1), d, ds))
+        found = next((x for a, b, c, e in tries if a and c and (x := fuse(a, c, b, e, dangling=0))), None)
+    if not found:
+        return None
+    inserted = insertions(up[1], up[0]) | insertions(down[1], down[0])
+    return found[0], with_insertions(marked(found[1], found[0]), found[0], inserted)
+
+
 def fuse(up: Spans, down: Spans, up_seq: str, down_seq: str, dangling: int = 6) -> tuple[Spans, str] | None:
     """Two mates as one alignment, or None if their blocks contradict each other where they overlap.
 
@@ -176,31 +211,46 @@ def _bad(seq: str, genome: str) -> int:
     return len(seq)
 
 
-def mismatch_tags(seq: str, spans: Spans, genome: str, deletions: list[str] | None = None) -> tuple[str, int]:
-    """(MD, NM) of a read without insertions; deletions: the genome's bases in each gap, "" for introns."""
-    out, matched, wrong, at = [], 0, 0, 0
+def sam_fields(spans: Spans, seq: str, left: int, right: int, genome: str | None, intron: int = 15) -> tuple[str, str | None, int | None, str | None]:
+    """(CIGAR, MD, NM, strand of the introns) of a marked sequence. genome: the bases under the spans, those of gaps shorter than
+    `intron`, and of others the first and the last two; null or of another length: CIGAR only."""
+    ops: list[list] = [[left, "S"]] if left > 0 else []
+    md, same, wrong, at, ref, strands = [], 0, 0, 0, 0, set()
+
+    def add(n: int, op: str) -> None:
+        if ops and ops[-1][1] == op:
+            ops[-1][0] += n
+        else:
+            ops.append([n, op])
+
+    gaps = [s - e - 1 for (_, e), (s, _) in zip(spans, spans[1:], strict=False)]
+    sound = genome is not None and len(genome) == length(spans) + sum(g if g < intron else 4 for g in gaps)
+    genome, text = genome if sound else "", plain(seq)
     for k, (s, e) in enumerate(spans):
-        if k and deletions and deletions[k - 1]:
-            out.append(f"{matched}^{deletions[k - 1]}")
-            matched, wrong = 0, wrong + len(deletions[k - 1])
-        for x, y in zip(seq[at : at + e - s + 1], genome[at : at + e - s + 1], strict=False):
-            if x == y:
-                matched += 1
+        if k and gaps[k - 1] < intron:
+            add(gaps[k - 1], "D")
+            md.append(f"{same}^{genome[ref : ref + gaps[k - 1]]}")
+            same, wrong, ref = 0, wrong + gaps[k - 1], ref + gaps[k - 1]
+        elif k:
+            add(gaps[k - 1], "N")
+            strands.add(STRANDS.get(genome[ref : ref + 4].upper()))
+            ref += 4
+        n = e - s + 1
+        while n:
+            if text[at : at + 1] == "+":
+                end = text.index("+", at + 1)
+                add(end - at - 1, "I")
+                wrong, at = wrong + end - at - 1, end + 1
+                continue
+            add(1, "M")
+            if sound and text[at] != genome[ref]:
+                md.append(f"{same}{genome[ref]}")
+                same, wrong = 0, wrong + 1
             else:
-                out.append(f"{matched}{y}")
-                matched, wrong = 0, wrong + 1
-        at += e - s + 1
-    return "".join(out) + str(matched), wrong
-
-
-def best_offset(read: str, whole: str) -> tuple[int, int, int]:
-    """(clip in front, offset in whole, bases) of the ungapped placing of a read in a sequence that agrees the most."""
-    best = (-1, 0, 0, 0)
-    for shift in range(-len(read) + 1, len(whole)):
-        low = max(0, -shift)
-        n = min(len(read), len(whole) - shift) - low
-        same = sum(x == y for x, y in zip(read[low : low + n], whole[low + shift : low + shift + n], strict=False))
-        score = 2 * same - n
-        if score > best[0]:
-            best = (score, low, low + shift, n)
-    return best[1:]
+                same += 1
+            at, ref, n = at + 1, ref + 1, n - 1
+    if right > 0:
+        ops.append([right, "S"])
+    strands.discard(None)
+    cigar = "".join(f"{n}{op}" for n, op in ops)
+    return (cigar, "".join(md) + str(same), wrong, strands.pop() if len(strands) == 1 else None) if sound else (cigar, None, None, None)

@@ -28,6 +28,10 @@ def _turned(bases: str) -> str:
     return bases[::-1].translate(str.maketrans("ACGT", "TGCA"))
 
 
+#: The strand that an intron's first and last two bases tell.
+STRANDS = {text: strand for d, a in reversed(SIGNALS) for strand, text in (("-", _turned(a) + _turned(d)), ("+", d + a))}
+
+
 def signal(first: Column, last: Column, extra: Sequence[tuple[str, str]] = ()) -> Column:
     """struct<strand, canonical> of an intron's first and last two bases; null if they are no signal."""
     pair = F.concat(F.upper(first), F.upper(last))

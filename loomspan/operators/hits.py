@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loomspan.functions import fragments as R
 from loomspan.functions import sequence as Q
 from loomspan.functions import spans as S
-from loomspan.operators import reads, reconcile
+from loomspan.operators import reads
 
 
 def genome_hits(hits: DataFrame) -> DataFrame:
@@ -79,30 +79,84 @@ def psl_hits(rows: DataFrame, sequences: DataFrame, within: int = 10) -> DataFra
     ).distinct()
 
 
-def split_by_uniqueness(hits: DataFrame, least: int, distance: int = 500_000, rescue: bool = True, one_strand: bool = False, paired: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(unique, ambiguous) alignments of hits by read and mate.
+def split_by_uniqueness(
+    hits: DataFrame, least: int, distance: int = 500_000, rescue: bool = True, one_strand: bool = False, one_mate: bool = False, **pairing
+) -> tuple[DataFrame, DataFrame]:
+    """(unique, ambiguous) alignments (seqnum, mate, chr, spans, strand, seq) of hits; mate is empty where the mates are one.
 
-    Reads with one fragment are unique. With rescue, a single mate whose alternatives share a region of `least` bases is
-    unique there."""
-    found = reads.classified(hits, distance=distance, paired=paired)
-    rows = []
-    for mate, side in (("a", "fwd"), ("b", "rev")):
-        part = found.where(F.col(side).isNotNull())
-        rows.append(part.select("seqnum", F.lit(mate).alias("mate"), "chr", f"{side}.spans", "strand", f"{side}.seq", "is_unique"))
-    every = rows[0].unionByName(rows[1]).distinct()
-    unique, rest = every.where("is_unique").drop("is_unique"), every.where("not is_unique").drop("is_unique")
+    Reads with one fragment (reads.classified, which gets `pairing`) are unique. With rescue, so is a read whose alternatives are all
+    joined ones, all pairs or all of one mate, lie on one chromosome (one_strand: and strand) and share a region of `least` bases,
+    pairs one of each mate, the two apart and at most `distance` from each other: it is reported there. one_mate: of pairs that share a region
+    of one mate only, that mate alone is."""
+    found = reads.classified(hits, distance=distance, **pairing)
+    parts = F.explode(F.array(*[F.struct(F.lit(m).alias("mate"), F.col(c).alias("x")) for m, c in (("a", "fwd"), ("b", "rev"), ("", "joined"))]))
+
+    def rows(fragments: DataFrame) -> DataFrame:
+        each = fragments.select("seqnum", "chr", "strand", parts.alias("p")).where("p.x is not null")
+        return each.select("seqnum", "p.mate", "chr", "p.x.spans", "strand", "p.x.seq").distinct()
+
+    unique, rest = rows(found.where("is_unique")), found.where("not is_unique")
     if not rescue:
-        return unique, rest
-    single = rest.join(rest.groupBy("seqnum").agg(F.count_distinct("mate").alias("_m")).where("_m = 1").select("seqnum"), "seqnum", "left_semi")
-    saved = reconcile.demoted(single, least, one_strand).drop("verdict")
-    return unique.unionByName(saved), reads.excluded(rest, saved)
+        return unique, rows(rest)
+    saved = _shared(rest, least, distance, one_strand, one_mate)
+    return unique.unionByName(saved), rows(reads.excluded(rest, saved))
+
+
+def _shared(fragments: DataFrame, least: int, distance: int, one_strand: bool, one_mate: bool) -> DataFrame:
+    """Alignments of the reads whose ambiguous fragments share a region."""
+    kind = F.concat(*[F.col(c).isNotNull().cast("int").cast("string") for c in ("fwd", "rev", "joined")])
+    groups = fragments.groupBy("seqnum").agg(
+        F.count_distinct("chr").alias("_c"), F.count_distinct("strand").alias("_s"), F.count_distinct(kind).alias("_k"), F.min("chr").alias("chr"),
+        F.min("strand").alias("strand"), F.array_sort(F.collect_list(F.struct("fwd", "rev", "joined"))).alias("hits"),
+    )
+    groups = groups.where("_c = 1 and _k = 1" + " and _s = 1" * one_strand).select("seqnum", "chr", "strand", "hits")
+
+    def region(hits: list[dict]) -> tuple[R.Spans, str] | None:
+        spans, seq = R.common([[(s["start"], s["end"]) for s in h["spans"]] for h in hits], R.bases(hits[0]["seq"] or ""))
+        return (spans, R.marked(seq, spans)) if R.length(spans) >= least else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                sides = {m: [h[c] for h in row["hits"]] for m, c in (("a", "fwd"), ("b", "rev"), ("", "joined")) if row["hits"][0][c]}
+                shared = {m: found for m, hits in sides.items() if (found := region(hits))}
+                if len(shared) == 2:
+                    up, down = sorted(x[0] for x in shared.values())
+                    shared = shared if 0 < down[0][0] - up[-1][1] <= distance else {}
+                elif len(sides) == 2 and not one_mate:
+                    shared = {}
+                for m, (spans, seq) in shared.items():
+                    out.append((row["seqnum"], m, row["chr"], [{"start": s, "end": e} for s, e in spans], row["strand"], seq))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
+
+    spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    names = {"seqnum": pa.int64(), "mate": pa.string(), "chr": pa.string(), "spans": spans, "strand": pa.string(), "seq": pa.string()}
+    schema = pa.schema(list(names.items()))
+    return groups.mapInArrow(run, f"seqnum long, mate string, chr string, spans {S.TYPE}, strand string, seq string")
+
+
+def genome_classified(hits: DataFrame, distance: int = 500_000) -> tuple[DataFrame, DataFrame]:
+    """(unique, ambiguous) of genome_hits: overlapping mates are one, a mate within the other adds nothing, no rescue."""
+    return split_by_uniqueness(hits, 0, distance, rescue=False)
+
+
+def transcript_classified(hits: DataFrame, least: int, distance: int = 500_000) -> tuple[DataFrame, DataFrame]:
+    """(unique, ambiguous) of transcript_hits: mates fuse where their inner blocks agree, alternatives on one strand may share a region."""
+    return split_by_uniqueness(hits, least, distance, one_strand=True, contained=False)
+
+
+def spliced_classified(hits: DataFrame, least: int, distance: int = 500_000) -> tuple[DataFrame, DataFrame]:
+    """(unique, ambiguous) of psl_hits: as transcript_classified, with a base of either mate given up to fuse, only the pairs of most
+    covered bases, and one mate alone where only its alternatives share a region."""
+    return split_by_uniqueness(hits, least, distance, one_mate=True, contained=False, repair=True, longest=True)
 
 
 def mates_of_joined(joined: DataFrame, sequences: DataFrame) -> DataFrame:
     """Both mates (a, b) of joined alignments: each read's longest stretch that begins, or ends, the joined sequence.
 
     joined: (seqnum, chr, spans, strand, seq); sequences: (seqnum, a_seq, b_seq) as sequenced. left and right are the read's bases
-    before and behind that stretch, in the genome's direction."""
+    before and behind that stretch, in the genome's direction; whole is the joined alignment's spans."""
 
     def stretch(read: str, whole: str) -> int:
         low, high = 0, min(len(read), len(whole))
@@ -114,30 +168,40 @@ def mates_of_joined(joined: DataFrame, sequences: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = str.maketrans("ACGT", "TGCA")
         for batch in batches:
-            out = []
+            rows = []
             for r in batch.to_pylist():
-                spans, seq = [(s["start"], s["end"]) for s in r["spans"]], R.plain(r["seq"]).replace("+", "")
-                a, b = r["a_seq"], r["b_seq"]
+                spans, chars, inside = [(s["start"], s["end"]) for s in r["spans"]], [], []
+                for k, part in enumerate(R.plain(r["seq"]).split("+")):
+                    chars += part
+                    inside += [k % 2 == 1] * len(part)
+                whole, a, b = "".join(chars), r["a_seq"], r["b_seq"]
                 up, down = ("a", a), ("b", b[::-1].translate(turn))
                 if r["strand"] == "-":
                     up, down = ("b", b), ("a", a[::-1].translate(turn))
-                n = stretch(up[1], seq)
-                left = up[1].find(seq[:n])
-                out.append((r, up[0], R.cut_back(spans, seq, R.length(spans) - n), left, len(up[1]) - left - n))
-                n = stretch(down[1][::-1], seq[::-1])
-                right = down[1][::-1].find(seq[::-1][:n])
-                out.append((r, down[0], R.cut_front(spans, seq, R.length(spans) - n), len(down[1]) - right - n, right))
-            rows = [
-                {"seqnum": r["seqnum"], "mate": m, "chr": r["chr"], "spans": [{"start": s, "end": e} for s, e in spans], "strand": r["strand"],
-                 "seq": R.marked(seq, spans), "left": left, "right": right}
-                for r, m, (spans, seq), left, right in out
-            ]
+                n = stretch(up[1], whole)
+                m = stretch(down[1][::-1], whole[::-1])
+                for (mate, read), at, low, high in (
+                    (up, up[1].find(whole[:n]), 0, n),
+                    (down, len(down[1]) - m - down[1][::-1].find(whole[::-1][:m]), len(whole) - m, len(whole)),
+                ):
+                    first, last = low, high  # an insertion at the piece's end is clipped
+                    while low < high and inside[low]:
+                        low += 1
+                    while low < high and inside[high - 1]:
+                        high -= 1
+                    own, _ = R.cut_front(spans, "", inside[:low].count(False))
+                    own, _ = R.cut_back(own, "", R.length(own) - inside[low:high].count(False))
+                    marks = "".join(f"+{''.join(x)}+" if on else "".join(x) for on, x in R.grouped(inside[low:high], chars[low:high]))
+                    seq = R.with_insertions(R.marked(R.bases(marks), own), own, R.insertions(marks, own))
+                    row = {"seqnum": r["seqnum"], "mate": mate, "chr": r["chr"], "strand": r["strand"], "seq": seq, "whole": r["spans"]}
+                    row |= {"spans": [{"start": s, "end": e} for s, e in own], "left": at + low - first, "right": len(read) - at - (last - first) + last - high}
+                    rows.append(row)
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     text = pa.string()
     schema = pa.schema(
-        [("seqnum", pa.int64()), ("mate", text), ("chr", text), ("spans", spans), ("strand", text), ("seq", text), ("left", pa.int64()), ("right", pa.int64())]
+        [("seqnum", pa.int64()), ("mate", text), ("chr", text), ("spans", spans), ("strand", text), ("seq", text), ("left", pa.int64()), ("right", pa.int64()), ("whole", spans)]
     )
     met = joined.select("seqnum", "chr", "spans", "strand", "seq").join(sequences, "seqnum")
-    return met.mapInArrow(run, f"seqnum long, mate string, chr string, spans {S.TYPE}, strand string, seq string, left long, right long")
+    return met.mapInArrow(run, f"seqnum long, mate string, chr string, spans {S.TYPE}, strand string, seq string, left long, right long, whole {S.TYPE}")

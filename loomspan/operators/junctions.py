@@ -12,6 +12,7 @@ from loomspan.functions import spans as S
 from loomspan.functions.splice import signal
 from loomspan.operators.coverage import over_spans
 from loomspan.operators.intervals import band_join, contained_removed, overlap_join
+from loomspan.operators.sam import sized
 
 SUMMED = ("score", "long_overlap_unique_reads", "short_overlap_unique_reads", "long_overlap_nu_reads", "short_overlap_nu_reads")
 #: Track colours of junctions in the BED files.
@@ -88,13 +89,12 @@ def with_bases(rows: DataFrame, genome: DataFrame, at: str, out: str, n: int, be
     """rows with the n bases from (at - before), 1-based, looked up in genome chunks (chr, chunk, size, seq).
 
     A chunk's text runs n - 1 bases or more into the next one (genome_chunks does that), so one equi-join on (chr, chunk) is enough."""
-    size = genome.select("size").first()
-    width = size[0] if size else 1
-    keyed = rows.withColumn("_at", F.col(at) - before - 1).withColumn("chunk", F.floor(F.col("_at") / width))
+    width = F.col("_size")
+    keyed = sized(rows, genome).withColumn("_at", F.col(at) - before - 1).withColumn("chunk", F.floor(F.col("_at") / width))
     own = genome.select("chr", "chunk", F.col("seq").alias("_seq"))
     found = keyed.join(own, ["chr", "chunk"], "left")
     text = F.substring("_seq", (F.col("_at") - F.col("chunk") * width + 1).cast("int"), F.lit(n))
-    return found.withColumn(out, F.when(F.col("_at") >= 0, text)).drop("_seq", "_at", "chunk")
+    return found.withColumn(out, F.when(F.col("_at") >= 0, text)).drop("_seq", "_at", "chunk", "_size")
 
 
 def genome_chunks(genome: DataFrame, size: int = 1 << 16, over: int = 64) -> DataFrame:

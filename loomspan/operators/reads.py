@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomspan.functions import fragments as R
 from loomspan.functions import spans as S
 
 
@@ -47,32 +49,60 @@ def paired(forward: DataFrame, reverse: DataFrame, on: Sequence[str], a: tuple[s
     return joined.where((F.col(a[0]) <= F.col(b[0])) & (gap < distance)).withColumn("gap", gap)
 
 
-def classified(hits: DataFrame, read: str = "seqnum", distance: int = 500_000, paired: bool = True) -> DataFrame:
-    """Hits (seqnum, mate a|b, chr, spans, strand, seq) as fragments with is_unique.
+def classified(
+    hits: DataFrame, read: str = "seqnum", distance: int = 500_000, contained: bool = True, repair: bool = False, longest: bool = False, crowd: int = 1_000_000
+) -> DataFrame:
+    """Hits (seqnum, mate a|b, chr, spans, strand, seq) as fragments (seqnum, chr, strand, fwd, rev, joined, is_unique).
 
-    Hits are distinct first. Mates that pair make fragments {fwd, rev}; a read with pairs keeps only those, another keeps
-    its only hit; without mates (paired false) all its hits. A read with one fragment is unique; the strand given is the
-    forward one. Reads of a million possible pairs or more are left out before pairing."""
+    Hits are distinct first; the strand given is the forward one. A read with hits of both mates keeps its consistent pairs: on one
+    chromosome and strand, in order and at most `distance` apart; mates that touch or overlap are one alignment, joined, if
+    their inner blocks agree (contained, repair: see one_of_mates), else no pair. longest: only a read's pairs of most covered bases
+    count. A read with hits of one mate keeps all of them. A read with one fragment is unique. Reads of `crowd` possible pairs or
+    more aren't paired: their hits are single ones, none of them unique."""
     hits = hits.select(read, "mate", "chr", "spans", "strand", "seq").distinct()
     sides = {}
     for mate, name in (("a", "fwd"), ("b", "rev")):
         own = hits.where(F.col("mate") == mate)
         strand = F.translate("strand", "+-", "-+") if mate == "b" else F.col("strand")
-        sides[mate] = own.select(read, "chr", strand.alias("strand"), F.struct("spans", "seq").alias(name))
+        sides[name] = own.select(read, "chr", strand.alias("strand"), F.struct("spans", "seq").alias(name))
     counts = hits.groupBy(read).agg(F.sum((F.col("mate") == "a").cast("long")).alias("_a"), F.sum((F.col("mate") == "b").cast("long")).alias("_b"))
-    fit = counts.where(F.col("_a") * F.col("_b") < 1_000_000)
-    pairs = sides["a"].join(sides["b"], [read, "chr", "strand"]).join(fit.select(read), read, "left_semi")
-    up, down = F.when(F.col("strand") == "+", F.col("fwd")).otherwise(F.col("rev")), F.when(F.col("strand") == "+", F.col("rev")).otherwise(F.col("fwd"))
-    ahead = (S.first_start(up["spans"]) <= S.first_start(down["spans"])) & (S.first_start(down["spans"]) - S.last_end(up["spans"]) < distance)
-    pairs = pairs.where(ahead).select(read, "chr", "strand", "fwd", "rev")
-    single = fit.where(F.col("_a") + F.col("_b") == 1 if paired else (F.col("_a") == 0) | (F.col("_b") == 0)).select(read)
-    empty = F.lit(None)
-    alone = [
-        sides[m].join(single, read, "left_semi").withColumn(other, empty.cast(pairs.schema[other].dataType)).select(read, "chr", "strand", "fwd", "rev")
-        for m, other in (("a", "rev"), ("b", "fwd"))
-    ]
-    every = pairs.unionByName(alone[0]).unionByName(alone[1])
-    return every.join(every.groupBy(read).agg((F.count(F.lit(1)) == 1).alias("is_unique")), read)
+    many = F.col("_a") * F.col("_b")
+    pairs = sides["fwd"].join(sides["rev"], [read, "chr", "strand"]).join(counts.where((many > 0) & (many < crowd)).select(read), read, "left_semi")
+    plus = F.col("strand") == "+"
+    up, down = F.when(plus, F.col("fwd")).otherwise(F.col("rev")), F.when(plus, F.col("rev")).otherwise(F.col("fwd"))
+    gap = S.first_start(down["spans"]) - S.last_end(up["spans"])
+    none = lambda *names: [F.lit(None).cast("struct<spans: array<struct<start: bigint, end: bigint>>, seq: string>").alias(n) for n in names]
+    apart = pairs.where((gap > 1) & (gap <= distance)).select(read, "chr", "strand", "fwd", "rev", *none("joined"))
+    close = pairs.where((gap <= 1) & (S.first_start(up["spans"]) <= S.first_start(down["spans"])))
+    joined = _joined(close.select(read, "chr", "strand", up.alias("up"), down.alias("down")), read, contained, repair)
+    both = apart.unionByName(joined.select(read, "chr", "strand", *none("fwd", "rev"), "joined").distinct())
+    if longest:
+        covered = sum((F.coalesce(S.total_length(F.col(f"{c}.spans")), F.lit(0)) for c in ("fwd", "rev", "joined")), F.lit(0))
+        both = both.withColumn("_n", covered)
+        both = both.join(both.groupBy(read).agg(F.max("_n").alias("_n")), [read, "_n"], "left_semi").drop("_n")
+    lone = counts.where((many == 0) | (many >= crowd)).select(read, (many > 0).alias("_crowd"))
+    alone = [sides[m].join(lone, read).select(read, "chr", "strand", m, *none(o, "joined"), "_crowd") for m, o in (("fwd", "rev"), ("rev", "fwd"))]
+    every = both.withColumn("_crowd", F.lit(False)).unionByName(alone[0]).unionByName(alone[1])
+    one = every.groupBy(read).agg((F.count(F.lit(1)) == 1).alias("is_unique"))
+    return every.join(one, read).withColumn("is_unique", F.col("is_unique") & ~F.col("_crowd")).drop("_crowd")
+
+
+def _joined(close: DataFrame, read: str, contained: bool, repair: bool) -> DataFrame:
+    """(read, chr, strand, joined) of the mates (up, down) that are one alignment."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, keep = [], []
+            for k, row in enumerate(batch.to_pylist()):
+                two = [([(s["start"], s["end"]) for s in x["spans"]], x["seq"] or "") for x in (row["up"], row["down"])]
+                if found := R.one_of_mates(*two, contained, repair):
+                    keep.append(k)
+                    out.append({"spans": [{"start": s, "end": e} for s, e in found[0]], "seq": found[1]})
+            rows = batch.take(pa.array(keep, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(out, rows.schema.field("up").type)], [*rows.schema.names[:3], "joined"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in close.schema.fields[:3])
+    return close.mapInArrow(run, f"{kinds}, joined {close.schema['up'].dataType.simpleString()}")
 
 
 def union_distinct(*tables: DataFrame) -> DataFrame:
@@ -95,8 +125,13 @@ def merged_counts(tables: Sequence[DataFrame], key: str, n: str = "n") -> DataFr
 
 
 def multiplicity_histogram(rows: DataFrame, read: str = "seqnum") -> DataFrame:
-    """(num_locs, num_reads): reads by how many rows they have."""
-    return rows.groupBy(read).agg(F.count(F.lit(1)).alias("num_locs")).groupBy("num_locs").agg(F.count(F.lit(1)).alias("num_reads"))
+    """(num_locs, num_reads): reads by how many places they have. With a column mate, a pair's two rows are one place: a read has as
+    many as joined rows and rows of its more frequent mate."""
+    n = F.count(F.lit(1))
+    if "mate" in rows.columns:
+        of = lambda m: F.count_if(F.col("mate") == m)
+        n = of("") + F.greatest(of("a"), of("b"))
+    return rows.groupBy(read).agg(n.alias("num_locs")).groupBy("num_locs").agg(F.count(F.lit(1)).alias("num_reads"))
 
 
 def numbered(rows: DataFrame, read: str, order: Sequence[str | Column]) -> DataFrame:

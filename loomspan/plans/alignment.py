@@ -40,11 +40,12 @@ def fragments(unique: DataFrame, ambiguous: DataFrame) -> DataFrame:
     return unique.select(*columns, F.lit(True).alias("is_unique")).unionByName(ambiguous.select(*columns, F.lit(False).alias("is_unique")))
 
 
-def outputs(unique: DataFrame, ambiguous: DataFrame, models: DataFrame, genome: DataFrame, settings: Settings | None = None) -> dict[str, DataFrame]:
-    """Coverage of both kinds, junctions, inferred exons and their counts, feature counts with RPKM, statistics, histogram."""
+def outputs(unique: DataFrame, ambiguous: DataFrame, models: DataFrame, chunks: DataFrame, settings: Settings | None = None) -> dict[str, DataFrame]:
+    """Coverage of both kinds, junctions, inferred exons and their counts, feature counts with RPKM, statistics, histogram.
+
+    chunks: the genome in pieces (chr, chunk, size, seq), as readers.chunked makes them."""
     settings = settings or Settings()
     rows = fragments(unique, ambiguous)
-    chunks = junctions.genome_chunks(genome)
     found = junctions.called(rows, chunks, genes.introns(models), settings.long_overlap)
     cover = coverage.of_spans(unique)
     exons = junctions.inferred_exons(found, cover, genes.exons(models), settings.longest_exon)

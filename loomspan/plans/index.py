@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from loomspan.functions import spans as S
 from loomspan.functions.chromosomes import by_location
 from loomspan.operators import genes
-from loomspan.operators.junctions import genome_chunks
 from loomspan.operators.regions import renamed_header
 from loomspan.operators.sam import with_genome
 from loomspan.sources import lines, readers
@@ -20,7 +19,7 @@ from loomspan.sources import lines, readers
 class Index:
     """An organism's tables."""
 
-    genome: DataFrame
+    lengths: DataFrame
     chunks: DataFrame
     models: DataFrame
     exons: DataFrame
@@ -31,15 +30,17 @@ class Index:
 
 def built(spark: SparkSession, fasta: str, models: DataFrame, size: int = 1 << 16) -> Index:
     """From a FASTA file and gene models (chr, strand, exons, name, type): equal models are one, overlapping exons too."""
-    raw = readers.one_line(lines.numbered_lines(spark, fasta))
-    genome = raw.select(renamed_header(F.col("name")).alias("chr"), "seq")
-    chunks = genome_chunks(genome, size)
+    raw = lines.numbered_lines(spark, fasta)
+    name = renamed_header(F.col("name"))
+    chunks = readers.chunked(raw, size, name=name)
+    ends = readers.sequence_lines(raw).groupBy(name.alias("chr")).agg(F.max(F.col("before") + F.length("value")).alias("length"))
     whole = genes.merged(genes.repaired(models), ["chr", "strand", "exons"])
-    known = whole.join(genome.select("chr"), "chr", "left_semi")
+    known = whole.join(ends.select("chr"), "chr", "left_semi")
     parts = genes.exons(known)
     spans = parts.withColumn("spans", F.array(S.span(F.col("start"), F.col("end"))))
     looked = with_genome(spans, chunks, ["chr", "start", "end"]).select("chr", "start", "end", F.col("genome").alias("seq"))
-    return Index(genome, chunks, known, parts, genes.introns(known), genes.sequences(known, looked), genes.genome_size(genome))
+    size_of = ends.agg(F.sum("length").alias("genome_size"))
+    return Index(ends, chunks, known, parts, genes.introns(known), genes.sequences(known, looked), size_of)
 
 
 def ordered_models(models: DataFrame) -> DataFrame:
@@ -50,11 +51,11 @@ def ordered_models(models: DataFrame) -> DataFrame:
 
 def save(index: Index, folder: str) -> None:
     """One Parquet table each; chunks by chromosome."""
-    for name in ("genome", "models", "exons", "introns", "gene_sequences", "size"):
+    for name in ("lengths", "models", "exons", "introns", "gene_sequences", "size"):
         getattr(index, name).write.mode("overwrite").parquet(f"{folder}/{name}")
     index.chunks.write.mode("overwrite").partitionBy("chr").parquet(f"{folder}/chunks")
 
 
 def load(spark: SparkSession, folder: str) -> Index:
     read = lambda name: spark.read.parquet(f"{folder}/{name}")
-    return Index(*(read(n) for n in ("genome", "chunks", "models", "exons", "introns", "gene_sequences", "size")))
+    return Index(*(read(n) for n in ("lengths", "chunks", "models", "exons", "introns", "gene_sequences", "size")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomspan.functions import spans as S
@@ -94,27 +94,39 @@ def psl(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def kept_psl(rows: DataFrame, low: DataFrame | None = None, least: int = 0, most_gaps: int = 1, most_blocks: int = 500) -> DataFrame:
     """PSL rows that match enough: aligned bases less mismatches over `least` plus the read's masked bases, at most two under its length.
 
-    low: (q_name, n_masked); a read masked by more than half may have three blocks at most. Rows with a gap in the read are kept only
-    for one short insertion between long enough flanks that no target gap stands beside."""
+    low: (q_name, n_masked), see masked_counts; a read masked by more than half may have three blocks at most. Rows with a gap in the read
+    are kept only for one short insertion between blocks of eight bases or more, if no gap of the target is shorter than 32 bases or
+    lies at the same place."""
     rows = rows.withColumn("n_masked", F.lit(0)) if low is None else rows.join(low, "q_name", "left").na.fill(0, ["n_masked"])
     matched = F.aggregate("block_sizes", F.lit(0).cast("bigint"), lambda n, x: n + x) - F.col("mismatches")
     enough = matched > F.least(least + F.col("n_masked"), F.col("q_size") - 2)
     blocks = F.col("block_count") <= F.when(F.col("n_masked") * 2 > F.col("q_size"), F.least(F.lit(3), F.lit(most_blocks))).otherwise(most_blocks)
-    flank = F.least(F.element_at("block_sizes", 1), F.element_at("block_sizes", -1)) >= 8
+    borders = F.sequence(F.lit(0), F.size("block_sizes") - 2)
+    at = lambda c, k: F.get(c, k)
+    gap = lambda c, k: at(c, k + 1) - at(c, k) - at("block_sizes", k)
+    short = F.exists(borders, lambda k: gap("t_starts", k).between(1, 31))
+    thin = F.exists(borders, lambda k: (gap("q_starts", k) > 0) & (F.least(at("block_sizes", k), at("block_sizes", k + 1)) < 8))
     inserted = (
-        (F.col("mismatches") <= 2) & (F.col("q_end") >= 0.85 * F.col("q_size")) & (F.col("t_gap_count") <= 1) & (F.col("q_gap_bases") <= 3) & flank
-        & ((F.col("t_gap_bases") == 0) | (F.col("t_gap_bases") >= 32))
+        (F.col("mismatches") <= 2) & (F.col("q_end") >= 0.85 * F.col("q_size")) & (F.col("t_gap_count") <= 1) & (F.col("q_gap_bases") <= 3)
+        & (F.size("block_sizes") > F.col("q_gap_count") + F.col("t_gap_count")) & ~short & ~thin
     )
     return rows.where(enough & blocks & (F.col("q_gap_count") <= most_gaps) & ((F.col("q_gap_count") == 0) | inserted))
 
 
+def masked_counts(spark: SparkSession, path: str | list[str], letter: str = "N") -> DataFrame:
+    """(q_name, n_masked) of a masked FASTA file, whose sequences may have several lines."""
+    bases = sequence_lines(numbered_lines(spark, path))
+    count = F.sum(F.length("value") - F.length(F.replace("value", F.lit(letter), F.lit(""))))
+    return bases.groupBy(F.regexp_extract("name", r"^(\S*)", 1).alias("q_name")).agg(count.alias("n_masked"))
+
+
 def sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """SAM rows with typed columns and tags array<string>; header lines are skipped."""
     parts = F.split("value", "\t")
     rows = spark.read.text(path).where(~F.col("value").startswith("@")).select(parts.alias("p"))
     text = dict(zip(("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual"), range(11), strict=True))
     whole = {"flag": "int", "pos": "long", "mapq": "int", "pnext": "long", "tlen": "long"}
-    return rows.select(*[F.get("p", k).cast(whole.get(c, "string")).alias(c) for c, k in text.items()], F.slice("p", 12, 1000).alias("tags"))
+    return rows.select(*[F.get("p", k).cast(whole.get(c, "string")).alias(c) for c, k in text.items()], F.slice("p", F.lit(12), F.greatest(F.size("p") - 11, F.lit(0))).alias("tags"))
 
 
 def genes(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -149,6 +161,13 @@ def junctions(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("long") for c in counts}).drop("intron")
 
 
+def two_columns(spark: SparkSession, path: str | list[str], key: str = "id", value: str = "info") -> DataFrame:
+    """(key, value) of tab-separated tables whose first line names the columns: mappings of ids, annotations. Of repeated keys the
+    greatest value stays."""
+    rows = spark.read.options(sep="\t", quote="", escape="", header="true").schema(f"`{key}` string, `{value}` string").csv(path)
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(value).alias(value))
+
+
 def genome(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(chr, seq) of a FASTA file with one line per sequence (one_line makes such files)."""
     lines = numbered_lines(spark, path)
@@ -156,20 +175,48 @@ def genome(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return rows.select(F.regexp_extract("name", r"^>\s*(\S+)", 1).alias("chr"), F.upper("seq").alias("seq"))
 
 
-def one_line(lines: DataFrame) -> DataFrame:
-    """(name, seq) of numbered lines of a FASTA file with sequences over many lines.
-
-    Each file's headers, one row per sequence, give the lines their sequence by a range of line numbers."""
-    heads = lines.where(F.col("value").startswith(">")).select("file", F.col("line").alias("_head"), F.regexp_replace("value", "^>", "").alias("name"))
-    ends = F.lead("_head").over(_order("file", "_head"))
-    heads = heads.withColumn("_next", F.coalesce(ends, F.lit(1 << 62)))
-    body = lines.where(~F.col("value").startswith(">"))
-    met = body.join(heads, "file").where((F.col("line") > F.col("_head")) & (F.col("line") < F.col("_next")))
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("line", F.upper(F.trim("value")).alias("v")))), lambda x: x["v"])
-    return met.groupBy("file", "_head", "name").agg(F.array_join(parts, "").alias("seq")).select("name", "seq")
+def sequence_lines(lines: DataFrame, stretch: int = 1 << 16) -> DataFrame:
+    """(file, line, name, head, before, value) of a FASTA file's numbered lines: each line of bases with its sequence's name and header
+    line, and the sequence's bases before it.
+
+    Lines fall into stretches of numbers. A stretch's bases and last header, one row each, tell the next ones where they
+    begin, and lines are only put in order within their stretch: neither a file nor a sequence is one task."""
+    head = F.col("value").startswith(">")
+    rows = lines.select("file", "line", F.floor(F.col("line") / stretch).alias("_s"), head.alias("_head"), F.trim("value").alias("value"))
+    rows = rows.withColumn("_w", F.when(F.col("_head"), 0).otherwise(F.length("value")))
+    order = Window.partitionBy("file").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("file", "_s").agg(F.sum("_w").alias("_all"))
+    sums = sums.select("file", "_s", F.coalesce(F.sum("_all").over(order), F.lit(0)).alias("_low"))
+    inner = Window.partitionBy("file", "_s").orderBy("line")
+    rows = rows.join(sums, ["file", "_s"]).withColumn("_upto", F.col("_low") + F.sum("_w").over(inner) - F.col("_w"))
+    title = F.struct(F.col("line").alias("line"), F.col("_upto").alias("upto"), F.expr("substring(value, 2)").alias("name"))
+    rows = rows.withColumn("_own", F.max(F.when(F.col("_head"), title)).over(inner))
+    last = rows.where("_head").groupBy("file", "_s").agg(F.max(title).alias("_last"))
+    opened = sums.select("file", "_s").join(last, ["file", "_s"], "left").select("file", "_s", F.max("_last").over(order).alias("_open"))
+    met = rows.where("not _head").join(opened, ["file", "_s"]).withColumn("_t", F.coalesce("_own", "_open")).where("_t is not null")
+    before = F.col("_upto") - F.col("_t.upto")
+    return met.select("file", "line", F.trim("_t.name").alias("name"), F.col("_t.line").alias("head"), before.alias("before"), "value")
 
 
-def _order(group: str, by: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(group).orderBy(by)
+def one_line(lines: DataFrame) -> DataFrame:
+    """(name, seq) of numbered lines of a FASTA file with sequences over many lines: a row holds a whole sequence.
+
+    For sequences too long for that, see chunked."""
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("before", "line", F.upper("value").alias("v")))), lambda x: x["v"])
+    return sequence_lines(lines).groupBy("file", "head", "name").agg(F.array_join(parts, "").alias("seq")).select("name", "seq")
+
+
+def chunked(lines: DataFrame, size: int = 1 << 16, over: int = 64, name: Column | None = None) -> DataFrame:
+    """(chr, chunk, size, seq) of numbered lines of a FASTA file: pieces of fixed size that each run `over` bases into the next.
+
+    Each line goes to the chunks that it reaches into, so what a task holds is a chunk and never a chromosome."""
+    rows = sequence_lines(lines).withColumn("value", F.upper("value")).where(F.length("value") > 0)
+    end = F.col("before") + F.length("value")
+    low = F.greatest(F.floor((F.col("before") - over) / size), F.lit(0))
+    rows = rows.withColumn("chunk", F.explode(F.sequence(low, F.floor((end - 1) / size))))
+    first, last = F.greatest(F.col("before"), F.col("chunk") * size), F.least(end, F.col("chunk") * size + size + over)
+    piece = F.substring("value", (first - F.col("before") + 1).cast("int"), (last - first).cast("int"))
+    parts = F.array_sort(F.collect_list(F.struct(first.alias("at"), piece.alias("v"))))
+    label = F.regexp_extract("name", r"^(\S+)", 1) if name is None else name
+    whole = rows.groupBy("file", "head", label.alias("chr"), "chunk").agg(F.array_join(F.transform(parts, lambda x: x["v"]), "").alias("seq"))
+    return whole.select("chr", "chunk", F.lit(size).alias("size"), "seq")

@@ -88,7 +88,7 @@ def test_index_and_outputs(spark, tmp_path):
     tu = rows_of(spark, [(1, "a", "1", "60-90", "+", genome[59:90]), (2, "a", "1", "81-100, 151-170", "+", "x")])
     none = rows_of(spark, [])
     unique, rest = alignment.reconciled(gu, tu, none, none, alignment.Settings(least_overlap=20))
-    out = alignment.outputs(unique, rest, built.models, built.genome)
+    out = alignment.outputs(unique, rest, built.models, built.chunks)
     assert out["junctions"].select("start", "end", "known", "score", "strand").collect() == [(101, 150, 1, 1, "+")]
     assert out["unique_coverage"].agg(F.sum((F.col("end") - F.col("start")) * F.col("cov"))).first()[0] == 71
     quant = {r.feature_type + str(r.ordinal): (r.ucount, r.nucount) for r in out["quantification"].collect()}

@@ -114,9 +114,26 @@ def test_trimmed():
     assert fragments.trimmed([(1, 3), (11, 15)], "ATGTACGT", "ACGTACGT") == ([(3, 3), (11, 15)], "GTACGT")
 
 
-def test_mismatch_tags():
-    assert fragments.mismatch_tags("ACGT", [(1, 4)], "ACCT") == ("2C1", 1)
-    assert fragments.mismatch_tags("ACGT", [(1, 2), (5, 6)], "ACGT", ["TT"]) == ("2^TT2", 2)
+def test_sam_fields():
+    of = fragments.sam_fields
+    assert of([(1, 4)], "ACGT", 0, 0, "ACCT") == ("4M", "2C1", 1, None)
+    assert of([(1, 2), (5, 6)], "AC:GT", 1, 2, "ACTTGT") == ("1S2M2D2M2S", "2^TT2", 2, None)
+    assert of([(1, 4)], "AC+GG+GT", 0, 0, "ACGT") == ("2M2I2M", "4", 2, None)
+    assert of([(1, 3), (41, 43)], "ACG:TTT", 0, 0, "ACGGTAGTTA") == ("3M37N3M", "5A0", 1, "+")
+    assert of([(1, 3), (41, 43), (90, 91)], "ACG:TTT:AA", 0, 0, "ACGGTAGTTTCTACAA") == ("3M37N3M46N2M", "8", 0, None)  # both strands
+    assert of([(1, 4)], "ACGT", 0, 0, "AC") == ("4M", None, None, None)
+
+
+def test_one_of_mates():
+    one = fragments.one_of_mates
+    assert one(([(1, 10)], "A" * 10), ([(5, 14)], "C" * 10)) == ([(1, 14)], "A" * 10 + "C" * 4)
+    assert one(([(1, 10), (20, 30)], "A" * 10 + ":" + "A" * 11), ([(5, 10), (20, 35)], "C" * 6 + ":" + "C" * 16))[0] == [(1, 10), (20, 35)]
+    assert one(([(1, 12), (20, 30)], "A" * 12 + ":" + "A" * 11), ([(5, 10), (20, 35)], "C" * 6 + ":" + "C" * 16)) is None
+    assert one(([(1, 10)], "A" * 10), ([(3, 6)], "CCCC")) is None
+    assert one(([(1, 10)], "A" * 10), ([(3, 6)], "CCCC"), contained=True) == ([(1, 10)], "A" * 10)
+    up, down = ([(1, 10), (20, 30)], "A" * 10 + ":" + "A" * 11), ([(19, 35)], "C" * 17)
+    assert one(up, down) is None and one(up, down, repair=True)[0] == [(1, 10), (20, 35)]
+    assert one(([(1, 4)], "AC+GG+GT"), ([(4, 6)], "TAA")) == ([(1, 6)], "AC+GG+GTAA")
 
 
 spans = st.lists(st.tuples(st.integers(0, 20), st.integers(1, 15)), min_size=1, max_size=5).map(

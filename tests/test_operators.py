@@ -81,19 +81,41 @@ def test_multiplicity(spark):
     assert rows(reads.limited(df, 1), "seqnum") == [(2,)]
     assert len(rows(reads.limited(df, 2), "seqnum")) == 4
     assert rows(reads.separated(df, ["chr"]), "seqnum", "chr", "is_unique") == [(1, "1", False), (1, "2", False), (2, "1", True)]
-    assert rows(reads.multiplicity_histogram(df), "num_locs", "num_reads") == [(1, 1), (3, 1)]
+    assert rows(reads.multiplicity_histogram(df.drop("mate")), "num_locs", "num_reads") == [(1, 1), (3, 1)]
 
 
 def test_classified(spark):
     data = [
-        (1, "a", "1", "100-120", "+", "A"), (1, "b", "1", "200-220", "-", "C"),
-        (1, "b", "1", "900000-900020", "-", "C"),
-        (2, "a", "1", "1-9", "+", "A"), (2, "a", "2", "1-9", "+", "A"),
-        (3, "b", "1", "5-9", "-", "G"),
+        (1, "a", "1", "100-120", "+", "A" * 21), (1, "b", "1", "200-220", "-", "C" * 21),
+        (1, "b", "1", "900000-900020", "-", "C" * 21),
+        (2, "a", "1", "1-9", "+", "A" * 9), (2, "a", "2", "1-9", "+", "A" * 9),
+        (3, "b", "1", "5-9", "-", "G" * 5),
+        (4, "a", "1", "1-50", "+", "A" * 50), (4, "b", "1", "30-80", "-", "C" * 51),
+        (5, "a", "1", "30-80", "-", "A" * 51), (5, "b", "1", "1-50", "+", "C" * 50),
+        (6, "a", "1", "1-50", "+", "A" * 50), (6, "b", "2", "30-80", "-", "C" * 51),
+        (7, "a", "1", "1-10, 20-30", "+", "A" * 21), (7, "b", "1", "5-12, 20-35", "-", "C" * 24),
     ]
-    out = reads.classified(hits(spark, data), paired=False)
-    assert rows(out, "seqnum", "is_unique") == [(1, True), (2, False), (2, False), (3, True)]
-    assert rows(reads.classified(hits(spark, data)), "seqnum", "is_unique") == [(1, True), (3, True)]
+    show = lambda c: S.render(F.col(f"{c}.spans")).alias(c)
+    out = reads.classified(hits(spark, data)).select("seqnum", "is_unique", show("fwd"), show("rev"), show("joined"), "joined.seq")
+    assert rows(out, "seqnum", "is_unique", "fwd", "rev", "joined") == [
+        (1, True, "100-120", "200-220", None), (2, False, "1-9", None, None), (2, False, "1-9", None, None), (3, True, None, "5-9", None),
+        (4, True, None, None, "1-80"), (5, True, None, None, "1-80"),
+    ]
+    assert {r.seqnum: r.seq for r in out.collect() if r.joined} == {4: "A" * 50 + "C" * 30, 5: "C" * 50 + "A" * 30}
+    crowded = reads.classified(hits(spark, data), crowd=2)
+    assert rows(crowded.where("seqnum = 1"), "is_unique") == [(False,)] * 3
+
+
+def test_pairs_of_most_bases(spark):
+    data = [(1, "a", "1", "1-50", "+", "A" * 50), (1, "b", "1", "30-80", "-", "C" * 51), (1, "b", "1", "500-520", "-", "C" * 21)]
+    assert reads.classified(hits(spark, data)).count() == 2
+    # the joined one covers 80 bases, the pair 71
+    assert rows(reads.classified(hits(spark, data), longest=True), "is_unique") == [(True,)]
+
+
+def test_places_of_pairs(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "a"), (1, "b"), (2, ""), (2, "a"), (3, "b")], "seqnum long, mate string")
+    assert rows(reads.multiplicity_histogram(df), "num_locs", "num_reads") == [(1, 1), (2, 2)]
 
 
 def test_mapping_statistics(spark):
@@ -225,10 +247,10 @@ def test_sam_round_trip(spark):
     r = spark.createDataFrame([(1, "ACGTAC", "TTTT"), (2, "GGGG", "CCCC")], "seqnum long, a_seq string, b_seq string")
     al = hits(spark, [(1, "a", "1", "10-12, 50-52", "+", "ACG:TAC"), (1, "b", "1", "70-73", "+", "AAAA")])
     out = sam.to_sam(r, al)
-    by = {x.qname: x for x in out.collect()}
-    assert (by["seq.1a"].flag, by["seq.1a"].cigar, by["seq.1a"].tlen, by["seq.1a"].mapq) == (99, "3M37N3M", 64, 25)
-    assert (by["seq.1b"].flag, by["seq.1b"].seq, by["seq.1b"].tlen) == (147, "AAAA", -64)
-    assert by["seq.2a"].flag == 77 and by["seq.2a"].cigar == "*"
+    by = {(x.qname, x.flag & 192): x for x in out.collect()}
+    assert (by["seq.1", 64].flag, by["seq.1", 64].cigar, by["seq.1", 64].tlen, by["seq.1", 64].mapq) == (99, "3M37N3M", 64, 25)
+    assert (by["seq.1", 128].flag, by["seq.1", 128].seq, by["seq.1", 128].tlen) == (147, "AAAA", -64)
+    assert by["seq.2", 64].flag == 77 and by["seq.2", 64].cigar == "*" and by["seq.2", 128].rnext == "="
     back = sam.from_sam(out)
     assert rows(back.withColumn("s", S.render(F.col("spans"))), "seqnum", "mate", "s", "strand", "is_unique") == [
         (1, "a", "10-12, 50-52", "+", True), (1, "b", "70-73", "+", True)
@@ -236,6 +258,34 @@ def test_sam_round_trip(spark):
     assert sam.suppressed(out).count() == 2
 
 
+def test_sam_pairs_and_tags(spark):
+    text = "ACGTACGTAC" + "GT" + "C" * 36 + "AG" + "TTTTTGGGGG" + "A" * 40
+    chunks = junctions.genome_chunks(spark.createDataFrame([("1", text)], "chr string, seq string"), size=16)
+    fwd, turn = text[4:10] + text[50:54], lambda x: x[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    al = hits(spark, [
+        (1, "a", "1", "5-10, 51-54", "+", "ACGTAC:TTTT"), (1, "b", "1", "56-60", "+", "GGGGG"),
+        (2, "a", "1", "61-64", "+", "AAAA"), (2, "a", "1", "81-84", "-", "AAAA"), (2, "b", "1", "71-74", "+", "AAAA"), (2, "b", "1", "76-79", "-", "AAAA"),
+        (3, "", "1", "51-60", "+", "TTTTT+CC+GGGGG"), (4, "b", "1", "51-54", "+", "TTTT"),
+    ])
+    reads_ = [(1, "T" + fwd, turn("GGGGG"), "ABCDEFGHIJK", "12345", "x/1"), (2, "AAAA", turn("AAAA"), None, None, None),
+              (3, "TTTTTCCG", turn("TCCGGGGG"), None, None, None), (4, "GATTACA", turn("TTTA"), None, None, None)]
+    r = spark.createDataFrame(reads_, "seqnum long, a_seq string, b_seq string, a_qual string, b_qual string, a_name string")
+    out = sam.to_sam(r, al, chunks).collect()
+    by = {(x.qname, x.flag & 192, next((t for t in x.tags if t.startswith("HI")), "")): x for x in out}
+    x, y = by["x/1", 64, "HI:i:1"], by["x/1", 128, "HI:i:1"]
+    assert (x.cigar, x.qual, set(x.tags)) == ("1S6M40N4M", "ABCDEFGHIJK", {"XO:A:F", "MD:Z:10", "NM:i:0", "IH:i:1", "HI:i:1", "XS:A:+"})
+    assert (y.pos, y.qual, y.seq, y.pnext, y.tlen) == (56, "54321", "GGGGG", 5, -56)
+    # pairs by strand and order, not by place
+    two = sorted((q.pos, q.pnext, q.flag, q.mapq) for q in out if q.qname == "seq.2")
+    assert two == [(61, 71, 99, 0), (71, 61, 147, 0), (76, 81, 163, 0), (81, 76, 83, 0)]
+    assert {(q.flag & 192, q.cigar, q.pos) for q in out if q.qname == "seq.3"} == {(64, "5M2I1M", 51), (128, "1M2I5M", 55)}
+    assert all("XO:A:T" in q.tags and "NM:i:2" in q.tags for q in out if q.qname == "seq.3")
+    lone = {q.flag: q for q in out if q.qname == "seq.4"}
+    assert lone[69 + 32].cigar == "*" and lone[69 + 32].pos == 51 and lone[153].cigar == "4M" if 153 in lone else sorted(lone)
+    single = sam.to_sam(r.select("seqnum", "a_seq"), al.where("mate = 'a'"), chunks).collect()
+    assert {q.flag for q in single if q.qname == "seq.1"} == {0} and {q.flag for q in single if q.qname == "seq.3"} == {4}
+
+
 def test_cleaned(spark):
     chunks = junctions.genome_chunks(genome(spark), size=8)
     a = hits(spark, [(1, "a", "1", "1-8", "+", "TCGTACGA"), (2, "a", "9", "1-8", "+", "ACGTACGT"), (3, "a", "1", "1-3", "+", "ACG")])
