@@ -4,45 +4,56 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _ROMAN = re.compile(r"(?=[ivxlc])(c{0,3})(xc|xl|l?x{0,3})(ix|iv|v?i{0,3})\Z")
-_VALUE = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
+_PARTS = (("c", 100), ("xc", 90), ("l", 50), ("xl", 40), ("x", 10), ("ix", 9), ("v", 5), ("iv", 4), ("i", 1))
 
 
-def arabic(roman: str) -> int | None:
+def roman(n: int) -> str:
+    """A number below 400 in lower-case numerals."""
+    out = ""
+    for text, value in _PARTS:
+        while n >= value:
+            out, n = out + text, n - value
+    return out
+
+
+def arabic(text: str) -> int | None:
     """The value of a lower-case numeral below 400; None if it isn't one."""
-    if not _ROMAN.match(roman):
-        return None
-    values = [_VALUE[c] for c in roman]
-    return sum(-v if any(w > v for w in values[k + 1 : k + 2]) else v for k, v in enumerate(values))
-
-
-def order_key(name: str) -> tuple:
-    """A total order: by class, number, then the name's digits as numbers and letters as text."""
-    text = name.lower()
-    core = text.removeprefix("chr")
-    pieces = tuple((0, int(p), "") if p.isdigit() else (1, 0, p) for p in re.findall(r"\d+|\D+", core))
-    head, _, tail = core.partition("_")
-    late = bool(tail)
-    if head.isdigit():
-        return (late, 0, int(head), pieces, text)
-    if head in ("x", "y", "m", "mt"):
-        return (late, 2, "xym".index(head[0]), pieces, text)
-    number = arabic(head)
-    if number is not None:
-        return (late, 1, number, pieces, text)
-    return (True, 3, 0, pieces, text)
+    return next((n for n in range(1, 400) if roman(n) == text), None) if _ROMAN.match(text) else None
+
+
+def order_key(name: Column) -> Column:
+    """A struct that puts names in a total order: by class, number, then the name's digits as numbers and letters as text.
+
+    Classes: numbers, numerals, X, Y and M, then all others; names with more behind an underscore come after those without."""
+    text = F.lower(name)
+    core = F.regexp_replace(text, "^chr", "")
+    head, tail = F.split_part(core, F.lit("_"), F.lit(1)), F.regexp_extract(core, "_(.*)$", 1)
+    late = (tail != "").cast("int")
+    whole = lambda x: x.cast("decimal(38,0)")
+    pieces = F.transform(
+        F.regexp_extract_all(core, F.lit(r"(\d+|\D+)"), F.lit(1)),
+        lambda x: F.when(x.rlike(r"^\d+$"), F.struct(F.lit(0).alias("k"), whole(F.right(x, F.lit(38))).alias("n"), F.lit("").alias("t"))).otherwise(
+            F.struct(F.lit(1).alias("k"), whole(F.lit(0)).alias("n"), x.alias("t"))
+        ),
+    )
+    numerals = F.create_map(*[F.lit(x) for n in range(1, 400) for x in (roman(n), n)])
+    number = F.element_at(numerals, head)
+    letter = F.when(head == "x", 0).when(head == "y", 1).when(head.isin("m", "mt"), 2)
+    value = F.when(head.rlike(r"^\d+$"), whole(F.right(head, F.lit(38)))).when(letter.isNotNull(), whole(letter)).otherwise(whole(F.coalesce(number, F.lit(0))))
+    kind = F.when(head.rlike(r"^\d+$"), 0).when(letter.isNotNull(), 2).when(number.isNotNull(), 1).otherwise(3)
+    return F.struct(F.when(kind == 3, 1).otherwise(late).alias("late"), kind.alias("kind"), value.alias("value"), pieces.alias("pieces"), text.alias("text"), name.alias("name"))
 
 
 def ranks(df: DataFrame, chromosome: str = "chr") -> DataFrame:
     """(chromosome, chr_rank) of the table's distinct names, of which there are as many as the genome has sequences."""
-    names = [r[0] for r in df.select(chromosome).where(F.col(chromosome).isNotNull()).distinct().toLocalIterator()]
-    rows = [(name, k) for k, name in enumerate(sorted(names, key=order_key))]
-    return df.sparkSession.createDataFrame(rows, f"`{chromosome}` string, chr_rank int")
+    names = df.select(chromosome).where(F.col(chromosome).isNotNull()).distinct()
+    return names.withColumn("chr_rank", F.row_number().over(Window.orderBy(order_key(F.col(chromosome)))) - 1)
 
 
 def by_location(df: DataFrame, start: str = "start", end: str = "end", chromosome: str = "chr", then: tuple[Column | str, ...] = ()) -> DataFrame:
-    """The rows in order of chromosome, start, end and `then`, with a column chr_rank."""
-    return df.join(ranks(df, chromosome), chromosome, "left").orderBy("chr_rank", chromosome, start, end, *then)
+    """The rows in order of chromosome, start, end and `then`: a range-partitioned sort, no name goes to the driver."""
+    return df.orderBy(order_key(F.col(chromosome)), start, end, *then)

@@ -68,10 +68,23 @@ def normalized(coverage: DataFrame, per: float = 1e9, per_base: bool = False, cl
     return out.withColumn("_b", base).withColumns({"start": F.col("_b"), "end": F.col("_b") + (0 if closed else 1)}).drop("_b")
 
 
-def validated(coverage: DataFrame, on: Sequence[str] = ("chr",)) -> DataFrame:
-    """Rows that are empty or overlap the row before: none in a sound table."""
-    before = F.lag("end").over(Window.partitionBy(*on).orderBy("start", "end"))
-    return coverage.withColumn("_before", before).where("end <= start or _before > start").drop("_before")
+def footprint_share(coverage: DataFrame, size: DataFrame) -> DataFrame:
+    """One row: footprint, genome_size and the percent of it that is covered, cut to two digits. size: one row (genome_size)."""
+    out = footprint(coverage).crossJoin(F.broadcast(size))  # one row each
+    return out.withColumn("percent", F.floor(F.col("footprint") / F.col("genome_size") * 10000) / 100)
+
+
+def validated(coverage: DataFrame, on: Sequence[str] = ("chr",), tile: int = 1 << 20) -> DataFrame:
+    """Rows that are empty or overlap the row before: none in a sound table.
+
+    Rows are put in order within tiles; the last row of the tile before, one per tile, tells where the first one's neighbour ends."""
+    late = [*on, "_tile"]
+    rows = coverage.withColumn("_tile", F.floor(F.col("start") / tile))
+    last = rows.groupBy(*late).agg(F.max(F.struct("start", "end")).alias("_x"))
+    last = last.select(*late, F.lag("_x.end").over(Window.partitionBy(*on).orderBy("_tile")).alias("_far"))
+    near = F.lag("end").over(Window.partitionBy(*late).orderBy("start", "end"))
+    out = rows.withColumn("_near", near).join(last, late)
+    return out.where((F.col("end") <= F.col("start")) | (F.coalesce("_near", "_far") > F.col("start"))).select(*coverage.columns)
 
 
 def over_spans(spans: DataFrame, coverage: DataFrame, on: Sequence[str] = ("chr",), cutoff: int = 1) -> DataFrame:

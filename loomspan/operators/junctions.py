@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspan.functions import sequence as Q
 from loomspan.functions import spans as S
 from loomspan.functions.splice import signal
 from loomspan.operators.coverage import over_spans
@@ -19,29 +18,30 @@ SUMMED = ("score", "long_overlap_unique_reads", "short_overlap_unique_reads", "l
 COLORS = {"weak": "255,69,0", "strong": "0,0,128", "known": "16,78,139", "novel": "0,205,102"}
 
 
-def called(alignments: DataFrame, genome: DataFrame, known: DataFrame | None = None, long: int = 8, extra: Sequence[tuple[str, str]] = ()) -> DataFrame:
-    """A row per intron of alignments (seqnum, chr, spans, is_unique): support, strand, signal, score.
-
-    Support is long where both neighbouring blocks have `long` bases or more. The intron's first and last two bases are looked up in
-    genome chunks (chr, chunk, size, seq); a known junction keeps its strand. An intron without a signal that shifts by one
-    base onto one is counted there. score: long unique support where there is a signal."""
-    each = alignments.select(
-        "seqnum",
-        "chr",
-        "is_unique",
-        F.explode(
-            F.transform(
-                S.introns(F.col("spans")),
-                lambda x, i: F.struct(
-                    x["start"].alias("start"),
-                    x["end"].alias("end"),
-                    F.least(
-                        F.get("spans", i)["end"] - F.get("spans", i)["start"] + 1, F.get("spans", i + 1)["end"] - F.get("spans", i + 1)["start"] + 1
-                    ).alias("least"),
-                ),
-            )
-        ).alias("x"),
-    ).select("seqnum", "chr", "is_unique", "x.start", "x.end", "x.least")
+def called(
+    alignments: DataFrame, genome: DataFrame, known: DataFrame | None = None, long: int = 8, extra: Sequence[tuple[str, str]] = (),
+    strand: str | None = None, shortest: int = 15,
+) -> DataFrame:
+    """A row per intron of alignments (seqnum, chr, spans, is_unique; strand and seq if there are): support, strand, signal, score.
+
+    Gaps of `shortest` bases or more are introns; rows with an insertion beside one are left out, and with `strand` those of the other
+    strand. Support is long where the read has `long` bases or more on either side. The intron's first and last two bases are looked
+    up in genome chunks (chr, chunk, size, seq); a known junction keeps its strand. An intron without a signal that can as well lie one base
+    further left, or right, is counted where it has one, a canonical one first, then the left; if neither place has a signal, all of them
+    are rows, and ambiguous. score: long unique support where there is a signal."""
+    if strand:
+        alignments = alignments.where(F.col("strand") == strand)
+    if "seq" in alignments.columns:
+        alignments = alignments.where(~F.coalesce(F.col("seq").contains("+:") | F.col("seq").contains(":+"), F.lit(False)))
+    before = lambda i: S.total_length(F.slice("spans", F.lit(1), i + 1))
+    gaps = F.transform(
+        S.introns(F.col("spans")),
+        lambda x, i: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), F.least(before(i), S.total_length(F.col("spans")) - before(i)).alias("least")
+        ),
+    )
+    each = alignments.select("chr", "is_unique", F.explode(gaps).alias("x")).select("chr", "is_unique", "x.start", "x.end", "x.least")
+    each = each.where(F.col("end") - F.col("start") + 1 >= shortest)
     u, big = F.col("is_unique"), F.col("least") >= long
     n = lambda c: F.sum(c.cast("long"))
     counts = {
@@ -51,23 +51,24 @@ def called(alignments: DataFrame, genome: DataFrame, known: DataFrame | None = N
         "short_overlap_nu_reads": ~u & ~big,
     }
     introns = each.groupBy("chr", "start", "end").agg(*[n(c).alias(k) for k, c in counts.items()])
-    shifts = introns.withColumn("shift", F.explode(F.array(F.lit(0), F.lit(-1), F.lit(1))))
-    shifts = shifts.withColumns({"_a": F.col("start") + F.col("shift"), "_b": F.col("end") + F.col("shift")})
-    shifts = with_bases(with_bases(shifts, genome, "_a", "_d", 2), genome, "_b", "_e", 2, before=1)
-    # the base that a shift moves over must be the same on either side
-    shifts = with_bases(with_bases(shifts, genome, "start", "_x", 3, before=1), genome, "end", "_y", 3, before=1)
-    free = F.when(F.col("shift") == 1, F.substring("_x", 2, 1) == F.substring("_y", 3, 1)).when(
-        F.col("shift") == -1, F.substring("_x", 1, 1) == F.substring("_y", 2, 1)
-    )
-    sig = signal(F.col("_d"), F.col("_e"), extra)
-    shifts = shifts.withColumns({"_sig": sig, "_free": F.coalesce(free, F.lit(True))})
-    rank = F.when(F.col("shift") == 0, 0).otherwise(F.when(F.col("shift") == -1, 1).otherwise(2))
-    good = F.col("_sig").isNotNull() & F.col("_free")
-    best = shifts.groupBy("chr", "start", "end").agg(
-        F.min_by(F.struct("_a", "_b", "_sig"), F.when(good, rank).otherwise(3 + rank)).alias("best"), *[F.first(k).alias(k) for k in counts]
-    )
-    out = best.select("chr", F.col("best._a").alias("start"), F.col("best._b").alias("end"), F.col("best._sig").alias("sig"), *counts)
-    out = out.groupBy("chr", "start", "end", "sig").agg(*[F.sum(k).alias(k) for k in counts])
+    # the four bases around either end tell the signals of all three places, and whether a shift changes the read's bases
+    rows = with_bases(with_bases(introns, genome, "start", "_x", 4, before=1), genome, "end", "_y", 4, before=2)
+    at = lambda c, k, m: F.substring(c, k, m)
+    place = lambda k: F.struct(F.lit(k).alias("shift"), signal(at("_x", 2 + k, 2), at("_y", 2 + k, 2), extra).alias("sig"))
+    rows = rows.withColumns({"_left": place(-1), "_here": place(0), "_right": place(1)})
+    free = {"_left": at("_x", 1, 1) == at("_y", 3, 1), "_right": at("_x", 2, 1) == at("_y", 4, 1)}
+    free = {k: F.coalesce(v & (F.length("_x") == 4) & (F.length("_y") == 4), F.lit(False)) for k, v in free.items()}
+    good = {k: v & F.col(f"{k}.sig").isNotNull() for k, v in free.items()}
+    doubt = lambda k, on: F.struct(F.col(f"{k}.shift").alias("shift"), F.col(f"{k}.sig").alias("sig"), on.cast("int").alias("ambiguous"))
+    sure = lambda k: F.array(doubt(k, F.lit(False)))
+    left_first = good["_left"] & (~good["_right"] | F.col("_left.sig.canonical") | ~F.col("_right.sig.canonical"))
+    every = F.array(doubt("_here", free["_left"] | free["_right"]), *[F.when(free[k], doubt(k, F.lit(True))) for k in ("_left", "_right")])
+    places = (
+        F.when(F.col("_here.sig").isNotNull(), sure("_here")).when(left_first, sure("_left")).when(good["_right"], sure("_right"))
+        .otherwise(F.filter(every, lambda x: x.isNotNull()))
+    )
+    out = rows.withColumn("p", F.explode(places)).select("chr", *[(F.col(c) + F.col("p.shift")).alias(c) for c in ("start", "end")], "p.sig", "p.ambiguous", *counts)
+    out = out.groupBy("chr", "start", "end").agg(F.first("sig", ignorenulls=True).alias("sig"), F.max("ambiguous").alias("ambiguous"), *[F.sum(k).alias(k) for k in counts])
     names = known.select("chr", "start", "end", F.col("strand").alias("_strand")).dropDuplicates(["chr", "start", "end"]) if known is not None else None
     out = out.join(names, ["chr", "start", "end"], "left") if names is not None else out.withColumn("_strand", F.lit(None).cast("string"))
     standard = F.col("sig").isNotNull()
@@ -75,12 +76,12 @@ def called(alignments: DataFrame, genome: DataFrame, known: DataFrame | None = N
         "chr",
         "start",
         "end",
-        F.coalesce("_strand", F.col("sig.strand"), F.lit(".")).alias("strand"),
+        F.coalesce("_strand", F.col("sig.strand"), F.lit(strand or ".")).alias("strand"),
         F.when(standard, F.col("long_overlap_unique_reads")).otherwise(0).cast("long").alias("score"),
         F.col("_strand").isNotNull().cast("int").alias("known"),
         standard.cast("int").alias("standard_splice_signal"),
         F.coalesce(~F.col("sig.canonical"), F.lit(False)).cast("int").alias("signal_not_canonical"),
-        F.lit(0).alias("ambiguous"),
+        F.when(standard, 0).otherwise(F.col("ambiguous")).cast("int").alias("ambiguous"),
         *counts,
     )
 
@@ -177,12 +178,6 @@ def inferred_exons(junctions: DataFrame, coverage: DataFrame, known: DataFrame,
     return slim.join(annotated, ["chr", "start", "end"], "left").na.fill(False, ["is_known"])
 
 
-def read_strand(junctions_of_read: Column) -> Column:
-    """XS of a read from its introns' strands: the one that occurs, none if both or neither do."""
-    plus, minus = F.array_contains(junctions_of_read, "+"), F.array_contains(junctions_of_read, "-")
-    return F.when(plus & ~minus, "+").when(minus & ~plus, "-")
-
-
 def consensus(rows: DataFrame, on: Sequence[str], base: str = "base", order: str = "ACGTN") -> DataFrame:
     """(on, base, n): the most frequent base; ties go to the one earlier in `order`."""
     counts = rows.groupBy(*on, base).agg(F.count(F.lit(1)).alias("n"))
@@ -190,12 +185,3 @@ def consensus(rows: DataFrame, on: Sequence[str], base: str = "base", order: str
     rank = F.when(rank == 0, len(order) + 1).otherwise(rank)
     best = counts.groupBy(*on).agg(F.max_by(F.struct(base, "n"), F.struct("n", -rank)).alias("best"))
     return best.select(*on, F.col(f"best.{base}").alias(base), F.col("best.n").alias("n"))
-
-
-def flanks(rows: DataFrame, seq: str = "seq") -> DataFrame:
-    """rows with reverse_complement of seq: the look of a minus-strand intron."""
-    return rows.withColumn("reverse_complement", Q.reverse_complement(F.col(seq)))
-
-
-def junction_ordinals(junctions: DataFrame) -> DataFrame:
-    return junctions.withColumn("ordinal", F.row_number().over(Window.partitionBy("chr").orderBy("start", "end")))

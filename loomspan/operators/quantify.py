@@ -80,6 +80,23 @@ def normalised(counts: DataFrame, total: DataFrame, length: Column | None = None
     return out.withColumns({"min": low, "max": Q.rpkm(F.col("ucount") + F.col("nucount"), size, F.col("num_reads"))}).drop("num_reads")
 
 
+def positive(counts: DataFrame) -> DataFrame:
+    """Features with any read."""
+    return counts.where(F.col("ucount") + F.col("nucount") > 0)
+
+
+def separate(counts: DataFrame, total: DataFrame, length: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(of unique reads, of all reads): counts with count, average (per kilobase, to four digits) and rpkm instead of ucount and nucount."""
+    size = F.col("end") - F.col("start") + 1 if length is None else length
+    whole = counts.crossJoin(F.broadcast(total))  # one row
+    each = []
+    for n in (F.col("ucount"), F.col("ucount") + F.col("nucount")):
+        average = F.when(size > 0, Q.truncated(n / (size / 1000))).otherwise(F.lit(0.0))
+        rows = whole.withColumns({"count": n, "average": average, "rpkm": Q.rpkm(n, size, F.col("num_reads"))})
+        each.append(rows.drop("ucount", "nucount", "num_reads"))
+    return each[0], each[1]
+
+
 def merged(tables: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
     """Counts of parts added up by feature."""
     out = tables[0]
@@ -105,6 +122,20 @@ def profiles(quants: DataFrame, feature: Sequence[str], sample: str, samples: Se
     return quants.groupBy(*feature).pivot(sample, list(samples)).agg(*[F.first(v, ignorenulls=True).alias(v) for v in values])
 
 
+def profile_matrix(
+    quants: DataFrame, feature: Sequence[str], sample: str, samples: Sequence[str], low: str = "min", high: str = "max", info: DataFrame | None = None
+) -> DataFrame:
+    """A row per feature with min_, max_ and diff_ (max less min) of each sample, 0 where a sample hasn't it, and the feature's
+    information from info (feature..., info) if given."""
+    names = list(samples)
+    wide = profiles(quants, feature, sample, names, [low, high])
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    cells = [zero(f"{n}_{low}").alias(f"min_{n}") for n in names] + [zero(f"{n}_{high}").alias(f"max_{n}") for n in names]
+    cells += [(zero(f"{n}_{high}") - zero(f"{n}_{low}")).alias(f"diff_{n}") for n in names]
+    out = wide.select(*feature, *cells)
+    return out if info is None else out.join(info, list(feature), "left")
+
+
 def strand_specific(sense: DataFrame, anti: DataFrame, key: Sequence[str], strand: str = "strand") -> DataFrame:
     """(key, strand, sense, antisense) of counts (key, strand, plus, minus): a minus feature's sense reads are the minus ones."""
     own = lambda df, name: df.select(*key, strand, F.when(F.col(strand) == "-", F.col("minus")).otherwise(F.col("plus")).alias(name))

@@ -157,24 +157,40 @@ def near_best(rows: DataFrame, read: Sequence[str], score: str, within: float, m
     return out.drop("_best", "_mm")
 
 
-def mapping_statistics(unique: DataFrame, ambiguous: DataFrame, total: int | None = None, read: str = "seqnum") -> DataFrame:
+def read_length(rows: DataFrame) -> DataFrame:
+    """One row, read_length: the most bases that an alignment covers."""
+    return rows.agg(F.max(S.total_length(F.col("spans"))).alias("read_length"))
+
+
+def grouped(hits: DataFrame, read: str = "seqnum") -> DataFrame:
+    """(read, forward, reverse): each read's hits (chr, spans, strand, seq) by mate."""
+    hit = F.struct("chr", "spans", "strand", "seq")
+    of = lambda m: F.array_sort(F.collect_list(F.when(F.col("mate") == m, hit)))
+    return hits.groupBy(read).agg(of("a").alias("forward"), of("b").alias("reverse"))
+
+
+def mapping_statistics(unique: DataFrame, ambiguous: DataFrame, total: int | None = None, read: str = "seqnum", together: Sequence[str] = ()) -> DataFrame:
     """One row: reads by how their mates map, uniquely and ambiguously, and shares of `total` (default: the span of ids).
 
-    Rows have mate a, b or "" (joined). Shares are percents cut to two digits."""
+    Rows have mate a, b or "" (joined). together: columns that two mates must have in common to be both, as chr and strand; reads
+    whose mates never have are in no class, but mapped. Shares are percents cut to two digits."""
 
     def flags(rows: DataFrame, tag: str) -> DataFrame:
         has = lambda m: F.max((F.col("mate") == m).cast("int"))
-        each = rows.groupBy(read).agg(has("").alias("j"), has("a").alias("a"), has("b").alias("b"))
+        each = rows.groupBy(read, *together).agg(has("").alias("j"), has("a").alias("a"), has("b").alias("b")).withColumn("p", F.col("a") * F.col("b"))
+        if together:
+            each = each.groupBy(read).agg(*[F.max(c).alias(c) for c in "jabp"])
         n = lambda c: F.coalesce(F.sum(F.expr(c).cast("long")), F.lit(0)).alias
         return each.agg(
             n("j = 1")(f"{tag}_joined"),
-            n("j = 0 and a = 1 and b = 1")(f"{tag}_both"),
+            n("j = 0 and p = 1")(f"{tag}_both"),
             n("j = 0 and a = 1 and b = 0")(f"{tag}_forward_only"),
             n("j = 0 and a = 0 and b = 1")(f"{tag}_reverse_only"),
+            *([n("j = 0 and a = 1 and b = 1 and p = 0")(f"{tag}_apart")] if together else []),
         )
 
     span = unique.select(read).unionByName(ambiguous.select(read)).agg((F.max(read) - F.min(read) + 1).alias("total"))
     span = span if total is None else span.select(F.lit(total).cast("long").alias("total"))
     row = flags(unique, "unique").crossJoin(flags(ambiguous, "ambiguous")).crossJoin(span)  # one row each
-    mapped = sum((F.col(f"{t}_{k}") for t in ("unique", "ambiguous") for k in ("joined", "both", "forward_only", "reverse_only")), F.lit(0))
+    mapped = sum((F.col(f"{t}_{k}") for t in ("unique", "ambiguous") for k in ("joined", "both", "forward_only", "reverse_only", *(["apart"] if together else []))), F.lit(0))
     return row.withColumn("mapped", mapped).withColumn("mapped_percent", F.floor(F.col("mapped") / F.col("total") * 10000) / 100)

@@ -40,5 +40,16 @@ def invalid_reads(reads: DataFrame) -> DataFrame:
     return reads.where((F.length("seq") != F.length("qual")) | ~F.col("seq").rlike("^[ACGTN.]*$"))
 
 
+def filtered_reads(reads: DataFrame) -> DataFrame:
+    """Reads that the sequencer marked as filtered: a name with :Y: in its second word."""
+    return reads.where(F.col("name").rlike(r"^\S+\s+\d+:Y:"))
+
+
+def without_mate(reads: DataFrame) -> DataFrame:
+    """(seqnum, mates) of reads (seqnum, mate, ...) that haven't exactly one row of each mate: none if both files are of equal length."""
+    each = reads.groupBy("seqnum").agg(F.count(F.lit(1)).alias("mates"), F.count_distinct("mate").alias("_d"))
+    return each.where("mates <> 2 or _d <> 2").drop("_d")
+
+
 def length_range(reads: DataFrame) -> DataFrame:
     return reads.agg(F.min(F.length("seq")).alias("shortest"), F.max(F.length("seq")).alias("longest"))

@@ -7,8 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.functions import flags, sequence, spans
-from loomspan.operators import coverage, genes, intervals, junctions, quantify, reads, reconcile, regions, text
+from loomspan.functions import chromosomes, flags, sequence, spans, splice
+from loomspan.operators import coverage, genes, hits, intervals, junctions, order, quantify, reads, reconcile, regions, sam, text
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -63,15 +63,8 @@ def coverage_footprint(spark, sf):
     return coverage.footprint(coverage_sweep(spark, sf))
 
 
-@query(_sweep_sql(f"(SELECT * FROM {_SPANS} WHERE flag IN ('A', 'R'))"))
+@query(_sweep_sql(_SPANS))
 def coverage_merge(spark, sf):
-    parts = [coverage.sweep(_alignments(spark, sf, f"l_returnflag = '{f}'"), ["chr"]) for f in "AR"]
-    return coverage.merged(parts)
-
-
-@query()
-def coverage_merge_whole(spark, sf):
-    """coverage_merge of the parts of all flags."""
     return coverage.merged([coverage.sweep(_alignments(spark, sf, f"l_returnflag = '{f}'"), ["chr"]) for f in "ANR"])
 
 
@@ -173,27 +166,21 @@ def dedup_to_unique(spark, sf):
 
 
 @query(
-    """WITH a AS (SELECT l_orderkey AS seqnum, COUNT(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1), b AS (SELECT l_orderkey AS seqnum, COUNT(*) AS n FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1)
+    """WITH a AS (SELECT l_orderkey AS seqnum, COUNT(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1), b AS (SELECT l_orderkey AS seqnum, COUNT(*) AS n FROM lineitem WHERE l_returnflag <> 'A' GROUP BY 1)
  SELECT seqnum, CAST(LEAST(COALESCE(a.n, 0), 2) * 3 + LEAST(COALESCE(b.n, 0), 2) AS BIGINT) AS case_code FROM a FULL JOIN b USING (seqnum)"""
 )
 def full_outer_cases(spark, sf):
     rows = _alignments(spark, sf)
-    side = lambda f, n: rows.where(F.col("flag") == f).groupBy("seqnum").agg(F.count(F.lit(1)).alias(n))
+    side = lambda f, n: rows.where((F.col("flag") == "A") == f).groupBy("seqnum").agg(F.count(F.lit(1)).alias(n))
     code = lambda n: F.least(F.coalesce(n, F.lit(0)), F.lit(2))
-    return side("A", "a").join(side("N", "b"), "seqnum", "full_outer").select("seqnum", (code("a") * 3 + code("b")).cast("bigint").alias("case_code"))
+    return side(True, "a").join(side(False, "b"), "seqnum", "full_outer").select("seqnum", (code("a") * 3 + code("b")).cast("bigint").alias("case_code"))
 
 
 @query(
     f"""SELECT a.seqnum, a.line AS a_line, b.line AS b_line, b.s - a.e AS gap FROM {_SPANS} a JOIN {_SPANS} b ON a.seqnum = b.seqnum
- WHERE a.flag = 'N' AND b.flag = 'N' AND a.line % 2 = 0 AND b.line % 2 = 1 AND a.s <= b.s AND b.s - a.e < 500"""
+ WHERE a.line % 2 = 0 AND b.line % 2 = 1 AND a.s <= b.s AND b.s - a.e < 500"""
 )
 def pair_mates(spark, sf):
-    return _mates(_alignments(spark, sf, "l_returnflag = 'N'"))
-
-
-@query()
-def pair_mates_whole(spark, sf):
-    """pair_mates of the rows of all flags."""
     return _mates(_alignments(spark, sf))
 
 
@@ -253,23 +240,23 @@ def near_best_hits(spark, sf):
 _FLAGS = ", ".join(
     f"CAST(SUM(CASE WHEN {c} THEN 1 ELSE 0 END) AS BIGINT) AS {{t}}_{n}" for n, c in (("joined", "j"), ("both", "NOT j AND a AND b"), ("forward_only", "NOT j AND a AND NOT b"), ("reverse_only", "NOT j AND NOT a AND b"))
 )
-_FLAG = "SELECT {f} FROM (SELECT l_orderkey, BOOL_OR(l_linenumber > 5) AS j, BOOL_OR(l_linenumber IN (1, 3, 5)) AS a, BOOL_OR(l_linenumber IN (2, 4)) AS b FROM lineitem WHERE l_returnflag = '{r}' GROUP BY 1)"
+_FLAG = "SELECT {f} FROM (SELECT l_orderkey, BOOL_OR(l_linenumber > 5) AS j, BOOL_OR(l_linenumber IN (1, 3, 5)) AS a, BOOL_OR(l_linenumber IN (2, 4)) AS b FROM lineitem WHERE l_returnflag {r} GROUP BY 1)"
 
 
 @query(
-    f"""WITH u AS ({_FLAG.format(f=_FLAGS.format(t="unique"), r="N")}), n AS ({_FLAG.format(f=_FLAGS.format(t="ambiguous"), r="A")}),
- t AS (SELECT MAX(l_orderkey) - MIN(l_orderkey) + 1 AS total FROM lineitem WHERE l_returnflag IN ('A', 'N')),
+    f"""WITH u AS ({_FLAG.format(f=_FLAGS.format(t="unique"), r="= 'N'")}), n AS ({_FLAG.format(f=_FLAGS.format(t="ambiguous"), r="<> 'N'")}),
+ t AS (SELECT MAX(l_orderkey) - MIN(l_orderkey) + 1 AS total FROM lineitem),
  r AS (SELECT *, unique_joined + unique_both + unique_forward_only + unique_reverse_only + ambiguous_joined + ambiguous_both + ambiguous_forward_only + ambiguous_reverse_only AS mapped FROM u, n, t)
  SELECT *, FLOOR(mapped / total * 10000) / 100 AS mapped_percent FROM r"""
 )
 def mapping_statistics(spark, sf):
     mate = F.when(F.col("line") > 5, "").when(F.col("line") % 2 == 1, "a").otherwise("b")
-    part = lambda f: _alignments(spark, sf, f"l_returnflag = '{f}'").withColumn("mate", mate)
-    return reads.mapping_statistics(part("N"), part("A"))
+    part = lambda f: _alignments(spark, sf, f"l_returnflag {f} 'N'").withColumn("mate", mate)
+    return reads.mapping_statistics(part("="), part("<>"))
 
 
-def _quant(spark, sf, flag: str) -> DataFrame:
-    rows = _table(spark, sf, "lineitem").where(F.col("l_returnflag") == flag)
+def _quant(spark, sf, flag: str, on: str = "=") -> DataFrame:
+    rows = _table(spark, sf, "lineitem").where(f"l_returnflag {on} '{flag}'")
     return rows.groupBy(F.col("l_partkey").alias("id")).agg(
         F.count_if(F.col("l_linestatus") == "F").alias("ucount"), F.count_if(F.col("l_linestatus") == "O").alias("nucount"), F.sum(F.col("l_quantity").cast("bigint")).alias("value")
     )
@@ -297,12 +284,12 @@ def rpkm(spark, sf):
 
 
 @query(
-    """WITH a AS (SELECT l_partkey AS id, SUM(CAST(l_quantity AS BIGINT)) AS x FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1), b AS (SELECT l_partkey AS id, SUM(CAST(l_quantity AS BIGINT)) AS y FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+    """WITH a AS (SELECT l_partkey AS id, SUM(CAST(l_quantity AS BIGINT)) AS x FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1), b AS (SELECT l_partkey AS id, SUM(CAST(l_quantity AS BIGINT)) AS y FROM lineitem WHERE l_returnflag <> 'A' GROUP BY 1),
  j AS (SELECT id, CAST(x AS BIGINT) AS x, CAST(y AS BIGINT) AS y FROM a JOIN b USING (id)), r AS (SELECT (AVG(x) + AVG(y)) / 20 AS raf FROM j)
  SELECT id, x, y, ROUND(CASE WHEN (x + raf) / (y + raf) < 1 THEN 1 / ((x + raf) / (y + raf)) ELSE (x + raf) / (y + raf) END, 9) AS ratio, CASE WHEN (x + raf) / (y + raf) >= 1 THEN 1 ELSE 0 END AS up FROM j, r WHERE GREATEST(x, y) >= 20"""
 )
 def fold_change(spark, sf):
-    out = quantify.fold_change(_quant(spark, sf, "A"), _quant(spark, sf, "R"), "id", "value", 20)
+    out = quantify.fold_change(_quant(spark, sf, "A"), _quant(spark, sf, "A", "<>"), "id", "value", 20)
     return out.withColumn("ratio", F.round("ratio", 9))
 
 
@@ -373,7 +360,7 @@ def junctions_to_bed(spark, sf):
 
 
 @query(
-    """WITH j AS (SELECT DISTINCT l_suppkey AS chr, l_partkey AS s, l_partkey + CAST(l_quantity AS BIGINT) AS e, CAST(l_linenumber * l_quantity AS BIGINT) AS score, l_linenumber % 2 AS known FROM lineitem WHERE l_returnflag = 'R'),
+    """WITH j AS (SELECT DISTINCT l_suppkey AS chr, l_partkey AS s, l_partkey + CAST(l_quantity AS BIGINT) AS e, CAST(l_linenumber * l_quantity AS BIGINT) AS score, l_linenumber % 2 AS known FROM lineitem),
  h AS (SELECT DISTINCT chr, s, e FROM j WHERE score >= 200)
  SELECT chr, s AS start, e AS "end", score, known FROM j WHERE NOT (score <= 30 AND known = 0 AND NOT EXISTS (SELECT 1 FROM h WHERE h.chr = j.chr AND h.s = j.s) AND NOT EXISTS (SELECT 1 FROM h WHERE h.chr = j.chr AND h.e = j.e)
  AND EXISTS (SELECT 1 FROM h WHERE h.chr = j.chr AND h.s <= j.e AND j.s <= h.e)) AND NOT EXISTS
@@ -381,12 +368,6 @@ def junctions_to_bed(spark, sf):
  AND EXISTS (SELECT 1 FROM h WHERE h.chr = k.chr AND h.s <= k.e AND k.s <= h.e))"""
 )
 def trusted_junctions(spark, sf):
-    return _trusted(_alignments(spark, sf, "l_returnflag = 'R'"))
-
-
-@query()
-def trusted_junctions_whole(spark, sf):
-    """trusted_junctions of the rows of all flags."""
     return _trusted(_alignments(spark, sf))
 
 
@@ -422,14 +403,11 @@ def flag_decode(spark, sf):
     return _alignments(spark, sf).select("seqnum", "line", F.array_join(flags.described(F.col("line")), ",").alias("names"))
 
 
-@query("SELECT CAST(p AS INT) AS pos, COUNT(*) AS n, ROUND(AVG(ORD(SUBSTRING(text, CAST(p AS INT), 1)) - 33), 9) AS mean FROM documents, UNNEST(RANGE(1, LEAST(LENGTH(text), 100) + 1)) t(p) WHERE ORD(SUBSTRING(text, CAST(p AS INT), 1)) < 128 GROUP BY 1")
+@query(
+    """SELECT CAST(pos AS INT) AS pos, COUNT(*) AS n, ROUND(AVG(ORD(c) - 33), 9) AS mean FROM
+ (SELECT UNNEST(STRING_SPLIT(text, '')) AS c, UNNEST(RANGE(1, LENGTH(text) + 1)) AS pos FROM documents) WHERE ORD(c) < 128 GROUP BY 1"""
+)
 def pos_mean(spark, sf):
-    return text.position_quality(_table(spark, sf, "documents"), "text", 33, 100).select("pos", "n", F.round("mean", 9).alias("mean"))
-
-
-@query()
-def pos_mean_whole(spark, sf):
-    """pos_mean over whole texts, all positions."""
     return text.position_quality(_table(spark, sf, "documents"), "text", 33).select("pos", "n", F.round("mean", 9).alias("mean"))
 
 
@@ -459,11 +437,13 @@ def span_lists(spark, sf):
     return rows.select("seqnum", spans.total_length(F.col("spans")).alias("total"), spans.render(F.col("spans")).alias("spans"))
 
 
-@query("SELECT n_name AS chr, CAST(ROW_NUMBER() OVER (ORDER BY CAST(SPLIT_PART(n_name, '_', 2) AS INT)) - 1 AS INT) AS chr_rank FROM nation")
+@query(
+    """SELECT 'chr' || k || CASE WHEN u THEN '_random' ELSE '' END AS chr, CAST(ROW_NUMBER() OVER (ORDER BY u, k) - 1 AS INT) AS chr_rank
+ FROM (SELECT DISTINCT l_partkey AS k, l_suppkey % 2 = 1 AS u FROM lineitem)"""
+)
 def domain_sort(spark, sf):
-    from loomspan.functions import chromosomes
-
-    return chromosomes.ranks(_table(spark, sf, "nation").select(F.col("n_name").alias("chr")))
+    name = F.concat(F.lit("chr"), F.col("start"), F.when(F.col("chr") % 2 == 1, "_random").otherwise(""))
+    return chromosomes.ranks(_alignments(spark, sf).select(name.alias("chr")))
 
 
 @query(
@@ -506,9 +486,9 @@ def exon_counts(spark, sf):
     return quantify.exon_counts(_blocks(spark, sf), _places(spark, sf)).select("chr", "start", "end", "ucount", "nucount")
 
 
-@query(f"SELECT (SELECT COUNT(*) FROM {_SPANS} WHERE flag = 'N') + (SELECT COUNT(DISTINCT seqnum) FROM {_SPANS} WHERE flag <> 'N') AS num_reads")
+@query(f"SELECT (SELECT COUNT(DISTINCT seqnum) FROM {_SPANS} WHERE flag = 'N') + (SELECT COUNT(DISTINCT seqnum) FROM {_SPANS} WHERE flag <> 'N') AS num_reads")
 def read_total(spark, sf):
-    return quantify.read_total(_blocks(spark, sf))
+    return quantify.read_total(_blocks(spark, sf).withColumn("mate", F.when(F.col("line") % 2 == 1, "a").otherwise("b")))
 
 
 @query(f"SELECT seqnum, line FROM {_SPANS} WHERE chr = 7 AND e - 1 >= 50 AND s <= 90")
@@ -529,16 +509,18 @@ def spliced_junctions(spark, sf):
 
 
 @query(
-    """WITH q AS (SELECT l_partkey AS id, MIN(l_returnflag) AS r, COUNT(*) FILTER (l_linestatus = 'F') AS p, COUNT(*) FILTER (l_linestatus = 'O') AS m FROM lineitem GROUP BY 1),
+    """WITH q AS (SELECT l_partkey AS id, COUNT(*) FILTER (l_linestatus = 'F') AS p, COUNT(*) FILTER (l_linestatus = 'O') AS m,
+  COUNT(*) FILTER (l_returnflag = 'A') AS ap, COUNT(*) FILTER (l_returnflag <> 'A') AS am FROM lineitem GROUP BY 1),
  t AS (SELECT *, CASE WHEN id % 2 = 1 THEN '-' ELSE '+' END AS strand FROM q)
- SELECT id, strand, CASE WHEN strand = '-' THEN m ELSE p END AS sense, CASE WHEN strand = '-' THEN p ELSE m END AS antisense FROM t"""
+ SELECT id, strand, CASE WHEN strand = '-' THEN m ELSE p END AS sense, CASE WHEN strand = '-' THEN ap ELSE am END AS antisense FROM t"""
 )
 def strand_specific(spark, sf):
-    counts = _table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("id")).agg(
-        F.count_if(F.col("l_linestatus") == "F").alias("plus"), F.count_if(F.col("l_linestatus") == "O").alias("minus")
-    )
-    counts = counts.withColumn("strand", F.when(F.col("id") % 2 == 1, "-").otherwise("+"))
-    return quantify.strand_specific(counts, counts, ["id"])
+    def side(column: str, value: str) -> DataFrame:
+        rows = _table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("id"))
+        rows = rows.agg(F.count_if(F.col(column) == value).alias("plus"), F.count_if(F.col(column) != value).alias("minus"))
+        return rows.withColumn("strand", F.when(F.col("id") % 2 == 1, "-").otherwise("+"))
+
+    return quantify.strand_specific(side("l_linestatus", "F"), side("l_returnflag", "A"), ["id"])
 
 
 @query(
@@ -566,3 +548,348 @@ def reconciled_sources(spark, sf):
     part = lambda f: hit.where(F.col("flag") == f).drop("flag")
     out = reconcile.genome_and_transcriptome(part("A"), part("R"), part("N"), least=5)
     return out.select("seqnum", "mate", "chr", spans.render(F.col("spans")).alias("spans"), "verdict")
+
+
+# two blocks a read: [start, start + quantity] and, ten bases on, as many again as the line's number
+
+_TWO = """(SELECT l_orderkey AS seqnum, l_linenumber AS line, l_suppkey AS chr, l_returnflag AS flag, l_partkey AS a1, l_partkey + CAST(l_quantity AS BIGINT) AS b1,
+ l_partkey + CAST(l_quantity AS BIGINT) + 11 AS a2, l_partkey + CAST(l_quantity AS BIGINT) + 11 + l_linenumber AS b2 FROM lineitem)"""
+
+
+def _two(spark, sf) -> DataFrame:
+    rows, last = _alignments(spark, sf), F.col("end") + 11
+    two = F.array(spans.span(F.col("start"), F.col("end")), spans.span(last, last + F.col("line")))
+    return rows.select("seqnum", "line", F.col("chr").cast("string").alias("chr"), "flag", two.alias("spans"), (F.col("flag") == "N").alias("is_unique"))
+
+
+@query(
+    f"""WITH p AS (SELECT DISTINCT chr, a1 AS fs, b1 AS fe FROM {_TWO} UNION SELECT DISTINCT chr, a2 - 1, b2 FROM {_TWO}),
+ m AS (SELECT p.chr, fs, fe, seqnum, flag FROM p JOIN {_TWO} t ON t.chr = p.chr AND ((a1 >= fs AND b1 = fe) OR (a2 = fs AND b2 <= fe)))
+ SELECT CAST(p.chr AS VARCHAR) AS chr, p.fs AS start, p.fe AS "end", COUNT(DISTINCT CASE WHEN flag = 'N' THEN seqnum END) AS ucount, COUNT(DISTINCT CASE WHEN flag <> 'N' THEN seqnum END) AS nucount
+ FROM p LEFT JOIN m USING (chr, fs, fe) GROUP BY 1, 2, 3"""
+)
+def block_exon_counts(spark, sf):
+    rows = _two(spark, sf)
+    one = rows.select("chr", F.col("spans")[0]["start"].alias("start"), F.col("spans")[0]["end"].alias("end"))
+    other = rows.select("chr", (F.col("spans")[1]["start"] - 1).alias("start"), F.col("spans")[1]["end"].alias("end"))
+    return quantify.exon_counts(rows, one.unionByName(other).distinct(), width=64)
+
+
+@query(
+    f"""WITH h AS (SELECT DISTINCT chr, seqnum, CASE WHEN line % 2 = 1 THEN 'a' ELSE 'b' END AS mate, s, e - 1 AS e FROM {_SPANS}),
+ n AS (SELECT seqnum, COUNT(*) FILTER (mate = 'a') AS a, COUNT(*) FILTER (mate = 'b') AS b FROM h GROUP BY 1),
+ p AS (SELECT a.seqnum, a.chr, a.s AS s1, a.e AS e1, b.s AS s2, b.e AS e2 FROM h a JOIN h b ON a.seqnum = b.seqnum AND a.chr = b.chr AND a.mate = 'a' AND b.mate = 'b' AND a.s <= b.s AND b.s - a.e <= 100),
+ f AS (SELECT seqnum, chr, s1 || '-' || e1 || ' ' || s2 || '-' || e2 AS place FROM p WHERE s2 - e1 > 1 UNION SELECT seqnum, chr, s1 || '-' || GREATEST(e1, e2) FROM p WHERE s2 - e1 <= 1
+  UNION ALL SELECT h.seqnum, chr, s || '-' || e FROM h JOIN n ON n.seqnum = h.seqnum WHERE a = 0 OR b = 0)
+ SELECT seqnum, CAST(chr AS VARCHAR) AS chr, place, COUNT(*) OVER (PARTITION BY seqnum) = 1 AS is_unique FROM f"""
+)
+def fused_mates(spark, sf):
+    rows = _blocks(spark, sf).withColumn("mate", F.when(F.col("line") % 2 == 1, "a").otherwise("b"))
+    bases = F.repeat(F.lit("A"), spans.total_length(F.col("spans")).cast("int")).alias("seq")
+    rows = rows.select("seqnum", "mate", F.col("chr").cast("string").alias("chr"), "spans", F.when(F.col("mate") == "a", "+").otherwise("-").alias("strand"), bases)
+    place = F.concat_ws(" ", *[F.nullif(spans.render(F.col(f"{c}.spans")), F.lit("")) for c in ("fwd", "rev", "joined")])
+    return reads.classified(rows, distance=100).select("seqnum", "chr", place.alias("place"), "is_unique")
+
+
+@query(
+    f"""SELECT seqnum, CAST(MIN(chr) AS VARCHAR) AS chr, MAX(s) AS start, MIN(e - 1) AS "end" FROM {_SPANS} GROUP BY seqnum
+ HAVING COUNT(DISTINCT chr) = 1 AND COUNT(DISTINCT (s, e)) > 1 AND MIN(e - 1) - MAX(s) + 1 >= 5"""
+)
+def shared_regions(spark, sf):
+    rows = _blocks(spark, sf)
+    bases = F.repeat(F.lit("A"), spans.total_length(F.col("spans")).cast("int")).alias("seq")
+    rows = rows.select("seqnum", F.lit("a").alias("mate"), F.col("chr").cast("string").alias("chr"), "spans", F.lit("+").alias("strand"), bases)
+    unique, _ = hits.split_by_uniqueness(rows, 5)
+    several = rows.distinct().groupBy("seqnum").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    place = [F.col("spans")[0][c].alias(c) for c in ("start", "end")]
+    return unique.join(several, "seqnum", "left_semi").select("seqnum", "chr", *place)
+
+
+@query(
+    f"""SELECT seqnum, line, s || '-' || (s + line - 1) || ', ' || (s + line + 3 + chr) || '-' || (s + line + 2 + chr + score) AS spans,
+ line || 'M' || (chr + 3) || CASE WHEN chr + 3 >= 15 THEN 'N' ELSE 'D' END || score || 'M' AS cigar FROM {_SPANS} WHERE chr + 3 > 0"""
+)
+def cigar_round_trip(spark, sf):
+    rows = _alignments(spark, sf)
+    text = F.concat_ws("", F.lit("2S"), "line", F.lit("M"), F.col("chr") + 3, F.lit("N1I"), "score", F.lit("M1H"))
+    rows = rows.select("seqnum", "line", spans.cigar_spans(F.col("start"), text).alias("s"))
+    return rows.select("seqnum", "line", spans.render(F.col("s")).alias("spans"), spans.to_cigar(F.col("s")).alias("cigar"))
+
+
+_FIRST, _LAST = ["GT", "GC", "AT", "CT", "TA", "TT"], ["AG", "AC", "GC", "TC", "AT"]
+_KNOWN = ", ".join(f"('{text}', '{strand}')" for text, strand in splice.STRANDS.items())
+
+
+@query(
+    f"""WITH k(pair, strand) AS (VALUES {_KNOWN}), d AS (SELECT *, ({_FIRST})[(score % 6) + 1] || ({_LAST})[((s + line) % 5) + 1] AS pair FROM {_SPANS})
+ SELECT seqnum, line, k.strand AS strand, CASE WHEN k.strand IS NOT NULL THEN d.pair IN ('GTAG', 'CTAC') END AS canonical FROM d LEFT JOIN k USING (pair)"""
+)
+def splice_signals(spark, sf):
+    pick = lambda words, k: F.get(F.array(*map(F.lit, words)), k.cast("int"))
+    rows = _alignments(spark, sf)
+    found = splice.signal(pick(_FIRST, F.col("score") % 6), pick(_LAST, (F.col("start") + F.col("line")) % 5))
+    return rows.select("seqnum", "line", found.alias("x")).select("seqnum", "line", "x.strand", "x.canonical")
+
+
+_GENOME = "(SELECT CAST(doc_id AS VARCHAR) AS chr, TRANSLATE(REGEXP_REPLACE(text, '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS seq FROM documents)"
+
+
+def _genome(spark, sf) -> DataFrame:
+    letters = F.regexp_replace("text", "[^a-z]", "")
+    return _table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("chr"), F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC").alias("seq"))
+
+
+_ON_DOCS = "(SELECT l_orderkey AS seqnum, l_linenumber AS line, CAST(l_partkey % (SELECT COUNT(*) FROM documents) AS VARCHAR) AS chr, l_suppkey + 3 AS s, CAST(l_quantity AS BIGINT) AS q, l_returnflag AS flag FROM lineitem)"
+
+
+def _on_docs(spark, sf) -> DataFrame:
+    """Alignments of two blocks of 12 and 9 bases, a gap of 20 to 69 bases between, on the sequences of _genome."""
+    n = _table(spark, sf, "documents").agg(F.count(F.lit(1)).alias("docs"))
+    rows = _alignments(spark, sf).crossJoin(F.broadcast(n))  # one row
+    start, gap = F.col("chr") + 3, F.col("score") + 19
+    two = F.array(spans.span(start, start + 11), spans.span(start + 12 + gap, start + 20 + gap))
+    return rows.select("seqnum", "line", (F.col("start") % F.col("docs")).cast("string").alias("chr"), two.alias("spans"), (F.col("flag") == "N").alias("is_unique"))
+
+
+@query(
+    f"""SELECT DISTINCT a.seqnum, a.line, SUBSTRING(g.seq, s, 12) || SUBSTRING(g.seq, s + 31 + q, 9) AS bases FROM {_ON_DOCS} a JOIN {_GENOME} g USING (chr)
+ WHERE LENGTH(g.seq) >= s + 39 + q"""
+)
+def genome_bases(spark, sf):
+    chunks = junctions.genome_chunks(_genome(spark, sf), size=256)
+    rows = sam.with_genome(_on_docs(spark, sf).select("seqnum", "line", "chr", "spans").distinct(), chunks, ["seqnum", "line", "chr", "spans"])
+    return rows.where(F.length("genome") == 21).select("seqnum", "line", F.col("genome").alias("bases")).distinct()
+
+
+@query(
+    f"""WITH k(pair, strand) AS (VALUES {_KNOWN}),
+ i AS (SELECT a.chr, s + 12 AS b, s + 30 + q AS e, COUNT(*) FILTER (flag = 'N') AS u, COUNT(*) FILTER (flag <> 'N') AS n FROM {_ON_DOCS} a GROUP BY ALL),
+ x AS (SELECT i.*, SUBSTRING(seq, b - 1, 4) AS l, SUBSTRING(seq, e - 2, 4) AS r FROM i LEFT JOIN {_GENOME} g USING (chr)),
+ y AS (SELECT x.*, CASE WHEN LENGTH(l) = 4 AND LENGTH(r) = 4 THEN l[1] = r[3] ELSE FALSE END AS fl, CASE WHEN LENGTH(l) = 4 AND LENGTH(r) = 4 THEN l[2] = r[4] ELSE FALSE END AS fr,
+  kl.strand AS sl, k0.strand AS s0, kr.strand AS sr, l[1:2] || r[1:2] IN ('GTAG', 'CTAC') AS cl, l[3:4] || r[3:4] IN ('GTAG', 'CTAC') AS cr FROM x
+  LEFT JOIN k kl ON kl.pair = l[1:2] || r[1:2] LEFT JOIN k k0 ON k0.pair = l[2:3] || r[2:3] LEFT JOIN k kr ON kr.pair = l[3:4] || r[3:4]),
+ z AS (SELECT *, fl AND sl IS NOT NULL AS gl, fr AND sr IS NOT NULL AS gr FROM y),
+ o AS (SELECT *, CASE WHEN s0 IS NOT NULL THEN [0] WHEN gl AND (NOT gr OR cl OR NOT cr) THEN [-1] WHEN gr THEN [1]
+  ELSE LIST_FILTER([0, CASE WHEN fl THEN -1 END, CASE WHEN fr THEN 1 END], lambda t: t IS NOT NULL) END AS places FROM z),
+ p AS (SELECT chr, b, e, u, n, fl, fr, s0, sl, sr, UNNEST(places) AS d FROM o),
+ t AS (SELECT chr, b + d AS start, e + d AS "end", MAX(CASE d WHEN 0 THEN s0 WHEN -1 THEN sl ELSE sr END) AS strand,
+  MAX(CASE WHEN d = 0 THEN CAST(fl OR fr AS INT) ELSE 1 END) AS amb, CAST(SUM(u) AS BIGINT) AS u, CAST(SUM(n) AS BIGINT) AS n FROM p GROUP BY ALL)
+ SELECT chr, start, "end", COALESCE(strand, '.') AS strand, CASE WHEN strand IS NULL THEN 0 ELSE u END AS score, CASE WHEN strand IS NULL THEN amb ELSE 0 END AS ambiguous,
+  u AS long_overlap_unique_reads, n AS long_overlap_nu_reads FROM t"""
+)
+def junction_calls(spark, sf):
+    out = junctions.called(_on_docs(spark, sf), junctions.genome_chunks(_genome(spark, sf), size=256))
+    return out.select("chr", "start", "end", "strand", "score", "ambiguous", "long_overlap_unique_reads", "long_overlap_nu_reads")
+
+
+@query(
+    """WITH i AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, 'supplier ' || s_name AS info FROM supplier), n AS (SELECT o.l_partkey AS row, o.ids, UNNEST(o.ids) AS name, UNNEST(RANGE(1, LEN(o.ids) + 1)) AS k
+  FROM (SELECT l_partkey, LIST(CAST(l_suppkey * 3 AS VARCHAR) ORDER BY l_orderkey, l_linenumber, CAST(l_suppkey * 3 AS VARCHAR)) AS ids FROM lineitem GROUP BY 1) o)
+ SELECT row, ANY_VALUE(ARRAY_TO_STRING(ids, '::::')) AS id, ARG_MIN(info, k) FILTER (info IS NOT NULL) AS info FROM n LEFT JOIN i ON i.id = n.name GROUP BY row"""
+)
+def synonym_info(spark, sf):
+    each = _alignments(spark, sf).groupBy(F.col("start").alias("row")).agg(F.array_sort(F.collect_list(F.struct("seqnum", "line", (F.col("chr") * 3).cast("string").alias("n")))).alias("x"))
+    rows = each.select("row", F.array_join(F.transform("x", lambda v: v["n"]), "::::").alias("id"))
+    info = _table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), F.concat(F.lit("supplier "), "s_name").alias("info"))
+    return genes.annotated(rows, info)
+
+
+def _models(spark, sf) -> DataFrame:
+    """Gene models: an order's lines are exons, made one where they run into each other."""
+    each = _alignments(spark, sf).groupBy("seqnum").agg(F.collect_list(spans.span(F.col("start"), F.col("end") - 1)).alias("exons"))
+    strand = F.when(F.col("seqnum") % 2 == 1, "-").otherwise("+")
+    return genes.repaired(each.select((F.col("seqnum") % 50).cast("string").alias("chr"), strand.alias("strand"), "exons", F.col("seqnum").cast("string").alias("id")))
+
+
+_EXONS = f"""(SELECT seqnum, MIN(s) AS s, MAX(e) AS e FROM (SELECT *, SUM(CASE WHEN r IS NULL OR s > r + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY seqnum ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k FROM
+ (SELECT seqnum, s, e - 1 AS e, MAX(e - 1) OVER (PARTITION BY seqnum ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM {_SPANS})) GROUP BY seqnum, k)"""
+
+
+@query(f"""SELECT DISTINCT CAST(seqnum % 50 AS VARCHAR) AS chr, s AS start, e AS "end" FROM {_EXONS}""")
+def distinct_exons(spark, sf):
+    return genes.exons(_models(spark, sf))
+
+
+@query(
+    f"""SELECT DISTINCT CAST(seqnum % 50 AS VARCHAR) AS chr, CASE WHEN seqnum % 2 = 1 THEN '-' ELSE '+' END AS strand, e + 1 AS start, n - 1 AS "end" FROM
+ (SELECT *, LEAD(s) OVER (PARTITION BY seqnum ORDER BY s) AS n FROM {_EXONS}) WHERE n IS NOT NULL"""
+)
+def distinct_introns(spark, sf):
+    return genes.introns(_models(spark, sf)).select("chr", "strand", "start", "end")
+
+
+@query(
+    f"""WITH x AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY seqnum ORDER BY s) AS k, COUNT(*) OVER (PARTITION BY seqnum) AS n, LEAD(s) OVER (PARTITION BY seqnum ORDER BY s) AS nx FROM {_EXONS})
+ SELECT CAST(seqnum AS VARCHAR) AS id, feature_type, ordinal, start, "end" FROM (
+ SELECT seqnum, 'transcript' AS feature_type, 0 AS ordinal, MIN(s) AS start, MAX(e) AS "end" FROM x GROUP BY 1
+ UNION ALL SELECT seqnum, 'exon', CAST(CASE WHEN seqnum % 2 = 1 THEN n - k + 1 ELSE k END AS INT), s, e FROM x
+ UNION ALL SELECT seqnum, 'intron', CAST(CASE WHEN seqnum % 2 = 1 THEN n - k ELSE k END AS INT), e + 1, nx - 1 FROM x WHERE nx IS NOT NULL)"""
+)
+def model_features(spark, sf):
+    return quantify.features_of(_models(spark, sf)).select("id", "feature_type", "ordinal", "start", "end")
+
+
+@query(
+    f"""SELECT CAST(chr AS BIGINT) AS chr, side, place, MAX(score * line) AS best FROM (SELECT chr, score, line, 'start' AS side, s AS place FROM {_SPANS} UNION ALL SELECT chr, score, line, 'end', e FROM {_SPANS}) GROUP BY 1, 2, 3"""
+)
+def best_ends(spark, sf):
+    rows = _alignments(spark, sf).select("chr", "start", "end", (F.col("score") * F.col("line")).alias("score"))
+    start, end = junctions.best_ends(rows)
+    one = lambda df, c: df.select("chr", F.lit(c).alias("side"), F.col(c).alias("place"), F.col(f"best_{c}").alias("best"))
+    return one(start, "start").unionByName(one(end, "end"))
+
+
+@query(
+    f"""WITH f AS (SELECT CAST(SUM("end" - start) AS BIGINT) AS footprint FROM ({_sweep_sql(_SPANS)})), g AS (SELECT CAST(SUM(LENGTH(seq)) AS BIGINT) AS genome_size FROM {_GENOME})
+ SELECT footprint, genome_size, FLOOR(footprint / genome_size * 10000) / 100 AS percent FROM f, g"""
+)
+def footprint_share(spark, sf):
+    return coverage.footprint_share(coverage_sweep(spark, sf), genes.genome_size(_genome(spark, sf)))
+
+
+@query(f"SELECT CAST(MAX(n) AS BIGINT) AS read_length FROM (SELECT SUM(e - s + 1) AS n FROM {_EXONS} GROUP BY seqnum)")
+def read_length(spark, sf):
+    return reads.read_length(_models(spark, sf).withColumnRenamed("exons", "spans"))
+
+
+@query(f"SELECT chr, MAX(n) AS length FROM (SELECT chr, LENGTH(seq) AS n FROM {_GENOME} UNION ALL SELECT CAST(l_partkey AS VARCHAR), l_linenumber FROM lineitem) GROUP BY 1")
+def merged_headers(spark, sf):
+    own = sam.header(_genome(spark, sf))
+    other = _alignments(spark, sf).select(F.col("start").cast("string").alias("chr"), F.col("line").cast("int").alias("length"))
+    return sam.merged_headers(own, other)
+
+
+@query(f"""SELECT DISTINCT 'chr' || chr AS chr, s AS start, e AS "end" FROM {_SPANS}""")
+def sorted_once(spark, sf):
+    rows = _alignments(spark, sf).select(F.concat(F.lit("chr"), "chr").alias("chr"), "start", "end")
+    return order.distinct_by_location(rows)
+
+
+@query("SELECT value, COUNT(*) AS n FROM (SELECT event_type AS value FROM events UNION ALL SELECT l_returnflag FROM lineitem) WHERE value <> 'R' GROUP BY 1")
+def united_lines(spark, sf):
+    tables = [_table(spark, sf, t).select(F.col(c).alias("value")) for t, c in (("events", "event_type"), ("lineitem", "l_returnflag"))]
+    return order.united(tables, "R").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""SELECT * FROM ({_count_sql("s <= fe AND fs <= e - 1")}) WHERE ucount + nucount > 0""")
+def positive_counts(spark, sf):
+    return quantify.positive(feature_counts(spark, sf))
+
+
+@query(
+    f"""WITH c AS ({_count_sql("s <= fe AND fs <= e - 1")}), n AS (SELECT COUNT(*) AS num_reads FROM {_SPANS}),
+ v AS (SELECT *, 'unique' AS kind, ucount AS x FROM c UNION ALL SELECT *, 'all', ucount + nucount FROM c)
+ SELECT chr, start, "end", kind, x AS count, {_TRUNC.format('(x / (("end" - start + 1) / 1000.0::DOUBLE))')} AS average,
+ {_TRUNC.format('(x / (("end" - start + 1) / 1000.0::DOUBLE) / (num_reads / 1000000.0::DOUBLE))')} AS rpkm FROM v, n"""
+)
+def separate_counts(spark, sf):
+    total = _alignments(spark, sf).agg(F.count(F.lit(1)).alias("num_reads"))
+    both = zip(quantify.separate(feature_counts(spark, sf), total), ("unique", "all"), strict=True)
+    one, other = (df.select("chr", "start", "end", F.lit(k).alias("kind"), "count", "average", "rpkm") for df, k in both)
+    return one.unionByName(other)
+
+
+@query(
+    f"""WITH r AS (SELECT seqnum, chr, flag = 'N' AS u, BOOL_OR(line > 5) AS j, BOOL_OR(line IN (1, 3, 5)) AS a, BOOL_OR(line IN (2, 4)) AS b FROM {_SPANS} GROUP BY 1, 2, 3),
+ q AS (SELECT seqnum, u, BOOL_OR(j) AS j, BOOL_OR(a) AS a, BOOL_OR(b) AS b, BOOL_OR(a AND b) AS p FROM r GROUP BY 1, 2)
+ SELECT COUNT(*) FILTER (u AND j) AS unique_joined, COUNT(*) FILTER (u AND NOT j AND p) AS unique_both, COUNT(*) FILTER (u AND NOT j AND a AND b AND NOT p) AS unique_apart,
+ COUNT(*) FILTER (NOT u AND NOT j AND p) AS ambiguous_both, COUNT(*) FILTER (NOT u AND NOT j AND NOT a AND b) AS ambiguous_reverse_only, COUNT(*) AS mapped FROM q"""
+)
+def statistics_by_place(spark, sf):
+    mate = F.when(F.col("line") > 5, "").when(F.col("line") % 2 == 1, "a").otherwise("b")
+    part = lambda f: _alignments(spark, sf, f"l_returnflag {f} 'N'").withColumn("mate", mate)
+    out = reads.mapping_statistics(part("="), part("<>"), together=["chr"])
+    return out.select("unique_joined", "unique_both", "unique_apart", "ambiguous_both", "ambiguous_reverse_only", "mapped")
+
+
+@query(
+    f"""SELECT seqnum, line, ROUND(((a1 + b1) * (b1 - a1 + 1) + (a2 + b2) * (b2 - a2 + 1)) / 2.0::DOUBLE / (b1 - a1 + b2 - a2 + 2), 6) AS mean, a1 || '-' || (a1 + 1) AS first_two, (b2 - 1) || '-' || b2 AS last_two,
+ (b1 + 1) || '-' || (a2 - 1) AS gaps, (a1 <= 500 AND b1 >= 400) OR (a2 <= 500 AND b2 >= 400) AS near FROM {_TWO}"""
+)
+def span_functions(spark, sf):
+    c = F.col("spans")
+    reach = F.array(spans.span(F.lit(400), F.lit(500)))
+    return _two(spark, sf).select(
+        "seqnum", "line", F.round(spans.mean_coordinate(c), 6).alias("mean"), spans.render(spans.prefix(c, F.lit(2))).alias("first_two"),
+        spans.render(spans.suffix(c, F.lit(2))).alias("last_two"), spans.render(spans.introns(c)).alias("gaps"), spans.overlap(c, reach).alias("near"),
+    )
+
+
+@query(f"""SELECT seqnum, line, CASE WHEN line % 2 = 0 THEN (a1 + 2) || '-' || b1 || ', ' || a2 || '-' || a2 ELSE b1 || '-' || b1 || ', ' || a2 || '-' || (b2 - 1) END AS place FROM {_TWO} WHERE line > 1 AND b1 - a1 >= 2""")
+def lifted_spans(spark, sf):
+    c, even = F.col("spans"), F.col("line") % 2 == 0
+    size = spans.total_length(c)
+    wide = c[0]["end"] - c[0]["start"] + 1
+    # forwards from the third base to the second block's first; backwards from the last but one to the first block's last
+    offset, n = F.when(even, 2).otherwise(1), F.when(even, wide - 1).otherwise(size - wide)
+    rows = _two(spark, sf).where((F.col("line") > 1) & (c[0]["end"] - c[0]["start"] >= 2))
+    return rows.select("seqnum", "line", spans.render(spans.lifted(c, F.when(even, "+").otherwise("-"), offset, n)).alias("place"))
+
+
+@query(
+    """WITH f AS (SELECT l_orderkey AS seqnum, l_linenumber AS line, CAST((l_partkey * 7 + l_linenumber * 13) % 2048 AS INT) AS flag FROM lineitem)
+ SELECT seqnum, line, (flag & CASE WHEN flag & 4 <> 0 THEN 2047 - 2 - 16 - 256 ELSE 2047 END) & CASE WHEN flag & 1 = 0 THEN 2047 - 2 - 8 - 32 - 64 - 128 ELSE 2047 END AS repaired FROM f"""
+)
+def flag_repair(spark, sf):
+    flag = ((F.col("start") * 7 + F.col("line") * 13) % 2048).cast("int")
+    return _alignments(spark, sf).select("seqnum", "line", flags.repaired(flag).alias("repaired"))
+
+
+@query(
+    """WITH f AS (SELECT l_orderkey AS seqnum, l_linenumber AS line, (l_partkey * 7 + l_linenumber * 13) % 16 AS flag FROM lineitem)
+ SELECT 'any' AS needed, seqnum, line FROM f WHERE flag & 4 = 0 OR (flag & 8 = 0 AND flag & 1 <> 0) UNION ALL SELECT 'this', seqnum, line FROM f WHERE flag & 4 = 0
+ UNION ALL SELECT 'both', seqnum, line FROM f WHERE flag & 4 = 0 AND flag & 8 = 0 AND flag & 1 <> 0"""
+)
+def suppressed_rows(spark, sf):
+    rows = _alignments(spark, sf).withColumn("flag", ((F.col("start") * 7 + F.col("line") * 13) % 16).cast("int"))
+    each = [sam.suppressed(rows, k).select(F.lit(k).alias("needed"), "seqnum", "line") for k in ("any", "this", "both")]
+    return each[0].unionByName(each[1]).unionByName(each[2])
+
+
+@query(
+    """SELECT l_suppkey AS id, """
+    + ", ".join(
+        f"COALESCE(CAST({f}(l_quantity) FILTER (l_returnflag = '{n}') AS DOUBLE), 0) AS {t}_{n}" for t, f in (("min", "MIN"), ("max", "MAX")) for n in "ANR"
+    )
+    + ", "
+    + ", ".join(f"COALESCE(CAST(MAX(l_quantity) FILTER (l_returnflag = '{n}') AS DOUBLE), 0) - COALESCE(CAST(MIN(l_quantity) FILTER (l_returnflag = '{n}') AS DOUBLE), 0) AS diff_{n}" for n in "ANR")
+    + ", ANY_VALUE(s_name) AS info FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1"
+)
+def profile_matrix(spark, sf):
+    value = F.col("score").cast("double")
+    rows = _alignments(spark, sf).groupBy(F.col("chr").alias("id"), "flag").agg(F.min(value).alias("min"), F.max(value).alias("max"))
+    info = _table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("info"))
+    return quantify.profile_matrix(rows, ["id"], "flag", "ANR", info=info)
+
+
+@query(
+    f"""SELECT chr, s AS start, e AS "end", COUNT(*) AS n FROM (SELECT *, LAG(e) OVER (PARTITION BY chr ORDER BY s, e) AS before FROM (SELECT DISTINCT chr, s, e FROM {_SPANS})) WHERE e <= s OR before > s GROUP BY 1, 2, 3"""
+)
+def overlapping_runs(spark, sf):
+    rows = _alignments(spark, sf).select("chr", "start", "end").distinct()
+    return coverage.validated(rows, tile=64).groupBy("chr", "start", "end").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    f"""SELECT seqnum, COUNT(*) FILTER (line % 2 = 1) AS forward, COUNT(*) FILTER (line % 2 = 0) AS reverse, MIN(s) FILTER (line % 2 = 1) AS first_forward FROM {_SPANS} GROUP BY 1"""
+)
+def grouped_hits(spark, sf):
+    rows = _blocks(spark, sf).select(
+        "seqnum", F.when(F.col("line") % 2 == 1, "a").otherwise("b").alias("mate"), F.lit("1").alias("chr"), "spans", F.lit("+").alias("strand"), F.lit("").alias("seq")
+    )
+    size = lambda c: F.size(c).cast("long")
+    least = F.array_min(F.transform("forward", lambda h: h["spans"][0]["start"]))
+    return reads.grouped(rows).select("seqnum", size("forward").alias("forward"), size("reverse").alias("reverse"), least.alias("first_forward"))
+
+
+@query(
+    f"""SELECT num_locs, COUNT(*) AS num_reads FROM (SELECT COUNT(*) FILTER (line > 5) + GREATEST(COUNT(*) FILTER (line IN (1, 3, 5)), COUNT(*) FILTER (line IN (2, 4))) AS num_locs FROM {_SPANS} GROUP BY seqnum) GROUP BY 1"""
+)
+def places_of_pairs(spark, sf):
+    mate = F.when(F.col("line") > 5, "").when(F.col("line") % 2 == 1, "a").otherwise("b")
+    return reads.multiplicity_histogram(_alignments(spark, sf).withColumn("mate", mate))
+
+
+#: Names of the same queries from when the shorter one read a part of its table.
+for _name in ("coverage_merge", "pair_mates", "trusted_junctions", "pos_mean"):
+    QUERIES[f"{_name}_whole"], SQL[f"{_name}_whole"] = QUERIES[_name], SQL[_name]
