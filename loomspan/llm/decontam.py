@@ -101,8 +101,11 @@ def shingle_counts(docs: DataFrame, block: Block) -> dict[int, np.ndarray]:
 
     out = {k: np.zeros(len(v), np.int64) for k, v in block.distinct.items()}
     found = docs.select("text").mapInArrow(run, "k int, at long, n long").groupBy("k", "at").agg(F.sum("n").alias("n"))
-    for row in found.toLocalIterator():
-        out[row.k][row.at] = row.n
+    table = found.toArrow()  # no more rows than the block has shingles
+    k, at, n = (table[c].to_numpy() for c in ("k", "at", "n"))
+    for size in out:
+        own = k == size
+        out[size][at[own]] = n[own]
     return out
 
 
@@ -179,16 +182,20 @@ def occurrences(docs: DataFrame, block: Block | None, last: bool) -> DataFrame:
 
 
 def blocks(benchmark: DataFrame, most: int = BLOCK) -> Iterator[Block]:
-    """The benchmark in blocks of at most `most` windows (or one item), streamed to the driver in turn."""
-    items, n = [], 0
-    slim = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null")
+    """The benchmark in blocks of at most `most` windows (or one item), streamed to the driver in turn.
+
+    An item has no more windows than words, counted by Spark, and counts as many as eighths of its bytes at least, so a block is bounded
+    in bytes too."""
+    words = F.size(F.split("text", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+    n = F.greatest(F.when(F.col("text").isNotNull(), words).otherwise(0), F.ceil(F.octet_length(F.coalesce("text", F.lit(""))) / 8).cast("int"))
+    items, held = [], 0
+    slim = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text", n.alias("n")).where("item_id is not null")
     for row in slim.toLocalIterator():
-        size = len((row.text or "").split()) + (row.text or "").count("-") + 1
-        if items and n + size > most:
+        if items and held + row.n > most:
             yield Block(items)
-            items, n = [], 0
+            items, held = [], 0
         items.append((row.item_id, row.text))
-        n += size
+        held += row.n
     if items:
         yield Block(items)
 

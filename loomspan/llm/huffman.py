@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomspan.llm.memory import release
 from loomspan.llm.store import dropped, file_system, put_once, shared_dir, written
 from loomspan.llm.tokens import SLICE, default_path, encoder
 from loomspan.llm.words import slices
@@ -177,6 +178,7 @@ def write_files(ids: DataFrame, lengths: np.ndarray, folder: str, most: int = BL
         return struct.pack(_HEAD, _MAGIC, len(keys), sum(map(len, raws)), bits, zlib.crc32(body)) + body
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         seen: dict[str, int] = {"docs": 0, "ids": 0}
         low: list[tuple[bool, int, int]] = []
 
@@ -287,6 +289,7 @@ def read_files(manifest: DataFrame) -> DataFrame:
         start += row.ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for path, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for keys, each, ids in read_blocks(path):

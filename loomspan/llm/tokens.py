@@ -11,7 +11,7 @@ import numpy as np
 from loomspan.llm.memory import on_release
 
 #: Words kept per worker process; beyond it the memory starts anew. About 200 bytes each.
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 #: Words of these letters are one piece each for the pre-tokenizer, so many can go in as one text. Words of
 #: them and of ASCII digits and marks, but no apostrophe, fall into such pieces, single digits and runs of marks.
 _SIMPLE = re.compile(rb"(?:[\x21-\x26\x28-\x7e]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
@@ -19,7 +19,7 @@ _PIECES = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+|[0-9]|[^a-z0-9\xc3]+")
 _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 _ENDED = re.compile(_LETTERS.pattern.join((rb"(", rb")([\x21-\x26\x28-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]*)")))
 #: Words of letters that one call of the library gets; bytes of text that a stage encodes at a time.
-TOGETHER, SLICE = 2048, 2 << 20
+TOGETHER, SLICE = 2048, 1 << 20
 
 
 class Encoder:
