@@ -118,8 +118,9 @@ def merged(tables: Sequence[DataFrame], key: Sequence[str] = ("chr", "start", "e
     )
 
 
-def to_bed(junctions: DataFrame, high_quality: bool = False, flank: int = 50) -> DataFrame:
-    """BED12 rows: the intron between two blocks of `flank` bases.
+def to_bed(junctions: DataFrame, high_quality: bool = False, flank: int = 50, lengths: DataFrame | None = None) -> DataFrame:
+    """BED12 rows: the intron between two blocks of `flank` bases, less what would lie before the chromosome's first base or, with
+    lengths (chr, length), behind its last but one.
 
     All junctions score their total support, and are navy with a score and red without; high-quality ones are those with a
     score, coloured by whether they are known."""
@@ -130,7 +131,10 @@ def to_bed(junctions: DataFrame, high_quality: bool = False, flank: int = 50) ->
         support = sum((F.col(c) for c in SUMMED[1:]), F.lit(0))
         score = F.when(F.col("score") > 0, F.col("score")).otherwise(support)
         color = F.when(F.col("score") > 0, COLORS["strong"]).otherwise(COLORS["weak"])
-    low, high = F.col("start") - 1 - flank, F.col("end") + flank
+    low, high = F.greatest(F.col("start") - 1 - flank, F.lit(0)), F.col("end") + flank
+    if lengths is not None:
+        junctions = junctions.join(lengths.select("chr", F.col("length").alias("_length")), "chr", "left")
+        high = F.least(high, F.col("_length") - 1)
     return junctions.select(
         "chr",
         low.alias("start0"),
@@ -142,8 +146,8 @@ def to_bed(junctions: DataFrame, high_quality: bool = False, flank: int = 50) ->
         high.alias("thick_end"),
         color.alias("rgb"),
         F.lit(2).alias("block_count"),
-        F.lit(f"{flank},{flank}").alias("block_sizes"),
-        F.concat(F.lit("0,"), (F.col("end") - F.col("start") + 1 + flank).cast("string")).alias("block_starts"),
+        F.concat_ws(",", F.col("start") - 1 - low, high - F.col("end")).alias("block_sizes"),
+        F.concat(F.lit("0,"), (F.col("end") - low).cast("string")).alias("block_starts"),
     )
 
 

@@ -339,8 +339,8 @@ def merge_min_max_sum(spark, sf):
 
 
 @query(
-    """SELECT CAST(l_suppkey AS BIGINT) AS chr, l_partkey - 51 AS start0, l_partkey + l_suppkey + 50 AS "end", CASE WHEN l_linenumber > 3 THEN '0,0,128' ELSE '255,69,0' END AS rgb,
- '0,' || CAST(l_suppkey + 51 AS VARCHAR) AS block_starts, CASE WHEN l_linenumber > 3 THEN CAST(l_linenumber AS BIGINT) ELSE CAST(l_quantity AS BIGINT) + l_linenumber END AS score FROM lineitem"""
+    """SELECT CAST(l_suppkey AS BIGINT) AS chr, GREATEST(l_partkey - 51, 0) AS start0, l_partkey + l_suppkey + 50 AS "end", CASE WHEN l_linenumber > 3 THEN '0,0,128' ELSE '255,69,0' END AS rgb,
+ '0,' || CAST(l_partkey + l_suppkey - GREATEST(l_partkey - 51, 0) AS VARCHAR) AS block_starts, CASE WHEN l_linenumber > 3 THEN CAST(l_linenumber AS BIGINT) ELSE CAST(l_quantity AS BIGINT) + l_linenumber END AS score FROM lineitem"""
 )
 def junctions_to_bed(spark, sf):
     rows = _alignments(spark, sf).withColumn("end", F.col("start") + F.col("chr"))
@@ -359,6 +359,17 @@ def junctions_to_bed(spark, sf):
     return junctions.to_bed(rows).select("chr", "start0", "end", "rgb", "block_starts", "score")
 
 
+@query(
+    """SELECT CAST(l_suppkey AS BIGINT) AS chr, GREATEST(l_partkey - 51, 0) AS start0, LEAST(l_partkey + CAST(l_quantity AS BIGINT) + 50, 9 * l_suppkey + 99) AS "end", CAST(l_linenumber - 2 AS BIGINT) AS score,
+ CASE WHEN l_linenumber % 2 = 1 THEN '16,78,139' ELSE '0,205,102' END AS rgb, LEAST(l_partkey - 1, 50) || ',' || (LEAST(50, 9 * l_suppkey + 99 - l_partkey - CAST(l_quantity AS BIGINT))) AS block_sizes
+ FROM lineitem WHERE l_linenumber > 2"""
+)
+def quality_junctions_to_bed(spark, sf):
+    rows = _alignments(spark, sf).withColumns({"score": (F.col("line") - 2).cast("bigint"), "known": F.col("line") % 2, "strand": F.lit("+")})
+    lengths = _table(spark, sf, "supplier").select(F.col("s_suppkey").alias("chr"), (9 * F.col("s_suppkey") + 100).alias("length"))
+    return junctions.to_bed(rows, high_quality=True, lengths=lengths).select("chr", "start0", "end", "score", "rgb", "block_sizes")
+
+
 @query(
     """WITH j AS (SELECT DISTINCT l_suppkey AS chr, l_partkey AS s, l_partkey + CAST(l_quantity AS BIGINT) AS e, CAST(l_linenumber * l_quantity AS BIGINT) AS score, l_linenumber % 2 AS known FROM lineitem),
  h AS (SELECT DISTINCT chr, s, e FROM j WHERE score >= 200)

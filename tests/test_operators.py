@@ -231,7 +231,51 @@ def test_junctions(spark):
     r = junctions.called(a, chunks).first()
     assert (r.start, r.end, r.strand, r.score, r.known, r.long_overlap_unique_reads, r.short_overlap_nu_reads) == (9, 30, "+", 1, 0, 1, 1)
     bed = junctions.to_bed(junctions.called(a, chunks)).first()
-    assert (bed.start0, bed.end, bed.rgb, bed.block_starts) == (-42, 80, "0,0,128", "0,72")
+    assert (bed.start0, bed.end, bed.rgb, bed.block_sizes, bed.block_starts) == (0, 80, "0,0,128", "8,50", "0,30")
+
+
+def test_junctions_without_a_signal(spark):
+    # the intron may lie one base to the left, or right, at either end of chromosome 1; chromosome 2's has a signal one to the left
+    text = {"1": "CCCCCCCCCC" + "C" * 40 + "CCCCCCCCCC", "2": "ACGTTACCGG" + "TAAAA" + "C" * 28 + "TAGA" + "TTTTTTTTTT" + "CCC"}
+    text["2"] = "ACGTTACCGG" + "TA" + "C" * 33 + "CAGG" + "TTTTTTTTTT"
+    chunks = junctions.genome_chunks(spark.createDataFrame(list(text.items()), "chr string, seq string"), size=16)
+    seq = lambda c, *spans: ":".join(text[c][a - 1 : b] for a, b in spans)
+    a = [(1, "1", "1-10, 51-60", "+", True, seq("1", (1, 10), (51, 60))), (2, "2", "1-10, 50-59", "-", True, "x"), (3, "1", "1-10, 21-30", "+", True, "C" * 10 + ":+A+" + "C" * 10)]
+    rows_ = spark.createDataFrame(a, "seqnum long, chr string, t string, strand string, is_unique boolean, seq string").withColumn("spans", S.parse(F.col("t")))
+    out = junctions.called(rows_, chunks)
+    assert rows(out, "chr", "start", "end", "strand", "score", "ambiguous") == [
+        ("1", 10, 49, ".", 0, 1), ("1", 11, 50, ".", 0, 1), ("1", 12, 51, ".", 0, 1), ("2", 10, 48, "+", 1, 0)
+    ]
+    assert rows(junctions.called(rows_, chunks, strand="-"), "chr", "score") == [("2", 1)]
+    assert junctions.called(rows_, chunks, shortest=60).count() == 0
+
+
+def test_overlap_counts_all_blocks_of_a_side(spark):
+    a = spark.createDataFrame([(1, "1", "1-6, 31-36, 61-70", True)], "seqnum long, chr string, t string, is_unique boolean").withColumn("spans", S.parse(F.col("t")))
+    chunks = junctions.genome_chunks(spark.createDataFrame([("1", "A" * 80)], "chr string, seq string"))
+    out = junctions.called(a, chunks, long=8).where("start in (7, 37)")
+    assert rows(out, "start", "long_overlap_unique_reads", "short_overlap_unique_reads") == [(37, 1, 0), (7, 0, 1)]
+
+
+def test_islands_over_many_tiles(spark):
+    rng = random.Random(9)
+    data = [(rng.randint(0, 1), a := rng.randint(0, 400), a + rng.choice([0, 3, 9, 150])) for _ in range(60)]
+    df = spark.createDataFrame(data, "chr int, start long, end long")
+    want = intervals._runs(df, ["chr"], "start", "end", 2, F.lit(1))
+    for tile in (5, 64):
+        assert rows(intervals.islands(df, ["chr"], gap=2, tile=tile), "chr", "start", "end", "n") == rows(want, "chr", "start", "end", "n")
+
+
+def test_rescued_pairs(spark):
+    from loomspan.operators import hits as H
+
+    two = lambda n, a, b: [(n, "a", "1", a, "+", "A" * (int(a.split("-")[1]) - int(a.split("-")[0]) + 1)), (n, "b", "1", b, "-", "C" * (int(b.split("-")[1]) - int(b.split("-")[0]) + 1))]
+    data = [*two(1, "1-50", "200-250"), *two(1, "5-60", "210-260"), *two(2, "1-50", "200-250"), (2, "a", "1", "60-110", "+", "A" * 51)]
+    unique, rest = H.transcript_classified(hits(spark, data), 20)
+    assert rows(unique.withColumn("s", S.render(F.col("spans"))), "seqnum", "mate", "s") == [(1, "a", "5-50"), (1, "b", "210-250")]
+    assert {r.seqnum for r in rest.collect()} == {2}
+    unique, rest = H.spliced_classified(hits(spark, data), 20)
+    assert (2, "b", "200-250") in rows(unique.withColumn("s", S.render(F.col("spans"))), "seqnum", "mate", "s")
 
 
 def test_inferred_exons(spark):

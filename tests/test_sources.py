@@ -39,6 +39,48 @@ def test_fasta(spark, tmp_path):
     assert {(r.name, r.seq) for r in out.collect()} == {("x", "ACGT"), ("y", "T")}
 
 
+def test_many_headers_and_chunks(spark, tmp_path):
+    seqs = {f"s{k}": "ACGT"[k % 4] * (k % 7) + "acgtacgtacgt"[: k % 13] for k in range(3000)} | {"long": "".join("ACGT"[(k * k) % 4] for k in range(5000))}
+    text = "".join(f">{n} x\n" + "".join(f"{s[k : k + 5]}\n" for k in range(0, len(s), 5)) for n, s in seqs.items())
+    (tmp_path / "c.fa").write_text("; comment\n" + text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        raw = lines.numbered_lines(spark, str(tmp_path / "c.fa"))
+        rows = readers.sequence_lines(raw, stretch=100).collect()
+        chunks = readers.chunked(raw, size=64, over=6).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    got: dict = {}
+    for r in sorted(rows, key=lambda r: r.line):
+        assert r.before == len(got.setdefault(r.name.split()[0], ""))
+        got[r.name.split()[0]] += r.value
+    assert got == {n: s for n, s in seqs.items() if s}
+    want = {(n, k): s.upper()[k * 64 : k * 64 + 70] for n, s in seqs.items() for k in range(-(-len(s) // 64))}
+    assert {(r.chr, r.chunk): r.seq for r in chunks} == want
+    counts = {r.q_name: r.n_masked for r in readers.masked_counts(spark, str(tmp_path / "c.fa"), "T").collect()}
+    assert counts["long"] == seqs["long"].count("T")
+
+
+def test_two_columns(spark, tmp_path):
+    (tmp_path / "i.tsv").write_text("gene\tdescription\ng1\tfirst\ng2\tsecond\n")
+    assert {tuple(r) for r in readers.two_columns(spark, str(tmp_path / "i.tsv")).collect()} == {("g1", "first"), ("g2", "second")}
+
+
+def test_gaps_of_psl(spark):
+    schema = "matches long, mismatches long, q_gap_count long, q_gap_bases long, t_gap_count long, q_name string, q_size long, q_end long, block_count long, block_sizes array<long>, q_starts array<long>, t_starts array<long>"
+    row = lambda n, sizes, qs, ts, tg, wrong=0: (40, wrong, 1, 2, tg, n, 42, 42, len(sizes), sizes, qs, ts)
+    data = [
+        row("ok", [20, 20], [0, 22], [100, 120], 0),
+        row("thin", [34, 6], [0, 36], [100, 134], 0),
+        row("same place", [20, 20], [0, 22], [100, 320], 1),
+        row("two places", [10, 10, 20], [0, 10, 22], [100, 210, 220], 1),
+        row("short gap", [10, 10, 20], [0, 10, 22], [100, 120, 130], 1),
+        row("wrong", [20, 20], [0, 22], [100, 120], 0, 3),
+    ]
+    out = readers.kept_psl(spark.createDataFrame(data, schema))
+    assert {r.q_name for r in out.collect()} == {"ok", "two places"}
+
+
 def test_alignment_round_trip(spark, tmp_path):
     (tmp_path / "in.tsv").write_text("seq.7a\tchr1\t1-5, 9-10\t+\tACGTA:CC\nseq.8\tchr2\t3-4\t-\tAC\n")
     rows = readers.alignments(spark, str(tmp_path / "in.tsv"))
