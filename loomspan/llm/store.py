@@ -38,6 +38,11 @@ def dropped(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def swept(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of finished jobs now: its cleaner acts on what the driver's garbage collection finds."""
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def file_system(uri: str):
     """(filesystem, path) of a URI as executors see it: file:, hdfs:, s3:, gs: or a bare path."""
     from pyarrow import fs

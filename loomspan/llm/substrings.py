@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomspan.llm.store import swept, written
 from loomspan.llm.words import slices, utf8
 
 #: A cut falls where the top BITS bits of the gear hash of WINDOW bytes are 0, if no such place lies in the NEAR bytes
@@ -251,8 +252,11 @@ def deduplicated(docs: DataFrame, least: int = LEAST, key: str = "doc_id", text:
     repeat a key share what either repeats; a null key is never changed; such added columns are replaced."""
     added = ["n_repeated", "repeated_spans", "n_removed", "removed_spans", "_parts", "_beside", "_spans"]
     docs = docs.drop(*added)
-    lists = _lists(docs, key, text)
-    beside = _beside(docs, lists, key, text).select(F.col("key").alias(key), F.col("beside").alias("_beside"))
+    lists = written(_lists(docs, key, text), "lists")
+    swept(docs.sparkSession)  # the chunks' shuffles take more disk than all that follows
+    beside = written(_beside(docs, lists, key, text), "beside")
+    swept(docs.sparkSession)
+    beside = beside.select(F.col("key").alias(key), F.col("beside").alias("_beside"))
     rows = docs.join(lists.select(F.col("key").alias(key), F.col("parts").alias("_parts")), key, "left").join(beside, key, "left")
 
     @F.arrow_udf("array<struct<a: bigint, b: bigint, extra: boolean>>")
