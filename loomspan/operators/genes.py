@@ -43,14 +43,15 @@ def repaired(models: DataFrame) -> DataFrame:
     return models.withColumn("exons", S.fused(F.col("exons")))
 
 
-def sequences(models: DataFrame, exon_seqs: DataFrame) -> DataFrame:
+def sequences(models: DataFrame, exon_seqs: DataFrame, strict: bool = False) -> DataFrame:
     """(id, seq): the exons' sequences (chr, start, end, seq) in order, reverse-complemented on the minus strand.
 
-    A model whose exon has no sequence gets null."""
+    A model whose exon has no sequence gets null; if strict it is an error when read."""
     parts = models.select("id", "chr", "strand", F.posexplode("exons").alias("k", "s")).select("id", "chr", "strand", "k", "s.start", "s.end")
     found = parts.join(exon_seqs, ["chr", "start", "end"], "left")
     whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "seq"))), lambda x: x["seq"]), "")
-    out = found.groupBy("id", "strand").agg(F.when(F.count("seq") == F.count(F.lit(1)), whole).alias("seq"))
+    missing = F.raise_error(F.concat(F.lit("no sequence for an exon of "), F.first("id"))) if strict else F.lit(None).cast("string")
+    out = found.groupBy("id", "strand").agg(F.when(F.count("seq") == F.count(F.lit(1)), whole).otherwise(missing).alias("seq"))
     return out.select("id", F.when(F.col("strand") == "-", Q.reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
 
 

@@ -151,6 +151,20 @@ def to_bed(junctions: DataFrame, high_quality: bool = False, flank: int = 50, le
     )
 
 
+def exon_track(exons: DataFrame) -> DataFrame:
+    """BED9 rows of exons (chr, start, end, is_known), coloured by whether they are known."""
+    return exons.select(
+        "chr", (F.col("start") - 1).alias("start0"), "end", F.lit(".").alias("name"), F.lit(0).alias("score"), F.lit(".").alias("strand"),
+        (F.col("start") - 1).alias("thick_start"), F.col("end").alias("thick_end"), F.when(F.col("is_known"), COLORS["known"]).otherwise(COLORS["novel"]).alias("rgb"),
+    )
+
+
+def novel_models(exons: DataFrame) -> DataFrame:
+    """Gene models (chr, strand, exons, id) of one exon each, of the exons that aren't known."""
+    place = F.concat(F.col("chr"), F.lit(":"), F.col("start"), F.lit("-"), F.col("end"))
+    return exons.where(~F.col("is_known")).select("chr", F.lit("+").alias("strand"), F.array(S.span(F.col("start"), F.col("end"))).alias("exons"), place.alias("id"))
+
+
 def best_ends(junctions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The best score of each junction start, and of each end."""
     return tuple(junctions.groupBy("chr", c).agg(F.max("score").alias(f"best_{c}")) for c in ("start", "end"))

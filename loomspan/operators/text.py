@@ -21,11 +21,17 @@ def position_quality(rows: DataFrame, qual: str = "qual", offset: int = 33, most
     return out.withColumn("error", error_of(F.col("mean")))
 
 
-def step_times(events: DataFrame, step: Sequence[str], at: str = "ts", order: str = "event_id") -> DataFrame:
-    """(step, begun, ended, seconds): every odd event of a step begins it, the next one ends it."""
+def step_times(events: DataFrame, step: Sequence[str], at: str = "ts", order: str = "event_id", kind: str | None = None) -> DataFrame:
+    """(step, begun, ended, seconds): every odd event of a step begins it, the next one ends it.
+
+    With kind, a column of START and FINISH, every START that a FINISH follows next is a run; others are none."""
     w = Window.partitionBy(*step).orderBy(at, order)
-    rows = events.withColumns({"_k": F.row_number().over(w), "ended": F.lead(at).over(w)})
-    rows = rows.where((F.col("_k") % 2 == 1) & F.col("ended").isNotNull())
+    rows = events.withColumn("ended", F.lead(at).over(w))
+    if kind is None:
+        rows = rows.withColumn("_k", F.row_number().over(w)).where(F.col("_k") % 2 == 1)
+    else:
+        rows = rows.withColumn("_k", F.lead(kind).over(w)).where((F.col(kind) == "START") & (F.col("_k") == "FINISH"))
+    rows = rows.where(F.col("ended").isNotNull())
     return rows.select(*step, F.col(at).alias("begun"), "ended", (F.unix_timestamp("ended") - F.unix_timestamp(at)).alias("seconds"))
 
 

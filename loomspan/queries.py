@@ -603,11 +603,12 @@ def fused_mates(spark, sf):
 
 
 @query(
-    f"""SELECT seqnum, CAST(MIN(chr) AS VARCHAR) AS chr, MAX(s) AS start, MIN(e - 1) AS "end" FROM {_SPANS} GROUP BY seqnum
- HAVING COUNT(DISTINCT chr) = 1 AND COUNT(DISTINCT (s, e)) > 1 AND MIN(e - 1) - MAX(s) + 1 >= 5"""
+    f"""SELECT seqnum, CAST(MIN(chr % 2) AS VARCHAR) AS chr, MAX(s) AS start, MIN(e - 1) AS "end" FROM (SELECT seqnum, chr, s % 40 + 1 AS s, s % 40 + score + 1 AS e FROM {_SPANS}) GROUP BY seqnum
+ HAVING COUNT(DISTINCT chr % 2) = 1 AND COUNT(DISTINCT (s, e)) > 1 AND MIN(e - 1) - MAX(s) + 1 >= 5"""
 )
 def shared_regions(spark, sf):
-    rows = _blocks(spark, sf)
+    rows, start = _blocks(spark, sf), F.col("start") % 40 + 1
+    rows = rows.withColumns({"chr": F.col("chr") % 2, "spans": F.array(spans.span(start, start + F.col("score") - 1))})
     bases = F.repeat(F.lit("A"), spans.total_length(F.col("spans")).cast("int")).alias("seq")
     rows = rows.select("seqnum", F.lit("a").alias("mate"), F.col("chr").cast("string").alias("chr"), "spans", F.lit("+").alias("strand"), bases)
     unique, _ = hits.split_by_uniqueness(rows, 5)
@@ -901,6 +902,16 @@ def places_of_pairs(spark, sf):
     return reads.multiplicity_histogram(_alignments(spark, sf).withColumn("mate", mate))
 
 
+@query(
+    f"""SELECT CAST(chr AS VARCHAR) AS chr, fs - 1 AS start0, fe AS "end", CASE WHEN (fs + fe) % 3 = 0 THEN '16,78,139' ELSE '0,205,102' END AS rgb,
+ CASE WHEN (fs + fe) % 3 <> 0 THEN chr || ':' || fs || '-' || fe END AS novel FROM {_PLACES}"""
+)
+def exon_tracks(spark, sf):
+    exons = _places(spark, sf).withColumns({"chr": F.col("chr").cast("string"), "is_known": (F.col("start") + F.col("end")) % 3 == 0})
+    novel = junctions.novel_models(exons).select("chr", (F.col("exons")[0]["start"] - 1).alias("start0"), F.col("exons")[0]["end"].alias("end"), F.col("id").alias("novel"))
+    return junctions.exon_track(exons).select("chr", "start0", "end", "rgb").join(novel, ["chr", "start0", "end"], "left")
+
+
 #: Names of the same queries from when the shorter one read a part of its table.
 for _name in ("coverage_merge", "pair_mates", "trusted_junctions", "pos_mean"):
     QUERIES[f"{_name}_whole"], SQL[f"{_name}_whole"] = QUERIES[_name], SQL[_name]

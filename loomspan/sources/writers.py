@@ -33,6 +33,11 @@ def bed_lines(df: DataFrame) -> DataFrame:
     )
 
 
+def exon_track_lines(df: DataFrame) -> DataFrame:
+    """BED9 of junctions.exon_track."""
+    return _lines(df, "chr", "start0", "end", "name", "score", "strand", "thick_start", "thick_end", "rgb")
+
+
 def span_bed_lines(df: DataFrame, zero_based: bool = False, seqnum: bool = False) -> DataFrame:
     """A line per span; zero_based takes one off each start."""
     rows = df.select("chr", "seqnum", "strand", F.explode("spans").alias("s"))
@@ -62,7 +67,7 @@ def fasta_lines(df: DataFrame) -> DataFrame:
 
 
 def write(lines: DataFrame, path: str, header: str | None = None, order=(), compress: bool = False) -> None:
-    """Text files in a folder, in the lines' order by `order`; a header is the first line of every file."""
+    """Text files in a folder, in the lines' order by `order`; a header is the first line of the first file."""
     rows = lines.sortWithinPartitions(*order) if order else lines
     if header is not None:
         one = lambda batches: _headed(batches, header)
@@ -72,13 +77,11 @@ def write(lines: DataFrame, path: str, header: str | None = None, order=(), comp
 
 def _headed(batches, header: str):
     import pyarrow as pa
+    from pyspark import TaskContext
 
-    first = True
-    for batch in batches:
-        if first:
-            yield pa.RecordBatch.from_arrays([pa.array([header])], schema=batch.schema)
-            first = False
-        yield batch
+    if TaskContext.get().partitionId() == 0:
+        yield pa.RecordBatch.from_arrays([pa.array([header])], ["value"])
+    yield from batches
 
 
 def by_chromosome(df: DataFrame, path: str) -> None:

@@ -347,3 +347,33 @@ def test_consensus_ties(spark):
 def test_position_quality(spark):
     df = spark.createDataFrame([("!I",), ("+",)], "qual string")
     assert rows(text.position_quality(df), "pos", "mean") == [(1, 5.0), (2, 40.0)]
+
+
+def test_steps_by_kind(spark):
+    data = [(1, "x", "START", 0), (2, "x", "START", 5), (3, "x", "FINISH", 9), (4, "y", "FINISH", 1), (5, "y", "START", 2), (6, "y", "FINISH", 4), (7, "x", "START", 11)]
+    df = spark.createDataFrame(data, "event_id int, step string, kind string, s int").withColumn("ts", F.timestamp_seconds("s"))
+    assert rows(text.step_times(df, ["step"], kind="kind"), "step", "seconds") == [("x", 4), ("y", 2)]
+
+
+def test_missing_exons(spark):
+    models = spark.createDataFrame([("g", "1", "-", "1-3, 5-6")], "id string, chr string, strand string, t string").withColumn("exons", S.parse(F.col("t")))
+    seqs = spark.createDataFrame([("1", 1, 3, "ACG")], "chr string, start long, end long, seq string")
+    assert genes.sequences(models, seqs).first().seq is None
+    with pytest.raises(Exception, match="no sequence"):
+        genes.sequences(models, seqs, strict=True).collect()
+
+
+def test_orders(spark):
+    from loomspan.operators import order
+
+    df = spark.createDataFrame([("chr10", 5, 6), ("chr2", 9, 10), ("chr2", 9, 10), ("chr2", 1, 3)], "chr string, start long, end long")
+    assert [tuple(r) for r in order.distinct_by_location(df).collect()] == [("chr2", 1, 3), ("chr2", 9, 10), ("chr10", 5, 6)]
+    assert [r.start for r in order.by_column(df, -2).collect()] == [9, 9, 5, 1]
+    some = spark.createDataFrame([(2, "b"), (1, "b"), (1, ""), (1, "a")], "seqnum long, mate string")
+    assert [tuple(r) for r in order.by_read(some).collect()] == [(1, ""), (1, "a"), (1, "b"), (2, "b")]
+
+
+def test_checks_of_reads(spark):
+    df = spark.createDataFrame([(1, "a", "x 1:Y:0"), (1, "b", "x 2:N:0"), (2, "a", "y 1:N:0")], "seqnum long, mate string, name string")
+    assert rows(text.filtered_reads(df), "seqnum", "mate") == [(1, "a")]
+    assert rows(text.without_mate(df), "seqnum", "mates") == [(2, 1)]
