@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,8 +41,12 @@ def dropped(df: DataFrame) -> None:
 
 
 def swept(spark: SparkSession) -> None:
-    """Have Spark delete the shuffle files of finished jobs now: its cleaner acts on what the driver's garbage collection finds."""
-    spark.sparkContext._jvm.java.lang.System.gc()
+    """Have Spark delete the shuffle files of finished jobs now: its cleaner acts on what the driver's garbage collections find. The
+    first one lets go of what Python held, the second finds what that held."""
+    gc.collect()
+    for _ in range(2):
+        spark.sparkContext._jvm.java.lang.System.gc()
+        time.sleep(0.5)
 
 
 def file_system(uri: str):
