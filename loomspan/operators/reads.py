@@ -74,7 +74,7 @@ def classified(
     none = lambda *names: [F.lit(None).cast("struct<spans: array<struct<start: bigint, end: bigint>>, seq: string>").alias(n) for n in names]
     apart = pairs.where((gap > 1) & (gap <= distance)).select(read, "chr", "strand", "fwd", "rev", *none("joined"))
     close = pairs.where((gap <= 1) & (S.first_start(up["spans"]) <= S.first_start(down["spans"])))
-    joined = _joined(close.select(read, "chr", "strand", up.alias("up"), down.alias("down")), read, contained, repair)
+    joined = fused(close.select(read, "chr", "strand", up.alias("up"), down.alias("down")), contained, repair)
     both = apart.unionByName(joined.select(read, "chr", "strand", *none("fwd", "rev"), "joined").distinct())
     if longest:
         covered = sum((F.coalesce(S.total_length(F.col(f"{c}.spans")), F.lit(0)) for c in ("fwd", "rev", "joined")), F.lit(0))
@@ -87,21 +87,23 @@ def classified(
     return every.join(one, read).withColumn("is_unique", F.col("is_unique") & ~F.col("_crowd")).drop("_crowd")
 
 
-def _joined(close: DataFrame, read: str, contained: bool, repair: bool) -> DataFrame:
-    """(read, chr, strand, joined) of the mates (up, down) that are one alignment."""
+def fused(close: DataFrame, contained: bool = True, repair: bool = False) -> DataFrame:
+    """close's other columns and joined of the touching or overlapping mates (up, down: spans, seq) that are one alignment."""
+    keys = [f for f in close.schema.fields if f.name not in ("up", "down")]
+    names = [f.name for f in keys]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, keep = [], []
-            for k, row in enumerate(batch.to_pylist()):
+            for k, row in enumerate(batch.select(["up", "down"]).to_pylist()):
                 two = [([(s["start"], s["end"]) for s in x["spans"]], x["seq"] or "") for x in (row["up"], row["down"])]
                 if found := R.one_of_mates(*two, contained, repair):
                     keep.append(k)
                     out.append({"spans": [{"start": s, "end": e} for s, e in found[0]], "seq": found[1]})
             rows = batch.take(pa.array(keep, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(out, rows.schema.field("up").type)], [*rows.schema.names[:3], "joined"])
+            yield pa.RecordBatch.from_arrays([*rows.select(names).columns, pa.array(out, rows.schema.field("up").type)], [*names, "joined"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in close.schema.fields[:3])
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys)
     return close.mapInArrow(run, f"{kinds}, joined {close.schema['up'].dataType.simpleString()}")
 
 

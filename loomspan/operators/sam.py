@@ -13,6 +13,7 @@ from loomspan.functions import fragments as R
 from loomspan.functions import sequence as Q
 from loomspan.functions import spans as S
 from loomspan.operators.hits import mates_of_joined
+from loomspan.operators.reads import fused
 
 
 def sized(rows: DataFrame, genome: DataFrame) -> DataFrame:
@@ -189,10 +190,11 @@ def to_sam(reads: DataFrame, alignments: DataFrame, genome: DataFrame | None = N
     )
 
 
-def from_sam(sam: DataFrame) -> DataFrame:
+def from_sam(sam: DataFrame, fuse: bool = False) -> DataFrame:
     """Alignments (seqnum, mate, chr, spans, strand, seq, is_unique) of mapped SAM rows; unique by IH or NH, else by number of rows.
 
-    Insertions and clips leave the sequence; strand is the forward mate's."""
+    Insertions and clips leave the sequence; strand is the forward mate's. fuse: mates of one HI that touch or overlap, and whose inner
+    blocks agree, are one row without a mate."""
     rows = sam.where(~B.has(F.col("flag"), "unmapped"))
     mate = F.when(~B.has(F.col("flag"), "paired"), "a").when(B.has(F.col("flag"), "last"), "b").otherwise("a")
     number = F.regexp_extract("qname", r"(\d+)[ab]?$", 1).cast("long")
@@ -206,10 +208,20 @@ def from_sam(sam: DataFrame) -> DataFrame:
         Q.flipped(strand, mate == "b").alias("strand"),
         _aligned(F.col("seq"), F.col("cigar")).alias("seq"),
         F.when(tag != "", tag.cast("long")).alias("_ih"),
+        F.regexp_extract(F.array_join("tags", "\t"), r"(?:^|\t)HI:i:(\d+)", 1).alias("_hi"),
     )
     each = rows.groupBy("seqnum", "mate").agg(F.count(F.lit(1)).alias("_rows"))
     out = rows.join(each, ["seqnum", "mate"])
-    return out.withColumn("is_unique", F.coalesce("_ih", "_rows") == 1).drop("_ih", "_rows")
+    out = out.withColumn("is_unique", F.coalesce("_ih", "_rows") == 1).drop("_ih", "_rows")
+    if not fuse:
+        return out.drop("_hi")
+    key = ["seqnum", "_hi", "chr", "strand", "is_unique"]
+    side = lambda m: out.where(F.col("mate") == m).select(*key, F.struct("spans", "seq").alias(m))
+    up, down = (F.when(F.col("strand") == "+", F.col(x)).otherwise(F.col(y)) for x, y in (("a", "b"), ("b", "a")))
+    pairs = side("a").join(side("b"), key).where(F.col("_hi") != "").select(*key, up.alias("up"), down.alias("down"))
+    near = (S.first_start(F.col("up.spans")) <= S.first_start(F.col("down.spans"))) & (S.first_start(F.col("down.spans")) - S.last_end(F.col("up.spans")) <= 1)
+    joined = fused(pairs.where(near)).select(*key, "joined.spans", "joined.seq", F.lit("").alias("mate"))
+    return out.join(joined.select(*key), key, "left_anti").unionByName(joined).drop("_hi")
 
 
 def _aligned(seq: Column, cigar: Column) -> Column:
