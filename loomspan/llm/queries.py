@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomspan.llm import decontam, huffman, neardup, ngram_join, packing, pii, sharding, substrings, toxicity, warc
+from loomspan.llm import centroids, decontam, huffman, middle, mixing, neardup, ngram_join, packing, pii, sharding, substrings, toxicity, warc
 
 QUERIES = {
     "op1_near_duplicates": neardup.op1_near_duplicates,
@@ -15,7 +15,10 @@ QUERIES = {
     "op8_personal_data": pii.op8_personal_data,
     "op9_huffman": huffman.op9_huffman,
     "op10_rendezvous": sharding.op10_rendezvous,
+    "op11_mixture": mixing.op11_mixture,
+    "op12_centroids": centroids.op12_centroids,
+    "op13_fill_in_middle": middle.op13_fill_in_middle,
 }
 
-#: xxhash64, the tokenizer and trained models have no DuckDB counterpart; tests/llm has brute-force versions.
-ORACLE_SQL: dict[str, str] = {}
+#: For the others, xxhash64, the tokenizer and trained models have no DuckDB counterpart; tests/llm has brute-force versions.
+ORACLE_SQL: dict[str, str] = {"op11_mixture": mixing.SQL, "op12_centroids": centroids.SQL, "op13_fill_in_middle": middle.SQL}
