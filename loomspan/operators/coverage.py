@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomspan.operators.intervals import overlap_join
+from loomspan.operators.breakpoints import overlap_sums
 
 
 def sweep(df: DataFrame, on: Sequence[str], start: str = "start", end: str = "end", weight: Column | None = None, tile: int = 1 << 16) -> DataFrame:
@@ -90,18 +90,11 @@ def validated(coverage: DataFrame, on: Sequence[str] = ("chr",), tile: int = 1 <
 def over_spans(spans: DataFrame, coverage: DataFrame, on: Sequence[str] = ("chr",), cutoff: int = 1) -> DataFrame:
     """(on, start, end, covered_sum, below): of each distinct half-open span, the sum of coverage and the bases below `cutoff`.
 
-    Bases that no run covers count as coverage 0."""
-    spans = spans.select(*on, "start", "end").distinct()
+    Bases that no run covers count as coverage 0. A span costs two look-ups of running totals, however long it is or how many runs it holds."""
     runs = coverage.select(*on, F.col("start").alias("c_start"), (F.col("end") - 1).alias("c_end"), "cov")
-    closed = spans.withColumn("_last", F.col("end") - 1)
-    met = overlap_join(closed, runs, on, ("start", "_last"), ("c_start", "c_end"))
-    shared = F.least("_last", "c_end") - F.greatest("start", "c_start") + 1
-    sums = met.groupBy(*on, "start", "end").agg(F.sum(shared * F.col("cov")).alias("_sum"), F.sum(F.when(F.col("cov") >= cutoff, shared)).alias("_at_least"))
-    out = spans.join(sums, [*on, "start", "end"], "left")
-    return out.select(
-        *on,
-        "start",
-        "end",
-        F.coalesce("_sum", F.lit(0)).alias("covered_sum"),
-        (F.col("end") - F.col("start") - (F.coalesce("_at_least", F.lit(0)) if cutoff > 0 else F.col("end") - F.col("start"))).alias("below"),
-    )
+    closed = spans.select(*on, "start", (F.col("end") - 1).alias("_last"))
+    sums = {"covered_sum": F.col("cov"), "_at_least": (F.col("cov") >= cutoff).cast("int")}
+    out = overlap_sums(closed, runs, on, ("start", "_last"), ("c_start", "c_end"), sums, bases=True)
+    size = F.col("_last") + 1 - F.col("start")
+    below = size - F.col("_at_least") if cutoff > 0 else F.lit(0).cast("long")
+    return out.select(*on, "start", (F.col("_last") + 1).alias("end"), "covered_sum", below.alias("below"))

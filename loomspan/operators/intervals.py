@@ -1,4 +1,4 @@
-"""Interval joins as equi-joins on bins, and runs of touching intervals."""
+"""Interval joins by breakpoints, band joins by bins, and runs of touching intervals."""
 
 from __future__ import annotations
 
@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _binned(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
-    low, high = F.floor(F.col(start) / width), F.floor(F.col(end) / width)
-    return df.withColumn("_bin", F.explode(F.when(high >= low, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))))
+from loomspan.operators.breakpoints import TILE, overlap_sums, overlapping
 
 
 def overlap_join(
@@ -19,23 +16,17 @@ def overlap_join(
     on: Sequence[str],
     a: tuple[str, str] = ("start", "end"),
     b: tuple[str, str] = ("f_start", "f_end"),
-    width: int = 1000,
+    tile: int = TILE,
     how: str = "inner",
 ) -> DataFrame:
     """Rows whose closed intervals share a coordinate and whose `on` columns are equal; no other names may clash.
 
-    Both sides go to every bin that they touch and meet in the bin in which the later one starts, so each pair
-    comes out once and without a distinct; a crowded bin is split as any skewed join is. `how` is
-    inner, left_semi or left_anti."""
-    (s, e), (fs, fe) = a, b
+    Right's intervals are indexed by breakpoints, left's look them up; each pair comes out once. Intervals of any length are copied once per
+    `tile` coordinates, and crowded tiles are dealt out. `how` is inner, left_semi or left_anti; these two count and make no pairs."""
     if how != "inner":
-        keyed = left.withColumn("_left", F.monotonically_increasing_id()) if not on else left
-        hit = overlap_join(keyed.select(*on, s, e).distinct(), right.select(*on, fs, fe).distinct(), on, a, b, width).select(*on, s, e).distinct()
-        return left.join(hit, [*on, s, e], how)
-    x, y = _binned(left, s, e, width), _binned(right, fs, fe, width)
-    joined = x.join(y, [*on, "_bin"])
-    meet = F.col("_bin") == F.floor(F.greatest(F.col(s), F.col(fs)) / width)
-    return joined.where(meet & (F.col(s) <= F.col(fe)) & (F.col(fs) <= F.col(e))).drop("_bin")
+        met = overlap_sums(left, right, on, a, b, {"_n": F.lit(1)}).where("_n > 0").drop("_n")
+        return left.join(met, [*on, *a], how)
+    return overlapping(left, right, on, a, b, tile)
 
 
 def band_join(left: DataFrame, right: DataFrame, on: Sequence[str], at: str, other: str, low: float, high: float) -> DataFrame:
@@ -80,10 +71,10 @@ def _runs(df: DataFrame, on: Sequence[str], start: str, end: str, gap: int, weig
     return out.drop("_run")
 
 
-def contained_removed(df: DataFrame, on: Sequence[str], start: str = "start", end: str = "end", apart: int = 35, width: int = 1000) -> DataFrame:
+def contained_removed(df: DataFrame, on: Sequence[str], start: str = "start", end: str = "end", apart: int = 35) -> DataFrame:
     """Intervals less those that hold two others whose gap is `apart` or more."""
     inner = df.select(*on, F.col(start).alias("_s"), F.col(end).alias("_e")).distinct()
-    held = overlap_join(df.select(*on, start, end).distinct(), inner, on, (start, end), ("_s", "_e"), width)
+    held = overlap_join(df.select(*on, start, end).distinct(), inner, on, (start, end), ("_s", "_e"))
     held = held.where((F.col("_s") >= F.col(start)) & (F.col("_e") <= F.col(end)) & ((F.col("_s") != F.col(start)) | (F.col("_e") != F.col(end))))
     bad = held.groupBy(*on, start, end).agg(F.min("_e").alias("_low"), F.max("_s").alias("_high")).where(F.col("_high") - F.col("_low") >= apart)
     return df.join(bad.select(*on, start, end), [*on, start, end], "left_anti")

@@ -44,7 +44,7 @@ def _turn(k: Column, n: Column) -> Column:
 
 
 def feature_counts(
-    fragments: DataFrame, features: DataFrame, read: str = "seqnum", strand: str | None = None, anti: bool = False, width: int = 1000
+    fragments: DataFrame, features: DataFrame, read: str = "seqnum", strand: str | None = None, anti: bool = False
 ) -> DataFrame:
     """features with ucount and nucount: unique and ambiguous reads of which a block overlaps, each counted once per feature.
 
@@ -56,7 +56,7 @@ def feature_counts(
     blocks = fragments.select(F.col(read).alias("_read"), "chr", "is_unique", F.explode("spans").alias("_s"))
     blocks = blocks.select("_read", "chr", "is_unique", F.col("_s.start").alias("_a"), F.col("_s.end").alias("_b"))
     places = features.select("chr", F.col("start").alias("f_start"), F.col("end").alias("f_end")).distinct()
-    met = overlap_join(blocks, places, ["chr"], ("_a", "_b"), ("f_start", "f_end"), width)
+    met = overlap_join(blocks, places, ["chr"], ("_a", "_b"), ("f_start", "f_end"))
     once = met.groupBy("chr", "f_start", "f_end", "_read", "is_unique").agg(F.lit(1).alias("_1"))
     sums = once.groupBy("chr", "f_start", "f_end").agg(
         F.sum(F.col("is_unique").cast("long")).alias("ucount"), F.sum((~F.col("is_unique")).cast("long")).alias("nucount")
@@ -166,7 +166,7 @@ def _units(fragments: DataFrame, read: str) -> DataFrame:
     return rows.join(pairs.select(*key), key, "left_anti").select(*key, "spans", *alone).unionByName(paired)
 
 
-def exon_counts(fragments: DataFrame, exons: DataFrame, read: str = "seqnum", width: int = 1000) -> DataFrame:
+def exon_counts(fragments: DataFrame, exons: DataFrame, read: str = "seqnum") -> DataFrame:
     """exons (chr, start, end) with ucount, nucount of reads compatible with them.
 
     A read's inner block boundaries must be the exon's own; its outer ends must lie within the exon. With a column mate, two mates
@@ -176,7 +176,7 @@ def exon_counts(fragments: DataFrame, exons: DataFrame, read: str = "seqnum", wi
     blocks = _units(fragments, read).select("_read", "chr", "is_unique", "_side", "_limit", n.alias("_n"), F.posexplode("spans").alias("_k", "_s"))
     blocks = blocks.select("_read", "chr", "is_unique", "_side", "_limit", "_n", "_k", F.col("_s.start").alias("_a"), F.col("_s.end").alias("_b"))
     places = exons.select("chr", F.col("start").alias("f_start"), F.col("end").alias("f_end")).distinct()
-    met = overlap_join(blocks, places, ["chr"], ("_a", "_b"), ("f_start", "f_end"), width)
+    met = overlap_join(blocks, places, ["chr"], ("_a", "_b"), ("f_start", "f_end"))
     left = F.when(F.col("_k") > 0, F.col("_a") == F.col("f_start")).otherwise(F.col("_a") >= F.col("f_start"))
     right = F.when(F.col("_k") < F.col("_n") - 1, F.col("_b") == F.col("f_end")).otherwise(F.col("_b") <= F.col("f_end"))
     up = (F.col("_side") == 1) & (F.col("_k") == F.col("_n") - 1)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspan.functions import chromosomes, flags, sequence, spans, splice
-from loomspan.operators import coverage, genes, hits, intervals, junctions, order, quantify, reads, reconcile, regions, sam, text
+from loomspan.operators import breakpoints, coverage, genes, hits, intervals, junctions, order, quantify, reads, reconcile, regions, sam, text
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -99,8 +99,37 @@ def overlap_count(spark, sf):
     places = parts.select(
         F.col("p_partkey").alias("feature"), (F.col("p_size") % 5).alias("k"), F.col("p_partkey").alias("f_start"), (F.col("p_partkey") + F.col("p_size")).alias("f_end")
     )
-    met = intervals.overlap_join(rows, places, ["k"], width=64)
-    return met.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("flag") == "N").alias("ucount"))
+    sums = {"n": F.lit(1), "ucount": F.when(F.col("flag") == "N", 1).otherwise(0)}
+    met = breakpoints.overlap_sums(places, rows, ["k"], ("f_start", "f_end"), ("start", "end"), sums).where("n > 0")
+    return places.join(met, ["k", "f_start", "f_end"]).select("feature", "n", "ucount")
+
+
+@query(
+    """WITH f AS (SELECT p_partkey AS feature, p_partkey % 7 AS chr, p_partkey * 300 AS s, p_partkey * 300 + 1000000 + p_size AS e FROM part),
+ r AS (SELECT l_orderkey % 7 AS chr, l_orderkey * 20 + l_linenumber AS s, l_orderkey * 20 + l_linenumber + CAST(l_quantity AS BIGINT) AS e FROM lineitem)
+ SELECT f.feature, f.chr, f.s AS start, f.e AS "end", COUNT(*) AS n FROM f JOIN r ON f.chr = r.chr AND f.s <= r.e AND r.s <= f.e GROUP BY ALL"""
+)
+def long_feature_counts(spark, sf):
+    places, rows = _long_features(spark, sf)
+    met = breakpoints.overlap_sums(places, rows, ["chr"], ("start", "end"), ("r_start", "r_end"), {"n": F.lit(1)}).where("n > 0")
+    return places.join(met, ["chr", "start", "end"]).select("feature", "chr", "start", "end", "n")
+
+
+@query(
+    """WITH f AS (SELECT p_partkey AS feature, p_partkey % 7 AS chr, p_partkey * 300 AS s, p_partkey * 300 + 1000000 + p_size AS e FROM part),
+ r AS (SELECT l_orderkey % 7 AS chr, l_quantity, l_orderkey * 20 + l_linenumber AS s, l_orderkey * 20 + l_linenumber + CAST(l_quantity AS BIGINT) AS e FROM lineitem WHERE l_quantity = 50)
+ SELECT f.feature, r.s AS r_start, r.e AS r_end FROM f JOIN r ON f.chr = r.chr AND f.s <= r.e AND r.s <= f.e"""
+)
+def long_feature_pairs(spark, sf):
+    places, rows = _long_features(spark, sf)
+    return intervals.overlap_join(rows.where("r_end = r_start + 50"), places, ["chr"], ("r_start", "r_end"), ("start", "end")).select("feature", "r_start", "r_end")
+
+
+def _long_features(spark, sf):
+    """Features of a million bases each, and spans all over them."""
+    places = _table(spark, sf, "part").selectExpr("p_partkey as feature", "p_partkey % 7 as chr", "p_partkey * 300 as start", "p_partkey * 300 + 1000000 + p_size as end")
+    rows = _table(spark, sf, "lineitem").selectExpr("l_orderkey % 7 as chr", "l_orderkey * 20 + l_linenumber as r_start", "l_quantity")
+    return places, rows.select("chr", "r_start", (F.col("r_start") + F.col("l_quantity").cast("bigint")).alias("r_end"))
 
 
 @query(
@@ -540,7 +569,7 @@ def strand_specific(spark, sf):
  WHERE h.chr = a.chr AND h.s = a.s AND h.e = a.e AND high - low >= 10) GROUP BY 1, 2, 3"""
 )
 def contained_removed(spark, sf):
-    rows = intervals.contained_removed(_alignments(spark, sf), ["chr"], apart=10, width=64)
+    rows = intervals.contained_removed(_alignments(spark, sf), ["chr"], apart=10)
     return rows.groupBy("chr", "start", "end").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -583,7 +612,7 @@ def block_exon_counts(spark, sf):
     rows = _two(spark, sf)
     one = rows.select("chr", F.col("spans")[0]["start"].alias("start"), F.col("spans")[0]["end"].alias("end"))
     other = rows.select("chr", (F.col("spans")[1]["start"] - 1).alias("start"), F.col("spans")[1]["end"].alias("end"))
-    return quantify.exon_counts(rows, one.unionByName(other).distinct(), width=64)
+    return quantify.exon_counts(rows, one.unionByName(other).distinct())
 
 
 @query(

@@ -40,19 +40,19 @@ def test_overlap_vector(spark):
     names = {"a": (1, 9), "b": (10, 20), "c": (15, 30)}
     places = spark.createDataFrame([("1", n, s, e) for n, (s, e) in names.items()], "chr string, id string, f_start long, f_end long")
     asked = spark.createDataFrame([("1", 0, 50), ("1", 8, 9), ("1", 8, 10), ("1", 100, 110)], "chr string, start long, end long")
-    found = intervals.overlap_join(asked, places, ["chr"], width=8)
+    found = intervals.overlap_join(asked, places, ["chr"], tile=8)
     assert rows(found, "start", "end", "id") == [(0, 50, "a"), (0, 50, "b"), (0, 50, "c"), (8, 10, "a"), (8, 10, "b"), (8, 9, "a")]
     assert rows(intervals.overlap_join(asked, places, ["chr"], how="left_anti"), "start") == [(100,)]
 
 
-def test_binned_join_is_plain_join(spark):
+def test_overlap_join_is_plain_join(spark):
     rng = random.Random(2)
     make = lambda n: [(rng.randint(0, 2), a := rng.randint(0, 3000), a + rng.randint(0, 400)) for _ in range(n)]
     a, b = make(150), make(100)
     x = spark.createDataFrame(a, "chr int, start long, end long")
     y = spark.createDataFrame(b, "chr int, f_start long, f_end long")
     want = sorted((c, s, e, fs, fe) for c, s, e in a for d, fs, fe in b if c == d and s <= fe and fs <= e)
-    got = sorted(map(tuple, intervals.overlap_join(x, y, ["chr"], width=100).select("chr", "start", "end", "f_start", "f_end").collect()))
+    got = sorted(map(tuple, intervals.overlap_join(x, y, ["chr"], tile=100).select("chr", "start", "end", "f_start", "f_end").collect()))
     assert got == want
 
 
