@@ -12,6 +12,7 @@ from loomspan.functions import fragments as R
 from loomspan.functions import sequence as Q
 from loomspan.functions import spans as S
 from loomspan.operators import reads
+from loomspan.session import settled
 
 
 def genome_hits(hits: DataFrame) -> DataFrame:
@@ -37,12 +38,30 @@ def transcript_hits(hits: DataFrame, models: DataFrame) -> DataFrame:
     return out.where(S.total_length(F.col("spans")) == F.length("seq")).withColumn("seq", marked).distinct()
 
 
+def ranked_psl(rows: DataFrame, within: int = 10, ahead: int = 2, more: int = 2) -> DataFrame:
+    """Kept PSL rows near the best of their read, with lead: whether the row alone has the best score.
+
+    The score is aligned bases less mismatches. First go rows whose score is more than `within` below the furthest base of the read that any of its
+    rows reaches; then of the others those `ahead` or more below the best score, and those with over `more` mismatches above the
+    best row's (of equally good ones the least). lead looks at all rows of the first pass."""
+    score = F.aggregate("block_sizes", F.lit(0).cast("bigint"), lambda n, x: n + x) - F.col("mismatches")
+    rows = rows.withColumn("_score", score)
+    reach = F.max("q_end" if "q_end" in rows.columns else "_score")
+    first = rows.join(rows.groupBy("q_name").agg(reach.alias("_reach")), "q_name").where(F.col("_score") >= F.col("_reach") - within).drop("_reach")
+    best = first.groupBy("q_name").agg(
+        F.max("_score").alias("_best"), F.min_by("mismatches", F.struct(-F.col("_score"), F.col("mismatches"))).alias("_mm")
+    )
+    many = first.groupBy("q_name", "_score").agg(F.count(F.lit(1)).alias("_n"))
+    best = best.join(many.withColumnRenamed("_score", "_best"), ["q_name", "_best"])
+    near = first.join(best, "q_name").where((F.col("_score") > F.col("_best") - ahead) & (F.col("mismatches") <= F.col("_mm") + more))
+    return near.withColumn("lead", (F.col("_score") == F.col("_best")) & (F.col("_n") == 1)).drop("_score", "_best", "_mm", "_n")
+
+
 def psl_hits(rows: DataFrame, sequences: DataFrame, within: int = 10) -> DataFrame:
-    """The same of kept PSL rows near the best of their read; sequences (q_name, seq) give the aligned bases.
+    """The same of kept PSL rows near the best of their read (ranked_psl), with lead; sequences (q_name, seq) give the aligned bases.
 
     Blocks that touch in the genome are one span; bases of the read between two blocks are an insertion, marked by plus signs."""
-    score = F.aggregate("block_sizes", F.lit(0).cast("bigint"), lambda n, x: n + x) - F.col("mismatches")
-    best = reads.near_best(rows.withColumn("_score", score), ["q_name"], "_score", within + 1, "mismatches")
+    best = ranked_psl(rows, within)
     met = best.join(sequences, "q_name")
     turned = F.when(F.col("strand") == "-", Q.reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
     blocks = F.arrays_zip(F.col("t_starts").alias("t"), F.col("q_starts").alias("q"), F.col("block_sizes").alias("n"))
@@ -76,6 +95,7 @@ def psl_hits(rows: DataFrame, sequences: DataFrame, within: int = 10) -> DataFra
         spans.alias("spans"),
         Q.flipped(F.col("strand"), mate == "b").alias("strand"),
         F.array_join(pieces, "").alias("seq"),
+        "lead",
     ).distinct()
 
 
@@ -88,7 +108,7 @@ def split_by_uniqueness(
     joined ones, all pairs or all of one mate, lie on one chromosome (one_strand: and strand) and share a region of `least` bases,
     pairs one of each mate, the two apart and at most `distance` from each other: it is reported there. one_mate: of pairs that share a region
     of one mate only, that mate alone is."""
-    found = reads.classified(hits, distance=distance, **pairing)
+    found = settled(reads.classified(hits, distance=distance, **pairing))
     parts = F.explode(F.array(*[F.struct(F.lit(m).alias("mate"), F.col(c).alias("x")) for m, c in (("a", "fwd"), ("b", "rev"), ("", "joined"))]))
 
     def rows(fragments: DataFrame) -> DataFrame:
@@ -148,8 +168,16 @@ def transcript_classified(hits: DataFrame, least: int, distance: int = 500_000)
 
 def spliced_classified(hits: DataFrame, least: int, distance: int = 500_000) -> tuple[DataFrame, DataFrame]:
     """(unique, ambiguous) of psl_hits: as transcript_classified, with a base of either mate given up to fuse, only the pairs of most
-    covered bases, and one mate alone where only its alternatives share a region."""
-    return split_by_uniqueness(hits, least, distance, one_mate=True, contained=False, repair=True, longest=True)
+    covered bases, mates in the order of their mean coordinates, and one mate alone where only its alternatives share a region.
+
+    With psl_hits' column lead, a read with hits of one mate only is unique where one of them has the best score alone; rows that
+    have it come with the pair's strand, others with the hit's own."""
+    if "lead" in hits.columns:
+        hits = settled(hits)
+        sides = hits.groupBy("seqnum").agg((F.count_distinct("mate") == 1).alias("_one"), F.max("lead").alias("_led"))
+        hits = hits.join(sides, "seqnum").where(~(F.col("_one") & F.col("_led")) | F.col("lead")).drop("_one", "_led", "lead")
+        hits = hits.withColumn("strand", Q.flipped(F.col("strand"), F.col("mate") == "b"))
+    return split_by_uniqueness(hits, least, distance, one_mate=True, contained=False, repair=True, longest=True, by_mean=True)
 
 
 def mates_of_joined(joined: DataFrame, sequences: DataFrame) -> DataFrame:

@@ -50,14 +50,21 @@ def paired(forward: DataFrame, reverse: DataFrame, on: Sequence[str], a: tuple[s
 
 
 def classified(
-    hits: DataFrame, read: str = "seqnum", distance: int = 500_000, contained: bool = True, repair: bool = False, longest: bool = False, crowd: int = 1_000_000
+    hits: DataFrame,
+    read: str = "seqnum",
+    distance: int = 500_000,
+    contained: bool = True,
+    repair: bool = False,
+    longest: bool = False,
+    crowd: int = 1_000_000,
+    by_mean: bool = False,
 ) -> DataFrame:
     """Hits (seqnum, mate a|b, chr, spans, strand, seq) as fragments (seqnum, chr, strand, fwd, rev, joined, is_unique).
 
     Hits are distinct first; the strand given is the forward one. A read with hits of both mates keeps its consistent pairs: on one
     chromosome and strand, in order and at most `distance` apart; mates that touch or overlap are one alignment, joined, if
     their inner blocks agree (contained, repair: see one_of_mates), else no pair. longest: only a read's pairs of most covered bases
-    count. A read with hits of one mate keeps all of them. A read with one fragment is unique. Reads of `crowd` possible pairs or
+    count. by_mean: the upstream mate's mean coordinate must not exceed the downstream one's, too. A read with hits of one mate keeps all of them. A read with one fragment is unique. Reads of `crowd` possible pairs or
     more aren't paired: their hits are single ones, none of them unique."""
     hits = hits.select(read, "mate", "chr", "spans", "strand", "seq").distinct()
     sides = {}
@@ -70,6 +77,8 @@ def classified(
     pairs = sides["fwd"].join(sides["rev"], [read, "chr", "strand"]).join(counts.where((many > 0) & (many < crowd)).select(read), read, "left_semi")
     plus = F.col("strand") == "+"
     up, down = F.when(plus, F.col("fwd")).otherwise(F.col("rev")), F.when(plus, F.col("rev")).otherwise(F.col("fwd"))
+    if by_mean:
+        pairs = pairs.where(S.mean_coordinate(up["spans"]) <= S.mean_coordinate(down["spans"]))
     gap = S.first_start(down["spans"]) - S.last_end(up["spans"])
     none = lambda *names: [F.lit(None).cast("struct<spans: array<struct<start: bigint, end: bigint>>, seq: string>").alias(n) for n in names]
     apart = pairs.where((gap > 1) & (gap <= distance)).select(read, "chr", "strand", "fwd", "rev", *none("joined"))

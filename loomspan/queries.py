@@ -132,6 +132,26 @@ def _long_features(spark, sf):
     return places, rows.select("chr", "r_start", (F.col("r_start") + F.col("l_quantity").cast("bigint")).alias("r_end"))
 
 
+@query(
+    """WITH r AS (SELECT 'seq.' || l_orderkey || 'a' AS q_name, l_linenumber AS line, CAST(l_tax * 100 AS BIGINT) AS mismatches,
+   CAST(l_quantity AS BIGINT) % 12 + 20 - CAST(l_tax * 100 AS BIGINT) AS score, CAST(l_quantity AS BIGINT) % 12 + 20 AS q_end FROM lineitem),
+ f AS (SELECT * FROM (SELECT *, MAX(q_end) OVER (PARTITION BY q_name) AS reach FROM r) WHERE score >= reach - 10),
+ b AS (SELECT q_name, MAX(score) AS best, arg_min(mismatches, (-score, mismatches)) AS mm FROM f GROUP BY q_name),
+ n AS (SELECT f.q_name, COUNT(*) AS n FROM f JOIN b ON f.q_name = b.q_name AND score = best GROUP BY f.q_name)
+ SELECT f.q_name, line, mismatches, score = best AND n = 1 AS lead FROM f JOIN b USING (q_name) JOIN n USING (q_name) WHERE score > best - 2 AND mismatches <= mm + 2"""
+)
+def ranked_hits(spark, sf):
+    size = F.col("l_quantity").cast("bigint") % 12 + 20
+    rows = _table(spark, sf, "lineitem").select(
+        F.concat(F.lit("seq."), "l_orderkey", F.lit("a")).alias("q_name"),
+        F.col("l_linenumber").alias("line"),
+        F.round(F.col("l_tax") * 100).cast("bigint").alias("mismatches"),
+        size.alias("q_end"),
+        F.array(size).alias("block_sizes"),
+    )
+    return hits.ranked_psl(rows).select("q_name", "line", "mismatches", "lead")
+
+
 @query(
     f"""SELECT seqnum, line, chr, s AS start, e AS "end" FROM {_SPANS} a WHERE NOT EXISTS
  (SELECT 1 FROM {_SPANS} b WHERE b.score >= 49 AND a.chr = b.chr AND a.s <= b.e AND b.s <= a.e)"""

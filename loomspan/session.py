@@ -1,10 +1,11 @@
-"""A local session for tests and benches; a cluster brings its own."""
+"""A local session for tests and benches (a cluster brings its own), and tables cut from their lineage."""
 
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | None = None, shuffle: int = 8) -> SparkSession:
@@ -20,3 +21,18 @@ def local_session(cores: int | None = None, shuffle: int = 8) -> SparkSession:
     for k, v in settings.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df computed once and kept in spark.checkpoint.dir, where all that reads it finds it, lost executors or not.
+
+    For tables that several outputs are made of: else each output would compute them anew."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            folder = f"file://{tempfile.mkdtemp(prefix='spark-')}"
+        context.setCheckpointDir(folder)
+    return df.checkpoint()

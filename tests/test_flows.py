@@ -37,6 +37,65 @@ def test_psl_hits_and_uniqueness(spark):
     assert unique.count() == 2 and rest.count() == 0
 
 
+PSL = "q_name string, strand string, t_name string, mismatches long, q_size long, q_end long, block_sizes array<long>, q_starts array<long>, t_starts array<long>"
+
+
+def spliced(spark, rows, reads):
+    """Unique and ambiguous alignments of PSL rows (read, strand, chromosome, mismatches, size, end in the read, blocks of (read, genome, bases))."""
+    data = [(q, s, c, m, n, e, [x[2] for x in b], [x[0] for x in b], [x[1] for x in b]) for q, s, c, m, n, e, b in rows]
+    found = hits.psl_hits(spark.createDataFrame(data, PSL), spark.createDataFrame(list(reads.items()), "q_name string, seq string"))
+    show = lambda df: rows_(df.withColumn("s", S.render(F.col("spans"))), "seqnum", "mate", "chr", "s", "strand")
+    return [show(df) for df in hits.spliced_classified(found, 30, 500)]
+
+
+def rows_(df, *columns):
+    return sorted(tuple(r[c] for c in columns) for r in df.collect())
+
+
+def test_mates_with_equal_hits_meet_at_one_place(spark):
+    reads = {"seq.4a": "A" * 60, "seq.4b": "C" * 60}
+    rows = [("seq.4a", "+", c, 0, 60, 55, [(0, at, 55)]) for c, at in (("7", 9000), ("7", 4000), ("5", 700))]
+    # one reaches from the first to the last base; the others end early and go in the first pass
+    rows += [("seq.4b", "-", c, 0, 60, e, [(60 - n, at, n)]) for c, at, n, e in (("7", 9100, 24, 24), ("7", 4100, 60, 60), ("5", 800, 24, 24))]
+    unique, rest = spliced(spark, rows, reads)
+    assert unique == [(4, "a", "7", "4001-4055", "+"), (4, "b", "7", "4101-4160", "+")] and rest == []
+
+
+def test_second_ranking_and_lone_best(spark):
+    reads = {f"seq.{k}{m}": "ACGT" * 15 for k in range(1, 6) for m in "ab"}
+    one = lambda q, c, m, n, e=60: (q, "+", c, m, 60, e, [(0, 100, n)])
+    # 1: a base less than the best is as good, two bases less aren't; the best one alone makes a lone mate unique
+    unique, rest = spliced(spark, [one("seq.1a", "1", 0, 60), one("seq.1a", "2", 0, 59), one("seq.1a", "3", 0, 58)], reads)
+    assert unique == [(1, "a", "1", "101-160", "+")] and rest == []
+    # 2: equally good ones stay, without those of three more mismatches
+    unique, rest = spliced(spark, [one("seq.2b", "1", 0, 56), one("seq.2b", "2", 2, 58), one("seq.2b", "3", 3, 59)], reads)
+    assert unique == [] and rest == [(2, "b", "1", "101-156", "-"), (2, "b", "2", "101-158", "-")]
+    # 3: a row that reaches the read's end sets what the first pass asks for, whatever its score
+    unique, rest = spliced(spark, [one("seq.3a", "1", 12, 60), one("seq.3a", "2", 0, 49, 49)], reads)
+    assert unique == [] and rest == []
+    # 4: with hits of the other mate the lone best one has no say
+    unique, rest = spliced(spark, [one("seq.4a", "1", 0, 60), one("seq.4a", "2", 0, 59), ("seq.4b", "-", "2", 0, 60, 60, [(0, 300, 60)])], reads)
+    assert unique == [(4, "a", "2", "101-159", "+"), (4, "b", "2", "301-360", "+")] and rest == []
+
+
+def test_mates_in_order_of_their_means(spark):
+    # the upstream mate's spliced end lies far behind, so its mean exceeds the other's, though it starts first
+    data = [(1, "a", "1", "1-10, 301-400", "+", "A" * 10 + ":" + "A" * 100), (1, "b", "1", "5-10, 301-450", "-", "A" * 6 + ":" + "A" * 150)]
+    assert reads_of(spark, data) == 1 and reads_of(spark, data, by_mean=True) == 1
+    data = [(1, "a", "1", "1-10, 301-400", "+", "A" * 10 + ":" + "A" * 100), (1, "b", "1", "2-10, 301-402", "-", "A" * 9 + ":" + "A" * 102)]
+    assert reads_of(spark, data) == 1 and reads_of(spark, data, by_mean=True) == 1
+    data = [(1, "a", "1", "1-100, 401-500", "+", "A" * 100 + ":" + "A" * 100), (1, "b", "1", "1-100, 401-500, 601-601", "-", "A" * 100 + ":" + "A" * 100 + ":A")]
+    assert reads_of(spark, data[::1], by_mean=True) == 1
+    data = [(1, "a", "1", "1-10, 401-500", "+", "A" * 10 + ":" + "A" * 100), (1, "b", "1", "1-200, 401-500", "-", "A" * 200 + ":" + "A" * 100)]
+    assert reads_of(spark, data, by_mean=True) == 0
+
+
+def reads_of(spark, data, **more):
+    from loomspan.operators import reads
+
+    return reads.classified(rows_of(spark, data), contained=False, **more).count()
+
+
 def test_ambiguous_hits_with_a_common_region(spark):
     df = rows_of(spark, [(1, "a", "1", "1-50", "+", "A" * 50), (1, "a", "1", "5-60", "+", "A" * 56), (2, "a", "1", "1-5", "+", "AAAAA"), (2, "a", "2", "1-5", "+", "AAAAA")])
     unique, rest = hits.split_by_uniqueness(df, 20)
