@@ -19,8 +19,8 @@ from loomspan.llm.store import file_system, put_once, shared_dir, written
 
 #: Payloads of fewer bytes are never revisits; about how many bytes an archive file and a read hold.
 LEAST, FILE_BYTES, READ = 1000, 64 << 20, 1 << 20
-#: Bytes of a header at most, of a compressed piece, and of a record's block that are held.
-HEAD, PIECE, HOLD = 1 << 18, 1 << 16, 1 << 28
+#: Bytes of a compressed piece, and of a record's block that are held.
+PIECE, HOLD = 1 << 16, 1 << 28
 _GZIP, _VERSION = b"\x1f\x8b\x08", b"WARC/1."
 _MARKS = (_GZIP, _VERSION)
 _STAMP = "2020-01-01T00:00:00Z"
@@ -58,15 +58,16 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST, packed: bo
     """Write pages (page_id, url, html) as WARC files; the manifest (path, bytes, records).
 
     Of equal payloads of at least `least` bytes the row of the largest page_id is the response and the rest
-    revisit it; so do rows that repeat that page_id. Payloads are compared by SHA-1 and length, whose largest
+    revisit it; of rows that repeat that page_id the one with the last url, and only rows equal in all three are responses each. Payloads are compared by SHA-1 and length, whose largest
     page_id is found with map-side combining; the join that gives it to each page has one row per digest on one
     side, so a payload that a third of all pages share is split as a skewed join. Null page_ids are
     responses or revisits like others, but never referred to: where all pages of a payload have none, all are responses."""
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload")).withColumn("size", F.octet_length("payload"))
-    chosen = rows.where(F.col("size") >= least).groupBy("digest", "size").agg(F.max("page_id").alias("first"))
-    rows = rows.join(chosen, ["digest", "size"], "left").select("page_id", "url", "payload", "digest", "first")
+    chosen = rows.where(F.col("size") >= least).groupBy("digest", "size").agg(F.max(F.struct("page_id", F.coalesce("url", F.lit("")).alias("url"))).alias("top"))
+    chosen = chosen.select("digest", "size", F.col("top.page_id").alias("first"), F.col("top.url").alias("first_url"))
+    rows = rows.join(chosen, ["digest", "size"], "left").select("page_id", "url", "payload", "digest", "first", "first_url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting = (row for batch in batches for at in range(0, batch.num_rows, 64) for row in batch.slice(at, 64).to_pylist())
@@ -78,7 +79,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST, packed: bo
                 nonlocal row, count
                 total = 0
                 while row is not None and total < FILE_BYTES:
-                    own = row["first"] is None or row["first"] == row["page_id"]
+                    own = row["first"] is None or (row["first"] == row["page_id"] and row["first_url"] == (row["url"] or ""))
                     data = record(row["page_id"], row["url"], row["payload"], None if own else row["first"], row["digest"])
                     data = member(data) if packed else data
                     yield data
@@ -100,6 +101,7 @@ class _Source:
 
     def __init__(self, file):
         self.file, self.size, self.low, self.data = file, file.size(), 0, b""
+        self.zero, self.failed = {}, set()  # for a header's name and comment: a place and the first zero byte from there on; where inflating led to no record
 
     def get(self, at: int, n: int) -> bytes:
         """Up to n bytes from `at` on: fewer only at the end."""
@@ -116,20 +118,62 @@ class _Source:
     def hold(self, at: int) -> None:
         pass
 
+    def next_zero(self, at: int, what: int) -> int:
+        """The first zero byte from `at` on, or the end; places asked for in order cost one pass over the file."""
+        low, found = self.zero.get(what, (0, -1))
+        if not low <= at <= found:
+            found = at
+            while found < self.size:
+                data = self.get(found, READ)
+                k = data.find(b"\0")
+                found += len(data) if k < 0 else k
+                if k >= 0:
+                    break
+            self.zero[what] = at, found
+        return found
+
+    def deflated(self, at: int) -> int | None:
+        """Where the compressed bytes of the gzip member at a place begin; None if its header isn't one or was cut."""
+        head = self.get(at, 12)
+        if len(head) < 12 or head[3] & 0xE0:
+            return None
+        place = at + 10
+        if head[3] & 4:
+            place += 2 + int.from_bytes(head[10:12], "little")
+        for flag in (8, 16):  # name, comment
+            if head[3] & flag:
+                place = self.next_zero(place, flag) + 1
+        place += head[3] & 2
+        return place if place < self.size else None
+
+    def checked(self, at: int, place: int) -> bool:
+        """Whether the header's own sum, if it has one, is right."""
+        if not self.get(at + 3, 1)[0] & 2:
+            return True
+        head = self.get(at, place - at)
+        return zlib.crc32(head[:-2]) & 0xFFFF == int.from_bytes(head[-2:], "little")
+
 
 class _Inflated:
-    """The content of the gzip member at a place of the source, by place. Members of up to READ bytes are held whole; of others
+    """The content of the gzip member at a place of the source, whose compressed bytes begin at `first`, by place. Members of up to READ bytes are held whole; of others
     one stretch is, with the inflater's state before a held place, from which it is inflated again."""
 
-    def __init__(self, source: _Source, at: int):
-        self.source, self.start, self.why, self.whole = source, at, "", None
-        self.origin = self.kept = self.before = (0, None, at, b"")
+    def __init__(self, source: _Source, at: int, first: int):
+        self.source, self.start, self.why, self.whole = source, first, "", None
+        self.origin = self.kept = self.before = (0, None, first, b"")
         self._rewind(self.origin)
-        n, data = 0, b""
+        n, data, check = 0, b"", 0
         while self._more():
             n += len(self.data)
+            check = zlib.crc32(self.data, check)
             data = self.data if n == len(self.data) else data + self.data if n <= READ else b""
-        self.used = self.next - len(self.gz.unused_data) - at
+        end = self.next - len(self.gz.unused_data)
+        if self.gz.eof and not self.why:
+            sums = source.get(end, 8)
+            if sums != check.to_bytes(4, "little") + (n & 0xFFFFFFFF).to_bytes(4, "little"):
+                self.why = "member's end" if len(sums) < 8 else "member"
+            end += len(sums)
+        self.used = end - at
         if n <= READ:
             self.whole = data
         else:
@@ -137,7 +181,7 @@ class _Inflated:
 
     def _rewind(self, state: tuple) -> None:
         self.low, gz, self.next, self.rest = state
-        self.gz, self.data, self.over = zlib.decompressobj(31) if gz is None else gz.copy(), b"", False
+        self.gz, self.data, self.over = zlib.decompressobj(-15) if gz is None else gz.copy(), b"", False
 
     def _more(self) -> bool:
         """Inflate the next stretch; why says what ended a member that isn't whole."""
@@ -158,20 +202,22 @@ class _Inflated:
 
     def _tear(self, piece: bytes) -> None:
         """Take what the piece gives up to the byte at which inflating fails."""
-        gz = zlib.decompressobj(31) if self.before[1] is None else self.before[1].copy()
-        out, step, at = [], 256, 0
-        while at < len(piece):
-            trial = gz.copy()
+        low, high = 0, len(piece)
+        while low < high:  # a start without the failing byte inflates
+            mid = (low + high + 1) // 2
             try:
-                out.append(trial.decompress(piece[at : at + step]))
-                gz, at = trial, at + step
+                self._again().decompress(piece[:mid])
+                low = mid
             except zlib.error:
-                if step == 1:
-                    break
-                step = 1
-        self.why, self.over, self.gz, self.data, self.rest = "member", True, gz, b"".join(out), b""
+                high = mid - 1
+        gz, at = self._again(), low
+        out = gz.decompress(piece[:low])
+        self.why, self.over, self.gz, self.data, self.rest = "member", True, gz, out, b""
         self.next -= len(piece) - at
 
+    def _again(self):
+        return zlib.decompressobj(-15) if self.before[1] is None else self.before[1].copy()
+
     def get(self, at: int, n: int) -> bytes:
         if self.whole is not None:
             return self.whole[at : at + n]
@@ -226,15 +272,17 @@ def _fields(head: bytes) -> dict[str, str]:
 def _one(source: _Source | _Inflated, at: int, sure: bool, most: int) -> tuple[int, Part]:
     """(end, record) of the plain record at a place. A block of over READ bytes is hashed before it is held, so a false length
     costs no memory; where the place is not sure (in a torn member) the record needs a digest of its own."""
-    head = source.get(at, 4096)
-    if not head.startswith(_VERSION):
+    n = 4096
+    head = source.get(at, n)
+    if not re.match(rb"WARC/1\.[01]\r\n", head):
         raise Damaged("version line")
-    end = head.find(b"\r\n\r\n")
-    if end < 0:
-        head = source.get(at, HEAD)
-        end = head.find(b"\r\n\r\n")
-        if end < 0:
+    source.hold(at)
+    while (end := head.find(b"\r\n\r\n")) < 0:
+        # no header holds another version line, so of headers that never end each is read up to the next one
+        if len(head) < n or head.find(b"\r\n" + _VERSION) >= 0:
             raise Damaged("header's end")
+        n *= 4
+        head = source.get(at, n)
     fields = _fields(head[:end])
     size = fields.get("content-length", "")
     if not size.isdigit() or len(size) > 15:
@@ -276,10 +324,10 @@ def _one(source: _Source | _Inflated, at: int, sure: bool, most: int) -> tuple[i
     return start + size + 4, part
 
 
-def _member(source: _Source, at: int, most: int) -> tuple[int, bool, Iterator[Part]]:
+def _member(source: _Source, at: int, first: int, most: int) -> tuple[int, bool, Iterator[Part]]:
     """(bytes, whole, parts) of the gzip member at a place: its sound records, also those before its torn end and those behind a
     damaged one, and the inner gaps between. Without any sound record there are no parts."""
-    inside = _Inflated(source, at)
+    inside = _Inflated(source, at, first)
 
     def parts() -> Iterator[Part]:
         place, gap, why, met = 0, -1, "", False
@@ -311,11 +359,16 @@ def _begin(source: _Source, at: int, most: int) -> tuple[int, bool, str, list[Pa
         except Damaged as e:
             return at, False, str(e), [], iter(())
         return end, True, "", [part], iter(())
-    used, whole, parts = _member(source, at, most)
+    place = source.deflated(at)
+    if place is None or place in source.failed or not source.checked(at, place):
+        return at, False, "member", [], iter(())
+    used, whole, parts = _member(source, at, place, most)
     first = list(itertools.islice(parts, 1))
     if first and first[0].kind == "gap":  # a gap at a member's head: a record follows, or there are no parts
         first += itertools.islice(parts, 1)
         first = first if len(first) > 1 else []
+    if not first and not whole:
+        source.failed.add(place)
     return at + used, whole, "no sound record in a member" if whole else "member", first, parts
 
 
@@ -359,14 +412,15 @@ def _marks(source: _Source, at: int, end: int) -> Iterator[int]:
 
 def _seek(source: _Source | _Inflated, at: int, marks: tuple[bytes, ...]) -> int:
     """The next place from `at` on where a mark stands, or the end."""
+    n = 64  # marks may stand close to each other
     while True:
-        data = source.get(at, READ)
+        data = source.get(at, n)
         found = [k for k in map(data.find, marks) if k >= 0]
         if found:
             return at + min(found)
-        if len(data) < READ:
+        if len(data) < n:
             return at + len(data)
-        at += len(data) - len(_VERSION) + 1
+        at, n = at + n - len(_VERSION) + 1, min(4 * n, READ)
 
 
 _KINDS = (
