@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspan.functions import chromosomes, flags, sequence, spans, splice
+from loomspan.functions import sql as named
 from loomspan.operators import breakpoints, coverage, genes, hits, intervals, junctions, order, quantify, reads, reconcile, regions, sam, text
 
 QUERIES: dict = {}
@@ -132,6 +133,44 @@ def _long_features(spark, sf):
     return places, rows.select("chr", "r_start", (F.col("r_start") + F.col("l_quantity").cast("bigint")).alias("r_end"))
 
 
+@query(
+    f"""WITH p AS (SELECT chr, s AS low, e AS high, UNNEST(RANGE(s // 512, (e - 1) // 512 + 1)) AS tile FROM {_SPANS}),
+ ev AS (SELECT chr, tile, GREATEST(low, tile * 512) AS pos, 1 AS d FROM p UNION ALL SELECT chr, tile, LEAST(high, (tile + 1) * 512), -1 FROM p),
+ ch AS (SELECT chr, tile, pos, SUM(d) AS d FROM ev GROUP BY ALL HAVING SUM(d) <> 0),
+ cv AS (SELECT chr, pos AS start, LEAD(pos) OVER (PARTITION BY chr, tile ORDER BY pos) AS "end",
+  CAST(SUM(d) OVER (PARTITION BY chr, tile ORDER BY pos ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cov FROM ch)
+ SELECT CAST(chr AS VARCHAR) AS chr, start, "end", cov FROM cv WHERE cov <> 0 AND "end" IS NOT NULL"""
+)
+def sql_coverage_runs(spark, sf):
+    named.register(spark)
+    _table(spark, sf, "lineitem").createOrReplaceTempView("loomspan_lineitem")
+    return spark.sql(
+        """SELECT * FROM coverage_runs(TABLE(
+            SELECT chr, p.tile, p.start, p.end FROM (
+                SELECT CAST(l_suppkey AS STRING) AS chr, tile_pieces(l_partkey, l_partkey + CAST(l_quantity AS BIGINT), 512) AS pieces FROM loomspan_lineitem
+            ) LATERAL VIEW explode(pieces) x AS p
+        ) PARTITION BY (chr, tile))"""
+    )
+
+
+@query(
+    """WITH b AS (SELECT l_orderkey AS seqnum, l_partkey AS s, l_partkey + CAST(l_quantity AS BIGINT) AS e FROM lineitem)
+ SELECT seqnum, CAST(SUM(e - s + 1) AS BIGINT) AS bases, MIN(s) AS first, arg_max(e, (s, e)) AS last, SUM((s + e) * (e - s + 1) / 2) / SUM(e - s + 1) AS mean,
+  (SELECT COUNT(DISTINCT x) FROM (SELECT UNNEST(RANGE(c.s, c.e + 1)) AS x FROM b c WHERE c.seqnum = b.seqnum)) AS covered, COUNT(*) - 1 AS introns FROM b GROUP BY seqnum"""
+)
+def sql_span_functions(spark, sf):
+    named.register(spark)
+    _table(spark, sf, "lineitem").createOrReplaceTempView("loomspan_lineitem")
+    return spark.sql(
+        """SELECT seqnum, spans_length(spans) AS bases, spans_start(spans) AS first, spans_end(spans) AS last, spans_mean(spans) AS mean,
+            spans_length(spans_fused(spans, 1)) AS covered, CAST(size(spans_introns(spans)) AS BIGINT) AS introns
+        FROM (
+            SELECT l_orderkey AS seqnum, array_sort(collect_list(named_struct('start', l_partkey, 'end', l_partkey + CAST(l_quantity AS BIGINT)))) AS spans
+            FROM loomspan_lineitem GROUP BY l_orderkey
+        )"""
+    )
+
+
 @query(
     """WITH r AS (SELECT 'seq.' || l_orderkey || 'a' AS q_name, l_linenumber AS line, CAST(l_tax * 100 AS BIGINT) AS mismatches,
    CAST(l_quantity AS BIGINT) % 12 + 20 - CAST(l_tax * 100 AS BIGINT) AS score, CAST(l_quantity AS BIGINT) % 12 + 20 AS q_end FROM lineitem),
