@@ -42,24 +42,22 @@ def band_join(left: DataFrame, right: DataFrame, on: Sequence[str], at: str, oth
 def islands(df: DataFrame, on: Sequence[str], start: str = "start", end: str = "end", gap: int = 0, tile: int = 1 << 20) -> DataFrame:
     """(on, start, end, n): closed intervals of a key that overlap, or lie at most gap + 1 apart for gap > 0, as one.
 
-    Runs are made per tile of the key's coordinates. What reaches over from the tiles before is one number per tile; only a tile's runs
-    that touch it, made one, and its last run can go on into other tiles, so two rows per tile at most meet again."""
-    whole, late = Window.partitionBy(*on).orderBy("_tile"), [*on, "_tile"]
-    first = _runs(df.withColumn("_tile", F.floor(F.col(start) / tile)), late, start, end, gap, F.lit(1))
-    reach = first.groupBy(*late).agg(F.max(end).alias("_end"))
-    reach = reach.select(*late, F.max("_end").over(whole.rowsBetween(Window.unboundedPreceding, -1)).alias("_reach"))
-    runs = first.join(reach, late).withColumn("_on", F.coalesce(F.col(start) <= F.col("_reach") + gap, F.lit(False))).drop("_reach")
-    free = runs.where("not _on").drop("_on")
-    last = free.groupBy(*late).agg(F.max(start).alias("_last"))
-    free = free.join(last, late)
-    inner = free.where(F.col(start) < F.col("_last")).select(*on, start, end, "n")
-    begin = free.where(F.col(start) == F.col("_last")).select(*late, start, end, "n", F.lit(1).alias("_new"))
-    on_rows = runs.where("_on").groupBy(*late).agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n").alias("n"))
-    border = begin.unionByName(on_rows.select(*late, start, end, "n", F.lit(0).alias("_new")))
-    order = Window.partitionBy(*on).orderBy("_tile", "_new").rowsBetween(Window.unboundedPreceding, 0)
-    border = border.withColumn("_run", F.sum("_new").over(order))
-    out = border.groupBy(*on, "_run").agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n").alias("n")).drop("_run")
-    return inner.unionByName(out)
+    Rows are put in order within tiles of a key's coordinates; how far the tiles before reach is one number per tile. Runs within a
+    tile are final, but for the one that goes on from before and the last one: these two per tile meet again, in order of tiles."""
+    late = [*on, "_tile"]
+    rows = df.select(*on, start, end).withColumn("_tile", F.floor(F.col(start) / tile))
+    before = Window.partitionBy(*on).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+    reach = rows.groupBy(*late).agg(F.max(end).alias("_far")).select(*late, F.max("_far").over(before).alias("_reach"))
+    order = Window.partitionBy(*late).orderBy(start, end)
+    far = F.greatest("_reach", F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    runs = rows.join(reach, late).withColumn("_new", (far.isNull() | (F.col(start) > far + gap)).cast("int"))
+    runs = runs.withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.groupBy(*late, "_run").agg(F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("n"))
+    edge = (F.col("_run") == 0) | (F.col("_run") == F.max("_run").over(Window.partitionBy(*late)))
+    runs = runs.withColumn("_part", F.when(~edge, F.col("_tile")))  # a tile's inner runs stay among themselves
+    chain = Window.partitionBy(*on, "_part").orderBy("_tile", "_run").rowsBetween(Window.unboundedPreceding, 0)
+    runs = runs.withColumn("_id", F.sum((F.col("_run") > 0).cast("int")).over(chain))
+    return runs.groupBy(*on, "_part", "_id").agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n").alias("n")).drop("_part", "_id")
 
 
 def _runs(df: DataFrame, on: Sequence[str], start: str, end: str, gap: int, weight: Column) -> DataFrame:

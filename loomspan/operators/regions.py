@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomspan.functions import sequence as Q
 from loomspan.functions import spans as S
+from loomspan.operators.intervals import overlap_join
 from loomspan.operators.junctions import consensus
+from loomspan.session import settled
 
 
 def in_region(rows: DataFrame, chromosome: str, low: int, high: int) -> DataFrame:
@@ -42,6 +45,53 @@ def region_consensus(rows: DataFrame, low: int, high: int) -> DataFrame:
     return every.join(best, "pos", "left").na.fill({"base": "A", "n": 0})
 
 
+def _cells(hits: DataFrame) -> DataFrame:
+    """(region, _hit, pos, k, base): every base of an alignment; k counts the inserted bases behind pos from 1, aligned ones have 0."""
+    plain = F.split(F.replace("seq", F.lit(":"), F.lit("")), "[+]")  # aligned and inserted stretches in turn
+    places = F.flatten(F.transform("spans", lambda x: F.sequence(x["start"], x["end"])))
+    parts = hits.select("region", "_hit", places.alias("_at"), plain.alias("_parts"), F.posexplode(plain).alias("_i", "_part"))
+    done = F.length(F.array_join(F.filter(F.slice("_parts", F.lit(1), F.col("_i")), lambda x, i: i % 2 == 0), ""))
+    each = parts.select("region", "_hit", "_at", (F.col("_i") % 2 == 1).alias("_ins"), done.alias("_done"), F.posexplode(F.split("_part", "")).alias("_j", "base"))
+    last = F.when(F.col("_done") > 0, F.get("_at", F.col("_done") - 1)).otherwise(F.get("_at", F.lit(0)) - 1)
+    pos = F.when(F.col("_ins"), last).otherwise(F.get("_at", F.col("_done") + F.col("_j")))
+    return each.where("base <> ''").select("region", "_hit", pos.alias("pos"), F.when(F.col("_ins"), F.col("_j") + 1).otherwise(0).alias("k"), "base")
+
+
+def region_views(rows: DataFrame, regions: DataFrame, key: tuple[str, ...] = ("seqnum", "mate"), insertions: bool = True) -> DataFrame:
+    """(region, kind, key, start, text): the alignments of each region under each other, and their consensus, in texts of equal length.
+
+    rows: key, chr, spans, seq (junctions as colons, insertions between plus signs); regions: region, chr, low, high. Alignments that reach
+    into a region are shown whole. All texts of a region share one layout: a column for every place that any of them covers and for every inserted
+    base that any of them has, blank in those that lack it, and a mark with its length where no alignment covers anything. Gaps
+    behind an alignment's end are blank. Without `insertions` inserted bases are left out. kind is consensus or alignment: of a column the most
+    frequent base, of equally frequent ones the first of ACGTN. Columns are numbered per region, bases stay in their tasks until they are
+    put together per alignment, so regions, not the table, bound what a task holds. Equal rows are one. Rows without chr, spans or seq, and regions without rows, give nothing."""
+    ready = rows.where("size(spans) > 0 and seq is not null").select(*key, "chr", "spans", "seq", S.first_start(F.col("spans")).alias("start"), S.last_end(F.col("spans")).alias("_end"))
+    if not insertions:
+        ready = ready.withColumn("seq", Q.without_insertions(F.col("seq")))
+    hits = overlap_join(ready, regions.select("region", "chr", "low", "high"), ["chr"], ("start", "_end"), ("low", "high"))
+    hits = hits.withColumn("_hit", F.struct("start", *key, F.xxhash64("spans", "seq").alias("_h"))).select("region", "_hit", "spans", "seq").distinct()
+    cells = settled(_cells(hits))
+    order = Window.partitionBy("region").orderBy("pos", "k")
+    columns = consensus(cells, ["region", "pos", "k"])
+    gap = F.col("pos") - F.lag("pos").over(order) - 1
+    columns = columns.withColumn("_mark", F.when(gap > 0, F.concat(F.lit("  <-  "), Q.grouped_digits(gap), F.lit(" bp gap ->  "))).otherwise(""))
+    wide = F.sum(F.length("_mark") + 1).over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("int")
+    columns = settled(columns.withColumn("_at", wide))
+    ordered = F.array_sort(F.collect_list(F.struct("_at", "_mark", "base")))
+    whole = columns.groupBy("region").agg(ordered.alias("_all"), F.max("_at").cast("int").alias("_width"))
+    text = lambda what: F.array_join(F.transform("_all", lambda c: F.concat(c["_mark"], what(c))), "")
+    whole = whole.select("region", "_width", text(lambda c: c["base"]).alias("text"), text(lambda c: F.lit(" ")).alias("_blank"))
+    own = cells.join(columns.select("region", "pos", "k", "_at"), ["region", "pos", "k"]).groupBy("region", "_hit")
+    own = own.agg(F.array_sort(F.collect_list(F.struct("_at", "base"))).alias("_own")).join(whole.drop("text"), "region")
+    fill = lambda done, c: F.concat(done, F.substring("_blank", F.length(done) + 1, c["_at"] - 1 - F.length(done)), c["base"])
+    line = F.rpad(F.aggregate("_own", F.lit(""), fill), F.col("_width"), F.lit(" "))
+    lines = own.select("region", F.lit("alignment").alias("kind"), *[F.col(f"_hit.{c}").alias(c) for c in (*key, "start")], line.alias("text"))
+    kinds = {f.name: f.dataType for f in lines.schema}
+    top = whole.select("region", F.lit("consensus").alias("kind"), *[F.lit(None).cast(kinds[c]).alias(c) for c in (*key, "start")], "text")
+    return lines.unionByName(top)
+
+
 def replicated(rows: DataFrame, copies: int, key: str = "seqnum", shift: int = 0) -> DataFrame:
     """The rows `copies` times, each copy's key moved on by `shift` more."""
     each = rows.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))

@@ -171,6 +171,32 @@ def sql_span_functions(spark, sf):
     )
 
 
+@query(
+    """WITH r AS (SELECT l_orderkey AS seqnum, l_linenumber AS line, l_suppkey AS chr, l_partkey AS s, l_partkey + CAST(l_quantity AS BIGINT) AS e FROM lineitem),
+ g AS (SELECT p_partkey AS region, (SELECT MIN(s_suppkey) FROM supplier) + p_partkey % (SELECT COUNT(*) FROM supplier) AS chr, p_partkey AS low, p_partkey + p_size AS high FROM part),
+ h AS (SELECT region, seqnum, line, s, e FROM r JOIN g USING (chr) WHERE s <= high AND low <= e),
+ c AS (SELECT region, seqnum, line, s, e, x AS pos, substr('ACGT', CAST((line + x) % 4 + 1 AS BIGINT), 1) AS base FROM (SELECT *, UNNEST(RANGE(s, e + 1)) AS x FROM h)),
+ n AS (SELECT region, pos, base, COUNT(*) AS n FROM c GROUP BY ALL),
+ k AS (SELECT region, pos, arg_max(base, (n, -ascii(base))) AS base FROM n GROUP BY region, pos),
+ m AS (SELECT *, pos - LAG(pos) OVER (PARTITION BY region ORDER BY pos) - 1 AS gap FROM k),
+ l AS (SELECT region, pos, base, CASE WHEN gap > 0 THEN '  <-  ' || format('{:,}', gap) || ' bp gap ->  ' ELSE '' END AS mark FROM m),
+ w AS (SELECT region, CAST(SUM(length(mark) + 1) AS INTEGER) AS width, string_agg(mark || base, '' ORDER BY pos) AS text FROM l GROUP BY region),
+ t AS (SELECT h.region, h.seqnum, h.line, h.s, string_agg(mark || CASE WHEN l.pos BETWEEN h.s AND h.e THEN substr('ACGT', CAST((h.line + l.pos) % 4 + 1 AS BIGINT), 1) ELSE ' ' END, '' ORDER BY l.pos) AS text
+   FROM h JOIN l ON h.region = l.region AND l.pos <= h.e GROUP BY h.region, h.seqnum, h.line, h.s, h.e)
+ SELECT region, 'alignment' AS kind, seqnum, line, s AS start, rpad(t.text, width, ' ') AS text FROM t JOIN w USING (region)
+ UNION ALL SELECT region, 'consensus', NULL, NULL, NULL, text FROM w"""
+)
+def region_views(spark, sf):
+    letter = lambda i: F.substring(F.lit("ACGT"), (F.pmod(F.col("line") + i, F.lit(4)) + 1).cast("int"), F.lit(1))
+    rows = _alignments(spark, sf).select(
+        "seqnum", "line", "chr", F.array(spans.span(F.col("start"), F.col("end"))).alias("spans"), F.array_join(F.transform(F.sequence("start", "end"), letter), "").alias("seq")
+    )
+    supplier = _table(spark, sf, "supplier").agg(F.min("s_suppkey").alias("_low"), F.count(F.lit(1)).alias("_n"))
+    part = _table(spark, sf, "part").crossJoin(F.broadcast(supplier))  # one row
+    places = part.selectExpr("p_partkey as region", "_low + p_partkey % _n as chr", "p_partkey as low", "p_partkey + p_size as high")
+    return regions.region_views(rows, places, ("seqnum", "line"))
+
+
 @query(
     """WITH r AS (SELECT 'seq.' || l_orderkey || 'a' AS q_name, l_linenumber AS line, CAST(l_tax * 100 AS BIGINT) AS mismatches,
    CAST(l_quantity AS BIGINT) % 12 + 20 - CAST(l_tax * 100 AS BIGINT) AS score, CAST(l_quantity AS BIGINT) % 12 + 20 AS q_end FROM lineitem),
