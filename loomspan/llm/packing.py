@@ -20,6 +20,8 @@ from loomspan.llm.words import slices
 #: Pieces over this share of the capacity are large; large ones are rounded within this many groups, whose configurations are
 #: optimised in at most so many steps.
 LARGE, GROUPS, STEPS = 1 / 4, 64, 2000
+#: Words that a worker remembers: fewer than where tokenizing is all that a stage does.
+REMEMBERED = 250_000
 
 
 def pieces(docs: DataFrame, path: str, end: int, capacity: int, with_ids: bool = False) -> DataFrame:
@@ -31,7 +33,7 @@ def pieces(docs: DataFrame, path: str, end: int, capacity: int, with_ids: bool =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches, "text", SLICE):
             out: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []} | ({"ids": []} if with_ids else {})
-            for doc, ids in zip(rows.column(0).to_pylist(), encoder(path).encode(rows.column(1).to_pylist()), strict=True):
+            for doc, ids in zip(rows.column(0).to_pylist(), encoder(path, most=REMEMBERED).encode(rows.column(1).to_pylist()), strict=True):
                 ids += tail
                 for k, first in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[first : first + 4 * capacity]

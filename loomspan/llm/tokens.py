@@ -8,7 +8,7 @@ import re
 
 import numpy as np
 
-from loomspan.llm.memory import on_release
+from loomspan.llm.memory import on_release, release
 
 #: Words kept per worker process; beyond it the memory starts anew. About 200 bytes each.
 REMEMBERED = 800_000
@@ -30,11 +30,11 @@ class Encoder:
     full stop or comma after an ASCII letter or digit is a piece of its own. Each distinct word goes
     through the library once per worker. `by_word=False` hands whole texts to the library."""
 
-    def __init__(self, path: str, by_word: bool = True):
+    def __init__(self, path: str, by_word: bool = True, most: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.library, self.by_word = Tokenizer.from_file(path), by_word
+        self.library, self.by_word, self.most = Tokenizer.from_file(path), by_word, most
         self.letters = Tokenizer.from_str(_for_letters(self.library.to_str()))
         self.known: dict[bytes, bytes] = {}
         names = self.library.get_vocab(with_added_tokens=True)
@@ -55,7 +55,7 @@ class Encoder:
         known = self.known
         fresh = set().union(*split).difference(known)
         if fresh:
-            if len(known) > REMEMBERED:
+            if len(known) > self.most:
                 known.clear()
                 fresh = set().union(*split)
             self._learn(fresh)
@@ -109,15 +109,16 @@ def _for_letters(settings: str) -> str:
     return json.dumps(own)
 
 
-_made: dict[tuple[str, bool], Encoder] = {}
+_made: dict[tuple, Encoder] = {}
 on_release(_made.clear)
 
 
-def encoder(path: str, by_word: bool = True) -> Encoder:
-    """The worker process's encoder, made once."""
-    if (path, by_word) not in _made:
-        _made[path, by_word] = Encoder(path, by_word)
-    return _made[path, by_word]
+def encoder(path: str, by_word: bool = True, most: int = REMEMBERED) -> Encoder:
+    """The worker process's encoder, made once; what other stages have left in the process goes first."""
+    if (path, by_word, most) not in _made:
+        release()
+        _made[path, by_word, most] = Encoder(path, by_word, most)
+    return _made[path, by_word, most]
 
 
 def default_path() -> str:
