@@ -153,3 +153,36 @@ def test_index_and_outputs(spark, tmp_path):
     quant = {r.feature_type + str(r.ordinal): (r.ucount, r.nucount) for r in out["quantification"].collect()}
     assert quant == {"transcript0": (2, 0), "exon1": (2, 0), "exon2": (1, 0), "intron1": (0, 0)}
     assert out["statistics"].first().unique_forward_only == 2 and out["chromosome_counts"].first().n == 2
+
+
+def test_each_source_is_read_once(spark, tmp_path):
+    seen = {n: spark.sparkContext.accumulator(0) for n in ("gu", "tu", "gnu", "tnu")}
+
+    def counted(name, data):
+        def run(batches):
+            for batch in batches:
+                seen[name].add(batch.num_rows)
+                yield batch
+
+        df = rows_of(spark, data)
+        return df.mapInArrow(run, df.schema)
+
+    one = lambda n, m, c, t: (n, m, c, t, "+", "A" * sum(int(x.split("-")[1]) - int(x.split("-")[0]) + 1 for x in t.split(", ")))
+    data = {
+        "gu": [one(1, "a", "1", "1-50"), one(2, "", "2", "11-60")],
+        "tu": [one(1, "a", "1", "1-50"), one(3, "b", "1", "31-40, 61-70")],
+        "gnu": [one(4, "a", "1", "5-9"), one(4, "a", "2", "5-9")],
+        "tnu": [one(5, "b", "1", "5-9"), one(5, "b", "1", "7-11"), one(5, "b", "1", "9-13")],
+    }
+    unique, rest = alignment.reconciled(*[counted(n, rows) for n, rows in data.items()], alignment.Settings(least_overlap=20))
+    models = spark.createDataFrame([("1", "+", "1-40, 61-80", "g")], "chr string, strand string, t string, id string").withColumn("exons", S.parse(F.col("t"))).drop("t")
+    chunks = spark.createDataFrame([("1", 0, 100, "A" * 100), ("2", 0, 100, "C" * 100)], "chr string, chunk long, size long, seq string")
+    out = alignment.outputs(unique, rest, models, chunks)
+    for df in out.values():
+        df.collect()
+    assert {n: a.value for n, a in seen.items()} == {n: len(rows) for n, rows in data.items()}
+    (r,) = out["report"].collect()
+    assert (r.unique_joined, r.unique_forward_only, r.unique_reverse_only, r.ambiguous_forward_only, r.ambiguous_reverse_only) == (1, 1, 1, 1, 1)
+    assert (r.unique_footprint, r.unique_percent, r.ambiguous_footprint, r.ambiguous_percent) == (110, 55.0, 14, 7.0)
+    assert [tuple(x) for x in r.unique_chromosomes] == [("1", 2), ("2", 1)] and [tuple(x) for x in r.ambiguous_chromosomes] == [("1", 4), ("2", 1)]
+    assert [tuple(x) for x in r.multiplicity] == [(2, 1), (3, 1)]
