@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomspan.functions import flags
 from loomspan.functions import sequence as Q
 from loomspan.functions import spans as S
 from loomspan.operators.intervals import overlap_join
@@ -166,6 +167,31 @@ def _units(fragments: DataFrame, read: str) -> DataFrame:
     return rows.join(pairs.select(*key), key, "left_anti").select(*key, "spans", *alone).unionByName(paired)
 
 
+def uniqueness(rows: DataFrame, policy: str = "tags", read: str = "seqnum") -> DataFrame:
+    """SAM rows (read, flag, cigar, hits) with is_unique, by one of three policies; hits is the IH or, without it, the NH tag.
+
+    tags: a read is unique unless a row of it tells more than one hit; rows without the tag tell nothing.
+    counted, for tables without tags: a mate is unique if it has one mapped row; where its mate is mapped too, both must be.
+    primary: rows that aren't marked secondary are unique, others aren't.
+    The first two cost one aggregation by read, joined back; null reads and rows without a flag are of no read and not unique."""
+    if policy == "primary":
+        return rows.withColumn("is_unique", F.coalesce(~flags.has(F.col("flag"), "secondary"), F.lit(False)))
+    if policy == "tags":
+        many = rows.groupBy(read).agg((F.coalesce(F.max("hits"), F.lit(1)) <= 1).alias("is_unique"))
+        out = rows.drop("is_unique").join(many, read, "left")
+    elif policy == "counted":
+        mapped = ~flags.has(F.col("flag"), "unmapped") & (F.col("cigar") != "*")
+        of = lambda m: F.count_if(mapped & flags.has(F.col("flag"), m))
+        counts = rows.groupBy(read).agg(of("first").alias("_a"), of("last").alias("_b"), F.count_if(mapped & ~flags.has(F.col("flag"), "paired")).alias("_s"))
+        first, last = flags.has(F.col("flag"), "first"), flags.has(F.col("flag"), "last")
+        own = F.when(first, F.col("_a")).when(last, F.col("_b")).otherwise(F.col("_s"))
+        other = F.when(flags.has(F.col("flag"), "mate_unmapped"), 0).when(first, F.col("_b")).when(last, F.col("_a")).otherwise(0)
+        out = rows.drop("is_unique").join(counts, read, "left").withColumn("is_unique", (own == 1) & (other <= 1)).drop("_a", "_b", "_s")
+    else:
+        raise ValueError(f"no policy {policy}")
+    return out.withColumn("is_unique", F.coalesce(F.col("is_unique") & F.col("flag").isNotNull() & F.col(read).isNotNull(), F.lit(False))).select(*[c for c in rows.columns if c != "is_unique"], "is_unique")
+
+
 def exon_counts(fragments: DataFrame, exons: DataFrame, read: str = "seqnum") -> DataFrame:
     """exons (chr, start, end) with ucount, nucount of reads compatible with them.
 

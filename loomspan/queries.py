@@ -197,6 +197,40 @@ def region_views(spark, sf):
     return regions.region_views(rows, places, ("seqnum", "line"))
 
 
+_SAM = """(SELECT l_orderkey AS seqnum, l_linenumber AS line, CASE WHEN l_quantity % 10 = 0 THEN '*' ELSE '9M' END AS cigar, CASE WHEN l_tax > 0.04 THEN CAST(l_quantity AS BIGINT) % 3 END AS hits,
+ 1 + CASE WHEN l_linenumber % 2 = 1 THEN 64 ELSE 128 END + CASE WHEN l_quantity % 10 = 0 THEN 4 ELSE 0 END + CASE WHEN l_returnflag = 'A' THEN 8 ELSE 0 END + CASE WHEN l_linenumber > 2 THEN 256 ELSE 0 END AS flag FROM lineitem)"""
+
+
+def _sam_rows(spark, sf) -> DataFrame:
+    on = lambda what, n: F.when(what, n).otherwise(0)
+    bare, odd = F.col("l_quantity").cast("bigint") % 10 == 0, F.col("l_linenumber") % 2 == 1
+    return _table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("seqnum"),
+        F.col("l_linenumber").alias("line"),
+        F.when(bare, "*").otherwise("9M").alias("cigar"),
+        F.when(F.col("l_tax") > 0.04, F.col("l_quantity").cast("bigint") % 3).alias("hits"),
+        (F.when(odd, 65).otherwise(129) + on(bare, 4) + on(F.col("l_returnflag") == "A", 8) + on(F.col("l_linenumber") > 2, 256)).alias("flag"),
+    )
+
+
+@query(f"SELECT seqnum, line, flag, COALESCE(MAX(hits) OVER (PARTITION BY seqnum), 1) <= 1 AS is_unique FROM {_SAM}")
+def unique_by_tags(spark, sf):
+    return quantify.uniqueness(_sam_rows(spark, sf), "tags").select("seqnum", "line", "flag", "is_unique")
+
+
+@query(
+    f"""WITH c AS (SELECT seqnum, COUNT(*) FILTER (cigar <> '*' AND flag & 64 <> 0) AS a, COUNT(*) FILTER (cigar <> '*' AND flag & 128 <> 0) AS b FROM {_SAM} GROUP BY 1)
+ SELECT seqnum, line, flag, CASE WHEN flag & 64 <> 0 THEN a = 1 AND (flag & 8 <> 0 OR b <= 1) ELSE b = 1 AND (flag & 8 <> 0 OR a <= 1) END AS is_unique FROM {_SAM} JOIN c USING (seqnum)"""
+)
+def unique_by_counts(spark, sf):
+    return quantify.uniqueness(_sam_rows(spark, sf), "counted").select("seqnum", "line", "flag", "is_unique")
+
+
+@query(f"SELECT seqnum, line, flag, flag & 256 = 0 AS is_unique FROM {_SAM}")
+def unique_by_primary(spark, sf):
+    return quantify.uniqueness(_sam_rows(spark, sf), "primary").select("seqnum", "line", "flag", "is_unique")
+
+
 @query(
     """WITH r AS (SELECT 'seq.' || l_orderkey || 'a' AS q_name, l_linenumber AS line, CAST(l_tax * 100 AS BIGINT) AS mismatches,
    CAST(l_quantity AS BIGINT) % 12 + 20 - CAST(l_tax * 100 AS BIGINT) AS score, CAST(l_quantity AS BIGINT) % 12 + 20 AS q_end FROM lineitem),
@@ -254,13 +288,13 @@ def exclude_ids(spark, sf):
 
 
 @query(
-    """SELECT c_custkey AS seqnum FROM customer LEFT JOIN (SELECT o_custkey, COUNT(*) AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY 1) ON o_custkey = c_custkey
- WHERE COALESCE(n, 0) < 2 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')"""
+    """SELECT c_custkey AS seqnum FROM customer LEFT JOIN (SELECT o_custkey, COUNT(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1) ON o_custkey = c_custkey
+ WHERE COALESCE(n, 0) < 11 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')"""
 )
 def unmapped_reads(spark, sf):
     orders = _table(spark, sf, "orders").withColumnRenamed("o_custkey", "seqnum")
     customers = _table(spark, sf, "customer").select(F.col("c_custkey").alias("seqnum"))
-    return reads.unmapped(customers, orders.where("o_orderstatus = 'O'"), orders.where("o_orderstatus = 'P'"))
+    return reads.unmapped(customers, orders.where("o_orderstatus <> 'P'"), orders.where("o_orderstatus = 'P'"), wanted=11)
 
 
 @query(
@@ -322,10 +356,10 @@ def merge_counts(spark, sf):
     return reads.merged_counts(parts, "chr")
 
 
-@query("SELECT l_orderkey AS seqnum, l_suppkey AS chr FROM lineitem WHERE l_returnflag = 'A' UNION SELECT l_orderkey, l_suppkey FROM lineitem WHERE l_quantity > 25")
+@query("SELECT l_orderkey AS seqnum, l_suppkey AS chr FROM lineitem WHERE l_returnflag <> 'R' UNION SELECT l_orderkey, l_suppkey FROM lineitem WHERE l_returnflag <> 'A'")
 def union_distinct(spark, sf):
     pick = lambda w: _alignments(spark, sf, w).select("seqnum", "chr")
-    return reads.union_distinct(pick("l_returnflag = 'A'"), pick("l_quantity > 25"))
+    return reads.union_distinct(pick("l_returnflag <> 'R'"), pick("l_returnflag <> 'A'"))
 
 
 @query(
@@ -941,15 +975,16 @@ def span_functions(spark, sf):
     )
 
 
-@query(f"""SELECT seqnum, line, CASE WHEN line % 2 = 0 THEN (a1 + 2) || '-' || b1 || ', ' || a2 || '-' || a2 ELSE b1 || '-' || b1 || ', ' || a2 || '-' || (b2 - 1) END AS place FROM {_TWO} WHERE line > 1 AND b1 - a1 >= 2""")
+@query(
+    f"""WITH t AS (SELECT *, b1 - a1 + 1 AS w, CASE WHEN line % 2 = 0 THEN 2 ELSE 1 END AS o, b1 - a1 + b2 - a2 - 1 AS n FROM {_TWO})
+ SELECT seqnum, line, CASE WHEN n <= 0 THEN '' ELSE concat_ws(', ', CASE WHEN o < w THEN (a1 + o) || '-' || LEAST(b1, a1 + o + n - 1) END,
+  CASE WHEN o + n > w THEN (a2 + GREATEST(0, o - w)) || '-' || (a2 + o + n - 1 - w) END) END AS place FROM t"""
+)
 def lifted_spans(spark, sf):
-    c, even = F.col("spans"), F.col("line") % 2 == 0
-    size = spans.total_length(c)
-    wide = c[0]["end"] - c[0]["start"] + 1
-    # forwards from the third base to the second block's first; backwards from the last but one to the first block's last
-    offset, n = F.when(even, 2).otherwise(1), F.when(even, wide - 1).otherwise(size - wide)
-    rows = _two(spark, sf).where((F.col("line") > 1) & (c[0]["end"] - c[0]["start"] >= 2))
-    return rows.select("seqnum", "line", spans.render(spans.lifted(c, F.when(even, "+").otherwise("-"), offset, n)).alias("place"))
+    c = F.col("spans")
+    # all but three bases: forwards from the third on, backwards from the last but two
+    strand = F.when(F.col("line") % 2 == 0, "+").otherwise("-")
+    return _two(spark, sf).select("seqnum", "line", spans.render(spans.lifted(c, strand, F.lit(2), spans.total_length(c) - 3)).alias("place"))
 
 
 @query(

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from loomspan.functions import spans as S
@@ -186,3 +187,24 @@ def test_each_source_is_read_once(spark, tmp_path):
     assert (r.unique_footprint, r.unique_percent, r.ambiguous_footprint, r.ambiguous_percent) == (110, 55.0, 14, 7.0)
     assert [tuple(x) for x in r.unique_chromosomes] == [("1", 2), ("2", 1)] and [tuple(x) for x in r.ambiguous_chromosomes] == [("1", 4), ("2", 1)]
     assert [tuple(x) for x in r.multiplicity] == [(2, 1), (3, 1)]
+
+
+def test_policies_of_uniqueness(spark):
+    from loomspan.operators import quantify
+
+    data = [
+        (1, 65, "9M", 1), (1, 129, "9M", 1),  # a pair of one place
+        (2, 65, "9M", 2), (2, 129, "9M", 2), (2, 321, "9M", 2), (2, 385, "9M", 2),  # of two
+        (3, 73, "9M", None), (3, 133, "*", None),  # one mate, without tags
+        (4, 65, "9M", None), (4, 129, "9M", None), (4, 385, "9M", None),  # a mate of two places
+        (5, 0, "9M", 1), (5, 256, "9M", None),  # unpaired
+        (None, 0, "9M", 1), (6, None, "9M", 1),
+    ]
+    df = spark.createDataFrame(data, "seqnum long, flag int, cigar string, hits int").withColumn("is_unique", F.lit(7))
+    got = lambda policy: sorted((r.seqnum or 0, r.flag or 0) for r in quantify.uniqueness(df, policy).collect() if r.is_unique)
+    assert got("tags") == [(1, 65), (1, 129), (3, 73), (3, 133), (4, 65), (4, 129), (4, 385), (5, 0), (5, 256)]
+    assert got("counted") == [(1, 65), (1, 129), (3, 73)]
+    assert got("primary") == [(0, 0), (1, 65), (1, 129), (2, 65), (2, 129), (3, 73), (3, 133), (4, 65), (4, 129), (5, 0)]
+    assert quantify.uniqueness(df, "tags").count() == len(data)
+    with pytest.raises(ValueError):
+        quantify.uniqueness(df, "other")
