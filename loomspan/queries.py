@@ -4,12 +4,16 @@ lineitem plays the alignments (chr: supplier, span: [partkey, partkey + quantity
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspan.functions import chromosomes, flags, sequence, spans, splice
 from loomspan.functions import sql as named
 from loomspan.operators import breakpoints, coverage, genes, hits, intervals, junctions, order, quantify, reads, reconcile, regions, sam, text
+from loomspan.session import shared_folder
+from loomspan.sources import readers, writers
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -1062,5 +1066,118 @@ def exon_tracks(spark, sf):
 
 
 #: Names of the same queries from when the shorter one read a part of its table.
+
+
+# files of the tables' rows, written and read again
+
+
+def _file(spark, lines: DataFrame, **more) -> str:
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}.txt"
+    writers.write(lines, path, **more)
+    return path
+
+
+_LETTERS = "substr(repeat(translate(CAST(seqnum * 31 + line AS VARCHAR), '0123456789', 'ACGTNACGTA'), 60), 1, CAST(b1 - a1 + b2 - a2 + 2 AS INTEGER))"
+
+
+def _with_letters(spark, sf) -> DataFrame:
+    letters = F.repeat(F.translate((F.col("seqnum") * 31 + F.col("line")).cast("string"), "0123456789", "ACGTNACGTA"), F.lit(60))
+    mate = F.when(F.col("line") % 3 == 0, "").when(F.col("line") % 3 == 1, "a").otherwise("b")
+    rows = _two(spark, sf).withColumns({"mate": mate, "strand": F.when(F.col("flag") == "N", "-").otherwise("+")})
+    return rows.withColumn("seq", F.substring(letters, F.lit(1), spans.total_length(F.col("spans")).cast("int")))
+
+
+_LINES = f"""SELECT seqnum, CASE line % 3 WHEN 0 THEN '' WHEN 1 THEN 'a' ELSE 'b' END AS mate, CAST(chr AS VARCHAR) AS chr, a1 || '-' || b1 || ', ' || a2 || '-' || b2 AS place,
+ CASE WHEN flag = 'N' THEN '-' ELSE '+' END AS strand, {_LETTERS} AS seq FROM {_TWO}"""
+
+
+@query(_LINES)
+def file_alignments(spark, sf):
+    out = readers.alignments(spark, _file(spark, writers.alignment_lines(_with_letters(spark, sf))))
+    return out.select("seqnum", "mate", "chr", spans.render(F.col("spans")).alias("place"), "strand", "seq")
+
+
+@query(_LINES)
+def file_alignments_strand_last(spark, sf):
+    out = readers.alignments(spark, _file(spark, writers.alignment_lines(_with_letters(spark, sf), True)), True)
+    return out.select("seqnum", "mate", "chr", spans.render(F.col("spans")).alias("place"), "strand", "seq")
+
+
+@query(_sweep_sql(_SPANS).replace("SELECT chr, start", "SELECT CAST(chr AS VARCHAR) AS chr, start"))
+def file_bedgraph(spark, sf):
+    lines = writers.bedgraph_lines(coverage_sweep(spark, sf))
+    return readers.bedgraph(spark, _file(spark, lines, header='track type=bedGraph name="all"'))
+
+
+@query(f"SELECT CAST(chr AS VARCHAR) AS chr, CASE WHEN flag = 'N' THEN '-' ELSE '+' END AS strand, (a1 + 1) || '-' || b1 || ', ' || (a2 + 1) || '-' || b2 AS place, seqnum || '(' || line || ')' AS id FROM {_TWO}")
+def file_genes(spark, sf):
+    c = F.col("spans")
+    ends = F.array_join(F.transform(c, lambda x: x["end"]), ",")
+    rows = _with_letters(spark, sf).select(
+        F.concat_ws("\t", "chr", "strand", spans.first_start(c), spans.last_end(c), F.size(c), F.concat(F.array_join(F.transform(c, lambda x: x["start"]), ","), F.lit(",")),
+        F.concat(ends, F.lit(",")), F.concat("seqnum", F.lit("("), "line", F.lit(")"))).alias("value")
+    )
+    return readers.genes(spark, _file(spark, rows)).select("chr", "strand", spans.render(F.col("exons")).alias("place"), "id")
+
+
+@query(f"SELECT seqnum, CASE line % 3 WHEN 0 THEN '' WHEN 1 THEN 'a' ELSE 'b' END AS mate, '+' AS strand, 'chr' || chr AS target, a1 + 1 AS start, {_LETTERS} AS seq FROM {_TWO}")
+def file_short_hits(spark, sf):
+    rows = _with_letters(spark, sf)
+    place = F.col("spans")[0]["start"]
+    lines = rows.select(F.concat_ws("\t", F.concat(F.lit("seq."), "seqnum", "mate"), F.lit("+"), F.concat(F.lit("chr"), "chr"), place, "seq").alias("value"))
+    return readers.short_hits(spark, _file(spark, lines)).select("seqnum", "mate", "strand", "target", "start", "seq")
+
+
+@query(
+    f"""WITH t AS (SELECT *, b1 - a1 + 1 AS w, {_LETTERS} AS seq FROM {_TWO})
+ SELECT seqnum, line, substr(seq, 1, CAST(w AS INTEGER)) || ':' || substr(seq, CAST(w + 1 AS INTEGER)) AS marked, substr(seq, 1, 3) || substr(seq, 4) AS bare,
+  len(list_filter(range(1, length(seq) + 1), lambda i: substr(seq, i, 1) <> substr(reverse(seq), i, 1))) AS differing, CASE WHEN line % 2 = 0 THEN '-' ELSE '+' END AS strand,
+  format('{{:,}}', seqnum * 1000 + line) AS digits, 'job_' || line || '_' || flag || '_x.y' AS job,
+  CASE WHEN 35 >= 0.8 * w THEN CAST(floor(0.6 * w) AS INTEGER) WHEN w < 80 THEN 35 WHEN 50 >= 0.8 * w THEN CAST(floor(0.6 * w) AS INTEGER) ELSE 50 END AS least FROM t"""
+)
+def sequence_functions(spark, sf):
+    rows, seq = _with_letters(spark, sf), F.col("seq")
+    inserted = F.concat(F.substring(seq, 1, 3), F.lit("+GT+"), F.substring(seq, F.lit(4), F.length(seq)))
+    return rows.select(
+        "seqnum", "line", sequence.with_junctions(seq, F.col("spans")).alias("marked"), sequence.without_insertions(inserted).alias("bare"),
+        sequence.mismatches(seq, F.reverse(seq)).cast("bigint").alias("differing"), sequence.flipped(F.lit("+"), F.col("line") % 2 == 0).alias("strand"),
+        sequence.grouped_digits(F.col("seqnum") * 1000 + F.col("line")).alias("digits"), sequence.job_name(F.concat_ws(" / ", "line", "flag", F.lit("x.y"))).alias("job"),
+        sequence.least_match_length(F.col("spans")[0]["end"] - F.col("spans")[0]["start"] + 1).cast("int").alias("least"),
+    )
+
+
+@query(
+    f"""SELECT seqnum, line, a1 || '-' || (b1 + 3) || ', ' || a2 || '-' || b2 AS united, (a1 + 1) || '-' || b1 || ', ' || a2 || '-' || (b2 - 1) AS clipped, a1 || '-' || b2 AS filled,
+ (b1 - a1 + 1) || 'M10D' || (b2 - a2 + 1) || 'M' AS cigar, b1 - a1 + 1 AS shared, b1 - a1 + 1 + b2 - a2 - 1 AS inner_bases FROM {_TWO}"""
+)
+def span_edits(spark, sf):
+    c = F.col("spans")
+    more = F.array(spans.span(c[0]["end"] + 1, c[0]["end"] + 3))
+    low, high = spans.first_start(c) + 1, spans.last_end(c) - 1
+    return _two(spark, sf).select(
+        "seqnum", "line", spans.render(spans.union(c, more)).alias("united"), spans.render(spans.clipped(c, low, high)).alias("clipped"), spans.render(spans.without_deletions(c)).alias("filled"),
+        spans.to_cigar(c).alias("cigar"), spans.shared_length(c, F.array(spans.span(c[0]["start"], c[1]["start"] - 1))).alias("shared"),
+        spans.total_length(spans.bases(c, F.lit(1), spans.total_length(c) - 2)).alias("inner_bases"),
+    )
+
+
+@query(
+    f"""WITH f AS (SELECT DISTINCT p_partkey % 10 AS chr, p_partkey AS s, p_partkey + p_size AS e, CASE WHEN p_size % 2 = 0 THEN '+' ELSE '-' END AS strand FROM part),
+ r AS (SELECT seqnum, line, chr % 10 AS chr, CASE WHEN flag = 'N' THEN '-' ELSE '+' END AS own, a1, b1, a2, b2 FROM {_TWO})
+ SELECT CAST(f.chr AS VARCHAR) AS chr, f.s AS start, f.e AS "end", f.strand, COUNT(DISTINCT CASE WHEN own = f.strand THEN r.seqnum END) AS sense, COUNT(DISTINCT CASE WHEN own <> f.strand THEN r.seqnum END) AS anti
+ FROM f LEFT JOIN r ON f.chr = r.chr AND ((a1 <= f.e AND f.s <= b1) OR (a2 <= f.e AND f.s <= b2)) GROUP BY 1, 2, 3, 4"""
+)
+def strand_counts(spark, sf):
+    rows = _with_letters(spark, sf).withColumns({"chr": (F.col("chr").cast("bigint") % 10).cast("string"), "is_unique": F.lit(True)})
+    part = _table(spark, sf, "part").select(
+        (F.col("p_partkey") % 10).cast("string").alias("chr"), F.col("p_partkey").alias("start"), (F.col("p_partkey") + F.col("p_size")).alias("end"),
+        F.when(F.col("p_size") % 2 == 0, "+").otherwise("-").alias("strand"),
+    ).distinct()
+    key = ["chr", "start", "end", "strand"]
+    of = lambda anti, name: [quantify.feature_counts(rows, part, strand=x, anti=anti).select(*key, F.col("ucount").alias(name)) for x in "+-"]
+    (p, m), (q, n) = of(False, "sense"), of(True, "anti")
+    return p.unionByName(m).join(q.unionByName(n), key)
+
+
 for _name in ("coverage_merge", "pair_mates", "trusted_junctions", "pos_mean"):
     QUERIES[f"{_name}_whole"], SQL[f"{_name}_whole"] = QUERIES[_name], SQL[_name]

@@ -23,16 +23,22 @@ def local_session(cores: int | None = None, shuffle: int = 8) -> SparkSession:
     return builder.getOrCreate()
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df computed once and kept in spark.checkpoint.dir, where all that reads it finds it, lost executors or not.
-
-    For tables that several outputs are made of: else each output would compute them anew."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset and all runs in one process, a temporary one."""
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             folder = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df computed once and kept in spark.checkpoint.dir, where all that reads it finds it, lost executors or not.
+
+    For tables that several outputs are made of: else each output would compute them anew."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

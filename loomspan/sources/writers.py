@@ -79,9 +79,13 @@ def _headed(batches, header: str):
     import pyarrow as pa
     from pyspark import TaskContext
 
+    first = next(batches, None)
+    schema = pa.schema([("value", pa.string())]) if first is None else first.schema
     if TaskContext.get().partitionId() == 0:
-        yield pa.RecordBatch.from_arrays([pa.array([header])], ["value"])
-    yield from batches
+        yield pa.RecordBatch.from_arrays([pa.array([header], schema.field(0).type)], schema=schema)
+    if first is not None:
+        yield first
+        yield from batches
 
 
 def by_chromosome(df: DataFrame, path: str) -> None:
