@@ -57,11 +57,11 @@ def nearest(cells: np.ndarray, cached: np.ndarray, centroids: np.ndarray, pivots
     The centroid of the least bound is measured first; another one only where its bound does not exceed that distance. Of equally
     near centroids the smaller number wins: bounds that equal the distance are no reason to leave one out."""
     bound = pivots.below(cached, pivots.distances(centroids))
-    label = bound.argmin(1)
-    best = squared(cells, centroids[label])
+    guess = bound.argmin(1)
+    label, best = guess.copy(), squared(cells, centroids[guess])
     measured = len(cells)
     for c in range(len(centroids)):
-        at = np.flatnonzero((label != c) & (bound[:, c] <= best.astype(np.float64) * (1 + 8 * ROOM)))
+        at = np.flatnonzero((guess != c) & (bound[:, c] <= best.astype(np.float64) * (1 + 8 * ROOM)))
         if len(at):
             found = squared(cells[at], centroids[c])
             nearer = (found < best[at]) | ((found == best[at]) & (c < label[at]))
