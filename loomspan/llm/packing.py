@@ -21,7 +21,7 @@ from loomspan.llm.words import slices
 #: optimised in at most so many steps.
 LARGE, GROUPS, STEPS = 1 / 4, 64, 2000
 #: Words that a worker remembers: fewer than where tokenizing is all that a stage does.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 
 
 def pieces(docs: DataFrame, path: str, end: int, capacity: int, with_ids: bool = False) -> DataFrame:
