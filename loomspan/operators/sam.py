@@ -99,14 +99,14 @@ def fragments(reads: DataFrame, alignments: DataFrame, distance: int = 500_000)
         bare = F.translate("seq", ":+", "")
         left = F.greatest(F.instr(text, bare) - 1, F.lit(0)).cast("long")
         right = F.greatest(F.length(text) - F.length(bare) - left, F.lit(0)).cast("long")
-        return rows.select("seqnum", F.struct("chr", "spans", "strand", "seq", F.coalesce(left, F.lit(0)).alias("left"), F.coalesce(right, F.lit(0)).alias("right")).cast(_HIT).alias(name))
+        return rows.select("seqnum", "chr", "strand", F.struct("chr", "spans", "strand", "seq", F.coalesce(left, F.lit(0)).alias("left"), F.coalesce(right, F.lit(0)).alias("right")).cast(_HIT).alias(name))
 
     fwd, rev = side("a", "a"), side("b", "b")
     up, down = (F.when(F.col("a.strand") == "+", F.col(x)).otherwise(F.col(y)) for x, y in (("a", "b"), ("b", "a")))
     gap = S.first_start(down["spans"]) - S.last_end(up["spans"])
-    met = fwd.join(rev, "seqnum").where((F.col("a.chr") == F.col("b.chr")) & (F.col("a.strand") == F.col("b.strand")))
+    met = fwd.join(rev, ["seqnum", "chr", "strand"])
     met = met.where((S.first_start(up["spans"]) <= S.first_start(down["spans"])) & (gap <= distance)).withColumn("_gap", F.abs(gap))
-    nearest = lambda x, y: F.row_number().over(Window.partitionBy("seqnum", x).orderBy("_gap", y))
+    nearest = lambda x, y: F.row_number().over(Window.partitionBy("seqnum", "chr", "strand", x).orderBy("_gap", y))
     pairs = met.withColumns({"_ka": nearest("a", "b"), "_kb": nearest("b", "a")}).where("_ka = 1 and _kb = 1").select("seqnum", "a", "b")
     over = S.overlap(F.col("a.spans"), F.col("b.spans"))
     out = pairs.withColumn("overlap", over)

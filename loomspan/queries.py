@@ -13,7 +13,7 @@ from loomspan.functions import chromosomes, flags, sequence, spans, splice
 from loomspan.functions import sql as named
 from loomspan.operators import breakpoints, coverage, genes, hits, intervals, junctions, order, quantify, reads, reconcile, regions, sam, text
 from loomspan.session import shared_folder
-from loomspan.sources import readers, writers
+from loomspan.sources import mates, readers, writers
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -1065,9 +1065,6 @@ def exon_tracks(spark, sf):
     return junctions.exon_track(exons).select("chr", "start0", "end", "rgb").join(novel, ["chr", "start0", "end"], "left")
 
 
-#: Names of the same queries from when the shorter one read a part of its table.
-
-
 # files of the tables' rows, written and read again
 
 
@@ -1128,6 +1125,20 @@ def file_short_hits(spark, sf):
     return readers.short_hits(spark, _file(spark, lines)).select("seqnum", "mate", "strand", "target", "start", "seq")
 
 
+@query(
+    f"""WITH t AS (SELECT seqnum, line, {_LETTERS} AS seq FROM {_TWO})
+ SELECT ROW_NUMBER() OVER (ORDER BY seqnum, line, seq) AS seqnum, seqnum || ':' || line AS a_name, seq AS a_seq, repeat('@', length(seq)) AS a_qual,
+ seqnum || '/' || line AS b_name, reverse(seq) AS b_seq, repeat('+', length(seq)) AS b_qual FROM t"""
+)
+def file_mates(spark, sf):
+    rows = _with_letters(spark, sf).sort("seqnum", "line", "seq")
+    record = lambda sep, seq, qual: rows.select(
+        F.concat_ws("\n", F.concat(F.lit("@"), F.concat_ws(sep, "seqnum", "line")), seq, F.lit("+"), F.repeat(F.lit(qual), F.length("seq"))).alias("value")
+    )
+    forward, reverse = record(":", F.lower("seq"), "@"), record("/", F.reverse("seq"), "+")
+    return mates.paired(spark, _file(spark, forward), _file(spark, reverse), split=1 << 20)
+
+
 @query(
     f"""WITH t AS (SELECT *, b1 - a1 + 1 AS w, {_LETTERS} AS seq FROM {_TWO})
  SELECT seqnum, line, substr(seq, 1, CAST(w AS INTEGER)) || ':' || substr(seq, CAST(w + 1 AS INTEGER)) AS marked, substr(seq, 1, 3) || substr(seq, 4) AS bare,
@@ -1179,5 +1190,6 @@ def strand_counts(spark, sf):
     return p.unionByName(m).join(q.unionByName(n), key)
 
 
+#: Names of the same queries from when the shorter one read a part of its table.
 for _name in ("coverage_merge", "pair_mates", "trusted_junctions", "pos_mean"):
     QUERIES[f"{_name}_whole"], SQL[f"{_name}_whole"] = QUERIES[_name], SQL[_name]
