@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,29 +114,47 @@ def renamed_header(name: Column) -> Column:
     return F.regexp_extract(F.regexp_replace(last, r"[\s:;].*$", ""), r"^(\S*)", 1)
 
 
+def adapter_places(seqs: pa.StringArray, adapter: str, share: float, ahead: float) -> pa.Int32Array:
+    """Where the adapter begins in each sequence, null where it isn't placed (see without_adapter).
+
+    All places of all sequences are scored at once: a pass per letter of the adapter over the letters of the batch. Null is the empty sequence."""
+    seqs, m = seqs.fill_null(""), len(adapter)
+    sizes = pc.utf8_length(seqs).to_numpy(zero_copy_only=False).astype(np.int64)
+    letters = np.frombuffer("".join(seqs.to_pylist()).encode("utf-32-le"), np.uint32)
+    fits = np.flatnonzero((sizes >= m) & (m > 0))
+    if not len(fits):
+        return pa.nulls(len(seqs), pa.int32())
+    begins = (np.cumsum(sizes) - sizes)[fits]
+    n = len(letters) - m + 1
+    scores = np.zeros(n, np.int32)
+    for k, c in enumerate(map(ord, adapter)):
+        scores += letters[k : n + k] == c
+    edges = np.zeros(n + 1, np.int64)
+    np.add.at(edges, begins, 1)
+    owner = np.cumsum(edges)[:n] - 1
+    np.add.at(edges, begins + sizes[fits] - m + 1, -1)
+    scores[np.cumsum(edges)[:n] == 0] = -1  # an adapter that would run into the next sequence
+    best = np.maximum.reduceat(scores, begins)
+    tops = np.flatnonzero((scores >= 0) & (scores == best[owner]))
+    at = tops[np.unique(owner[tops], return_index=True)[1]]
+    scores[at] = 0
+    second = np.maximum.reduceat(scores, begins)
+    placed = (best >= m - 1) | ((best >= share * m) & (best >= ahead * second))
+    out, none = np.zeros(len(seqs), np.int32), np.ones(len(seqs), bool)
+    out[fits], none[fits] = at - begins, ~placed
+    return pa.array(out, mask=none)
+
+
 def without_adapter(rows: DataFrame, adapter: str, least: int = 1, share: float = 0.65, ahead: float = 1.5) -> DataFrame:
     """Reads (seqnum, seq, ...) cut where the adapter begins, less those shorter than `least`, with trimmed_at.
 
     An exact adapter is cut first, else one with one mismatch, else the best placing with `share` of the
     adapter matching that has `ahead` times the matches of the second best."""
 
-    def place(seq: str) -> int | None:
-        if not adapter or len(seq) < len(adapter):
-            return None
-        at = seq.find(adapter)
-        if at >= 0:
-            return at
-        scores = [sum(x == y for x, y in zip(adapter, seq[k : k + len(adapter)], strict=True)) for k in range(len(seq) - len(adapter) + 1)]
-        best = max(range(len(scores)), key=lambda k: scores[k])
-        if scores[best] == len(adapter) - 1:
-            return best
-        second = max((s for k, s in enumerate(scores) if k != best), default=0)
-        return best if scores[best] >= share * len(adapter) and scores[best] >= ahead * second else None
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = [place(s or "") for s in batch.column("seq").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.int32())], [*batch.schema.names, "trimmed_at"])
+            at = adapter_places(batch.column("seq"), adapter, share, ahead)
+            yield pa.RecordBatch.from_arrays([*batch.columns, at], [*batch.schema.names, "trimmed_at"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     found = rows.mapInArrow(run, f"{kinds}, trimmed_at int")

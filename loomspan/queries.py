@@ -1139,6 +1139,18 @@ def file_mates(spark, sf):
     return mates.paired(spark, _file(spark, forward), _file(spark, reverse), split=1 << 20)
 
 
+@query(
+    f"""WITH t AS (SELECT seqnum, line, {_LETTERS} AS seq FROM {_TWO}),
+ s AS (SELECT *, list_transform(range(1, length(seq) - 4), lambda i: list_sum(list_transform(range(0, 6), lambda j: CAST(substr(seq, i + j, 1) = substr('GTNACC', j + 1, 1) AS INTEGER)))) AS hit FROM t),
+ b AS (SELECT *, CAST(list_position(hit, list_max(hit)) AS INTEGER) AS p, list_max(hit) AS best FROM s),
+ c AS (SELECT *, COALESCE(list_max(list_transform(range(1, len(hit) + 1), lambda i: CASE WHEN i = p THEN 0 ELSE hit[i] END)), 0) AS second FROM b),
+ d AS (SELECT seqnum, line, seq, CASE WHEN best >= 5 OR (best >= 0.65 * 6 AND best >= 1.5 * second) THEN p - 1 END AS trimmed_at FROM c)
+ SELECT seqnum, line, trimmed_at, substr(seq, 1, COALESCE(trimmed_at, length(seq))) AS seq FROM d WHERE COALESCE(trimmed_at, length(seq)) > 0"""
+)
+def adapter_cut(spark, sf):
+    return regions.without_adapter(_with_letters(spark, sf).select("seqnum", "line", "seq"), "GTNACC")
+
+
 @query(
     f"""WITH t AS (SELECT *, b1 - a1 + 1 AS w, {_LETTERS} AS seq FROM {_TWO})
  SELECT seqnum, line, substr(seq, 1, CAST(w AS INTEGER)) || ':' || substr(seq, CAST(w + 1 AS INTEGER)) AS marked, substr(seq, 1, 3) || substr(seq, 4) AS bare,

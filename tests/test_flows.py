@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,6 +127,23 @@ def test_adapter(spark):
     assert rows(regions.without_adapter(df, "GATCGG"), "seqnum", "seq") == [(1, "AAAA"), (2, "AAAA"), (3, "CCCCCCCCCC")]
 
 
+def test_adapter_places_by_brute_force():
+    rng = random.Random(5)
+    for adapter in ("GATCGG", "A", "ACACAC", "é𝄞A"):
+        seqs = [None, "", "GATCG", "é𝄞AC𝄞é𝄞A"] + ["".join(rng.choices("ACGTé𝄞", k=rng.randrange(40))) for _ in range(300)]
+        m, want = len(adapter), []
+        for seq in seqs:
+            scores = [sum(map(str.__eq__, adapter, seq[k : k + m])) for k in range(len(seq or "") - m + 1)]
+            at = scores.index(max(scores)) if scores else None
+            rest = max([x for k, x in enumerate(scores) if k != at], default=0)
+            good = scores and (scores[at] >= m - 1 or (scores[at] >= 0.65 * m and scores[at] >= 1.5 * rest))
+            want.append(at if good else None)
+        assert regions.adapter_places(pa.array(seqs, pa.string()), adapter, 0.65, 1.5).to_pylist() == want
+        assert regions.adapter_places(pa.array(seqs, pa.string()).slice(7), adapter, 0.65, 1.5).to_pylist() == want[7:]
+    for seqs, adapter in (([], "A"), ([None, "A"], "AC"), (["AC"], "")):
+        assert regions.adapter_places(pa.array(seqs, pa.string()), adapter, 0.65, 1.5).null_count == len(seqs)
+
+
 def test_headers(spark):
     names = spark.createDataFrame([(">gi|1|chr7 range=1-5",), ("chr2",), ("hg19_chrX:1-9",)], "n string")
     assert [r[0] for r in names.select(regions.renamed_header(F.col("n"))).collect()] == ["chr7", "chr2", "hg19_chrX"]
