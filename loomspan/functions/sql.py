@@ -58,6 +58,7 @@ FUNCTIONS: dict[str, tuple[str, str, str]] = {
         "CASE WHEN low < high THEN transform(sequence(low div size, (high - 1) div size), "
         "t -> struct(t AS tile, greatest(low, t * size) AS start, least(high, (t + 1) * size) AS `end`)) END",
     ),
+    "tile_part": ("chr STRING, tile BIGINT", "BIGINT", "pmod(xxhash64(chr, tile), 512L)"),
     "reverse_complement": ("seq STRING", "STRING", "reverse(translate(seq, 'ACGT', 'TGCA'))"),
     "without_insertions": ("seq STRING", "STRING", r"regexp_replace(seq, '\\+[^+]+\\+', '')"),
     "base_count": ("seq STRING, letter STRING", "INT", "length(seq) - length(replace(seq, letter, ''))"),
@@ -67,36 +68,60 @@ FUNCTIONS: dict[str, tuple[str, str, str]] = {
 
 
 class CoverageRuns:
-    """Of one partition's rows (chr, start, end): the half-open runs of coverage. What is held is one number per place at which it changes, so
-    partitions should be tiles: see tile_pieces."""
+    """Of one partition's rows (chr, start, end, and tile if there is one), ordered by chr and tile: the half-open runs of coverage, tile by tile.
+
+    Tiles that a batch holds whole are swept together. What is kept is one number per place of the last tile at which it changes, so tiles,
+    see tile_pieces, bound it, and a partition may have any number of them."""
 
     def __init__(self) -> None:
-        self.name, self.pos, self.d = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.key, self.pos, self.d = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:
-        if rows.num_rows:
-            self.name = rows.column("chr")[0].as_py()
-            start, end = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("start", "end"))
-            one = np.ones(len(start), np.int64)
-            self.pos, at = np.unique(np.concatenate([self.pos, start, end]), return_inverse=True)
-            sums = np.zeros(len(self.pos), np.int64)
-            np.add.at(sums, at, np.concatenate([self.d, one, -one]))
-            self.pos, self.d = self.pos[sums != 0], sums[sums != 0]
-        return iter(())
+        if not rows.num_rows:
+            return
+        names = rows.column("chr").dictionary_encode("encode")
+        code = names.indices.to_numpy(zero_copy_only=False)
+        tile = rows.column("tile").to_numpy(zero_copy_only=False) if "tile" in rows.schema.names else np.zeros(len(code), np.int64)
+        first = np.flatnonzero(np.concatenate([[True], (np.diff(code) != 0) | (np.diff(tile) != 0)]))
+        keys = [(name is not None, name or "", t) for name, t in zip(names.dictionary.take(pa.array(code[first])).to_pylist(), tile[first].tolist(), strict=True)]
+        known = [] if self.key is None else [self.key]
+        goes_on = known == keys[:1]
+        keys = keys if goes_on else known + keys
+        if any(x >= y for x, y in zip(keys, keys[1:])):  # noqa: B905
+            raise ValueError("coverage_runs: rows of a partition must be ordered by chr and tile")
+        place = np.repeat(np.arange(len(first)) + len(keys) - len(first), np.diff([*first, len(code)]))
+        start, end = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("start", "end"))
+        one = np.ones(len(start), np.int64)
+        group, pos, d = (np.concatenate(x) for x in ((np.zeros(len(self.pos), np.int64), place, place), (self.pos, start, end), (self.d, one, -one)))
+        order = np.lexsort((pos, group))
+        group, pos = group[order], pos[order]
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(group) != 0) | (np.diff(pos) != 0)]))
+        sums = np.add.reduceat(d[order], new)
+        new, d = new[sums != 0], sums[sums != 0]
+        group, pos = group[new], pos[new]
+        last = int(np.searchsorted(group, len(keys) - 1))
+        self.key, self.pos, self.d = keys[-1], pos[last:], d[last:]
+        yield from self._runs(keys, group[:last], pos[:last], d[:last])
 
     def terminate(self) -> Iterator[pa.Table]:
-        cov = np.cumsum(self.d)[:-1]
+        yield from self._runs([self.key], np.zeros(len(self.pos), np.int64), self.pos, self.d)
+
+    def _runs(self, keys: list[tuple], group: np.ndarray, pos: np.ndarray, d: np.ndarray) -> Iterator[pa.Table]:
+        cov = np.cumsum(d)[:-1]  # 0 at the end of each tile
         some = np.flatnonzero(cov)
         if len(some):
-            yield pa.table({"chr": pa.array([self.name] * len(some), pa.string()), "start": self.pos[some], "end": self.pos[some + 1], "cov": cov[some]})
+            names = pa.array([name if known else None for known, name, _ in keys], pa.string()).take(pa.array(group[some]))
+            yield pa.table({"chr": names, "start": pos[some], "end": pos[some + 1], "cov": cov[some]})
 
 
 def register(spark: SparkSession) -> None:
     """Make all of FUNCTIONS and coverage_runs known to the session.
 
-    coverage_runs takes a table of chr (string), start and end (long, half-open), partitioned by chr and, for many rows, by tiles:
-    SELECT * FROM coverage_runs(TABLE(SELECT chr, p.tile, p.start, p.`end` FROM
-    (SELECT chr, tile_pieces(start, `end`, 65536) AS pieces FROM t) LATERAL VIEW explode(pieces) AS p) PARTITION BY (chr, tile)).
+    coverage_runs takes a table of chr (string), start and end (long, half-open), partitioned by chr and, for many rows, cut into tiles, which are
+    dealt into parts of many tiles each, as a part costs a call of its own:
+    SELECT * FROM coverage_runs(TABLE(SELECT chr, p.tile, p.start, p.`end`, tile_part(chr, p.tile) AS part FROM
+    (SELECT chr, tile_pieces(start, `end`, 65536) AS pieces FROM t) LATERAL VIEW explode(pieces) AS p) PARTITION BY part ORDER BY (chr, tile)).
+    PARTITION BY (chr, tile) gives the same, a call per tile.
     Runs end at a tile's border; rows without a bound, or that end before they begin, have no pieces."""
     for name, (parameters, result, body) in FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {result} RETURN {body}")

@@ -52,3 +52,21 @@ def test_coverage_runs(spark):
     small = spark.sql(query.format(16))
     assert sorted(map(tuple, coverage.merged([small]).collect())) == want and small.where("start div 16 <> (end - 1) div 16").count() == 0
     assert spark.sql(query.format(16).replace("run_rows", "run_rows WHERE false")).count() == 0
+
+
+def test_coverage_runs_of_many_tiles_in_a_part(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice(["1", "10", "2", None]), s := rng.randint(0, 900), s + rng.choice([0, 1, 9, 40])) for _ in range(700)]
+    df = spark.createDataFrame(rows, "chr string, start long, end long")
+    df.createOrReplaceTempView("part_rows")
+    query = """SELECT * FROM coverage_runs(TABLE(SELECT chr, p.tile, p.start, p.end, tile_part(chr, p.tile) % {} AS part FROM
+        (SELECT chr, tile_pieces(start, end, 16) AS pieces FROM part_rows) LATERAL VIEW explode(pieces) x AS p) PARTITION BY {})"""
+    alone = sorted(map(str, spark.sql(query.format(1, "(chr, tile)")).collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 37)
+    try:
+        for parts in (1, 3):
+            assert sorted(map(str, spark.sql(query.format(parts, "part ORDER BY (chr, tile)")).collect())) == alone
+        with pytest.raises(Exception, match="must be ordered"):
+            spark.sql(query.format(1, "part ORDER BY tile")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
