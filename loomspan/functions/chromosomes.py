@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomspan.session import settled
+
 _ROMAN = re.compile(r"(?=[ivxlc])(c{0,3})(xc|xl|l?x{0,3})(ix|iv|v?i{0,3})\Z")
 _PARTS = (("c", 100), ("xc", 90), ("l", 50), ("xl", 40), ("x", 10), ("ix", 9), ("v", 5), ("iv", 4), ("i", 1))
 
@@ -49,11 +51,26 @@ def order_key(name: Column) -> Column:
 
 
 def ranks(df: DataFrame, chromosome: str = "chr") -> DataFrame:
-    """(chromosome, chr_rank) of the table's distinct names, of which there are as many as the genome has sequences."""
-    names = df.select(chromosome).where(F.col(chromosome).isNotNull()).distinct()
-    return names.withColumn("chr_rank", F.row_number().over(Window.orderBy(order_key(F.col(chromosome)))) - 1)
+    """(chromosome, chr_rank) of the table's distinct names, which may be as many as its rows: numbered in ranges, no task holds all.
+
+    The ranges are computed at once and kept, see session.settled, as both their sizes and their rows are read."""
+    return _ranked(df.select(chromosome).where(F.col(chromosome).isNotNull()), chromosome)
+
+
+def _ranked(names: DataFrame, chromosome: str) -> DataFrame:
+    keyed = names.distinct().withColumn("_key", order_key(F.col(chromosome))).repartitionByRange("_key")
+    keyed = settled(keyed.withColumn("_range", F.spark_partition_id()))
+    sizes = keyed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    sizes = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy("_key"))
+    return keyed.join(F.broadcast(sizes), "_range").select(chromosome, (F.col("_before") + own - 1).cast("int").alias("chr_rank"))
 
 
 def by_location(df: DataFrame, start: str = "start", end: str = "end", chromosome: str = "chr", then: tuple[Column | str, ...] = ()) -> DataFrame:
-    """The rows in order of chromosome, start, end and `then`: a range-partitioned sort, no name goes to the driver."""
-    return df.orderBy(order_key(F.col(chromosome)), start, end, *then)
+    """The rows in order of chromosome, start, end and `then`: a range-partitioned sort by the names' numbers, no name goes to the driver.
+
+    Names are numbered first, once each, so no row works out or compares the parts of its name; df is read twice and must give the same rows."""
+    numbers = _ranked(df.select(F.col(chromosome).alias("_name")), "_name").withColumnRenamed("chr_rank", "_rank")
+    rows = df.join(numbers, F.col(chromosome).eqNullSafe(F.col("_name")), "left").drop("_name")
+    return rows.orderBy("_rank", start, end, *then).drop("_rank")

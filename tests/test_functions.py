@@ -159,3 +159,15 @@ def test_common_is_covered_by_both(a, b):
     assert covered(found) <= covered(a) & covered(b)
     assert bool(found) == bool(covered(a) & covered(b))
     assert len(seq) == fragments.length(found)
+
+
+def test_names_are_numbered_in_ranges(spark):
+    names = [f"chr{k}{x}" for k in range(300) for x in ("", "_random")] + [f"scaffold_{k}" for k in range(300)] + ["chrX", "iv", None]
+    df = spark.createDataFrame([(x, 5 - k % 3, 9) for k, x in enumerate(names)] * 2, "chr string, start long, end long").repartition(7)
+    want = [r.chr for r in df.select("chr").distinct().orderBy(chromosomes.order_key(F.col("chr"))).collect()]
+    found = chromosomes.ranks(df)
+    assert {r.chr: r.chr_rank for r in found.collect()} == {x: k for k, x in enumerate(x for x in want if x is not None)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "row_number() windowspecdefinition(_range" in plan  # not one window over all names
+    got = [r.chr for r in chromosomes.by_location(df).collect()]
+    assert got == [x for x in want for _ in range(2)]
