@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Coordinates of a tile, rows of a side that a task gets together, live intervals up to which every piece keeps its set, candidates
-#: looked at together, and rows of a batch that is passed on.
-TILE, TOGETHER, FEW, CANDIDATES, PASSED = 1 << 16, 1 << 18, 8, 1 << 20, 1 << 14
+#: looked at together, rows of a batch that is passed on, and rows of both sides that are indexed and looked up together.
+TILE, TOGETHER, FEW, CANDIDATES, PASSED, INDEXED = 1 << 16, 1 << 18, 8, 1 << 20, 1 << 14, 1 << 16
 #: A tile is dealt out only if it has more than a HOT-th of all rows, so fewer than HOT are.
 HOT = 4096
 
@@ -92,8 +92,8 @@ def _crowded(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
 
 
 def _met(left: DataFrame, right: DataFrame, on: Sequence[str], a: tuple[str, str], b: tuple[str, str], tile: int) -> DataFrame:
-    """Both sides go to the tiles that they touch, features (kind 0) before what asks for them (kind 1), and a task indexes one tile's features
-    at a time while the asking rows stream by. A pair is made in the tile in which the later of both begins. Crowded tiles are
+    """Both sides go to the tiles that they touch, features (kind 0) before what asks for them (kind 1), and a task indexes the features of some
+    tiles, or of a large one, at a time while the asking rows stream by. A pair is made in the tile in which the later of both begins. Crowded tiles are
     dealt out as a rectangle: each part of one side meets each part of the other once."""
     x, y = _placed(left, on, *a, tile), _placed(right, on, *b, tile)
     keys = [*(f"_{k}" for k in range(len(on))), "tile"]
@@ -107,46 +107,51 @@ def _met(left: DataFrame, right: DataFrame, on: Sequence[str], a: tuple[str, str
     x = x.withColumn("_x", one(left, "x_parts")).withColumn("_y", every("y_parts"))
     y = y.withColumn("_y", one(right, "y_parts")).withColumn("_x", every("x_parts"))
     group = F.xxhash64(*keys, "_x", "_y").alias("group")
-    late = (F.col("tile") > F.col("home")).alias("late")
-    low = F.greatest("s", F.col("tile") * tile)
+    late = F.col("tile") > F.col("home")
+    # places within the tile from 1 on; what began before the tile begins at 0 as a feature, at 1 as an asking row
+    within = lambda c: (F.col(c) - F.col("tile") * tile + 1).cast("int")
+    last = F.least(F.col("e") - F.col("tile") * tile + 1, F.lit(tile)).cast("int").alias("e")
     none = lambda df: F.lit(None).cast(df.schema)
-    asks = x.select(group, F.lit(1).alias("kind"), F.when(late, low).otherwise(F.col("s")).alias("s"), "e", late, F.col("row").alias("l"), none(right).alias("r"))
-    places = y.select(group, F.lit(0).alias("kind"), "s", "e", late, none(left).alias("l"), F.col("row").alias("r"))
+    asks = x.select(group, F.lit(1).alias("kind"), F.when(late, 1).otherwise(within("s")).alias("s"), last, late.alias("late"), F.col("row").alias("l"), none(right).alias("r"))
+    places = y.select(group, F.lit(0).alias("kind"), F.when(late, 0).otherwise(within("s")).alias("s"), last, late.alias("late"), none(left).alias("l"), F.col("row").alias("r"))
     both = places.unionByName(asks).repartition("group").sortWithinPartitions("group", "kind")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, features, index, out, held = None, [], None, [], 0
+        known, new, n = None, [], 0  # features of the last group so far, and what came since
         for batch in batches:
-            number = lambda c, batch=batch: batch.column(c).to_numpy(zero_copy_only=False)
-            group, kind, s, e, late = map(number, ("group", "kind", "s", "e", "late"))
-            cuts = np.flatnonzero((np.diff(group) != 0) | (np.diff(kind) != 0)) + 1
-            for i, j in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
-                if i == j:
-                    continue
-                if group[i] != now:
-                    now, features, index = group[i], [], None
-                if kind[i] == 0:
-                    features.append((s[i:j], e[i:j], batch.column("r").slice(i, j - i)))
-                    continue
-                if not features:
-                    continue
-                if index is None:
-                    index = Breakpoints(*(np.concatenate([f[k] for f in features]) for k in (0, 1)))
-                    stored = pa.concat_arrays([f[2] for f in features])
-                asking = batch.column("l").slice(i, j - i)
-                found = (pa.RecordBatch.from_arrays([asking.take(pa.array(p)), stored.take(pa.array(q))], ["l", "r"]) for p, q in index.pairs(s[i:j], e[i:j], late[i:j]))
-                for part in found:
-                    out.append(part)
-                    held += part.num_rows
-                    if held >= PASSED:
-                        yield from pa.Table.from_batches(out).combine_chunks().to_batches()
-                        out, held = [], 0
-        if held:
-            yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+            new.append(batch)
+            n += batch.num_rows
+            if n >= max(INDEXED, known.num_rows if known else 0):
+                rows = pa.concat_batches([known, *new] if known else new)
+                yield from _found(rows, tile)
+                known, new, n = _unfinished(rows), [], 0
+        if new:
+            yield from _found(pa.concat_batches([known, *new] if known else new), tile)
 
     return both.mapInArrow(meet, T.StructType([T.StructField("l", left.schema), T.StructField("r", right.schema)]))
 
 
+def _unfinished(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """The features of the last group, for which more rows may ask."""
+    group, kind = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("group", "kind"))
+    own = np.flatnonzero((group == group[-1]) & (kind == 0))
+    return rows.take(pa.array(own))
+
+
+def _found(rows: pa.RecordBatch, tile: int) -> Iterator[pa.RecordBatch]:
+    """(l, r) of all groups of the rows by one index: each group has a stretch of `tile` + 1 places of its own."""
+    group, kind, s, e, late = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("group", "kind", "s", "e", "late"))
+    base = np.concatenate([[0], np.cumsum(np.diff(group) != 0)]).astype(np.int64) * (tile + 1)
+    f, a = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
+    if not len(f) or not len(a):
+        return
+    index = Breakpoints(base[f] + s[f], base[f] + e[f])
+    left, right = rows.column("l"), rows.column("r")
+    for i, j in index.pairs(base[a] + s[a], base[a] + e[a], late[a]):
+        for k in range(0, len(i), PASSED):
+            yield pa.RecordBatch.from_arrays([left.take(pa.array(a[i[k : k + PASSED]])), right.take(pa.array(f[j[k : k + PASSED]]))], ["l", "r"])
+
+
 def overlapping(left: DataFrame, right: DataFrame, on: Sequence[str], a: tuple[str, str], b: tuple[str, str], tile: int = TILE) -> DataFrame:
     """Pairs of rows with equal `on` whose closed intervals share a coordinate: left's columns, then right's but for `on`.
 

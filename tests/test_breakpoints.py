@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,3 +84,22 @@ def test_odd_columns(spark):
     assert [tuple(r) for r in out.collect()] == [(1, 2, "x y", [1, 2], 2, 2, {"k": 1})]
     assert intervals.overlap_join(left.limit(0), right, [], ("s", "kind"), ("f", "t")).count() == 0
     assert intervals.overlap_join(left, right.where(F.lit(False)), [], ("s", "kind"), ("f", "t")).count() == 0
+
+
+@pytest.mark.parametrize("passed", [3, 1 << 14])
+def test_groups_share_one_index(passed, monkeypatch):
+    made, plain = [], breakpoints.Breakpoints
+    monkeypatch.setattr(breakpoints, "Breakpoints", lambda *x: made.append(1) or plain(*x))
+    monkeypatch.setattr(breakpoints, "PASSED", passed)
+    rng, tile, rows = random.Random(passed), 40, []
+    for group in range(30):
+        for kind in (0, 1):
+            for _ in range(rng.randint(0, 6)):
+                late = rng.random() < 0.3
+                s = (kind if late else rng.randint(1, tile))
+                rows.append({"group": group, "kind": kind, "s": s, "e": rng.randint(max(s, 1), tile), "late": late, "l": len(rows), "r": len(rows)})
+    batch = pa.RecordBatch.from_pylist(rows)
+    got = sorted((p["l"], p["r"]) for part in breakpoints._found(batch, tile) for p in part.to_pylist())
+    meets = lambda x, y: x["group"] == y["group"] and x["s"] <= y["e"] and y["s"] <= x["e"] and not (x["late"] and y["late"])
+    assert got == sorted((x["l"], y["r"]) for x in rows for y in rows if x["kind"] == 1 and y["kind"] == 0 and meets(x, y)) and len(made) == 1
+    assert all(part.num_rows <= passed for part in breakpoints._found(batch, tile))
