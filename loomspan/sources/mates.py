@@ -22,6 +22,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 BLOCK = 8 << 20
 WHOLE = 1 << 62
+#: Ranges of a side, but for those that small files add: every task gets the list of them.
+RANGES = 2048
 
 
 class Shape(NamedTuple):
@@ -53,7 +55,7 @@ def _opened(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def pieces(path: str, size: int) -> list[Piece]:
-    """The byte ranges of a file, or of a folder's files by name; gzip files are one range each."""
+    """The byte ranges of a file, or of a folder's files by name, of `size` bytes or, of large ones, a RANGES-th; gzip files are one range each."""
     store, name = _opened(path)
     info = store.get_file_info(name)
     if info.type == fs.FileType.NotFound:
@@ -61,6 +63,7 @@ def pieces(path: str, size: int) -> list[Piece]:
     files = [(path, info)]
     if not info.is_file:
         files = [(f"{path.rstrip('/')}/{x.base_name}", x) for x in sorted(store.get_file_info(fs.FileSelector(name)), key=lambda x: x.base_name)]
+    size = max(size, -(-sum(f.size for _, f in files if f.is_file) // RANGES))
     out = []
     for uri, f in files:
         if f.is_file and f.size and not f.base_name.startswith(("_", ".")):
@@ -180,6 +183,10 @@ class _Reader(DataSourceReader):
         self.shape, self.counted = SHAPES[plan["shape"]], plan["counted"]
         self.sides = [[Piece(*x) for x in side] for side in plan["sides"]]
 
+    def __getstate__(self) -> dict:
+        """What a task needs: its range comes with it, so not those of all."""
+        return {k: v for k, v in self.__dict__.items() if k != "sides"}
+
     def partitions(self) -> list[_Range]:
         if not self.counted:
             return [_Range(k, x) for k, x in enumerate(x for side in self.sides for x in side)] or [_Range(0, None)]
@@ -233,7 +240,7 @@ def paired(spark: SparkSession, forward: str, reverse: str | None = None, shape:
 
     forward and reverse are a file or a folder each (its files by name), local or on any store that pyarrow opens; numbers run through a
     folder's files. Without reverse the b columns are null, in fasta the qualities. Files are read twice, to count and to give rows; the driver
-    holds one number per `split` bytes. A gzip file is one range, and a range reads on from the start of the reverse range that
+    holds one number per range, of which a side has at most about RANGES beside one per file. A gzip file is one range, and a range reads on from the start of the reverse range that
     holds its first mate, so of a pair both should be gzip or neither. Bases other than ACGTN and the full stop, records without their marks or cut short, and mates of
     unequal number are errors; blank lines at a file's end are none. Empty files give no rows."""
     spark.dataSource.register(RecordSource)

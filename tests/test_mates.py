@@ -1,3 +1,5 @@
+import json
+import pickle
 import gzip
 
 import pytest
@@ -94,3 +96,14 @@ def test_what_is_wrong_is_told(spark, tmp_path):
         path.write_text(text)
         with pytest.raises(ValueError, match=message):
             list(mates.records(mates.Piece(str(path), 0, 1 << 40), shape))
+
+
+def test_ranges_are_bounded(tmp_path, monkeypatch):
+    path = tmp_path / "reads.fq"
+    path.write_text("".join(f"@{k}\nACGT\n+\n!!!!\n" for k in range(500)))
+    monkeypatch.setattr(mates, "RANGES", 10)
+    parts = mates.pieces(str(path), 8)
+    assert len(parts) == 10 and sum(len(x) for p in parts for x in mates.stretches(p, mates.SHAPES["fastq"])) == 2000
+    plan = {"shape": "fastq", "counted": True, "sides": [[x._replace(n=50) for x in parts]]}
+    reader = mates._Reader({"plan": json.dumps(plan)})
+    assert len(reader.partitions()) == 10 and "reads.fq" not in str(pickle.dumps(reader))
