@@ -42,22 +42,41 @@ def band_join(left: DataFrame, right: DataFrame, on: Sequence[str], at: str, oth
 def islands(df: DataFrame, on: Sequence[str], start: str = "start", end: str = "end", gap: int = 0, tile: int = 1 << 20) -> DataFrame:
     """(on, start, end, n): closed intervals of a key that overlap, or lie at most gap + 1 apart for gap > 0, as one.
 
-    Rows are put in order within tiles of a key's coordinates; how far the tiles before reach is one number per tile. Runs within a
-    tile are final, but for the one that goes on from before and the last one: these two per tile meet again, in order of tiles."""
+    Rows are put in order within tiles of a key's coordinates; how far the tiles before reach is one more row per tile, without a start. The
+    last row of a run tells all of it, so a task holds its rows once, in one sort. Runs within a tile are final, but for the one that goes on
+    from before and the last one: these two per tile meet again, in order of tiles."""
     late = [*on, "_tile"]
-    rows = df.select(*on, start, end).withColumn("_tile", F.floor(F.col(start) / tile))
+    rows = df.select(*on, start, end).where(F.col(start).isNotNull()).withColumn("_tile", F.floor(F.col(start) / tile))
     before = Window.partitionBy(*on).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
-    reach = rows.groupBy(*late).agg(F.max(end).alias("_far")).select(*late, F.max("_far").over(before).alias("_reach"))
+    reach = rows.groupBy(*late).agg(F.max(end).alias("_far")).select(*late, F.max("_far").over(before).alias(end)).where(F.col(end).isNotNull())
+    rows = rows.unionByName(reach.withColumn(start, F.lit(None).cast(df.schema[start].dataType)))
     order = Window.partitionBy(*late).orderBy(start, end)
-    far = F.greatest("_reach", F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1)))
-    runs = rows.join(reach, late).withColumn("_new", (far.isNull() | (F.col(start) > far + gap)).cast("int"))
-    runs = runs.withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = runs.groupBy(*late, "_run").agg(F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("n"))
-    edge = (F.col("_run") == 0) | (F.col("_run") == F.max("_run").over(Window.partitionBy(*late)))
-    runs = runs.withColumn("_part", F.when(~edge, F.col("_tile")))  # a tile's inner runs stay among themselves
-    chain = Window.partitionBy(*on, "_part").orderBy("_tile", "_run").rowsBetween(Window.unboundedPreceding, 0)
-    runs = runs.withColumn("_id", F.sum((F.col("_run") > 0).cast("int")).over(chain))
-    return runs.groupBy(*on, "_part", "_id").agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n").alias("n")).drop("_part", "_id")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    far = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.col(start).isNotNull() & (F.col("_far").isNull() | (F.col(start) > F.col("_far") + gap))
+    runs = rows.withColumn("_far", far).withColumns({"_new": new, "_k": F.row_number().over(order)})
+    runs = runs.withColumns(
+        {
+            "_run": F.count_if("_new").over(upto),
+            "_first": F.last(F.when(F.col("_new"), F.struct(F.col(start).alias("start"), F.col("_k").alias("k"))), ignorenulls=True).over(upto),
+            "_ends": F.coalesce(F.lead("_new").over(order), F.lit(True)),
+            "_last": F.lead("_k").over(order).isNull(),
+        }
+    ).withColumn("_end", F.max(F.when(F.col(start).isNotNull(), F.struct("_run", F.col(end).alias("end")))).over(upto)["end"])
+    # a run that goes on from before comes after the row of the reach
+    n = F.col("_k") - F.coalesce("_first.k", F.lit(2)) + 1
+    edge = (F.col("_run") == 0) | F.col("_last")
+    runs = runs.where(F.col("_ends") & F.col(start).isNotNull()).select(
+        *late, F.col("_first.start").alias(start), F.col("_end").alias(end), n.cast("long").alias("n"), "_run", F.when(~edge, F.col("_tile")).alias("_part")
+    )  # a tile's inner runs stay among themselves
+    chain_order = Window.partitionBy(*on, "_part").orderBy("_tile", "_run")
+    chain = chain_order.rowsBetween(Window.unboundedPreceding, 0)
+    runs = runs.withColumns(
+        {"_id": F.count(start).over(chain), "_sum": F.sum("n").over(chain), "_ends": F.coalesce(F.lead(F.col(start).isNotNull()).over(chain_order), F.lit(True))}
+    )
+    begun = F.last(F.when(F.col(start).isNotNull(), F.struct(F.col(start).alias("start"), (F.col("_sum") - F.col("n")).alias("n"))), ignorenulls=True).over(chain)
+    runs = runs.withColumns({"_first": begun, "_end": F.max(F.struct("_id", F.col(end).alias("end"))).over(chain)["end"]}).where("_ends")
+    return runs.select(*on, F.col("_first.start").alias(start), F.col("_end").alias(end), (F.col("_sum") - F.col("_first.n")).alias("n"))
 
 
 def _runs(df: DataFrame, on: Sequence[str], start: str, end: str, gap: int, weight: Column) -> DataFrame:
