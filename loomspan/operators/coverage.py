@@ -14,8 +14,8 @@ def sweep(df: DataFrame, on: Sequence[str], start: str = "start", end: str = "en
     """(on, start, end, cov): the sum of weights over each half-open stretch where it isn't 0; input is half-open too.
 
     Starts add and ends take off, summed per place with map-side combining. A key's places are swept in tiles: the
-    tiles' sums, one row each, give each tile what lies open before it and where the next change is, so one
-    chromosome that holds most rows is no single task."""
+    tiles' sums give each tile what lies open before it and where the next change is, as two rows beside its own, so one
+    chromosome that holds most rows is no single task, and a task holds its rows once, in one sort."""
     w = F.lit(1) if weight is None else weight
     ends = F.explode(F.array(F.struct(F.col(start).alias("pos"), w.alias("d")), F.struct(F.col(end).alias("pos"), (-w).alias("d"))))
     changes = df.select(*on, ends.alias("x")).select(*on, "x.pos", "x.d").groupBy(*on, "pos").agg(F.sum("d").alias("d")).where("d <> 0")
@@ -28,12 +28,15 @@ def sweep(df: DataFrame, on: Sequence[str], start: str = "start", end: str = "en
         F.coalesce(F.sum("_d").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_open"),
         F.lead("_first").over(order).alias("_next"),
     )
-    own = Window.partitionBy(*on, "_tile").orderBy("pos")
-    running = F.col("_open") + F.sum("d").over(own.rowsBetween(Window.unboundedPreceding, 0))
-    out = changes.join(tiles, [*on, "_tile"]).select(
-        *on, F.col("pos").alias("start"), F.coalesce(F.lead("pos").over(own), F.col("_next")).alias("end"), running.alias("cov")
+    kind = {f.name: f.dataType for f in changes.schema}
+    carry = lambda pos, d: F.struct(pos.cast(kind["pos"]).alias("pos"), d.cast(kind["d"]).alias("d"))
+    both = F.array(carry(F.lit(None), F.col("_open")), carry(F.col("_next"), F.lit(0)))
+    carried = tiles.select(*on, "_tile", F.explode(F.filter(both, lambda x: (x["d"] != 0) | x["pos"].isNotNull())).alias("x")).select(*on, "x.pos", "x.d", "_tile")
+    own = Window.partitionBy(*on, "_tile").orderBy("pos")  # what lies open comes first, without a place
+    out = changes.unionByName(carried).select(
+        *on, F.col("pos").alias("start"), F.lead("pos").over(own).alias("end"), F.sum("d").over(own.rowsBetween(Window.unboundedPreceding, 0)).alias("cov")
     )
-    return out.where("cov <> 0 and end is not null")
+    return out.where("cov <> 0 and start is not null and end is not null")
 
 
 def of_spans(alignments: DataFrame, chromosome: str = "chr", spans: str = "spans") -> DataFrame:
