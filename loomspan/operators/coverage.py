@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomspan.operators.breakpoints import overlap_sums
+from loomspan.operators.breakpoints import overlap_sums, overlapping
 
 
 def sweep(df: DataFrame, on: Sequence[str], start: str = "start", end: str = "end", weight: Column | None = None, tile: int = 1 << 16) -> DataFrame:
@@ -101,3 +101,27 @@ def over_spans(spans: DataFrame, coverage: DataFrame, on: Sequence[str] = ("chr"
     size = F.col("_last") + 1 - F.col("start")
     below = size - F.col("_at_least") if cutoff > 0 else F.lit(0).cast("long")
     return out.select(*on, "start", (F.col("_last") + 1).alias("end"), "covered_sum", below.alias("below"))
+
+
+def over_shared_spans(spans: DataFrame, groups: DataFrame, coverage: DataFrame, link: str, on: str = "chr", cutoff: int = 1, together: int = 1024) -> DataFrame:
+    """over_spans where each span (link, start, end) lies on every `on` of groups (link, on): a row per distinct span and `on`.
+
+    Most such rows meet no run, so only those that do are summed. A span gets the sums of `together` of its group's members at most as one
+    map and is spread over these where it is put out: rows of spans and runs are shuffled, the product never is."""
+    number = F.row_number().over(Window.partitionBy(link).orderBy(on))
+    parts = groups.select(link, on).where(F.col(link).isNotNull() & F.col(on).isNotNull()).distinct().withColumn("_part", F.floor((number - 1) / together))
+    every = spans.select(link, "start", "end").where("start < end").distinct()
+    closed = every.select(link, F.col("start").alias("_s"), (F.col("end") - 1).alias("_e"))
+    runs = coverage.join(parts, on).select(link, "_part", on, F.col("start").alias("_a"), (F.col("end") - 1).alias("_b"), "cov")
+    shared = F.least("_e", "_b") - F.greatest("_s", "_a") + 1
+    met = overlapping(runs, closed, [link], ("_a", "_b"), ("_s", "_e")).groupBy(link, "_part", "_s", "_e", on)
+    met = met.agg(F.sum(shared * F.col("cov")).alias("covered_sum"), F.sum(F.when(F.col("cov") >= cutoff, shared).otherwise(0)).alias("_at_least"))
+    key = [link, "_part", "start", "end"]
+    sums = met.groupBy(link, "_part", F.col("_s").alias("start"), (F.col("_e") + 1).alias("end"))
+    sums = sums.agg(F.map_from_entries(F.collect_list(F.struct(on, F.struct("covered_sum", "_at_least")))).alias("_sums"))
+    members = parts.groupBy(link, "_part").agg(F.collect_list(on).alias("_members"))
+    out = every.join(members.select(link, "_part"), link).join(sums, key, "left").join(members, [link, "_part"])
+    out = out.select("start", "end", "_sums", F.explode("_members").alias(on)).withColumn("_x", F.try_element_at("_sums", F.col(on)))
+    size = F.col("end") - F.col("start")
+    below = size - F.coalesce("_x._at_least", F.lit(0)) if cutoff > 0 else F.lit(0).cast("long")
+    return out.select(on, "start", "end", F.coalesce("_x.covered_sum", F.lit(0)).cast("long").alias("covered_sum"), below.cast("long").alias("below"))

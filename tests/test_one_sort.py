@@ -45,3 +45,20 @@ def test_sweep_across_tiles(spark):
     got = coverage.sweep(df, ["chr"], tile=32).collect()
     assert {(r.chr, p): r.cov for r in got for p in range(r.start, r.end)} == {k: n for k, n in depth.items() if n}
     assert all(not (a.chr == b.chr and a.end == b.start and a.cov == b.cov) for a in got for b in got)
+
+
+def test_shared_spans_equal_spans_one_by_one(spark):
+    random.seed(5)
+    runs = spark.createDataFrame([(c, s, s + random.randint(1, 30), random.randint(1, 3)) for c in range(7) for s in range(0, 600, 31)], "chr int, start long, end long, cov long")
+    places = spark.createDataFrame([(k, s, s + random.choice([0, 1, 9, 70])) for k in (0, 1, 5) for s in random.choices(range(700), k=20)], "k int, start long, end long")
+    groups = spark.createDataFrame([(c % 2, c) for c in range(9)] + [(1, 3), (8, 3)], "k int, chr int")
+    want = coverage.over_spans(places.join(groups, "k"), runs, ["chr"], cutoff=2)
+    got = coverage.over_shared_spans(places, groups, runs, "k", cutoff=2, together=2)
+    assert got.dtypes == want.dtypes and sorted(got.collect()) == sorted(want.collect())
+
+
+def test_the_product_is_not_shuffled(spark):
+    """What is put out last is the spread of each span over its members."""
+    df = QUERIES["coverage_over_spans"](spark, "/root/testdata/sf0.001")
+    lines = plan(df).splitlines()
+    assert next(i for i, x in enumerate(lines) if "Exchange" in x) > next(i for i, x in enumerate(lines) if "Generate explode(_members" in x)
