@@ -41,15 +41,20 @@ def gapless(df: DataFrame, group: list[str], by: list[str], out: str, parts: int
 
 
 def hot_keys(sizes: DataFrame, key: str, n: str, cut: int = CUT) -> DataFrame:
-    """(key, parts) of the keys with more rows than `cut` and than a HOT-th of all, so of fewer than HOT keys; sizes: (key, n)."""
-    total = sizes.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
+    """(key, parts) of the keys with more rows than `cut` and than a HOT-th of all, so of fewer than HOT keys; sizes: (key, n).
+
+    The bounded list is found once, here, and is a local table: no plan that spread() makes with it holds the plan of sizes."""
+    total, most = sizes.agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.max(n), F.lit(0))).first()
     least = max(cut, total // HOT)
-    return sizes.where(F.col(n) > least).select(key, F.ceil(F.col(n) / least).alias("parts"))
+    found = sizes.where(F.col(n) > least).select(key, F.ceil(F.col(n) / least).alias("parts"))
+    return sizes.sparkSession.createDataFrame((found if most > least else found.limit(0)).toArrow(), found.schema)
 
 
 def spread(rows: DataFrame, table: DataFrame, key: str, by: str, hot: DataFrame, how: str = "inner") -> DataFrame:
     """rows joined with a table of one row per key, though a key may hold a third of all rows: those of the hot ones, whose list is
-    bounded and so broadcast, are dealt by the column `by`, and the table has each as often."""
+    bounded and so broadcast, are dealt by the column `by`, and the table has each as often. Without hot keys it is a plain join."""
+    if hot.isEmpty():
+        return rows.join(table, key, how)
     parts, cut = fresh(rows, "_parts", "_cut")
     few = F.broadcast(hot.select(key, F.col("parts").alias(parts)))
     x = rows.join(few, key, "left").withColumn(cut, F.pmod(F.xxhash64(by), F.coalesce(parts, F.lit(1))).cast("long")).drop(parts)
