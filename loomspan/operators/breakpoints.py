@@ -7,10 +7,11 @@ and reads little more than what it finds, however long the intervals are."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,11 +72,11 @@ class Breakpoints:
             row = stop
 
 
-def _placed(df: DataFrame, on: Sequence[str], start: str, end: str, tile: int) -> DataFrame:
-    """(row, on as _0, _1, ..., s, e, home, tile): one row per tile that an interval touches."""
+def _placed(df: DataFrame, on: Sequence[str], start: str, end: str, tile: int, keep: dict[str, Column] | None = None) -> DataFrame:
+    """(row, on as _0, _1, ..., s, e, home, tile): one row per tile that an interval touches. keep: other columns in place of row."""
     place = lambda c: F.floor(F.col(c) / tile)
     rows = df.where(f"`{start}` <= `{end}`").select(
-        F.struct(*df.columns).alias("row"), *[F.col(c).alias(f"_{k}") for k, c in enumerate(on)], F.col(start).cast("long").alias("s"), F.col(end).cast("long").alias("e"),
+        *[c.alias(n) for n, c in (keep or {"row": F.struct(*df.columns)}).items()], *[F.col(c).alias(f"_{k}") for k, c in enumerate(on)], F.col(start).cast("long").alias("s"), F.col(end).cast("long").alias("e"),
         place(start).alias("home"), place(end).alias("last"),
     )
     for k in range(len(on)):
@@ -91,44 +92,56 @@ def _crowded(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
     return sizes.where("n > most").select(*keys, F.ceil(F.col("n") / F.col("most")).alias(out))
 
 
-def _met(left: DataFrame, right: DataFrame, on: Sequence[str], a: tuple[str, str], b: tuple[str, str], tile: int) -> DataFrame:
-    """Both sides go to the tiles that they touch, features (kind 0) before what asks for them (kind 1), and a task indexes the features of some
-    tiles, or of a large one, at a time while the asking rows stream by. A pair is made in the tile in which the later of both begins. Crowded tiles are
-    dealt out as a rectangle: each part of one side meets each part of the other once."""
-    x, y = _placed(left, on, *a, tile), _placed(right, on, *b, tile)
+def _dealt(x: DataFrame, y: DataFrame, on: Sequence[str], x_hash: Column, y_hash: Column) -> tuple[DataFrame, DataFrame]:
+    """Both placed sides with group, a hash of what meets: a tile, or a cell of a crowded one, whose rows the hashes deal."""
     keys = [*(f"_{k}" for k in range(len(on))), "tile"]
     for rows, own in ((x, "x_parts"), (y, "y_parts")):
         hot = F.broadcast(_crowded(rows, keys, own))
         x, y = x.join(hot, keys, "left"), y.join(hot, keys, "left")
     n = {c: F.coalesce(F.col(c), F.lit(1)) for c in ("x_parts", "y_parts")}
     every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), n[c] - 1))
-    hashed = lambda df: F.xxhash64("s", "e", *[F.col("row")[f.name] for f in df.schema if "map<" not in f.dataType.simpleString()])
-    one = lambda df, c: F.when(n[c] > 1, F.pmod(hashed(df), n[c])).otherwise(0)
-    x = x.withColumn("_x", one(left, "x_parts")).withColumn("_y", every("y_parts"))
-    y = y.withColumn("_y", one(right, "y_parts")).withColumn("_x", every("x_parts"))
-    group = F.xxhash64(*keys, "_x", "_y").alias("group")
-    late = F.col("tile") > F.col("home")
-    # places within the tile from 1 on; what began before the tile begins at 0 as a feature, at 1 as an asking row
-    within = lambda c: (F.col(c) - F.col("tile") * tile + 1).cast("int")
+    one = lambda hashed, c: F.when(n[c] > 1, F.pmod(hashed, n[c])).otherwise(0)
+    x = x.withColumn("_x", one(x_hash, "x_parts")).withColumn("_y", every("y_parts"))
+    y = y.withColumn("_y", one(y_hash, "y_parts")).withColumn("_x", every("x_parts"))
+    group = F.shiftleft(F.xxhash64(*keys, "_x", "_y"), 1)  # even, so that group + 1 comes between groups
+    return x.withColumn("group", group), y.withColumn("group", group)
+
+
+def _within(tile: int) -> tuple[Callable[[int], Column], Column]:
+    """(s, e) of a placed row within its tile, from 1 on; s is of what began before the tile: 0 for a feature, 1 for an asking row."""
+    place = lambda c: (F.col(c) - F.col("tile") * tile + 1).cast("int")
     last = F.least(F.col("e") - F.col("tile") * tile + 1, F.lit(tile)).cast("int").alias("e")
+    return lambda before: F.when(F.col("tile") > F.col("home"), before).otherwise(place("s")).alias("s"), last
+
+
+def _met(left: DataFrame, right: DataFrame, on: Sequence[str], a: tuple[str, str], b: tuple[str, str], tile: int) -> DataFrame:
+    """Both sides go to the tiles that they touch, features (kind 0) before what asks for them (kind 1), and a task indexes the features of some
+    tiles, or of a large one, at a time while the asking rows stream by. A pair is made in the tile in which the later of both begins. Crowded tiles are
+    dealt out as a rectangle: each part of one side meets each part of the other once."""
+    hashed = lambda df: F.xxhash64("s", "e", *[F.col("row")[f.name] for f in df.schema if "map<" not in f.dataType.simpleString()])
+    x, y = _dealt(_placed(left, on, *a, tile), _placed(right, on, *b, tile), on, hashed(left), hashed(right))
+    group, late = F.col("group"), F.col("tile") > F.col("home")
+    begin, last = _within(tile)
     none = lambda df: F.lit(None).cast(df.schema)
-    asks = x.select(group, F.lit(1).alias("kind"), F.when(late, 1).otherwise(within("s")).alias("s"), last, late.alias("late"), F.col("row").alias("l"), none(right).alias("r"))
-    places = y.select(group, F.lit(0).alias("kind"), F.when(late, 0).otherwise(within("s")).alias("s"), last, late.alias("late"), none(left).alias("l"), F.col("row").alias("r"))
-    both = places.unionByName(asks).repartition("group").sortWithinPartitions("group", "kind")
+    asks = x.select(group, F.lit(1).alias("kind"), begin(1), last, late.alias("late"), F.col("row").alias("l"), none(right).alias("r"))
+    places = y.select(group, F.lit(0).alias("kind"), begin(0), last, late.alias("late"), none(left).alias("l"), F.col("row").alias("r"))
+    both = places.unionByName(asks).repartition("group").sortWithinPartitions(F.col("group") + F.col("kind"))
+
+    return both.mapInArrow(lambda batches: _by_group(batches, lambda rows: _found(rows, tile)), T.StructType([T.StructField("l", left.schema), T.StructField("r", right.schema)]))
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, new, n = None, [], 0  # features of the last group so far, and what came since
-        for batch in batches:
-            new.append(batch)
-            n += batch.num_rows
-            if n >= max(INDEXED, known.num_rows if known else 0):
-                rows = pa.concat_batches([known, *new] if known else new)
-                yield from _found(rows, tile)
-                known, new, n = _unfinished(rows), [], 0
-        if new:
-            yield from _found(pa.concat_batches([known, *new] if known else new), tile)
 
-    return both.mapInArrow(meet, T.StructType([T.StructField("l", left.schema), T.StructField("r", right.schema)]))
+def _by_group(batches: Iterator[pa.RecordBatch], found: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+    """What `found` makes of rows in order of group, many at a time; rows that go on with a group come with its features again."""
+    known, new, n = None, [], 0  # features of the last group so far, and what came since
+    for batch in batches:
+        new.append(batch)
+        n += batch.num_rows
+        if n >= max(INDEXED, known.num_rows if known else 0):
+            rows = pa.concat_batches([known, *new] if known else new)
+            yield from found(rows)
+            known, new, n = _unfinished(rows), [], 0
+    if new:
+        yield from found(pa.concat_batches([known, *new] if known else new))
 
 
 def _unfinished(rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -152,6 +165,59 @@ def _found(rows: pa.RecordBatch, tile: int) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([left.take(pa.array(a[i[k : k + PASSED]])), right.take(pa.array(f[j[k : k + PASSED]]))], ["l", "r"])
 
 
+def overlap_counts(
+    asks: DataFrame, places: DataFrame, on: Sequence[str], a: tuple[str, str], b: tuple[str, str], after: str, kind: str, names: Sequence[str], tile: int = TILE
+) -> DataFrame:
+    """(on, b, and a count for each of `names`): for every interval of places, whose rows are distinct, the rows of asks that meet it and
+    whose `after` is null or less than its start; `kind` is the number of the name that a row counts for. Places that nothing meets are left out.
+
+    A task makes the pairs and keeps sums, so neither pairs nor more of a row than its numbers leave it. Tiles as in overlapping()."""
+    names, n = list(names), len(names)
+    hashed = F.xxhash64(*[c for c, t in asks.dtypes if "map<" not in t])
+    x = _placed(asks, on, *a, tile, {"hash": hashed, "x": F.col(after).cast("long"), "k": F.col(kind).cast("int")})
+    y = _placed(places.select(*on, *b), on, *b, tile, {"hash": F.xxhash64(*on, *b)})
+    x, y = _dealt(x, y, on, F.col("hash"), F.col("hash"))
+    begin, last = _within(tile)
+    keys = [f"_{k}" for k in range(len(on))]
+    late, none = F.col("tile") > F.col("home"), F.lit(None).cast("long")
+    # kind 0 is a place, then 1 + 2 * kind + late; x is a place's start or an asking row's `after`
+    asked = x.select("group", *keys, (1 + 2 * F.col("k") + late.cast("int")).alias("kind"), begin(1), last, "x", none.alias("y"))
+    known = y.select("group", *keys, F.lit(0).alias("kind"), begin(0), last, F.col("s").alias("x"), F.col("e").alias("y"))
+    # one number is sorted by its digits, places of a group before what asks for them
+    rows = known.unionByName(asked).repartition("group").sortWithinPartitions(F.col("group") + (F.col("kind") > 0).cast("long"))
+    met = rows.mapInArrow(lambda batches: _by_group(batches, lambda part: _counted(part, keys, tile, n)), T.StructType(
+        [*(T.StructField(f"_{k}", places.schema[c].dataType) for k, c in enumerate(on)), T.StructField("x", T.LongType()), T.StructField("y", T.LongType()), *(T.StructField(f"n{k}", T.LongType()) for k in range(n))]
+    ))
+    sums = met.groupBy(*keys, "x", "y").agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(n)])
+    bound = lambda c, name: F.col(c).cast(places.schema[name].dataType).alias(name)
+    return sums.select(*[F.col(k).alias(c) for k, c in zip(keys, on, strict=True)], bound("x", b[0]), bound("y", b[1]), *[F.col(f"n{k}").alias(c) for k, c in enumerate(names)])
+
+
+def _counted(rows: pa.RecordBatch, keys: list[str], tile: int, n: int) -> Iterator[pa.RecordBatch]:
+    """(keys, x, y, n counts) of the places of all groups that an asking row meets."""
+    group, kind, s, e = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("group", "kind", "s", "e"))
+    same = np.diff(group) == 0
+    base = np.concatenate([[0], np.cumsum(~same)]).astype(np.int64) * (tile + 1)
+    # groups are hashed: if two fell together, keys are compared
+    own = rows.select(keys)
+    mixed = any((same & pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)).any() for c in own.columns)
+    f, a = np.flatnonzero(kind == 0), np.flatnonzero(kind)
+    if not len(f) or not len(a):
+        return
+    x = pc.fill_null(rows.column("x"), np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+    start, after, of = x[f], x[a], (kind[a] - 1) >> 1
+    index, counts = Breakpoints(base[f] + s[f], base[f] + e[f]), np.zeros(len(f) * n, np.int64)
+    for i, j in index.pairs(base[a] + s[a], base[a] + e[a], (kind[a] - 1) & 1 == 1):
+        first = start[j] > after[i]
+        for c in own.columns if mixed else ():
+            first &= pc.equal(c.take(pa.array(f[j])), c.take(pa.array(a[i]))).to_numpy(zero_copy_only=False)
+        np.add.at(counts, j[first] * n + of[i[first]], 1)
+    counts = counts.reshape(-1, n)
+    some = np.flatnonzero(counts.any(1))
+    met = rows.select([*keys, "x", "y"]).take(pa.array(f[some]))
+    yield pa.RecordBatch.from_arrays([*met.columns, *(pa.array(counts[some, k]) for k in range(n))], [*met.schema.names, *(f"n{k}" for k in range(n))])
+
+
 def overlapping(left: DataFrame, right: DataFrame, on: Sequence[str], a: tuple[str, str], b: tuple[str, str], tile: int = TILE) -> DataFrame:
     """Pairs of rows with equal `on` whose closed intervals share a coordinate: left's columns, then right's but for `on`.
 

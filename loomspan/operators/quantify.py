@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loomspan.functions import flags
 from loomspan.functions import sequence as Q
 from loomspan.functions import spans as S
+from loomspan.operators.breakpoints import overlap_counts
 from loomspan.operators.intervals import overlap_join
 
 
@@ -54,16 +55,33 @@ def feature_counts(
     if strand:
         features = features.where(F.col("strand") == strand)
         fragments = fragments.where(F.col("strand") != strand if anti else F.col("strand") == strand)
-    blocks = fragments.select(F.col(read).alias("_read"), "chr", "is_unique", F.explode("spans").alias("_s"))
-    blocks = blocks.select("_read", "chr", "is_unique", F.col("_s.start").alias("_a"), F.col("_s.end").alias("_b"))
+    return _counted(fragments, features, read, {"ucount": F.col("is_unique"), "nucount": ~F.col("is_unique")})
+
+
+def sense_counts(fragments: DataFrame, features: DataFrame, read: str = "seqnum") -> DataFrame:
+    """features of strand + or - with sense and anti: unique reads of their own and of the other strand of which a block overlaps, by one pass.
+
+    fragments have (read, chr, spans, strand, is_unique); those without + or - are on neither strand."""
+    on = lambda s: F.col("is_unique") & (F.col("strand") == s)
+    counts = _counted(fragments, features.where(F.col("strand").isin("+", "-")), read, {"_plus": on("+"), "_minus": on("-")})
+    turned = lambda a, b: F.when(F.col("strand") == "+", F.col(a)).otherwise(F.col(b))
+    return counts.withColumns({"sense": turned("_plus", "_minus"), "anti": turned("_minus", "_plus")}).drop("_plus", "_minus")
+
+
+def _counted(fragments: DataFrame, features: DataFrame, read: str, kinds: dict[str, Column]) -> DataFrame:
+    """features with a count for each of `kinds`, conditions that exclude each other: such reads of which a block overlaps, each once per feature.
+
+    A read meets a feature first with the block whose reach, the end of the read's blocks before it in order of start, is left of the feature;
+    only that meeting counts, so pairs of reads and features need not be made distinct."""
+    kind = F.coalesce(*[F.when(c, k) for k, c in enumerate(kinds.values())])
+    blocks = fragments.select(F.col(read).alias("_read"), "chr", kind.alias("_kind"), F.explode("spans").alias("_s")).where("_kind is not null and chr is not null")
+    blocks = blocks.select("_read", "chr", "_kind", F.col("_s.start").alias("_a"), F.col("_s.end").alias("_b")).where("_a <= _b")
+    before = Window.partitionBy("_read", "chr", "_kind").orderBy("_a", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_reach", F.max("_b").over(before))
     places = features.select("chr", F.col("start").alias("f_start"), F.col("end").alias("f_end")).distinct()
-    met = overlap_join(blocks, places, ["chr"], ("_a", "_b"), ("f_start", "f_end"))
-    once = met.groupBy("chr", "f_start", "f_end", "_read", "is_unique").agg(F.lit(1).alias("_1"))
-    sums = once.groupBy("chr", "f_start", "f_end").agg(
-        F.sum(F.col("is_unique").cast("long")).alias("ucount"), F.sum((~F.col("is_unique")).cast("long")).alias("nucount")
-    )
+    sums = overlap_counts(blocks, places, ["chr"], ("_a", "_b"), ("f_start", "f_end"), "_reach", "_kind", list(kinds))
     sums = sums.withColumnsRenamed({"f_start": "start", "f_end": "end"})
-    return features.join(sums, ["chr", "start", "end"], "left").na.fill(0, ["ucount", "nucount"])
+    return features.join(sums, ["chr", "start", "end"], "left").na.fill(0, list(kinds))
 
 
 def read_total(fragments: DataFrame, read: str = "seqnum") -> DataFrame:

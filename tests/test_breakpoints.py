@@ -103,3 +103,31 @@ def test_groups_share_one_index(passed, monkeypatch):
     meets = lambda x, y: x["group"] == y["group"] and x["s"] <= y["e"] and y["s"] <= x["e"] and not (x["late"] and y["late"])
     assert got == sorted((x["l"], y["r"]) for x in rows for y in rows if x["kind"] == 1 and y["kind"] == 0 and meets(x, y)) and len(made) == 1
     assert all(part.num_rows <= passed for part in breakpoints._found(batch, tile))
+
+
+def test_reads_are_counted_once_per_feature_without_pairs(spark):
+    from loomspan.operators import quantify
+
+    rng = random.Random(5)
+    reads = [(rng.randint(0, 60), rng.choice("xy"), [(a, a + rng.randint(-1, 90)) for a in (rng.randint(0, 900) for _ in range(rng.randint(1, 4)))], rng.choice("+-."), rng.random() < 0.6) for _ in range(400)]
+    places = sorted({(rng.choice("xyz"), a, a + rng.randint(-1, 200), rng.choice("+-")) for a in (rng.randint(0, 900) for _ in range(150))})
+    frag = spark.createDataFrame(reads, "seqnum long, chr string, spans array<struct<start: bigint, end: bigint>>, strand string, is_unique boolean")
+    feats = spark.createDataFrame(places, "chr string, start long, end long, strand string")
+    meet = lambda f, r: r[1] == f[0] and f[1] <= f[2] and any(a <= b and a <= f[2] and f[1] <= b for a, b in r[2])
+    many = lambda f, ok: len({r[0] for r in reads if meet(f, r) and ok(r)})
+    out = quantify.feature_counts(frag, feats)
+    assert sorted(map(tuple, out.select("chr", "start", "end", "strand", "ucount", "nucount").collect())) == [(*f, many(f, lambda r: r[4]), many(f, lambda r: not r[4])) for f in places]
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert plan.count("MapInArrow") == 1 and "_read" not in plan[: plan.index("MapInArrow")]
+    out = quantify.sense_counts(frag, feats)
+    assert sorted(map(tuple, out.select("chr", "start", "end", "strand", "sense", "anti").collect())) == [
+        (*f, many(f, lambda r, s=f[3]: r[4] and r[3] == s), many(f, lambda r, s=f[3]: r[4] and r[3] == {"+": "-", "-": "+"}[s])) for f in places
+    ]
+    assert out._jdf.queryExecution().analyzed().toString().count("MapInArrow") == 1
+
+
+def test_groups_whose_hashes_fall_together_stay_apart():
+    place, ask = {"group": 8, "kind": 0, "s": 1, "e": 9, "x": 1, "y": 9}, {"group": 8, "kind": 1, "s": 2, "e": 3, "x": None, "y": None}
+    rows = pa.RecordBatch.from_pylist([{"_0": "p"} | place, {"_0": "q"} | place, {"_0": "q"} | ask, {"_0": "q"} | ask, {"_0": "p"} | ask])
+    found = [r for b in breakpoints._counted(rows, ["_0"], 64, 1) for r in b.to_pylist()]
+    assert [(r["_0"], r["n0"]) for r in found] == [("p", 1), ("q", 2)]
