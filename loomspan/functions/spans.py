@@ -152,7 +152,7 @@ def cigar_ops(cigar: Column) -> Column:
     """array<struct<len, op>> of a CIGAR string; "*" and null have none."""
     parts = F.regexp_extract_all(cigar, F.lit(r"(\d+[MIDNSHP=X])"), 1)
     return F.coalesce(
-        F.transform(parts, lambda x: F.struct(F.regexp_extract(x, r"^\d+", 0).cast("int").alias("len"), F.right(x, F.lit(1)).alias("op"))),
+        F.transform(parts, lambda x: F.struct(F.left(x, F.length(x) - 1).cast("int").alias("len"), F.right(x, F.lit(1)).alias("op"))),
         F.array().cast("array<struct<len: int, op: string>>"),
     )
 

@@ -171,3 +171,10 @@ def test_names_are_numbered_in_ranges(spark):
     assert "row_number() windowspecdefinition(_range" in plan  # not one window over all names
     got = [r.chr for r in chromosomes.by_location(df).collect()]
     assert got == [x for x in want for _ in range(2)]
+
+
+def test_cigar_lengths_need_no_second_pattern(spark):
+    df = spark.createDataFrame([("2S10M15N1I20M3D4=1H",), ("*",), (None,), ("007M",)], "c string").select(S.cigar_ops(F.col("c")).alias("o"))
+    assert "regexp_extract(" not in df._jdf.queryExecution().optimizedPlan().toString()
+    got = [[tuple(x) for x in r.o] for r in df.collect()]
+    assert got == [[(2, "S"), (10, "M"), (15, "N"), (1, "I"), (20, "M"), (3, "D"), (4, "="), (1, "H")], [], [], [(7, "M")]]
