@@ -302,7 +302,6 @@ def linked(docs: DataFrame, n: int = SHINGLE, share: tuple[int, int] = SHARE, tr
     hits = written(tokens.join(shared, "token").groupBy("g", "id").agg(F.count(F.lit(1)).alias("n")), "hits")
     dropped(tokens)
     reps = sets.where("id is not null and doc_id is not null").groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"))
-    reps = written(reps, "reps")  # four plans read it
     # the smallest set that can be similar is share * size, so fewer tokens in common with all others mean no link
     enough = hits.groupBy("id").agg(F.sum("n").alias("n")).join(reps, "id").where(F.col("n") >= spare(F.ceil(F.col("size") * share[0] / share[1])))
     stars = written(hits.join(enough.select("id"), "id", "left_semi"), "stars")
@@ -330,10 +329,8 @@ def linked(docs: DataFrame, n: int = SHINGLE, share: tuple[int, int] = SHARE, tr
     if not found.isEmpty():
         links = links.unionByName(_rest(found, hot, texts.where("main").select("id", "text"), n, share, sketch, tree))
         parts = components(links)
-    sketch.destroy()  # all that orders shingles is written
 
     named = reps.join(parts.withColumnRenamed("node", "id"), "id", "left").select("id", "doc_id", F.coalesce("component", "id").alias("class"))
-    named = written(named, "named")
     least = named.groupBy("class").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
     classes = spread(named, least.drop("n"), "class", "id", hot_keys(least, "class", "n")).select("id", "component_id")
     full = sets.where("id is not null")  # a class of near copies, and a set of exact ones, may have a third of all rows
