@@ -65,55 +65,74 @@ def classified(
     chromosome and strand, in order and at most `distance` apart; mates that touch or overlap are one alignment, joined, if
     their inner blocks agree (contained, repair: see one_of_mates), else no pair. longest: only a read's pairs of most covered bases
     count. by_mean: the upstream mate's mean coordinate must not exceed the downstream one's, too. A read with hits of one mate keeps all of them. A read with one fragment is unique. Reads of `crowd` possible pairs or
-    more aren't paired: their hits are single ones, none of them unique."""
-    hits = hits.select(read, "mate", "chr", "spans", "strand", "seq").distinct()
-    sides = {}
-    for mate, name in (("a", "fwd"), ("b", "rev")):
-        own = hits.where(F.col("mate") == mate)
-        strand = F.translate("strand", "+-", "-+") if mate == "b" else F.col("strand")
-        sides[name] = own.select(read, "chr", strand.alias("strand"), F.struct("spans", "seq").alias(name))
-    counts = hits.groupBy(read).agg(F.sum((F.col("mate") == "a").cast("long")).alias("_a"), F.sum((F.col("mate") == "b").cast("long")).alias("_b"))
-    many = F.col("_a") * F.col("_b")
-    pairs = sides["fwd"].join(sides["rev"], [read, "chr", "strand"]).join(counts.where((many > 0) & (many < crowd)).select(read), read, "left_semi")
+    more aren't paired: their hits are single ones, none of them unique. A read's hits meet in one task, in sorts that spill."""
+    hits = hits.where(F.col("mate").isin("a", "b") & F.col(read).isNotNull())
+    strand = F.when(F.col("mate") == "b", F.translate("strand", "+-", "-+")).otherwise(F.col("strand"))
+    # dealt out by read once: counts and pairs go by read alone, too, so hits are not shuffled again
+    hits = _distinct_by(hits.select(read, "mate", "chr", "spans", strand.alias("strand"), "seq"), read)
+    each = Window.partitionBy(read)
+    of = lambda m: F.count_if(F.col("mate") == m).over(each)
+    hits = hits.withColumn("_many", of("a") * of("b")).withColumn("_lone", (F.col("_many") == 0) | (F.col("_many") >= crowd))
+    hit = lambda m: F.when(F.col("mate") == m, F.struct("spans", "seq"))
+    own = hits.where(F.col("_lone") | (F.col("mate") == "a")).select(read, "chr", "strand", "_many", "_lone", hit("a").alias("fwd"), hit("b").alias("_own"))
+    place = [F.col(c).alias(f"_{c}") for c in (read, "chr", "strand")]
+    other = hits.where(~F.col("_lone") & (F.col("mate") == "b")).select(*place, F.struct("spans", "seq").alias("_other"))
+    # by its bounds an equal chromosome is no key of the join, which would deal all out by it; a read has less than `crowd` pairs to try
+    same = [F.col(c).between(F.col(f"_{c}"), F.col(f"_{c}")) for c in ("chr", "strand")]
+    rows = own.join(other, [F.col(read) == F.col(f"_{read}"), *same], "left").withColumn("rev", F.coalesce("_own", "_other"))
     plus = F.col("strand") == "+"
     up, down = F.when(plus, F.col("fwd")).otherwise(F.col("rev")), F.when(plus, F.col("rev")).otherwise(F.col("fwd"))
-    if by_mean:
-        pairs = pairs.where(S.mean_coordinate(up["spans"]) <= S.mean_coordinate(down["spans"]))
     gap = S.first_start(down["spans"]) - S.last_end(up["spans"])
-    none = lambda *names: [F.lit(None).cast("struct<spans: array<struct<start: bigint, end: bigint>>, seq: string>").alias(n) for n in names]
-    apart = pairs.where((gap > 1) & (gap <= distance)).select(read, "chr", "strand", "fwd", "rev", *none("joined"))
-    close = pairs.where((gap <= 1) & (S.first_start(up["spans"]) <= S.first_start(down["spans"])))
-    joined = fused(close.select(read, "chr", "strand", up.alias("up"), down.alias("down")), contained, repair)
-    both = apart.unionByName(joined.select(read, "chr", "strand", *none("fwd", "rev"), "joined").distinct())
+    apart, close = (gap > 1) & (gap <= distance), (gap <= 1) & (S.first_start(up["spans"]) <= S.first_start(down["spans"]))
+    kind = F.when(F.col("_lone"), "lone").when(apart, "apart").when(close, "close")
+    if by_mean:
+        in_order = S.mean_coordinate(up["spans"]) <= S.mean_coordinate(down["spans"])
+        kind = F.when(F.col("_lone") | in_order, kind)
+    rows = rows.withColumn("_kind", kind).where("_kind is not null")
+    is_close = F.col("_kind") == "close"
+    rows = rows.withColumn("joined", one_alignment(F.when(is_close, up), F.when(is_close, down), contained, repair))
+    rows = rows.where(~is_close | F.col("joined").isNotNull())
+    single = [F.when(~is_close, F.col(c)).alias(c) for c in ("fwd", "rev")]
+    rows = _distinct_by(rows.select(read, "chr", "strand", *single, "joined", "_many", "_lone"), read)
     if longest:
         covered = sum((F.coalesce(S.total_length(F.col(f"{c}.spans")), F.lit(0)) for c in ("fwd", "rev", "joined")), F.lit(0))
-        both = both.withColumn("_n", covered)
-        both = both.join(both.groupBy(read).agg(F.max("_n").alias("_n")), [read, "_n"], "left_semi").drop("_n")
-    lone = counts.where((many == 0) | (many >= crowd)).select(read, (many > 0).alias("_crowd"))
-    alone = [sides[m].join(lone, read).select(read, "chr", "strand", m, *none(o, "joined"), "_crowd") for m, o in (("fwd", "rev"), ("rev", "fwd"))]
-    every = both.withColumn("_crowd", F.lit(False)).unionByName(alone[0]).unionByName(alone[1])
-    one = every.groupBy(read).agg((F.count(F.lit(1)) == 1).alias("is_unique"))
-    return every.join(one, read).withColumn("is_unique", F.col("is_unique") & ~F.col("_crowd")).drop("_crowd")
+        rows = rows.withColumn("_n", covered)
+        rows = rows.withColumn("_most", F.max("_n").over(each)).where(F.col("_lone") | (F.col("_n") == F.col("_most")))
+    unique = (F.count(F.lit(1)).over(each) == 1) & (F.col("_many") < crowd)
+    return rows.select(read, "chr", "strand", "fwd", "rev", "joined", unique.alias("is_unique"))
+
+
+def _distinct_by(rows: DataFrame, read: str) -> DataFrame:
+    """Distinct rows in one shuffle and one sort, which what follows by read needs no other for."""
+    same = Window.partitionBy(read, *[c for c in rows.columns if c != read]).orderBy(read)
+    return rows.repartition(read).withColumn("_first", F.row_number().over(same)).where("_first = 1").drop("_first")
+
+
+def _alignments(up: pa.Array, down: pa.Array, contained: bool, repair: bool) -> pa.Array:
+    out: list[dict | None] = []
+    for mates in zip(up.to_pylist(), down.to_pylist(), strict=True):
+        found = None
+        if mates[0] and mates[1]:
+            two = [([(s["start"], s["end"]) for s in x["spans"]], x["seq"] or "") for x in mates]
+            found = R.one_of_mates(*two, contained, repair)
+        out.append({"spans": [{"start": s, "end": e} for s, e in found[0]], "seq": found[1]} if found else None)
+    return pa.array(out, up.type)
+
+
+def one_alignment(up: Column, down: Column, contained: bool = True, repair: bool = False) -> Column:
+    """What touching or overlapping mates (spans, seq) are together; null if that is no alignment, or a mate is null."""
+
+    def run(up: pa.Array, down: pa.Array) -> pa.Array:
+        return _alignments(up, down, contained, repair)
+
+    # as nondeterministic, so that a filter on it doesn't compute it twice
+    return F.arrow_udf(run, f"spans {S.TYPE}, seq string").asNondeterministic()(up, down)
 
 
 def fused(close: DataFrame, contained: bool = True, repair: bool = False) -> DataFrame:
     """close's other columns and joined of the touching or overlapping mates (up, down: spans, seq) that are one alignment."""
-    keys = [f for f in close.schema.fields if f.name not in ("up", "down")]
-    names = [f.name for f in keys]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out, keep = [], []
-            for k, row in enumerate(batch.select(["up", "down"]).to_pylist()):
-                two = [([(s["start"], s["end"]) for s in x["spans"]], x["seq"] or "") for x in (row["up"], row["down"])]
-                if found := R.one_of_mates(*two, contained, repair):
-                    keep.append(k)
-                    out.append({"spans": [{"start": s, "end": e} for s, e in found[0]], "seq": found[1]})
-            rows = batch.take(pa.array(keep, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*rows.select(names).columns, pa.array(out, rows.schema.field("up").type)], [*names, "joined"])
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys)
-    return close.mapInArrow(run, f"{kinds}, joined {close.schema['up'].dataType.simpleString()}")
+    out = close.withColumn("joined", one_alignment(F.col("up"), F.col("down"), contained, repair))
+    return out.where("joined is not null").drop("up", "down")
 
 
 def union_distinct(*tables: DataFrame) -> DataFrame:
