@@ -7,6 +7,8 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from loomspan.llm.memory import on_release, release
 
@@ -16,10 +18,11 @@ REMEMBERED = 800_000
 #: them and of ASCII digits and marks, but no apostrophe, fall into such pieces, single digits and runs of marks.
 _SIMPLE = re.compile(rb"(?:[\x21-\x26\x28-\x7e]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 _PIECES = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+|[0-9]|[^a-z0-9\xc3]+")
-_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
-_ENDED = re.compile(_LETTERS.pattern.join((rb"(", rb")([\x21-\x26\x28-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]*)")))
+_LETTERS = re.compile(rb"(?:[a-z]++|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++")
+#: Marks after letters are pieces of their own; the apostrophe isn't one of them.
+_MARKS = bytes(x for x in range(0x21, 0x7F) if not (chr(x).isalnum() or x == 0x27))
 #: Words of letters that one call of the library gets; bytes of text that a stage encodes at a time.
-TOGETHER, SLICE = 2048, 1 << 20
+TOGETHER, SLICE = 2048, 1 << 21
 
 
 class Encoder:
@@ -28,7 +31,7 @@ class Encoder:
     For a vocabulary whose pre-tokenizer drops white space and never joins across it, and whose
     normalizer lower-cases, a text's ids are its white-space-separated words' ids in turn, and one
     full stop or comma after an ASCII letter or digit is a piece of its own. Each distinct word goes
-    through the library once per worker. `by_word=False` hands whole texts to the library."""
+    through the library once per worker, and is looked up once per call, however often it stands there. `by_word=False` hands whole texts to the library."""
 
     def __init__(self, path: str, by_word: bool = True, most: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -48,31 +51,45 @@ class Encoder:
         """One byte string of ids per text; null and empty texts have none."""
         if not self.by_word:
             return self.whole([t or "" for t in texts])
-        split = [(t or "").encode("utf-8", "replace").lower().split() for t in texts]
+        low = [(t or "").encode("utf-8", "replace").lower() for t in texts]
         odd = [i for i, t in enumerate(texts) if t and "<|" in t]  # special tokens are case-sensitive
         for i in odd:
-            split[i] = []
-        known = self.known
-        fresh = set().union(*split).difference(known)
-        if fresh:
-            if len(known) > self.most:
-                known.clear()
-                fresh = set().union(*split)
-            self._learn(fresh)
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
+            low[i] = b""
+        split = pc.ascii_split_whitespace(pa.array(low, pa.large_binary()).cast(pa.large_string()))
+        coded = split.flatten().cast(pa.large_binary()).dictionary_encode()
+        ids = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first, word = np.cumsum(size) - size, coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(size[word])])
+        place = np.arange(ends[-1]) + np.repeat(first[word] - ends[:-1], size[word])
+        raw = np.frombuffer(b"".join(ids), "<u4")[place].tobytes()
+        cut = (ends[np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])] * 4).tolist()
+        out = [raw[a:b] for a, b in zip(cut, cut[1:], strict=False)]
         for i in odd:
             out[i] = self.whole([texts[i]])[0]
         return out
 
-    def _learn(self, words: set[bytes]) -> None:
-        known, letters, other, made = self.known, set(), set(), []
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each of distinct words; white space at the ends of a text leaves an empty one, which has none."""
+        found = list(map(self.known.get, words))
+        fresh = [k for k, x in enumerate(found) if x is None]
+        if fresh:
+            if len(self.known) > self.most:
+                self.known.clear()
+            self._learn([words[k] for k in fresh])
+            for k in fresh:
+                found[k] = self.known[words[k]]
+        return found
+
+    def _learn(self, words: list[bytes]) -> None:
+        known, letters, other, ended, made = self.known, set(), set(), [], []
         for w in words:
-            if ended := _ENDED.fullmatch(w):
-                head, tail = ended.groups()
+            head = w.rstrip(_MARKS)
+            if head.isalpha() or _LETTERS.fullmatch(head):
                 letters.add(head)
-                if tail:
+                if tail := w[len(head) :]:
                     other.add(tail)
-                    made.append((w, (head, tail)))
+                    ended.append((w, head, tail))
             elif _SIMPLE.fullmatch(w) and len(pieces := _PIECES.findall(w)) > 1:
                 made.append((w, pieces))
                 for x in pieces:
@@ -84,6 +101,7 @@ class Encoder:
             self._together(new[i : i + TOGETHER])
         new = [w for w in other if w not in known]
         known.update(zip(new, self.whole([w.decode() for w in new]), strict=True))
+        known.update([(w, known[head] + known[tail]) for w, head, tail in ended])
         known.update([(w, b"".join([known[x] for x in pieces])) for w, pieces in made])
 
     def _together(self, words: list[bytes]) -> None:
