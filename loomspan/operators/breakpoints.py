@@ -72,16 +72,16 @@ class Breakpoints:
             row = stop
 
 
-def _placed(df: DataFrame, on: Sequence[str], start: str, end: str, tile: int, keep: dict[str, Column] | None = None) -> DataFrame:
-    """(row, on as _0, _1, ..., s, e, home, tile): one row per tile that an interval touches. keep: other columns in place of row."""
+def _placed(df: DataFrame, on: Sequence[str], start: str, end: str, tile: int, keep: dict[str, Column] | None = None, copied: bool = True) -> DataFrame:
+    """(row, on as _0, _1, ..., s, e, home, tile): one row per tile that an interval touches, or only the first. keep: other columns in place of row."""
     place = lambda c: F.floor(F.col(c) / tile)
     rows = df.where(f"`{start}` <= `{end}`").select(
-        *[c.alias(n) for n, c in (keep or {"row": F.struct(*df.columns)}).items()], *[F.col(c).alias(f"_{k}") for k, c in enumerate(on)], F.col(start).cast("long").alias("s"), F.col(end).cast("long").alias("e"),
+        *[c.alias(n) for n, c in ({"row": F.struct(*df.columns)} if keep is None else keep).items()], *[F.col(c).alias(f"_{k}") for k, c in enumerate(on)], F.col(start).cast("long").alias("s"), F.col(end).cast("long").alias("e"),
         place(start).alias("home"), place(end).alias("last"),
     )
     for k in range(len(on)):
         rows = rows.where(f"_{k} is not null")
-    return rows.withColumn("tile", F.explode(F.sequence("home", "last"))).drop("last")
+    return rows.withColumn("tile", F.explode(F.sequence("home", "last")) if copied else F.col("home")).drop("last")
 
 
 def _crowded(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
@@ -218,6 +218,216 @@ def _counted(rows: pa.RecordBatch, keys: list[str], tile: int, n: int) -> Iterat
     yield pa.RecordBatch.from_arrays([*met.columns, *(pa.array(counts[some, k]) for k in range(n))], [*met.schema.names, *(f"n{k}" for k in range(n))])
 
 
+#: What a block asks of a place (compatible_counts): to begin with it, to end with it; that it counts for the second number; that its mate is behind it, before it.
+BEGINS, ENDS, SECOND, UP, DOWN = 1, 2, 4, 8, 16
+#: Lower bits of a row's order: 0 for a place, from 1 on a hash of the read that asks. Pairs that a task makes distinct at a time.
+READS, DISTINCT = 23, 1 << 22
+
+
+def compatible_counts(
+    asks: DataFrame, places: DataFrame, on: Sequence[str], a: tuple[str, str], b: tuple[str, str], read: str, kind: str, names: tuple[str, str], limit: str | None = None, tile: int = TILE
+) -> DataFrame:
+    """(on, b, and two counts): every distinct interval of places, with the reads of which a row of asks lies within it, as its `kind` asks.
+
+    kind is a sum of BEGINS, ENDS, SECOND, UP and DOWN. A read counts once for each number, if one such row is neither UP nor DOWN, one that is UP or DOWN and
+    whose `limit` is behind or before the place, or one of each. Rows without an `on` or a bound, or that end before they begin, are left out on both sides.
+
+    Asking rows go to the tile that they begin in, dealt out by read, places to all tiles that they touch. Where a place has one cell, the cell
+    tells its counts as they are; only counts of places in crowded tiles, and the reads of places that touch several tiles, are shuffled again."""
+    x = _placed(asks, on, *a, tile, {"read": F.col(read), "k": F.col(kind).cast("int"), **({"limit": F.col(limit).cast("long")} if limit else {})}, copied=False)
+    y = _placed(places.select(*on, *b), on, *b, tile, {})
+    keys = [f"_{k}" for k in range(len(on))]
+    x, y = _dealt(x, y, on, F.xxhash64("read"), F.xxhash64(*keys, "s", "e"))
+    low = (1 << READS) - 1
+    order = lambda sub: F.col("group").bitwiseAND(~low).bitwiseOR(sub).alias("order")
+    # asking rows have odd kinds; places 0 if one cell tells all, 2 if counts of cells are added, 4 if reads of several tiles are made distinct
+    several = F.when(F.col("home") != F.floor(F.col("e") / tile), 4).when(F.coalesce(F.col("x_parts"), F.lit(1)) > 1, 2).otherwise(0)
+    asked = x.select(order(F.pmod(F.xxhash64("read"), F.lit(low)) + 1), *keys, "tile", "s", "e", (2 * F.col("k") + 1).alias("kind"), "read", *(["limit"] if limit else []))
+    known = y.select(order(F.lit(0).cast("long")), *keys, "tile", "s", "e", several.alias("kind"))
+    rows = known.unionByName(asked, allowMissingColumns=True).repartition(F.shiftright("order", READS)).sortWithinPartitions("order")
+    of = [T.StructField(k, places.schema[c].dataType) for k, c in zip(keys, on, strict=True)] + [T.StructField(c, T.LongType()) for c in ("s", "e", *names)]
+    who = [T.StructField("read", asks.schema[read].dataType), *(T.StructField(c, T.BooleanType()) for c in ("second", "sure", "up", "down"))]
+    # both read the same shuffle
+    whole = rows.mapInArrow(lambda batches: _compatible(batches, keys, tile, names, True), T.StructType(of))
+    parts = rows.mapInArrow(lambda batches: _compatible(batches, keys, tile, names, False), T.StructType(of + who))
+    some = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
+    parts = parts.groupBy(*keys, "s", "e", "read", "second").agg(*[F.sum(c).alias(c) for c in names], (some("sure") | (some("up") & some("down"))).alias("fits"))
+    one = lambda second: (F.col("fits") & (F.col("second") == second)).cast("long")
+    parts = parts.groupBy(*keys, "s", "e").agg(*[F.sum(F.col(c) + F.coalesce(one(bool(k)), F.lit(0))).alias(c) for k, c in enumerate(names)])
+    bound = lambda c, name: F.col(c).cast(places.schema[name].dataType).alias(name)
+    return whole.unionByName(parts).select(*[F.col(k).alias(c) for k, c in zip(keys, on, strict=True)], bound("s", b[0]), bound("e", b[1]), *names)
+
+
+def _compatible(batches: Iterator[pa.RecordBatch], keys: list[str], tile: int, names: Sequence[str], whole: bool) -> Iterator[pa.RecordBatch]:
+    """The counts of places that one cell tells (whole), or else counts and reads of the other places.
+
+    Rows come in order of group and read. They are cut between reads, so each read of a cell is seen at once; places of a group that goes on are kept with their counts."""
+    cells, new, n, need = _Cells(keys, tile, names, whole), [], 0, INDEXED
+    for batch in batches:
+        new.append(batch)
+        n += batch.num_rows
+        if n < need:
+            continue
+        rows = pa.concat_batches(new)
+        order = rows.column("order").to_numpy(zero_copy_only=False)
+        cut = int(np.searchsorted(order, order[-1], "left"))
+        rest = rows.slice(cut)
+        if n - cut > INDEXED:  # many rows of one read, or of one group's places
+            rest = pa.Table.from_batches([rest]).group_by(rest.schema.names).aggregate([]).select(rest.schema.names).combine_chunks()
+            rest = pa.concat_batches(rest.to_batches())
+        if cut > cells.known:
+            yield from cells.counted(rows.slice(0, cut), order[-1] >> READS if order[-1] & ((1 << READS) - 1) else None)
+            new = [*cells.places, rest]
+        else:
+            new = [rows.slice(0, cut), rest]
+        n = sum(b.num_rows for b in new)
+        need = n + max(INDEXED, n)
+    if n:
+        yield from cells.counted(pa.concat_batches(new), None)
+
+
+class _Cells:
+    """Places of cells and their counts."""
+
+    def __init__(self, keys: list[str], tile: int, names: Sequence[str], whole: bool):
+        self.keys, self.tile, self.names, self.whole = keys, tile, list(names), whole
+        self.known, self.places, self.counts = 0, [], np.zeros((0, 2), np.int64)
+
+    def counted(self, rows: pa.RecordBatch, goes_on: int | None) -> Iterator[pa.RecordBatch]:
+        """What is known of the places of all groups but the one that goes on, whose places are kept and come first in the next rows."""
+        group, kind = rows.column("order").to_numpy(zero_copy_only=False) >> READS, rows.column("kind").to_numpy(zero_copy_only=False)
+        wanted = (kind == 0) if self.whole else (kind & 1 == 0) & (kind > 0)
+        rows = rows.filter(pa.array(wanted | ((kind & 1 == 1) & np.isin(group, group[wanted]))))
+        held, self.known, self.places = self.counts, 0, []
+        if not rows.num_rows:
+            return
+        order, kind, s, e, t = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("order", "kind", "s", "e", "tile"))
+        group, f, a = order >> READS, np.flatnonzero(kind & 1 == 0), np.flatnonzero(kind & 1)
+        cell = _ids(group, *[_codes(rows.column(c)) for c in self.keys], t)  # groups are hashed: two may have fallen together
+        # distinct places; those kept from before come first among the rows
+        by = np.lexsort((e[f], s[f], cell[f]))
+        g = f[by]
+        fresh = np.concatenate([[True], (np.diff(cell[g]) != 0) | (np.diff(s[g]) != 0) | (np.diff(e[g]) != 0)])
+        own = np.empty(len(f), np.int64)
+        own[by] = np.cumsum(fresh) - 1
+        f = g[fresh]
+        counts = np.zeros((len(f), 2), np.int64)
+        counts[own[: len(held)]] += held
+        if len(a):
+            yield from self._read(rows, cell, s, e, t, kind, f, a, counts)
+        stays = group[f] == goes_on if goes_on is not None else np.zeros(len(f), bool)
+        if stays.any():
+            self.places, self.counts, self.known = [rows.take(pa.array(f[stays]))], counts[stays], int(stays.sum())
+        else:
+            self.counts = np.zeros((0, 2), np.int64)
+        if not stays.all():
+            yield self._batch(rows, f[~stays], counts[~stays])
+
+    def _batch(self, rows: pa.RecordBatch, at: np.ndarray, counts: np.ndarray, who: Sequence[pa.Array] = ()) -> pa.RecordBatch:
+        found = rows.select([*self.keys, "s", "e"]).take(pa.array(at))
+        if not self.whole and not who:
+            who = [pa.nulls(len(at), rows.schema.field("read").type), *(pa.nulls(len(at), pa.bool_()) for _ in range(4))]
+        new = [*found.columns, *(pa.array(counts[:, k]) for k in range(2)), *who]
+        return pa.RecordBatch.from_arrays(new, [*found.schema.names, *self.names, *(["read", "second", "sure", "up", "down"] if who else [])])
+
+    def _read(self, rows, cell, s, e, t, kind, f, a, counts) -> Iterator[pa.RecordBatch]:
+        """Reads of the asking rows are added to the counts of their places, or come out where a place touches several tiles."""
+        asks = kind[a] >> 1
+        readers = _codes(rows.column("read").take(pa.array(a)))
+        who, limit = readers * 2 + (asks & SECOND > 0), None
+        if "limit" in rows.schema.names:
+            limit = rows.column("limit").take(pa.array(a))
+            none = pc.is_null(limit).to_numpy(zero_copy_only=False)
+            limit = pc.fill_null(limit, 0).to_numpy(zero_copy_only=False)
+        # where a bound is asked for, the places with just this bound; else all that the row meets
+        finders = []
+        for asked, c in ((asks & BEGINS > 0, s), (asks & (BEGINS | ENDS) == ENDS, e)):
+            ids = _ids(cell[np.concatenate([f, a])], c[np.concatenate([f, a])])
+            finders.append((asked, _Equal(ids[: len(f)]), lambda at, ids=ids: (ids[len(f) + at],)))
+        base = cell * (self.tile + 1)
+        asked = asks & (BEGINS | ENDS) == 0
+        if asked.any():
+            begin = lambda at: base[at] + np.maximum(s[at] - t[at] * self.tile + 1, 0)
+            last = lambda at: base[at] + np.minimum(e[at] - t[at] * self.tile + 1, self.tile)
+            finders.append((asked, Breakpoints(begin(f), last(f)), lambda at: (begin(a[at]), last(a[at]))))
+
+        def pairs(low: int, high: int, most: float) -> tuple[np.ndarray, np.ndarray] | None:
+            out, n = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+            for asked, index, place in finders:
+                at = low + np.flatnonzero(asked[low:high])
+                for i, j in index.pairs(*place(at)) if len(at) else ():
+                    i, ways = at[i], asks[at[i]]
+                    fs, fe, x, y = s[f[j]], e[f[j]], s[a[i]], e[a[i]]
+                    fits = (fs <= x) & (y <= fe) & ((ways & BEGINS == 0) | (fs == x)) & ((ways & ENDS == 0) | (fe == y))
+                    out.append((i[fits], j[fits]))
+                    n += len(out[-1][0])
+                    if n > most:
+                        return None
+            return np.concatenate([i for i, _ in out]), np.concatenate([j for _, j in out])
+
+        order = rows.column("order").to_numpy(zero_copy_only=False)[a]
+        begins = np.concatenate([np.flatnonzero(np.diff(order, prepend=order[0] - 1)), [len(a)]])  # of reads, by their hash
+        todo = [(0, len(begins) - 1)]
+        while todo:
+            low, high = todo.pop()
+            got = pairs(begins[low], begins[high], DISTINCT if high - low > 1 else np.inf)
+            if got is None:
+                todo += [((low + high) // 2, high), (low, (low + high) // 2)]
+                continue
+            i, j = got
+            if not len(i):
+                continue
+            n = int(who.max()) + 1
+            pair, first, back = np.unique(j * n + who[i], return_index=True, return_inverse=True)
+            place, second = pair // n, (who[i[first]] & 1).astype(bool)
+            up, down = asks[i] & UP > 0, asks[i] & DOWN > 0
+            sure = ~(up | down)
+            if limit is not None:
+                sure |= ~none[i] & np.where(up, e[f[j]] < limit[i], s[f[j]] > limit[i])
+            some = lambda x: np.bincount(back.ravel(), x, len(pair)) > 0
+            sure, up, down = (some(x) for x in (sure, up, down))
+            far = kind[f[place]] == 4
+            fits = (sure | (up & down)) & ~far
+            np.add.at(counts, (place[fits], second[fits].astype(np.int64)), 1)
+            if far.any():
+                read = rows.column("read").take(pa.array(a[i[first[far]]]))
+                yield self._batch(rows, f[place[far]], np.zeros((int(far.sum()), 2), np.int64), [read, *(pa.array(x[far]) for x in (second, sure, up, down))])
+
+
+class _Equal:
+    """Numbers, looked up by equal ones; as Breakpoints, pairs come some at a time."""
+
+    def __init__(self, known: np.ndarray):
+        self.order = np.argsort(known, kind="stable")
+        self.known = known[self.order]
+
+    def pairs(self, asked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        low = np.searchsorted(self.known, asked, "left")
+        n = np.searchsorted(self.known, asked, "right") - low
+        upto, row = np.cumsum(n), 0
+        while row < len(asked):
+            stop = max(row + 1, int(np.searchsorted(upto, (upto[row - 1] if row else 0) + CANDIDATES, "right")))
+            part = slice(row, stop)
+            yield np.repeat(np.arange(row, stop), n[part]), self.order[_ranges(low[part], n[part])]
+            row = stop
+
+
+def _codes(column: pa.Array) -> np.ndarray:
+    """A number for each distinct value, null too."""
+    return pc.dictionary_encode(column, null_encoding="encode").indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _ids(first: np.ndarray, *more: np.ndarray) -> np.ndarray:
+    """A number from 0 on for each distinct row of whole numbers, in order of the rows."""
+    out = np.unique(first, return_inverse=True)[1].ravel()
+    for x in more:
+        at = np.unique(x, return_inverse=True)[1].ravel()
+        n = int(at.max()) + 1 if len(at) else 1
+        if n > 1:
+            out = np.unique(out * n + at, return_inverse=True)[1].ravel()
+    return out
+
+
 def overlapping(left: DataFrame, right: DataFrame, on: Sequence[str], a: tuple[str, str], b: tuple[str, str], tile: int = TILE) -> DataFrame:
     """Pairs of rows with equal `on` whose closed intervals share a coordinate: left's columns, then right's but for `on`.
 

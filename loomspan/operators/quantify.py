@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from loomspan.functions import flags
 from loomspan.functions import sequence as Q
 from loomspan.functions import spans as S
+from loomspan.operators import breakpoints
 from loomspan.operators.breakpoints import overlap_counts
-from loomspan.operators.intervals import overlap_join
 
 
 def features_of(genes: DataFrame) -> DataFrame:
@@ -210,28 +210,30 @@ def uniqueness(rows: DataFrame, policy: str = "tags", read: str = "seqnum") -> D
     return out.withColumn("is_unique", F.coalesce(F.col("is_unique") & F.col("flag").isNotNull() & F.col(read).isNotNull(), F.lit(False))).select(*[c for c in rows.columns if c != "is_unique"], "is_unique")
 
 
-def exon_counts(fragments: DataFrame, exons: DataFrame, read: str = "seqnum") -> DataFrame:
+def exon_counts(fragments: DataFrame, exons: DataFrame, read: str = "seqnum", once: bool = False) -> DataFrame:
     """exons (chr, start, end) with ucount, nucount of reads compatible with them.
 
     A read's inner block boundaries must be the exon's own; its outer ends must lie within the exon. With a column mate, two mates
     that don't overlap count by the blocks that face each other only if both fit, or if one fits and the other mate
-    doesn't reach the exon. Each read counts once."""
-    n = F.size("spans")
-    blocks = _units(fragments, read).select("_read", "chr", "is_unique", "_side", "_limit", n.alias("_n"), F.posexplode("spans").alias("_k", "_s"))
-    blocks = blocks.select("_read", "chr", "is_unique", "_side", "_limit", "_n", "_k", F.col("_s.start").alias("_a"), F.col("_s.end").alias("_b"))
-    places = exons.select("chr", F.col("start").alias("f_start"), F.col("end").alias("f_end")).distinct()
-    met = overlap_join(blocks, places, ["chr"], ("_a", "_b"), ("f_start", "f_end"))
-    left = F.when(F.col("_k") > 0, F.col("_a") == F.col("f_start")).otherwise(F.col("_a") >= F.col("f_start"))
-    right = F.when(F.col("_k") < F.col("_n") - 1, F.col("_b") == F.col("f_end")).otherwise(F.col("_b") <= F.col("f_end"))
-    up = (F.col("_side") == 1) & (F.col("_k") == F.col("_n") - 1)
-    down = (F.col("_side") == 2) & (F.col("_k") == 0)
-    sure = F.when(up, F.col("f_end") < F.col("_limit")).when(down, F.col("f_start") > F.col("_limit")).otherwise(True)
-    once = met.where(left & right).groupBy("chr", "f_start", "f_end", "_read", "is_unique")
-    once = once.agg(F.bool_or(sure).alias("_sure"), F.bool_or(up).alias("_up"), F.bool_or(down).alias("_down")).where("_sure or (_up and _down)")
-    sums = once.groupBy("chr", F.col("f_start").alias("start"), F.col("f_end").alias("end")).agg(
-        F.sum(F.col("is_unique").cast("long")).alias("ucount"), F.sum((~F.col("is_unique")).cast("long")).alias("nucount")
-    )
-    return exons.join(sums, ["chr", "start", "end"], "left").na.fill(0, ["ucount", "nucount"])
+    doesn't reach the exon. Each read counts once. once: exons have no other columns, and equal ones come out as one."""
+    n, mates = F.size("spans"), "mate" in fragments.columns
+    blocks = _units(fragments, read).where("is_unique is not null").select("_read", "chr", "is_unique", "_side", "_limit", n.alias("_n"), F.posexplode("spans").alias("_k", "_s"))
+    asks = {
+        breakpoints.BEGINS: F.col("_k") > 0,
+        breakpoints.ENDS: F.col("_k") < F.col("_n") - 1,
+        breakpoints.SECOND: ~F.col("is_unique"),
+        breakpoints.UP: (F.col("_side") == 1) & (F.col("_k") == F.col("_n") - 1),
+        breakpoints.DOWN: (F.col("_side") == 2) & (F.col("_k") == 0),
+    }
+    kind = sum((F.when(c, k).otherwise(0) for k, c in asks.items()), F.lit(0))
+    blocks = blocks.select("_read", "chr", F.col("_s.start").alias("_a"), F.col("_s.end").alias("_b"), kind.alias("_kind"), *(["_limit"] if mates else []))
+    places = exons.select("chr", "start", "end")
+    counts = ("ucount", "nucount")
+    sums = breakpoints.compatible_counts(blocks, places, ["chr"], ("_a", "_b"), ("start", "end"), "_read", "_kind", counts, "_limit" if mates else None)
+    if not once:
+        return exons.join(sums.where("ucount + nucount > 0"), ["chr", "start", "end"], "left").na.fill(0, list(counts))
+    odd = places.where("chr is null or start is null or end is null or start > end").distinct()
+    return sums.unionByName(odd.withColumns({c: F.lit(0).cast("long") for c in counts}))
 
 
 def ordinals(df: DataFrame, group: Sequence[str], at: str, backwards: Column) -> DataFrame:
